@@ -15,8 +15,7 @@ DAY_PARTS = {"night": (0, 5), "morning": (6, 11), "afternoon": (12, 17), "evenin
 
 
 def seconds(micros: Column) -> Column:
-    """Microseconds as seconds with three decimals."""
-    return F.round(micros / 1e6, 3)
+    return micros / 1e6
 
 
 def day_part_counts() -> dict[str, Column]:
@@ -57,7 +56,7 @@ def session_duration(events: DataFrame) -> DataFrame:
     span = F.unix_micros("session_end") - F.unix_micros("session_start")
     return session_summary(events).groupBy("user_id").agg(
         F.count("*").alias("sessions"),
-        seconds(F.sum(span) / F.count(span)).alias("mean_duration_s"),
+        seconds(F.try_divide(F.sum(span), F.count(span))).alias("mean_duration_s"),
         seconds(F.max(span)).alias("max_duration_s"),
     )
 
