@@ -109,7 +109,7 @@ def squared_distance(centroid) -> str:
     )
 
 
-# min_by on (distance, index) structs: lowest index on a tie
+# Smallest (distance, index) pair: the lowest index wins a tie.
 PROFILE = f"""
 profile AS (
   SELECT *, list_min([{", ".join(
@@ -183,17 +183,17 @@ sessions AS (
 DURATIONS = f"""
 durations AS (
   SELECT user_id, count(*) AS sessions,
-    round(CAST(sum(span) AS BIGINT) / count(*) / 1e6::DOUBLE, 6) AS mean_duration_s,
-    round(max(span) / 1e6::DOUBLE, 6) AS max_duration_s
+    CAST(sum(span) AS BIGINT) / count(*) / 1e6::DOUBLE AS mean_duration_s,
+    max(span) / 1e6::DOUBLE AS max_duration_s
   FROM sessions GROUP BY user_id
 )"""
 
 FREQUENCY = """
 frequency AS (
   SELECT user_id,
-    round(count("timestamp") / count(DISTINCT CAST("timestamp" AS DATE)), 6) AS events_per_active_day,
-    CASE WHEN count("timestamp") > 1 THEN round(
-      (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / (count("timestamp") - 1) / 1e6::DOUBLE, 6)
+    count("timestamp") / count(DISTINCT CAST("timestamp" AS DATE)) AS events_per_active_day,
+    CASE WHEN count("timestamp") > 1 THEN
+      (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / (count("timestamp") - 1) / 1e6::DOUBLE
     END AS mean_gap_s
   FROM web_events GROUP BY user_id
 )"""
@@ -218,7 +218,7 @@ gap_sessions AS (
 
 GAP_SESSION_ROW = f"""
   {stamp("first_at")} AS session_start, {stamp("last_at")} AS session_end,
-  round((epoch_us(last_at) - epoch_us(first_at)) / 1e6::DOUBLE, 6) AS duration_s, events"""
+  (epoch_us(last_at) - epoch_us(first_at)) / 1e6::DOUBLE AS duration_s, events"""
 
 DAILY_FEATURES = f"""
 daily AS (
@@ -449,7 +449,7 @@ FROM long"""),
     "time_of_day": per_user(DAY_PART_COUNTS),
     "session_summary": with_events(
         f""", {SESSIONS} SELECT user_id, session_id, {stamp("first_at")} AS session_start,
-          {stamp("last_at")} AS session_end, round(span / 1e6::DOUBLE, 6) AS duration_s, events
+          {stamp("last_at")} AS session_end, span / 1e6::DOUBLE AS duration_s, events
         FROM sessions"""
     ),
     "session_duration": with_events(f", {SESSIONS}, {DURATIONS} SELECT * FROM durations"),

@@ -37,12 +37,16 @@ CENTROID_COLUMNS = ["total_events", "avg_purchase_amount"]
 CENTROIDS = [(52, 40), (60, 60), (66, 45), (72, 55), (80, 48)]
 
 
+# Quotients of exact integers: every engine computes the same double, so none is rounded.
+EXACT = {"duration_s", "mean_duration_s", "max_duration_s", "events_per_active_day", "mean_gap_s"}
+
+
 def plain(result: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles and write dates and timestamps as text."""
     columns = []
     for field in result.schema.fields:
         column = F.col(field.name)
-        if isinstance(field.dataType, T.DoubleType):
+        if isinstance(field.dataType, T.DoubleType) and field.name not in EXACT:
             column = F.round(column, digits)
         elif isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
