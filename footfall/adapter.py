@@ -35,7 +35,9 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_web_events(events: DataFrame) -> DataFrame:
     """Map a batch or streaming ``events`` frame to web-event columns."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    # a column of its own, so that each row's JSON is parsed once
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     raw_type = F.col("event_type")
 
     def pick(values, position):

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def recommend(events: DataFrame, segments: DataFrame, n: int = 3, item: str = "page") -> DataFrame:
-    """The ``n`` most frequent items of each user's segment that the user has not touched.
+    """The ``n`` most frequent items of each user's segment, less those the user has touched.
 
     Events are reduced to one row per (user, item) before they meet the segments, so the
-    join sees no hot user. Ranks keep ``n`` rows per segment before and after the shuffle.
-    The ranked list is left to adaptive execution to broadcast by its measured size.
+    join sees no hot user. The rank filter keeps ``n`` rows per segment and task before
+    its shuffle. The ranked list is left to adaptive execution, which broadcasts it by
+    its measured size.
     """
     touched = (
         events.filter(F.col("user_id").isNotNull() & F.col(item).isNotNull())
@@ -29,6 +30,8 @@ def recommend(events: DataFrame, segments: DataFrame, n: int = 3, item: str = "p
     return (
         segments.select("user_id", "segment")
         .join(ranked, "segment")
-        .join(touched.select("user_id", item), ["user_id", item], "left_anti")
+        # keeps `times` on this side too, so that both uses read one shuffle
+        .join(touched, ["user_id", item], "left")
+        .filter(F.col("times").isNull())
         .select("user_id", "segment", item, "segment_rank", "segment_events")
     )

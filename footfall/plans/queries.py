@@ -19,6 +19,7 @@ from footfall.operators import (
     experiments, features, quality, recommend, reports, segments, temporal,
 )
 from footfall.plans import jobs
+from footfall.schema import DEVICES, FEATURE_COLUMNS, RADAR_METRICS
 from footfall.session import work_dir
 from footfall.sources import events as event_sources
 from footfall.sources import tables
@@ -56,17 +57,18 @@ def plain(result: DataFrame, digits: int = 6) -> DataFrame:
     return result.select(columns)
 
 
-def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.user_features(web_events(spark, sf_dir))
+def all_features(spark, sf_dir, columns=FEATURE_COLUMNS) -> DataFrame:
+    return features.user_features(web_events(spark, sf_dir), columns=columns)
 
 
 def day_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.user_features(filter_range(web_events(spark, sf_dir), DAY, DAY))
 
 
-def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profile(spark, sf_dir, columns=FEATURE_COLUMNS) -> DataFrame:
     """Features with the segment of the nearest fixed centroid."""
-    return segments.nearest_centroid(all_features(spark, sf_dir), CENTROID_COLUMNS, CENTROIDS)
+    users = all_features(spark, sf_dir, columns)
+    return segments.nearest_centroid(users, CENTROID_COLUMNS, CENTROIDS)
 
 
 def stored_profile_parts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -101,8 +103,8 @@ def over_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain(operator(web_events(spark, sf_dir)))
 
 
-def over_profile(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain(report(profile(spark, sf_dir)))
+def over_profile(report: Callable[[DataFrame], DataFrame], columns=FEATURE_COLUMNS) -> Query:
+    return lambda spark, sf_dir: plain(report(profile(spark, sf_dir, columns)))
 
 
 # Sources and sinks
@@ -149,7 +151,8 @@ def validate_events(spark, sf_dir):
 
 
 def sql_top_spenders(spark, sf_dir):
-    tables.register_views(spark, {"user_features": all_features(spark, sf_dir)})
+    spending = all_features(spark, sf_dir, ["total_purchases", "avg_purchase_amount"])
+    tables.register_views(spark, {"user_features": spending})
     return spark.sql(
         """
         SELECT user_id, total_purchases,
@@ -230,7 +233,7 @@ def stream_sessions(spark, sf_dir):
 
 def ab_test(spark, sf_dir):
     number = F.substring_index("user_id", "_", -1).cast("long")
-    users = all_features(spark, sf_dir).withColumn(
+    users = all_features(spark, sf_dir, ["total_purchases"]).withColumn(
         "variant", F.when(number % 2 == 0, "A").otherwise("B")
     )
     return plain(experiments.ab_test(users, converted=F.col("total_purchases") >= 14))
@@ -238,7 +241,9 @@ def ab_test(spark, sf_dir):
 
 def recommender(n: int, item: str) -> Query:
     def query(spark, sf_dir):
-        assigned = segments.segment_map(profile(spark, sf_dir))
+        folder = work_dir(spark, "segments")
+        tables.write_segments(profile(spark, sf_dir, CENTROID_COLUMNS), folder)
+        assigned = tables.read_segments(spark, folder)
         return recommend.recommend(web_events(spark, sf_dir), assigned, n, item)
 
     return query
@@ -254,9 +259,9 @@ QUERIES: dict[str, Query] = {
     "sql_top_spenders": sql_top_spenders,
     "filter_range_closed": filter_range_closed,
     "filter_range_daily": filter_range_daily,
-    "segment_map": over_profile(segments.segment_map),
+    "segment_map": over_profile(segments.segment_map, CENTROID_COLUMNS),
     "segment_filter": over_profile(lambda p: reports.filter_segments(p, CHOSEN_SEGMENTS)),
-    "segment_options": over_profile(reports.segment_options),
+    "segment_options": over_profile(reports.segment_options, CENTROID_COLUMNS),
     "features_join": over_events(features.features_join),
     "profile_join": profile_join,
     "user_totals": over_events(features.user_totals),
@@ -267,18 +272,16 @@ QUERIES: dict[str, Query] = {
     "user_features": lambda spark, sf_dir: plain(all_features(spark, sf_dir)),
     "user_features_day": lambda spark, sf_dir: plain(day_features(spark, sf_dir)),
     "daily_features": over_events(features.daily_features),
-    "segment_sizes": over_profile(reports.segment_sizes),
+    "segment_sizes": over_profile(reports.segment_sizes, CENTROID_COLUMNS),
     "segment_profile": over_profile(reports.segment_profile),
-    "segment_counts_desc": over_profile(reports.segment_counts_desc),
-    "segment_radar": over_profile(reports.segment_radar),
-    "segment_devices": over_profile(reports.segment_devices),
-    "kpis": over_profile(reports.kpis),
+    "segment_counts_desc": over_profile(reports.segment_counts_desc, CENTROID_COLUMNS),
+    "segment_radar": over_profile(reports.segment_radar, RADAR_METRICS),
+    "segment_devices": over_profile(reports.segment_devices, CENTROID_COLUMNS + DEVICES),
+    "kpis": over_profile(reports.kpis, CENTROID_COLUMNS + ["total_purchases"]),
     "kpis_day": lambda spark, sf_dir: plain(reports.kpis(day_features(spark, sf_dir), text=True)),
     "segment_details": over_profile(reports.segment_details),
     "feature_vector": feature_vector,
-    "segment_assign": over_profile(
-        lambda p: p.select("user_id", *CENTROID_COLUMNS, "segment")
-    ),
+    "segment_assign": over_profile(lambda assigned: assigned, CENTROID_COLUMNS),
     "kmeans_segments": kmeans_segments,
     "silhouette": silhouette,
     "cluster_centers": cluster_centers,
