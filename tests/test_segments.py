@@ -1,0 +1,123 @@
+from collections import Counter
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from footfall.operators import features, reports, segments
+from footfall.schema import FEATURE_COLUMNS
+
+K = 4
+
+
+@pytest.fixture(scope="module")
+def table(events):
+    return features.user_features(events).cache()
+
+
+@pytest.fixture(scope="module")
+def vectors(table):
+    return segments.prepare_features(table)
+
+
+@pytest.fixture(scope="module")
+def model(vectors):
+    return segments.train_kmeans(vectors, K, partitions=4)
+
+
+@pytest.fixture(scope="module")
+def predictions(model, vectors):
+    return segments.assign_segments(model, vectors).cache()
+
+
+def centre_table(spark, model):
+    rows = segments.cluster_centers(spark, model).collect()
+    return {s: [r.value for r in rows if r.segment == s] for s in sorted({r.segment for r in rows})}
+
+
+def test_every_user_has_one_segment(table, predictions):
+    assert predictions.count() == table.count() == predictions.select("user_id").distinct().count()
+    assert {r.segment for r in predictions.collect()} == set(range(K))
+    sizes = reports.segment_sizes(predictions).collect()
+    assert sum(r["count"] for r in sizes) == table.count()
+
+
+def test_users_are_nearest_their_own_centre(spark, model, predictions):
+    centres = centre_table(spark, model)
+    for row in predictions.select("segment", vector_to_array("features").alias("x")).collect():
+        distance = [sum((a - b) ** 2 for a, b in zip(row.x, centres[s])) for s in range(K)]
+        assert distance[row.segment] == pytest.approx(min(distance))
+
+
+def test_centres_are_means_of_their_members(spark, model, predictions):
+    if model.summary.numIter >= model.getMaxIter():
+        pytest.skip("not converged")
+    centres = centre_table(spark, model)
+    for row in reports.segment_profile(predictions).collect():
+        assert [row[c] for c in FEATURE_COLUMNS] == pytest.approx(centres[row.segment], abs=0.5)
+
+
+def test_segments_are_ordered_by_centre(spark, model):
+    centres = list(centre_table(spark, model).values())
+    assert centres == sorted(centres)
+
+
+def test_repeatable_in_any_input_layout(vectors, predictions):
+    again = segments.train_kmeans(vectors.repartition(7).orderBy(F.rand()), K, partitions=4)
+    other = segments.assign_segments(again, vectors)
+    assert segments.segment_map(other).exceptAll(segments.segment_map(predictions)).isEmpty()
+
+
+def test_silhouette_range_and_single_segment(predictions):
+    assert -1 <= segments.silhouette(predictions) <= 1
+    assert segments.silhouette(predictions.withColumn("segment", F.lit(0))) is None
+
+
+def test_fewer_distinct_points_than_clusters(table):
+    copies = segments.prepare_features(
+        table.limit(2).crossJoin(table.sparkSession.range(5)).withColumn(
+            "user_id", F.concat("user_id", F.lit("_"), "id")
+        ).drop("id")
+    ).cache()
+    model = segments.train_kmeans(copies, 5, partitions=2)
+    assert len(model.clusterCenters()) == 2
+    sizes = Counter(r.segment for r in segments.assign_segments(model, copies).collect())
+    assert sizes == {0: 5, 1: 5}
+
+
+def test_one_cluster_is_refused(vectors):
+    with pytest.raises(Exception):
+        segments.train_kmeans(vectors, 1)
+
+
+def test_scaling_divides_by_the_deviation(table):
+    scaled = segments.prepare_features(table, scale=True)
+    assert scaled.columns == [*table.columns, "features"]
+    spread = segments.feature_slots(scaled).agg(
+        *[F.stddev_samp(name).alias(name) for name in FEATURE_COLUMNS]
+    ).first()
+    assert list(spread) == pytest.approx([1.0] * len(FEATURE_COLUMNS))
+
+
+def test_lowest_index_wins_a_tie(spark):
+    users = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", None)], "user_id string, x double")
+    placed = segments.nearest_centroid(users, ["x"], [(2,), (0,), (2,), (4,)])
+    assert {r.user_id: r.segment for r in placed.collect()} == {"a": 0, "b": 0, "c": 1}
+
+
+def test_reports_on_chosen_segments(predictions):
+    assert reports.filter_segments(predictions).count() == predictions.count()
+    chosen = reports.filter_segments(predictions, [1, 2])
+    assert [r.segment for r in reports.segment_options(chosen).collect()] == [1, 2]
+    assert reports.segment_options(reports.filter_segments(predictions, [])).count() == 0
+
+
+def test_radar_is_scaled_per_metric_and_shares_add_up(predictions):
+    radar = reports.segment_radar(predictions).groupBy("metric").agg(
+        F.min("scaled").alias("low"), F.max("scaled").alias("high")
+    )
+    assert all((r.low, r.high) == (0.0, 1.0) for r in radar.collect())
+    shares = reports.segment_devices(predictions).groupBy("segment").agg(F.sum("share").alias("s"))
+    assert [r.s for r in shares.collect()] == pytest.approx([1.0] * K)
+    single = reports.segment_radar(reports.filter_segments(predictions, [0]))
+    assert {r.scaled for r in single.collect()} == {None}
