@@ -23,8 +23,11 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def events(spark):
-    return web_events(spark, SF_DIR).cache()
+def events(spark, tmp_path_factory):
+    """The web events as a stored table; cached frames would show up in other plans."""
+    path = str(tmp_path_factory.mktemp("events") / "table")
+    web_events(spark, SF_DIR).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @pytest.fixture(scope="session")
