@@ -110,8 +110,8 @@ def nearest_centroid(
     values = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in columns]
 
     def distance(centroid):
-        squares = [F.pow(value - F.lit(float(c)), 2) for value, c in zip(values, centroid)]
-        return sum(squares[1:], squares[0])
+        deltas = [value - F.lit(float(c)) for value, c in zip(values, centroid)]
+        return sum((d * d for d in deltas[1:]), deltas[0] * deltas[0])
 
     ranked = [
         F.struct(distance(centroid).alias("distance"), F.lit(index).alias("segment"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from footfall.plans.jobs import segment_report, segment_users, transform_events
 from footfall.session import build_session
-from footfall.sources.events import kafka_events, stream_events
+from footfall.sources.events import kafka_events, publish_events, read_events, stream_events
 from footfall.streaming.landing import land_events
+from footfall.streaming.live import stream_features
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -38,16 +41,25 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     report.add_argument("--segments", type=int, nargs="*", help="segments to keep, default all")
     report.add_argument("--run-date")
 
+    publish = commands.add_parser("publish", help="stored events to a Kafka topic")
+    publish.add_argument("--input-path", required=True)
+    publish.add_argument("--bootstrap-servers", required=True)
+    publish.add_argument("--topic", required=True)
+
     land = commands.add_parser("land", help="land an event stream as a partitioned table")
-    land.add_argument("--output-path", required=True)
-    land.add_argument("--checkpoint", required=True)
-    source = land.add_mutually_exclusive_group(required=True)
-    source.add_argument("--input-path", help="folder that receives JSON files")
-    source.add_argument("--bootstrap-servers")
-    land.add_argument("--topic")
-    land.add_argument("--interval", help="keep running, e.g. '1 minute'; default: land and stop")
+    live = commands.add_parser("live", help="daily features and sessions of an event stream")
+    for stream in (land, live):
+        stream.add_argument("--output-path", required=True)
+        stream.add_argument("--checkpoint", required=True)
+        source = stream.add_mutually_exclusive_group(required=True)
+        source.add_argument("--input-path", help="folder that receives JSON files")
+        source.add_argument("--bootstrap-servers")
+        stream.add_argument("--topic")
+        stream.add_argument("--interval", help="keep running, e.g. '1 minute'; default: stop at the end")
+    live.add_argument("--watermark", default="1 hour", help="how late an event may be")
+    live.add_argument("--gap-seconds", type=int, default=1800)
     args = parser.parse_args(argv)
-    if args.command == "land" and args.bootstrap_servers and not args.topic:
+    if args.command in ("land", "live") and args.bootstrap_servers and not args.topic:
         parser.error("--bootstrap-servers needs --topic")
     return args
 
@@ -76,13 +88,27 @@ def main(argv: list[str] | None = None) -> None:
         for name, table in tables.items():
             print(name)
             table.show()
+    elif args.command == "publish":
+        publish_events(read_events(spark, args.input_path), args.bootstrap_servers, args.topic)
     else:
-        if args.input_path:
-            events = stream_events(spark, args.input_path)
-        else:
-            events = kafka_events(spark, args.bootstrap_servers, args.topic)
-        trigger = {"processingTime": args.interval} if args.interval else None
-        land_events(events, args.output_path, args.checkpoint, trigger).awaitTermination()
+        run_streams(spark, args)
+
+
+def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.input_path:
+        events = stream_events(spark, args.input_path)
+    else:
+        events = kafka_events(spark, args.bootstrap_servers, args.topic)
+    trigger = {"processingTime": args.interval} if args.interval else None
+    if args.command == "land":
+        started = [land_events(events, args.output_path, args.checkpoint, trigger)]
+    else:
+        started = stream_features(
+            events, args.output_path, args.checkpoint, args.watermark, args.gap_seconds,
+            trigger=trigger,
+        )
+    for query in started:
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

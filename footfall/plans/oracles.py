@@ -103,10 +103,11 @@ FEATURE_ROW = "user_id, " + rounded(FEATURE_COLUMNS)
 
 
 def squared_distance(centroid) -> str:
-    return " + ".join(
-        f"pow(coalesce({name}, 0.0) - {float(c)}::DOUBLE, 2)"
+    deltas = [
+        f"(coalesce({name}, 0)::DOUBLE - {float(c)}::DOUBLE)"
         for name, c in zip(CENTROID_COLUMNS, centroid)
-    )
+    ]
+    return " + ".join(f"{delta} * {delta}" for delta in deltas)
 
 
 # Smallest (distance, index) pair: the lowest index wins a tie.
@@ -115,7 +116,7 @@ profile AS (
   SELECT *, list_min([{", ".join(
       f"{{'d': {squared_distance(c)}, 'i': {i}}}" for i, c in enumerate(CENTROIDS)
   )}]).i::INTEGER AS segment
-  FROM features
+  FROM (SELECT * REPLACE (round(avg_purchase_amount, 6) AS avg_purchase_amount) FROM features)
 )"""
 
 ALL_FEATURES = f"{WEB_EVENTS}, {features_where('true')}"

@@ -66,15 +66,21 @@ def day_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark, sf_dir, columns=FEATURE_COLUMNS) -> DataFrame:
-    """Features with the segment of the nearest fixed centroid."""
-    users = all_features(spark, sf_dir, columns)
+    """Features with the segment of the nearest fixed centroid.
+
+    Averages are rounded first: their last bits depend on the order of summation and
+    would decide between two centroids at the same distance.
+    """
+    users = all_features(spark, sf_dir, columns).withColumn(
+        "avg_purchase_amount", F.round("avg_purchase_amount", 6)
+    )
     return segments.nearest_centroid(users, CENTROID_COLUMNS, CENTROIDS)
 
 
 def stored_profile_parts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Write the feature and segment tables the way the batch programs do."""
     folder = work_dir(spark, "tables")
-    tables.write_features(all_features(spark, sf_dir), f"{folder}/features")
+    tables.write_features(profile(spark, sf_dir).drop("segment"), f"{folder}/features")
     stored = tables.read_features(spark, f"{folder}/features")
     assigned = segments.nearest_centroid(stored, CENTROID_COLUMNS, CENTROIDS)
     tables.write_segments(assigned, f"{folder}/segments")
@@ -194,7 +200,7 @@ def feature_vector(spark, sf_dir):
 
 def trained(spark, sf_dir):
     vectors = segments.prepare_features(all_features(spark, sf_dir))
-    return segments.train_kmeans(vectors, partitions=8), vectors
+    return segments.train_kmeans(vectors), vectors
 
 
 def kmeans_segments(spark, sf_dir):

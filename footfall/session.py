@@ -47,4 +47,4 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = _single_machine_root()
-    return f"{root.rstrip('/')}/footfall/{spark.conf.get('spark.app.id')}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/footfall/{spark.conf.get('spark.app.id', 'app')}/{name}-{uuid.uuid4().hex}"

@@ -76,3 +76,21 @@ def start_append(
         .trigger(**(trigger or {"availableNow": True}))
         .start(path)
     )
+
+
+def stream_features(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    watermark: str = "1 hour",
+    gap_seconds: int = 1800,
+    identity: Iterable[str] | None = EVENT_COLUMNS,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Start both streams: daily features below ``path/daily``, sessions below ``path/sessions``."""
+    daily = live_daily_features(events, watermark, identity)
+    sessions = live_sessions(events, gap_seconds, watermark, identity)
+    return (
+        start_append(daily, f"{path}/daily", f"{checkpoint}/daily", trigger),
+        start_append(sessions, f"{path}/sessions", f"{checkpoint}/sessions", trigger),
+    )

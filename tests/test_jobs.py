@@ -102,6 +102,13 @@ def test_kafka_needs_its_connector(spark, events):
         event_sources.kafka_events(spark, "localhost:9092", "events")
 
 
+def test_live_command_writes_closed_days_and_sessions(spark, raw, tmp_path):
+    cli.main(["live", "--input-path", raw, "--output-path", f"{tmp_path}/live",
+              "--checkpoint", f"{tmp_path}/checkpoint", "--gap-seconds", "14400"])
+    assert spark.read.parquet(f"{tmp_path}/live/daily").count() == 3873
+    assert spark.read.parquet(f"{tmp_path}/live/sessions").count() == 6883
+
+
 def test_land_arguments():
     with pytest.raises(SystemExit):
         cli.parse(["land", "--output-path", "o", "--checkpoint", "c", "--bootstrap-servers", "b"])
