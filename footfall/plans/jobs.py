@@ -59,8 +59,8 @@ def segment_users(
 ) -> SegmentReport:
     """Cluster the feature table, write the segment table and describe the segments.
 
-    The vectors are read once and held in executor storage for training and scoring; the
-    returned reports read the two written tables.
+    The vectors are read once and held in executor storage for training and scoring. The
+    returned reports read a summary of the two written tables, which is a few rows.
     """
     features = read_features(spark, features_path, run_date)
     vectors = segments.prepare_features(features, scale).select("user_id", "features")
@@ -72,12 +72,14 @@ def segment_users(
         score = segments.silhouette(predictions)
     finally:
         placed.unpersist()
-    profile = reports.profile_join(features, read_segments(spark, output_path, run_date))
+    summary = reports.segment_summary(
+        reports.profile_join(features, read_segments(spark, output_path, run_date))
+    ).persist()
     return SegmentReport(
         silhouette=score,
         centers=segments.cluster_centers(spark, model),
-        sizes=reports.segment_sizes(profile),
-        profile=reports.segment_profile(profile),
+        sizes=reports.segment_sizes(summary),
+        profile=reports.segment_profile(summary),
     )
 
 
@@ -88,18 +90,17 @@ def segment_report(
     segment_ids: Iterable[int] | None = None,
     run_date: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All dashboard results for the chosen segments, each a few rows."""
-    profile = reports.filter_segments(
-        reports.profile_join(
-            read_features(spark, features_path, run_date),
-            read_segments(spark, segments_path, run_date),
-        ),
-        segment_ids,
-    )
+    """All dashboard results for the chosen segments, each a few rows.
+
+    The two tables are joined and reduced once for all of them.
+    """
+    features = read_features(spark, features_path, run_date)
+    assigned = reports.filter_segments(read_segments(spark, segments_path, run_date), segment_ids)
+    summary = reports.segment_summary(reports.profile_join(features, assigned)).persist()
     return {
-        "kpis": reports.kpis(profile, text=True),
-        "segment_counts": reports.segment_counts_desc(profile),
-        "segment_radar": reports.segment_radar(profile),
-        "segment_devices": reports.segment_devices(profile),
-        "segment_details": reports.segment_details(profile),
+        "kpis": reports.kpis(summary, text=True),
+        "segment_counts": reports.segment_counts_desc(summary),
+        "segment_radar": reports.segment_radar(summary),
+        "segment_devices": reports.segment_devices(summary),
+        "segment_details": reports.segment_details(summary),
     }

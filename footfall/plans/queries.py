@@ -113,6 +113,10 @@ def over_profile(report: Callable[[DataFrame], DataFrame], columns=FEATURE_COLUM
     return lambda spark, sf_dir: plain(report(profile(spark, sf_dir, columns)))
 
 
+def over_summary(report: Callable[[DataFrame], DataFrame], columns=FEATURE_COLUMNS) -> Query:
+    return over_profile(lambda users: report(reports.segment_summary(users)), columns)
+
+
 # Sources and sinks
 
 
@@ -190,6 +194,11 @@ def profile_join(spark, sf_dir):
     )
 
 
+def kpis_day(spark, sf_dir):
+    users = day_features(spark, sf_dir).withColumn("segment", F.lit(0))
+    return plain(reports.kpis(reports.segment_summary(users), text=True))
+
+
 # Segments
 
 
@@ -199,7 +208,9 @@ def feature_vector(spark, sf_dir):
 
 
 def trained(spark, sf_dir):
-    vectors = segments.prepare_features(all_features(spark, sf_dir))
+    folder = work_dir(spark, "features")
+    tables.write_features(all_features(spark, sf_dir), folder)
+    vectors = segments.prepare_features(tables.read_features(spark, folder))
     return segments.train_kmeans(vectors), vectors
 
 
@@ -207,6 +218,26 @@ def kmeans_segments(spark, sf_dir):
     return segments.segment_map(segments.assign_segments(*trained(spark, sf_dir)))
 
 
+def kmeans_invariants(spark, sf_dir):
+    """Users, users with a segment, segments out of range, users nearer to another centre."""
+    model, vectors = trained(spark, sf_dir)
+    placed = segments.assign_segments(model, vectors)
+    centres = model.clusterCenters()
+    order = segments.centre_order(model)
+    nearest = segments.nearest_centroid(
+        placed.withColumnRenamed("segment", "assigned"),
+        FEATURE_COLUMNS,
+        [centres[cluster] for cluster in order],
+    )
+    in_range = F.col("assigned").between(0, len(centres) - 1)
+    return nearest.agg(
+        F.count("*").alias("users"),
+        F.count_distinct("user_id").alias("assigned_users"),
+        F.count_if(~in_range).alias("out_of_range"),
+        F.count_if(F.col("segment") != F.col("assigned")).alias("misplaced"),
+    )
+
+
 def cluster_centers(spark, sf_dir):
     return segments.cluster_centers(spark, trained(spark, sf_dir)[0])
 
@@ -278,17 +309,18 @@ QUERIES: dict[str, Query] = {
     "user_features": lambda spark, sf_dir: plain(all_features(spark, sf_dir)),
     "user_features_day": lambda spark, sf_dir: plain(day_features(spark, sf_dir)),
     "daily_features": over_events(features.daily_features),
-    "segment_sizes": over_profile(reports.segment_sizes, CENTROID_COLUMNS),
-    "segment_profile": over_profile(reports.segment_profile),
-    "segment_counts_desc": over_profile(reports.segment_counts_desc, CENTROID_COLUMNS),
-    "segment_radar": over_profile(reports.segment_radar, RADAR_METRICS),
-    "segment_devices": over_profile(reports.segment_devices, CENTROID_COLUMNS + DEVICES),
-    "kpis": over_profile(reports.kpis, CENTROID_COLUMNS + ["total_purchases"]),
-    "kpis_day": lambda spark, sf_dir: plain(reports.kpis(day_features(spark, sf_dir), text=True)),
-    "segment_details": over_profile(reports.segment_details),
+    "segment_sizes": over_summary(reports.segment_sizes, CENTROID_COLUMNS),
+    "segment_profile": over_summary(reports.segment_profile),
+    "segment_counts_desc": over_summary(reports.segment_counts_desc, CENTROID_COLUMNS),
+    "segment_radar": over_summary(reports.segment_radar, RADAR_METRICS),
+    "segment_devices": over_summary(reports.segment_devices, CENTROID_COLUMNS + DEVICES),
+    "kpis": over_summary(reports.kpis, CENTROID_COLUMNS + ["total_purchases"]),
+    "kpis_day": kpis_day,
+    "segment_details": over_summary(reports.segment_details),
     "feature_vector": feature_vector,
     "segment_assign": over_profile(lambda assigned: assigned, CENTROID_COLUMNS),
     "kmeans_segments": kmeans_segments,
+    "kmeans_invariants": kmeans_invariants,
     "silhouette": silhouette,
     "cluster_centers": cluster_centers,
     "time_of_day": over_events(temporal.time_of_day),

@@ -132,13 +132,16 @@ def test_empty_input(edge):
     table = features.user_features(none)
     assert table.columns == ["user_id", *FEATURE_COLUMNS]
     assert table.count() == 0
-    headline = reports.kpis(table.withColumn("segment", F.lit(0)), text=True).first()
-    assert tuple(headline) == (0, None, None, None, None)
+    summary = reports.segment_summary(table.withColumn("segment", F.lit(0)))
+    assert tuple(reports.kpis(summary, text=True).first()) == (0, None, None, None, None)
     assert temporal.behavior_profile(none).count() == 0
 
 
 def test_kpi_averages_cover_buyers_only(daily):
-    headline = reports.kpis(features.user_features(daily), text=True).first()
+    users = features.user_features(daily).withColumn("segment", F.col("total_events").cast("int"))
+    summary = reports.segment_summary(users)
+    assert reports.segment_sizes(summary).count() == 2
+    headline = reports.kpis(summary, text=True).first()
     assert tuple(headline) == (2, 10.5, 50.0, "$10.50", "50.0%")
 
 

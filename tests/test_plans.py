@@ -12,7 +12,7 @@ from footfall.schema import FEATURE_COLUMNS
 from footfall.adapter import web_events
 from tests.conftest import SF_DIR
 
-TRAINED = {"kmeans_segments", "cluster_centers", "silhouette"}
+TRAINED = {"kmeans_segments", "kmeans_invariants", "cluster_centers", "silhouette"}
 
 
 def plan_of(frame):

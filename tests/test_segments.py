@@ -30,15 +30,20 @@ def predictions(model, vectors):
     return segments.assign_segments(model, vectors).cache()
 
 
+@pytest.fixture(scope="module")
+def summary(predictions):
+    return reports.segment_summary(predictions)
+
+
 def centre_table(spark, model):
     rows = segments.cluster_centers(spark, model).collect()
     return {s: [r.value for r in rows if r.segment == s] for s in sorted({r.segment for r in rows})}
 
 
-def test_every_user_has_one_segment(table, predictions):
+def test_every_user_has_one_segment(table, predictions, summary):
     assert predictions.count() == table.count() == predictions.select("user_id").distinct().count()
     assert {r.segment for r in predictions.collect()} == set(range(K))
-    sizes = reports.segment_sizes(predictions).collect()
+    sizes = reports.segment_sizes(summary).collect()
     assert sum(r["count"] for r in sizes) == table.count()
 
 
@@ -49,11 +54,11 @@ def test_users_are_nearest_their_own_centre(spark, model, predictions):
         assert distance[row.segment] == pytest.approx(min(distance))
 
 
-def test_centres_are_means_of_their_members(spark, model, predictions):
+def test_centres_are_means_of_their_members(spark, model, summary):
     if model.summary.numIter >= model.getMaxIter():
         pytest.skip("not converged")
     centres = centre_table(spark, model)
-    for row in reports.segment_profile(predictions).collect():
+    for row in reports.segment_profile(summary).collect():
         assert [row[c] for c in FEATURE_COLUMNS] == pytest.approx(centres[row.segment], abs=0.5)
 
 
@@ -105,19 +110,22 @@ def test_lowest_index_wins_a_tie(spark):
     assert {r.user_id: r.segment for r in placed.collect()} == {"a": 0, "b": 0, "c": 1}
 
 
-def test_reports_on_chosen_segments(predictions):
+def test_reports_on_chosen_segments(predictions, summary):
     assert reports.filter_segments(predictions).count() == predictions.count()
     chosen = reports.filter_segments(predictions, [1, 2])
     assert [r.segment for r in reports.segment_options(chosen).collect()] == [1, 2]
     assert reports.segment_options(reports.filter_segments(predictions, [])).count() == 0
+    of_some = reports.kpis(reports.filter_segments(summary, [1, 2])).first()
+    assert of_some == reports.kpis(reports.segment_summary(chosen)).first()
+    assert of_some.total_users == chosen.count()
 
 
-def test_radar_is_scaled_per_metric_and_shares_add_up(predictions):
-    radar = reports.segment_radar(predictions).groupBy("metric").agg(
+def test_radar_is_scaled_per_metric_and_shares_add_up(summary):
+    radar = reports.segment_radar(summary).groupBy("metric").agg(
         F.min("scaled").alias("low"), F.max("scaled").alias("high")
     )
     assert all((r.low, r.high) == (0.0, 1.0) for r in radar.collect())
-    shares = reports.segment_devices(predictions).groupBy("segment").agg(F.sum("share").alias("s"))
+    shares = reports.segment_devices(summary).groupBy("segment").agg(F.sum("share").alias("s"))
     assert [r.s for r in shares.collect()] == pytest.approx([1.0] * K)
-    single = reports.segment_radar(reports.filter_segments(predictions, [0]))
+    single = reports.segment_radar(reports.filter_segments(summary, [0]))
     assert {r.scaled for r in single.collect()} == {None}
