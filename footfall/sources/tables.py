@@ -46,6 +46,21 @@ def _read(spark: SparkSession, path: str, run_date: str | None) -> DataFrame:
     return table.filter(F.col("run_date") == F.lit(run_date).cast("date")).drop("run_date")
 
 
+def save_bucketed(users: DataFrame, name: str, path: str, buckets: int) -> None:
+    """Store a per-user table as catalog table ``name``, bucketed and sorted by user.
+
+    Feature and segment tables with the same number of buckets join without a shuffle.
+    """
+    (
+        users.repartition(buckets, "user_id")
+        .write.mode("overwrite")
+        .bucketBy(buckets, "user_id")
+        .sortBy("user_id")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+
+
 def read_landed(spark: SparkSession, path: str, verdict: str | None = "valid") -> DataFrame:
     """Landed events with one verdict, ``valid`` or ``rejected``; None reads both."""
     landed = spark.read.schema(LANDED_DDL).parquet(path)

@@ -5,11 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from footfall.adapter import web_events
 from footfall.functions.time_range import filter_range
-from footfall.operators import features, recommend, segments, temporal
+from footfall.operators import features, recommend, reports, segments, temporal
 from footfall.plans.queries import CENTROID_COLUMNS, profile
 from footfall.schema import FEATURE_COLUMNS
-from footfall.adapter import web_events
+from footfall.sources.tables import save_bucketed
 from tests.conftest import SF_DIR
 
 TRAINED = {"kmeans_segments", "kmeans_invariants", "cluster_centers", "silhouette"}
@@ -65,6 +66,23 @@ def test_recommendations_rank_before_the_shuffle(spark, scanned):
     assert "Partial" in plan and "WindowGroupLimit" in plan
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    users = profile(spark, SF_DIR)
+    save_bucketed(users.drop("segment"), "bucketed_features", f"{tmp_path}/features", 4)
+    save_bucketed(users.select("user_id", "segment"), "bucketed_segments", f"{tmp_path}/segments", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = reports.profile_join(spark.table("bucketed_features"), spark.table("bucketed_segments"))
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 150
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE bucketed_features")
+        spark.sql("DROP TABLE bucketed_segments")
+
+
 def test_joined_features_share_their_partitioning(scanned):
     # both sides end hashed by user, so that the join adds no shuffle
     plan = plan_of(features.features_join(scanned))
