@@ -24,6 +24,19 @@ def canonical(columns, rows):
     return [columns[i] for i in order], sorted(picked, key=repr)
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+}
+
+
+def spark_types(result):
+    return {name: SQL_TYPES[kind] for name, kind in result.dtypes}
+
+
+def duckdb_types(con, sql):
+    return {name: kind for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def spark_rows(result):
     return canonical(result.columns, [tuple(row) for row in result.collect()])
 

@@ -1,9 +1,9 @@
-"""Every query with an oracle gives exactly DuckDB's rows, and its value types."""
+"""Every query with an oracle gives exactly DuckDB's rows and column types."""
 
 import pytest
 
 import __spark_entry__ as driver
-from tests.compare import connect, duckdb_rows, spark_rows
+from tests.compare import connect, duckdb_rows, duckdb_types, spark_rows, spark_types
 from tests.conftest import SF_DIR
 
 ROWS_ONLY = {"kmeans_segments", "cluster_centers"}
@@ -21,13 +21,14 @@ def test_only_trained_models_lack_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_matches_oracle(spark, con, name):
-    columns, rows = spark_rows(driver.queries()[name](spark, SF_DIR))
+    result = driver.queries()[name](spark, SF_DIR)
+    columns, rows = spark_rows(result)
     assert len(set(columns)) == len(columns)
     assert rows
     expected_columns, expected = duckdb_rows(con, driver.oracle_sql()[name])
     assert columns == expected_columns
     assert rows == expected
-    assert [type(v) for v in rows[0]] == [type(v) for v in expected[0]]
+    assert spark_types(result) == duckdb_types(con, driver.oracle_sql()[name])
 
 
 @pytest.mark.parametrize("name", ["segment_options", "segment_sizes", "segment_counts_desc"])
