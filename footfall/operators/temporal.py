@@ -83,12 +83,13 @@ def sessionize(events: DataFrame, gap_seconds: int) -> DataFrame:
         )
     )
     in_order = Window.partitionBy("user_id").orderBy("slot")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pause = F.unix_micros("first_at") - F.unix_micros(F.lag("last_at").over(in_order))
     starts = F.when(pause <= gap, 0).otherwise(1)
     first, last = F.min("first_at"), F.max("last_at")
     return (
         slots.withColumn("starts", starts)
-        .withColumn("session_number", F.sum("starts").over(in_order))
+        .withColumn("session_number", F.sum("starts").over(so_far))
         .groupBy("user_id", "session_number")
         .agg(
             first.alias("session_start"),

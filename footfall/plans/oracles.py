@@ -286,6 +286,21 @@ WHERE NOT EXISTS (
 )""")
 
 
+def headline(users: str) -> str:
+    """KPIs with their display text."""
+    return f""",
+headline AS (
+  SELECT count(*) AS total_users, avg(avg_purchase_amount) AS avg_purchase_value,
+    avg(CASE WHEN total_purchases > 0 THEN 1.0::DOUBLE ELSE 0.0 END) * 100 AS conversion_rate
+  FROM {users}
+)
+SELECT total_users, round(avg_purchase_value, 6) AS avg_purchase_value,
+  round(conversion_rate, 6) AS conversion_rate,
+  printf('$%.2f', avg_purchase_value) AS avg_purchase_value_text,
+  printf('%.1f%%', conversion_rate) AS conversion_rate_text
+FROM headline"""
+
+
 def share(name: str, condition: str) -> str:
     return f"round(avg(CASE WHEN {condition} THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS {name}"
 
@@ -418,17 +433,10 @@ FROM long"""),
         FROM profile"""
     ),
     "kpis_day": (
-        f"""WITH {WEB_EVENTS}, {features_where(whole_days(DAY, DAY))},
-        headline AS (
-          SELECT count(*) AS total_users, avg(avg_purchase_amount) AS avg_purchase_value,
-            avg(CASE WHEN total_purchases > 0 THEN 1.0::DOUBLE ELSE 0.0 END) * 100 AS conversion_rate
-          FROM features
-        )
-        SELECT total_users, round(avg_purchase_value, 6) AS avg_purchase_value,
-          round(conversion_rate, 6) AS conversion_rate,
-          printf('$%.2f', avg_purchase_value) AS avg_purchase_value_text,
-          printf('%.1f%%', conversion_rate) AS conversion_rate_text
-        FROM headline"""
+        f"WITH {WEB_EVENTS}, {features_where(whole_days(DAY, DAY))} {headline('features')}"
+    ),
+    "report_job": with_profile(
+        headline(f"(FROM profile WHERE segment IN ({', '.join(map(str, CHOSEN_SEGMENTS))}))")
     ),
     "segment_details": with_profile(
         "SELECT segment, "

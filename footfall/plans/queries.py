@@ -199,6 +199,11 @@ def kpis_day(spark, sf_dir):
     return plain(reports.kpis(reports.segment_summary(users), text=True))
 
 
+def report_job(spark, sf_dir):
+    paths = stored_profile_parts(spark, sf_dir)
+    return plain(jobs.segment_report(spark, *paths, CHOSEN_SEGMENTS)["kpis"])
+
+
 # Segments
 
 
@@ -316,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "segment_devices": over_summary(reports.segment_devices, CENTROID_COLUMNS + DEVICES),
     "kpis": over_summary(reports.kpis, CENTROID_COLUMNS + ["total_purchases"]),
     "kpis_day": kpis_day,
+    "report_job": report_job,
     "segment_details": over_summary(reports.segment_details),
     "feature_vector": feature_vector,
     "segment_assign": over_profile(lambda assigned: assigned, CENTROID_COLUMNS),

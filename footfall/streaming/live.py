@@ -50,7 +50,12 @@ def live_sessions(
     watermark: str = "1 hour",
     identity: Iterable[str] | None = EVENT_COLUMNS,
 ) -> DataFrame:
-    """Sessions by inactivity gap, emitted once the watermark passes their end plus the gap."""
+    """Sessions by inactivity gap, emitted once the watermark passes their end plus the gap.
+
+    ``build_session`` turns on merging of sessions before the shuffle, so that a busy user
+    arrives as a few open sessions per task. Sessions built elsewhere should set
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` as well.
+    """
     first, last = F.min("timestamp"), F.max("timestamp")
     return (
         fresh_events(events, watermark, identity)

@@ -105,7 +105,9 @@ def test_failure_and_null_rates(make_events):
         "user_id": "u", "session_id": "s", "timestamp": "2025-04-01T00:00:00",
         "event_type": "pageview", "page": "/home", "device_type": "tablet",
     }
-    rows = make_events([good, good, {**good, "device_type": None}, {**good, "event_type": "search", "device_type": "tv"}])
+    no_device = {**good, "device_type": None}
+    bad_search = {**good, "event_type": "search", "device_type": "tv"}
+    rows = make_events([good, good, no_device, bad_search])
     rates = quality.dq_failure_rates(rows).first()
     assert (rates.events, rates.rejected_rate) == (4, 0.5)
     assert (rates.device_unknown_rate, rates.search_without_query_rate) == (0.5, 0.25)

@@ -29,7 +29,7 @@ def scanned(spark):
 def test_no_cross_join_no_python_rows(spark, name):
     plan = plan_of(driver.queries()[name](spark, SF_DIR))
     assert not re.search("CartesianProduct|NestedLoopJoin|Python|MapInPandas", plan)
-    assert "SinglePartition" not in plan or name in {"kpis", "kpis_day", "ab_test"}
+    assert "SinglePartition" not in plan or name in {"kpis", "kpis_day", "report_job", "ab_test"}
 
 
 def test_flagship_scans_once_and_joins_nothing(scanned):

@@ -80,9 +80,9 @@ def test_silhouette_range_and_single_segment(predictions):
 
 def test_fewer_distinct_points_than_clusters(table):
     copies = segments.prepare_features(
-        table.limit(2).crossJoin(table.sparkSession.range(5)).withColumn(
-            "user_id", F.concat("user_id", F.lit("_"), "id")
-        ).drop("id")
+        table.limit(2).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn(
+            "user_id", F.concat("user_id", F.lit("_"), "copy")
+        ).drop("copy")
     ).cache()
     model = segments.train_kmeans(copies, 5, partitions=2)
     assert len(model.clusterCenters()) == 2
