@@ -40,6 +40,13 @@ def transform_events(
     write_features(build(filter_range(events, start, end, closed)), output_path, run_date)
 
 
+def single_run(table: DataFrame) -> DataFrame:
+    """Refuse a table of several runs, which holds a user once per run."""
+    if "run_date" in table.columns:
+        raise ValueError("the table is partitioned by run_date: choose one run")
+    return table
+
+
 class SegmentReport(NamedTuple):
     silhouette: float | None
     centers: DataFrame
@@ -62,7 +69,7 @@ def segment_users(
     The vectors are read once and held in executor storage for training and scoring. The
     returned reports read a summary of the two written tables, which is a few rows.
     """
-    features = read_features(spark, features_path, run_date)
+    features = single_run(read_features(spark, features_path, run_date))
     vectors = segments.prepare_features(features, scale).select("user_id", "features")
     placed = segments.fixed_layout(vectors, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -94,9 +101,10 @@ def segment_report(
 
     The two tables are joined and reduced once for all of them.
     """
-    features = read_features(spark, features_path, run_date)
-    assigned = reports.filter_segments(read_segments(spark, segments_path, run_date), segment_ids)
-    summary = reports.segment_summary(reports.profile_join(features, assigned)).persist()
+    features = single_run(read_features(spark, features_path, run_date))
+    placed = single_run(read_segments(spark, segments_path, run_date))
+    chosen = reports.filter_segments(placed, segment_ids)
+    summary = reports.segment_summary(reports.profile_join(features, chosen)).persist()
     return {
         "kpis": reports.kpis(summary, text=True),
         "segment_counts": reports.segment_counts_desc(summary),

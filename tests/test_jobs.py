@@ -74,6 +74,21 @@ def test_runs_replace_their_own_date_only(spark, events, tmp_path):
     assert tables.read_features(spark, path).count() == 2
 
 
+def test_programs_over_one_of_several_runs(spark, raw, tmp_path):
+    table, placed = f"{tmp_path}/features", f"{tmp_path}/segments"
+    for day in ("2024-01-10", "2024-01-11"):
+        jobs.transform_events(spark, raw, table, day, day, run_date=day)
+    with pytest.raises(ValueError, match="run_date"):
+        jobs.segment_users(spark, table, placed, 3)
+    result = jobs.segment_users(spark, table, placed, 3, partitions=4, scale=True, run_date=DAY)
+    assert sum(r["count"] for r in result.sizes.collect()) == 133
+    assert result.profile.columns == ["segment", *FEATURE_COLUMNS]
+    with pytest.raises(ValueError, match="run_date"):
+        jobs.segment_report(spark, table, placed)
+    report = jobs.segment_report(spark, table, placed, run_date=DAY)
+    assert report["kpis"].first().total_users == 133
+
+
 def test_segment_tables_keep_two_columns(spark, events, tmp_path):
     path = f"{tmp_path}/segments"
     table = features.user_features(events).withColumn("segment", F.lit(1))
