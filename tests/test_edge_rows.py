@@ -3,6 +3,8 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from footfall.functions.rules import mark_failed_rules, validate_events
@@ -118,6 +120,39 @@ def test_two_levels_equal_one_aggregate(spark):
     assert some.exceptAll(expected.select(*some.columns)).isEmpty()
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.fixed_dictionaries({
+            "user_id": st.sampled_from([None, "a", "a", "b"]),
+            "session_id": st.sampled_from([None, "s", "t"]),
+            "page": st.sampled_from([None, "/home", "/cart", "s"]),
+            "event_type": st.sampled_from([None, "purchase", "add_to_cart", "hover"]),
+            "device_type": st.sampled_from([None, "desktop", "tv"]),
+            "search_query": st.sampled_from([None, "", "x"]),
+            "total_amount": st.sampled_from([None, 0.5, 2.0, -1.0]),
+        }),
+        max_size=25,
+    )
+)
+def test_features_match_brute_force(make_events, rows):
+    expected = {}
+    for user in {r["user_id"] for r in rows} - {None}:
+        mine = [r for r in rows if r["user_id"] == user]
+        present = lambda name: [r[name] for r in mine if r[name] is not None]
+        amounts = present("total_amount")
+        expected[user] = (
+            len(mine), len(present("search_query")),
+            present("event_type").count("add_to_cart"), present("event_type").count("purchase"),
+            sum(amounts) / len(amounts) if amounts else None,
+            len(set(present("session_id"))), len(set(present("page"))),
+            *[present("device_type").count(device) for device in DEVICES],
+        )
+    found = features.user_features(make_events(rows)).collect()
+    assert {r.user_id: tuple(r)[1:] for r in found} == expected
+    assert len(found) == len(expected)
+
+
 def test_vectors_fill_missing_averages_only_in_the_vector(daily):
     table = features.user_features(daily)
     vectors = segments.prepare_features(table)

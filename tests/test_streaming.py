@@ -158,3 +158,21 @@ def test_landed_days_prune_and_agree_with_the_source(spark, events, tmp_path):
     assert same(day.drop("event_date"), filter_range(read_events(spark, f"{tmp_path}/in"), "2024-01-10", "2024-01-10"))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Etc/GMT+12", "America/New_York"])
+def test_landed_days_are_complete_in_any_time_zone(spark, events, tmp_path, zone):
+    """Folders are UTC days while a range is in session time: none may be pruned too early."""
+    write_json_events(events, f"{tmp_path}/in")
+    land_events(
+        stream_events(spark, f"{tmp_path}/in"), f"{tmp_path}/landed", f"{tmp_path}/checkpoint"
+    ).awaitTermination()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        landed = read_landed(spark, f"{tmp_path}/landed", verdict=None)
+        for closed in ("day", "both"):
+            pruned = filter_range(landed, "2024-01-10", "2024-01-12", closed)
+            whole = filter_range(landed.drop("event_date"), "2024-01-10", "2024-01-12", closed)
+            assert pruned.count() == whole.count() > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
