@@ -61,7 +61,7 @@ def dq_zscore(events: DataFrame, days: int = 7) -> DataFrame:
 
 
 def share(condition: Column) -> Column:
-    return F.avg(condition.cast("double"))
+    return F.count_if(condition) / F.count("*")
 
 
 def dq_failure_rates(events: DataFrame) -> DataFrame:

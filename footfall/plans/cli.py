@@ -56,6 +56,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         source.add_argument("--bootstrap-servers")
         stream.add_argument("--topic")
         stream.add_argument("--interval", help="keep running, e.g. '1 minute'; default: stop at the end")
+    land.add_argument("--files-per-day", type=int, help="shuffle to this many files per batch")
     live.add_argument("--watermark", default="1 hour", help="how late an event may be")
     live.add_argument("--gap-seconds", type=int, default=1800)
     args = parser.parse_args(argv)
@@ -101,7 +102,9 @@ def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
         events = kafka_events(spark, args.bootstrap_servers, args.topic)
     trigger = {"processingTime": args.interval} if args.interval else None
     if args.command == "land":
-        started = [land_events(events, args.output_path, args.checkpoint, trigger)]
+        started = [
+            land_events(events, args.output_path, args.checkpoint, trigger, args.files_per_day)
+        ]
     else:
         started = stream_features(
             events, args.output_path, args.checkpoint, args.watermark, args.gap_seconds,

@@ -349,6 +349,10 @@ ORACLES: dict[str, str] = {
     "transform_job": (
         f"WITH {WEB_EVENTS}, {features_where(whole_days(*RANGE))} SELECT {FEATURE_ROW} FROM features"
     ),
+    "transform_landed_job": (
+        f"WITH {WEB_EVENTS}, {features_where(f'{whole_days(*RANGE)} AND NOT ({ANY_FAILED})')} "
+        f"SELECT {FEATURE_ROW} FROM features"
+    ),
     "land_events": with_events(
         f"""SELECT {RAW}, {FAILED} AS failed_rules,
           CASE WHEN {ANY_FAILED} THEN 'rejected' ELSE 'valid' END AS verdict,

@@ -141,11 +141,21 @@ def transform_job(spark, sf_dir):
     return plain(tables.read_features(spark, folder))
 
 
-def land_events(spark, sf_dir):
+def landed_path(spark, sf_dir) -> str:
     folder = work_dir(spark, "landing")
     stream = event_sources.stream_events(spark, stored_json(spark, sf_dir))
     landing.land_events(stream, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
-    landed = tables.read_landed(spark, f"{folder}/events", verdict=None)
+    return f"{folder}/events"
+
+
+def transform_landed_job(spark, sf_dir):
+    folder = work_dir(spark, "transform")
+    jobs.transform_events(spark, landed_path(spark, sf_dir), folder, *RANGE, landed=True)
+    return plain(tables.read_features(spark, folder))
+
+
+def land_events(spark, sf_dir):
+    landed = tables.read_landed(spark, landed_path(spark, sf_dir), verdict=None)
     return plain(
         landed.withColumn("failed_rules", F.array_join("failed_rules", ",")).drop("_corrupt_record")
     )
@@ -297,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_features": roundtrip_features,
     "transform_job": transform_job,
     "land_events": land_events,
+    "transform_landed_job": transform_landed_job,
     "validate_events": validate_events,
     "sql_top_spenders": sql_top_spenders,
     "filter_range_closed": filter_range_closed,

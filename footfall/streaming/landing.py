@@ -20,17 +20,33 @@ def with_landing_columns(events: DataFrame) -> DataFrame:
     return mark_failed_rules(events).withColumns({"verdict": verdict, EVENT_DATE: utc_day})
 
 
-def land_events(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def land_events(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    files_per_day: int | None = None,
+) -> StreamingQuery:
     """Write the stream below ``verdict=.../event_date=...``, each event exactly once.
 
     Valid and rejected events go to the same table in one pass, so a bad line is kept
     with its reasons and is skipped by partition pruning when events are read. The
     default trigger lands what is there and stops; pass ``{"processingTime": ...}`` to
     keep running.
+
+    Each task writes a file per verdict and day it meets. ``files_per_day`` shuffles once
+    to write at most that many per batch instead; whole input tasks share a file, so
+    that the files are even whatever the events hold.
     """
+    rows = with_landing_columns(events)
+    if files_per_day:
+        rows = (
+            rows.withColumn("file", F.spark_partition_id() % files_per_day)
+            .repartition("verdict", EVENT_DATE, "file")
+            .drop("file")
+        )
     return (
-        with_landing_columns(events)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .partitionBy("verdict", EVENT_DATE)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -160,6 +160,31 @@ def test_landed_days_prune_and_agree_with_the_source(spark, events, tmp_path):
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_files_per_day_bounds_the_files_of_a_batch(spark, events, tmp_path):
+    write_json_events(events.repartition(6), f"{tmp_path}/in")
+    landed = {}
+    # adaptive execution would merge partitions this small into one file
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for files in (None, 2):
+            out = f"{tmp_path}/{files}"
+            land_events(
+                stream_events(spark, f"{tmp_path}/in"), f"{out}/landed", f"{out}/checkpoint",
+                files_per_day=files,
+            ).awaitTermination()
+            landed[files] = read_landed(spark, f"{out}/landed")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert same(landed[None], landed[2])
+
+    def most_files(table):
+        names = table.groupBy("event_date", F.input_file_name().alias("file")).count()
+        return names.groupBy("event_date").count().agg(F.max("count")).first()[0]
+
+    assert most_files(landed[None]) == 6
+    assert most_files(landed[2]) == 2
+
+
 @pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Etc/GMT+12", "America/New_York"])
 def test_landed_days_are_complete_in_any_time_zone(spark, events, tmp_path, zone):
     """Folders are UTC days while a range is in session time: none may be pruned too early."""
