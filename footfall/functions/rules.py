@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from footfall.schema import CORRUPT_COLUMN, DEVICES, EVENT_TYPES, QUANTITY_RANGE
 
 
-def event_rules() -> dict[str, Column]:
-    """Rule name -> condition that is true when an event breaks the rule."""
+def event_rules(events: DataFrame) -> dict[str, Column]:
+    """Rule name -> condition that is true when an event breaks the rule.
+
+    Lines the JSON scan could not parse break ``unparseable`` where the scan kept them.
+    """
     is_type = lambda name: F.col("event_type").eqNullSafe(name)
     fails = lambda condition: ~F.coalesce(condition, F.lit(False))
-    return {
+    rules = {
         "user_missing": F.col("user_id").isNull(),
         "session_missing": F.col("session_id").isNull(),
         "timestamp_missing": F.col("timestamp").isNull(),
@@ -25,18 +28,14 @@ def event_rules() -> dict[str, Column]:
         "purchase_without_order": is_type("purchase") & F.col("order_id").isNull(),
         "purchase_amount_not_positive": is_type("purchase") & fails(F.col("total_amount") > 0),
     }
+    if CORRUPT_COLUMN in events.columns:
+        rules["unparseable"] = F.col(CORRUPT_COLUMN).isNotNull()
+    return rules
 
 
 def mark_failed_rules(events: DataFrame) -> DataFrame:
-    """Add ``failed_rules``, the names of the rules an event breaks; empty means valid.
-
-    Lines the JSON scan could not parse fail the rule ``unparseable`` as well when the
-    scan kept them.
-    """
-    rules = event_rules()
-    if CORRUPT_COLUMN in events.columns:
-        rules["unparseable"] = F.col(CORRUPT_COLUMN).isNotNull()
-    names = [F.when(broken, F.lit(name)) for name, broken in rules.items()]
+    """Add ``failed_rules``, the names of the rules an event breaks; empty means valid."""
+    names = [F.when(broken, F.lit(name)) for name, broken in event_rules(events).items()]
     return events.withColumn("failed_rules", F.array_compact(F.array(*names)))
 
 

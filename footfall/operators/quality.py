@@ -66,7 +66,7 @@ def share(condition: Column) -> Column:
 
 def dq_failure_rates(events: DataFrame) -> DataFrame:
     """Events per day, share of rejected events, and share of events failing each rule."""
-    rules = event_rules()
+    rules = event_rules(events)
     return events.groupBy(F.to_date("timestamp").alias("day")).agg(
         F.count("*").alias("events"),
         share(reduce(or_, rules.values())).alias("rejected_rate"),

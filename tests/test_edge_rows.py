@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.rules import mark_failed_rules, validate_events
 from footfall.functions.time_range import filter_range
-from footfall.operators import features, reports, segments, temporal
+from footfall.operators import features, quality, reports, segments, temporal
 from footfall.schema import DEVICES, EVENT_COLUMNS, FEATURE_COLUMNS
 from footfall.sources.events import decode_events, encode_events, read_events, write_json_events
 
@@ -225,6 +225,13 @@ def test_unparseable_lines_are_rejected(spark, path):
     assert sum("unparseable" in names for names in reasons) == 2
 
 
+def test_failure_rates_cover_unparseable_lines(spark, path):
+    rates = quality.dq_failure_rates(read_events(spark, path, keep_corrupt=True).cache())
+    without_day = rates.filter("day IS NULL").first()
+    assert (without_day.events, without_day.unparseable_rate) == (2, 1.0)
+    assert rates.filter("day = DATE '2025-04-01'").first().rejected_rate == 0.5
+
+
 def test_json_round_trip_keeps_nulls_and_microseconds(spark, edge, tmp_path):
     write_json_events(edge, str(tmp_path / "json"))
     again = read_events(spark, str(tmp_path / "json"))
