@@ -37,7 +37,6 @@ CHOSEN_SEGMENTS = [1, 3]
 CENTROID_COLUMNS = ["total_events", "avg_purchase_amount"]
 CENTROIDS = [(52, 40), (60, 60), (66, 45), (72, 55), (80, 48)]
 
-
 # Quotients of exact integers: every engine computes the same double, so none is rounded.
 EXACT = {"duration_s", "mean_duration_s", "max_duration_s", "events_per_active_day", "mean_gap_s"}
 

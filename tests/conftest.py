@@ -15,6 +15,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.sql.shuffle.partitions": "8",
+            # plan tests read whole scan descriptions
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -10,7 +10,8 @@ from footfall.functions.time_range import filter_range
 from footfall.operators import features, recommend, reports, segments, temporal
 from footfall.plans.queries import CENTROID_COLUMNS, profile
 from footfall.schema import FEATURE_COLUMNS
-from footfall.sources.tables import save_bucketed
+from footfall.sources.tables import read_landed, save_bucketed
+from footfall.streaming.landing import with_landing_columns
 from tests.conftest import SF_DIR
 
 TRAINED = {"kmeans_segments", "kmeans_invariants", "cluster_centers", "silhouette"}
@@ -55,6 +56,19 @@ def test_filters_and_columns_reach_the_scan(scanned):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp,user_id:bigint>" in scan
 
 
+def test_a_day_of_landed_events_reads_its_folders_and_columns(spark, scanned, tmp_path):
+    landed = f"{tmp_path}/landed"
+    with_landing_columns(scanned.drop("event_id")).write.partitionBy("verdict", "event_date").parquet(landed)
+    day = filter_range(read_landed(spark, landed), "2024-01-10", "2024-01-10")
+    plan = plan_of(temporal.behavior_profile(day))
+    scan = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scan) == 1 and "Join" not in plan
+    folders = scan[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert "verdict" in folders and "event_date" in folders
+    assert "GreaterThanOrEqual(timestamp" in scan[0] and "IsNotNull(user_id)" in scan[0]
+    assert "user_agent" not in scan[0] and "location" not in scan[0]
+
+
 def test_plain_features_need_one_shuffle(scanned):
     plan = plan_of(features.user_totals(scanned))
     assert plan.count("Exchange") == 1
