@@ -1,0 +1,30 @@
+"""Every query of the subpackage with an oracle gives exactly DuckDB's rows and column types."""
+
+import pytest
+
+import __spark_entry__ as driver
+from footfall.llm.registry import QUERIES
+from tests.compare import connect, duckdb_rows, duckdb_types, spark_rows, spark_types
+from tests.conftest import SF_DIR
+
+NAMES = sorted(name for name in driver.oracle_sql() if name in {*QUERIES, "pipeline"})
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+def test_all_queries_are_registered():
+    assert {*QUERIES, "pipeline"} <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_matches_oracle(spark, con, name):
+    result = driver.queries()[name](spark, SF_DIR)
+    columns, rows = spark_rows(result)
+    expected_columns, expected = duckdb_rows(con, driver.oracle_sql()[name])
+    assert columns == expected_columns
+    assert rows
+    assert rows == expected
+    assert spark_types(result) == duckdb_types(con, driver.oracle_sql()[name])
