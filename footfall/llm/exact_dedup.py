@@ -102,45 +102,61 @@ def build_entries(chains: DataFrame, levels: list[tuple[int, DataFrame]]) -> Dat
     )
 
 
-def exact_dedup(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 100_000
-) -> tuple[DataFrame, list[str]]:
-    """The rows of ``docs`` with four columns more, and the names of those columns.
+def matched(docs: DataFrame, doc_id: str, text: str, capacity: int) -> tuple[DataFrame, dict[str, str]]:
+    """Each row of ``docs`` with the entry of its class; the columns' names by their meaning.
 
-    keep_id, group_size, kept, text_sha256; a name that ``docs`` has already gets underscores.
-    Of equal texts the one with the most code points stays, then the smallest id.
+    A class of any size is one entry, and no step on top needs its rows in one task, so a join
+    partition with a large group of copies is split at run time.
     """
-    names = free_names(docs, "keep_id", "group_size", "kept", "text_sha256")
-    key, sha, points, keep_points, salt, turn, e_key, e_sha, bucket = free_names(
-        docs, "dedup_key", "dedup_sha", "dedup_points", "dedup_keep", "dedup_salt", "dedup_turn", "dedup_ekey",
-        "dedup_esha", "dedup_bucket",
-    )
-    keep_id, group_size, kept, text_sha256 = names
+    meanings = "keep_id group_size kept text_sha256 key points keep_points salt turn bucket entry_key entry_sha".split()
+    name = dict(zip(meanings, free_names(docs, *meanings)))
     chains = build_chains(docs, doc_id, text)
-    entries = build_entries(chains, build_directory(chains, capacity)).toDF(
-        bucket, e_key, e_sha, keep_id, keep_points, group_size
+    entries = build_entries(chains, build_directory(chains, capacity)).select(
+        F.col("key").alias(name["entry_key"]),
+        F.col("text_sha256").alias(name["entry_sha"]),
+        F.col("keep_id").alias(name["keep_id"]),
+        F.col("keep_points").alias(name["keep_points"]),
+        F.col("group_size").alias(name["group_size"]),
     )
     keyed = docs.withColumns(
         {
-            key: F.xxhash64(normal_form(F.col(text))),
-            sha: F.sha2(normal_form(F.col(text)).cast("binary"), 256),
-            points: F.length(F.coalesce(F.col(text), F.lit(""))),
+            name["key"]: F.xxhash64(normal_form(F.col(text))),
+            name["text_sha256"]: F.sha2(normal_form(F.col(text)).cast("binary"), 256),
+            name["points"]: F.length(F.coalesce(F.col(text), F.lit(""))),
         }
     )
-    found = keyed.join(entries, (F.col(key) == F.col(e_key)) & (F.col(sha) == F.col(e_sha)))
-    stays = F.col(doc_id).eqNullSafe(F.col(keep_id)) & (F.col(points) == F.col(keep_points))
-    # rows that go are spread over many small windows, only those that may stay need each other
-    found = found.withColumn(
-        salt, F.when(stays, F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(4096)))
-    ).withColumn(turn, F.row_number().over(Window.partitionBy(key, sha, salt).orderBy(doc_id)))
-    result = found.select(
-        *docs.columns,
-        keep_id,
-        group_size,
-        (stays & (F.col(turn) == 1)).alias(kept),
-        F.col(sha).alias(text_sha256),
-    )
-    return result, names
+    same = (F.col(name["key"]) == F.col(name["entry_key"])) & (F.col(name["text_sha256"]) == F.col(name["entry_sha"]))
+    found = keyed.join(entries, same)
+    stays = F.col(doc_id).eqNullSafe(F.col(name["keep_id"])) & (F.col(name["points"]) == F.col(name["keep_points"]))
+    return found.withColumn(name["kept"], stays), name
+
+
+def first_of_repeats(found: DataFrame, name: dict[str, str], doc_id: str) -> DataFrame:
+    """``kept`` for one row only where rows repeat id and text; rows that go anyway are spread."""
+    spread = F.when(F.col(name["kept"]), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(doc_id), F.lit(4096)))
+    keys = [name["key"], name["text_sha256"], name["salt"]]
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(doc_id))
+    found = found.withColumn(name["salt"], spread).repartition(*keys).withColumn(name["turn"], turn)
+    return found.withColumn(name["kept"], F.col(name["kept"]) & (F.col(name["turn"]) == 1))
+
+
+def exact_dedup(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 100_000
+) -> tuple[DataFrame, list[str]]:
+    """The rows of ``docs`` with four columns more, and the names of those columns.
+
+    keep_id, group_size, kept, text_sha256; a name that ``docs`` has already gets underscores.
+    Of equal texts the one with the most code points stays, then the smallest id.
+    """
+    found, name = matched(docs, doc_id, text, capacity)
+    names = [name[meaning] for meaning in ("keep_id", "group_size", "kept", "text_sha256")]
+    return first_of_repeats(found, name, doc_id).select(*docs.columns, *names), names
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 100_000) -> DataFrame:
+    """The rows of ``docs`` that stay."""
+    found, name = matched(docs, doc_id, text, capacity)
+    return first_of_repeats(found.filter(name["kept"]), name, doc_id).filter(name["kept"]).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -5,11 +5,14 @@ Each query applies its operator, with production parameters, to the whole of its
 
 from __future__ import annotations
 
-from footfall.llm import exact_dedup
+from footfall.llm import chunked_bpe, exact_dedup, packing, simhash
 from footfall.llm.common import documents
 
 QUERIES = {
+    "op6_packing": lambda spark, sf_dir: packing.digest(documents(spark, sf_dir)),
     "op7_exact_dedup": lambda spark, sf_dir: exact_dedup.digest(documents(spark, sf_dir)),
+    "op9_simhash": lambda spark, sf_dir: simhash.digest(documents(spark, sf_dir)),
+    "op10_bpe_chunks": lambda spark, sf_dir: chunked_bpe.digest(documents(spark, sf_dir)),
 }
 
 ORACLES = {
