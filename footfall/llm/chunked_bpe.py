@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stored
-from footfall.llm.tokens import Decoder, RunEncoder, load, packed, parts, unpacked, utf8, word_tokenizer
+from footfall.llm.tokens import Decoder, load, packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
 
 WINDOW = 16
 RUN = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -198,7 +198,7 @@ def encode_documents(
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Results of texts that share nothing; of the others the compressed text and its key."""
-        encoder = RunEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         decoder = Decoder(encoder.tokenizer)
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -255,11 +255,11 @@ def encode_documents(
     )
 
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = RunEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             sizes, runs, ids = [], [], []
             for piece in batch.column(2).to_pylist():
-                own, lengths = encoder.run_ids(piece.split())
+                own, lengths = encoder.run_ids(encoder.runs_of(piece))
                 sizes.append(len(piece))
                 runs.append(packed(lengths.astype(np.uint32)))
                 ids.append(packed(own))

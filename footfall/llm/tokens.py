@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +36,37 @@ def load(path: str):
     return tokenizer
 
 
+#: Between runs that are encoded together; a run that holds it is encoded by itself.
+BETWEEN = "\x01"
+#: Behind a word; the word's ids do not depend on them.
+POINTS = b".,"
+#: So many runs are encoded as one text.
+TOGETHER = 512
+
+
 class RunEncoder:
-    """ids of whole texts, given as UTF-8; at most ``capacity`` runs are held."""
+    """ids of whole texts, given as UTF-8; at most about ``capacity`` runs are held."""
 
-    def __init__(self, path: str, capacity: int = 500_000):
+    def __init__(self, path: str, capacity: int = 1_000_000):
         self.tokenizer = load(path)
-        probe = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in (" ab\n\tcd ", "ab", "cd")]
-        if probe[0] != probe[1] + probe[2]:
+        parts = [self.ids_of(t) for t in (" ab\n\tcd ", "ab", "cd")]
+        if parts[0] != parts[1] + parts[2]:
             raise ValueError(f"{path} does not drop white space")
+        self.folds = self.ids_of("ABcD") == self.ids_of("abcd")  # letter case makes no difference
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.between = self.ids_of(BETWEEN)
+        # whether words of lower-case ASCII letters reach the model as they are, and points by themselves
+        self.tails: dict[bytes, list[int]] = {}
+        self.plain = False
+        self.forget()
+        tried = [b"the", b"ab.", b"qzxw,", b"antidisestablishmentarianism.,,", b"s", b"t.", b"re,", b"x" * 300]
+        self.plain = all(self.word_ids(w) == self.ids_of(w.decode()) for w in tried)
         self.capacity = capacity
         self.forget()
 
+    def ids_of(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def forget(self) -> None:
         self.slots: dict[bytes, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
@@ -52,17 +74,65 @@ class RunEncoder:
         self.length = np.zeros(1 << 16, np.int64)
         self.used = 0
 
+    def runs_of(self, text: bytes) -> list[bytes]:
+        """A text's runs; without letter case, unless that might make a special token of something."""
+        if self.folds:
+            low = text.lower()
+            if not any(token in low for token in self.special):
+                return low.split()
+        return text.split()
+
+    def together(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of runs that do not hold ``BETWEEN``, and how many each has."""
+        whole = np.array(self.ids_of(f" {BETWEEN} ".join(runs)), np.uint32)
+        if len(self.between) == 1:
+            marks = np.flatnonzero(whole == self.between[0])
+            if len(marks) == len(runs) - 1:
+                lengths = np.diff(np.concatenate([[-1], marks, [len(whole)]])) - 1
+                return np.delete(whole, marks), lengths
+        each = [self.ids_of(run) for run in runs]
+        return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+
+    def word_ids(self, word: bytes) -> list[int]:
+        """ids of lower-case ASCII letters with or without full stops and commas behind them."""
+        stem = word.rstrip(POINTS)
+        slot = self.slots.get(stem) if len(stem) < len(word) else None
+        if slot is None:
+            ids = [token.id for token in self.tokenizer.model.tokenize(stem.decode())]
+        else:
+            ids = self.flat[self.start[slot] : self.start[slot] + self.length[slot]].tolist()
+        if len(stem) < len(word):
+            tail = word[len(stem) :]
+            if tail not in self.tails:
+                self.tails[tail] = self.ids_of(tail.decode())
+            ids += self.tails[tail]
+        return ids
+
     def learn(self, runs: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([run.decode() for run in runs], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        words, others, by_itself = [], [], []
+        for run in runs:
+            stem = run.rstrip(POINTS)
+            if self.plain and stem.isalpha() and stem.islower():  # of bytes: ASCII letters only
+                words.append(run)
+            else:
+                (by_itself if BETWEEN.encode() in run else others).append(run)
+        each = [self.word_ids(word) for word in words]
+        self.add(words, np.fromiter(chain.from_iterable(each), np.uint32), np.fromiter(map(len, each), np.int64))
+        for run in by_itself:
+            ids = self.ids_of(run.decode())
+            self.add([run], np.array(ids, np.uint32), np.array([len(ids)]))
+        for i in range(0, len(others), TOGETHER):
+            group = others[i : i + TOGETHER]
+            self.add(group, *self.together([run.decode() for run in group]))
+
+    def add(self, runs: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
         first = len(self.slots)
-        need, most = self.used + int(lengths.sum()), first + len(ids)
+        need, most = self.used + len(ids), first + len(runs)
         if need > len(self.flat):
             self.flat = np.resize(self.flat, 2 * need)
         if most > len(self.start):
             self.start, self.length = np.resize(self.start, 2 * most), np.resize(self.length, 2 * most)
-        self.flat[self.used : need] = np.fromiter((i for x in ids for i in x), np.uint32, need - self.used)
+        self.flat[self.used : need] = ids
         self.start[first:most] = self.used + np.cumsum(lengths) - lengths
         self.length[first:most] = lengths
         self.slots.update(zip(runs, range(first, most)))
@@ -73,9 +143,11 @@ class RunEncoder:
         if len(self.slots) > self.capacity:
             self.forget()
         slots = list(map(self.slots.get, runs))
-        if None in slots:
-            self.learn(list({run: None for run, slot in zip(runs, slots) if slot is None}))
-            slots = list(map(self.slots.__getitem__, runs))
+        new = [i for i, slot in enumerate(slots) if slot is None]
+        if new:
+            self.learn(list({runs[i]: None for i in new}))
+            for i in new:
+                slots[i] = self.slots[runs[i]]
         slot = np.array(slots, np.int64)
         lengths = self.length[slot]
         ends = np.cumsum(lengths)
@@ -84,12 +156,18 @@ class RunEncoder:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text, as uint32."""
-        split = [text.split() for text in texts]
+        split = [self.runs_of(text) for text in texts]
         ids, lengths = self.run_ids([run for runs in split for run in runs])
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, split)])]
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> RunEncoder:
+    """The encoder of a Python worker, which it keeps from task to task."""
+    return RunEncoder(path)
+
+
 class Decoder:
     """What the tokenizer's ``decode`` gives with special tokens kept."""
 
