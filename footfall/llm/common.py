@@ -44,27 +44,27 @@ def is_held_out(doc_id: str) -> Column:
     return F.coalesce(remainder == 1, F.lit(False))
 
 
-def totals_before(parts: DataFrame, order: str, amount: str, into: str, span: int = 4096) -> DataFrame:
-    """Adds the sum of ``amount`` over all rows with a smaller ``order``, a long that is unique.
-
-    Two levels: sums within blocks of ``span`` consecutive orders run side by side, and one
-    task only adds up one row per block.
+def totals_before(
+    rows: DataFrame, order: str, amount: str, into: str, by: tuple[str, ...] = (), spans: tuple[int, ...] = (512, 4096)
+) -> DataFrame:
+    """Adds the sum of ``amount`` over the rows of the same ``by`` with a smaller ``order``.
+
+    ``order`` is a long, unique within ``by``. The sums are taken in levels: within blocks of
+    ``spans[0]`` consecutive orders, over blocks within bands of ``spans[1]`` blocks, and last
+    over one row per band. So a group with most of the rows is spread like any other.
     """
-    block, inner, outer = free_names(parts, "block", "inner", "outer")
-    parts = parts.withColumn(block, F.expr(f"`{order}` div {span}"))
-
-    def before(window):
-        return window.rowsBetween(Window.unboundedPreceding, -1)
-
-    blocks = (
-        parts.groupBy(block)
-        .agg(F.sum(amount).alias(outer))
-        .withColumn(outer, F.coalesce(F.sum(outer).over(before(Window.orderBy(block))), F.lit(0)))
-    )
-    inside = F.sum(amount).over(before(Window.partitionBy(block).orderBy(order)))
+    inner, outer, block = free_names(rows, "inner", "outer", "block")
+    if not spans:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(into, F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("long"))
+    rows = rows.withColumn(block, F.expr(f"`{order}` div {spans[0]}"))
+    blocks = rows.groupBy(*by, block).agg(F.sum(amount).alias(outer))
+    begin = f"{block}_begin"
+    blocks = totals_before(blocks, block, outer, begin, by, spans[1:]).drop(outer)
+    earlier = Window.partitionBy(*by, block).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        parts.withColumn(inner, F.coalesce(inside, F.lit(0)))
-        .join(blocks, block)
-        .withColumn(into, (F.col(inner) + F.col(outer)).cast("long"))
-        .drop(block, inner, outer)
+        rows.withColumn(inner, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
+        .join(blocks, [*by, block])
+        .withColumn(into, (F.col(inner) + F.col(begin)).cast("long"))
+        .drop(block, inner, begin)
     )

@@ -10,8 +10,8 @@ running totals over partitions carry the deficits across windows and partitions.
 the order of rounds, is cut every ``length`` tokens, so only the very last sequence can need
 padding.
 
-A hot source is no hot task: its running total is taken over blocks of at most ``BLOCK`` rows,
-and over one row per block.
+A hot source is no hot task: its running total is taken in levels, over blocks of rows, over
+blocks of blocks, and over one row for each of those.
 
 Defined cases: a null text is the empty text and has just its end token; documents without a
 source are a queue of their own; repeated rows are packed as often as they occur; an empty table
@@ -30,17 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stored, totals_before
-from footfall.llm.tokens import RunEncoder, packed, parts, unpacked, utf8, word_tokenizer
-
-BLOCK = 8192
-
+from footfall.llm.tokens import packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
 
 def tokenised(docs: DataFrame, doc_id: str, text: str, source: str, tokenizer: str, end_id: int) -> DataFrame:
     """row, doc_id, queue, tokens, ids: each document encoded once, with its end token, in a shared table."""
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = RunEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             texts = utf8(batch.column(2))
             for part in parts(texts):
@@ -69,25 +66,16 @@ def rounds(sizes: DataFrame, window: int, targets: dict[str, float] | None) -> D
     """
     spark = sizes.sparkSession
     total = sizes.agg(F.sum("tokens")).first()[0] or 1
-    sizes = sizes.withColumn("block", F.expr(f"row div {BLOCK}"))
-    queue = Window.partitionBy("queue")
-    blocks = sizes.groupBy("queue", "block").agg(F.sum("tokens").alias("block_tokens"))
-    blocks = blocks.select(
-        F.col("queue"),
-        F.col("block"),
-        F.sum("block_tokens").over(queue.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        (F.sum("block_tokens").over(queue) / F.lit(total)).alias("natural"),
-    )
+    shares = sizes.groupBy("queue").agg((F.sum("tokens") / F.lit(total)).alias("share"))
     if targets:
         wanted = spark.createDataFrame(
             [(f"of {name}", float(share)) for name, share in targets.items()], "queue string, target double"
         )
-        blocks = blocks.join(wanted, "queue", "left").withColumn("natural", F.coalesce("target", "natural"))
-    blocks = blocks.select("queue", "block", F.coalesce("before", F.lit(0)).alias("before"), F.col("natural").alias("share"))
-    inside = Window.partitionBy("queue", "block").orderBy("row")
+        shares = shares.join(wanted, "queue", "left").select("queue", F.coalesce("target", "share").alias("share"))
     return (
-        sizes.join(blocks, ["queue", "block"])
-        .withColumn("sent", F.col("before") + F.sum("tokens").over(inside))
+        totals_before(sizes, "row", "tokens", "before", by=("queue",))
+        .join(shares, "queue")
+        .withColumn("sent", F.col("before") + F.col("tokens"))
         .withColumn("round", F.ceil(F.col("sent") / (F.col("share") * F.lit(window))).cast("long"))
         .select("row", "tokens", "queue", "sent", "round")
     )
