@@ -8,6 +8,7 @@ run when it first meets it and looks it up after that.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -55,15 +56,30 @@ class RunEncoder:
         self.folds = self.ids_of("ABcD") == self.ids_of("abcd")  # letter case makes no difference
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.between = self.ids_of(BETWEEN)
-        # whether words of lower-case ASCII letters reach the model as they are, and points by themselves
-        self.tails: dict[bytes, list[int]] = {}
-        self.plain = False
         self.forget()
-        tried = [b"the", b"ab.", b"qzxw,", b"antidisestablishmentarianism.,,", b"s", b"t.", b"re,", b"x" * 300]
-        self.plain = all(self.word_ids(w) == self.ids_of(w.decode()) for w in tried)
+        self.find_letters()
         self.capacity = capacity
         self.forget()
 
+    def find_letters(self) -> None:
+        """Lower-case letters of Latin-1 that the tokenizer keeps together and turns into fixed characters.
+
+        Words of these go to the model directly. If that and the tokenizer differ on any probe,
+        or points do not stand by themselves, no word does.
+        """
+        prepare, normal = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
+        self.letters: dict[int, str] = {}
+        self.tails: dict[bytes, list[int]] = {}
+        for letter in map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]):
+            found = prepare.pre_tokenize_str(normal.normalize_str(f"ab{letter}cd")) if prepare and normal else []
+            if len(found) == 1 and found[0][0].startswith("ab") and found[0][0].endswith("cd"):
+                self.letters[ord(letter)] = found[0][0][2:-2]
+        every = "".join(map(chr, self.letters))
+        self.is_word = re.compile(f"[{every}]+" if every else "(?!)").fullmatch
+        tried = ["the", "ab.", "qzxw,", "antidisestablishmentarianism.,,", "s", "t.", "re,", "x" * 300, every, every + "."]
+        if not {*range(0x61, 0x7B)} <= {*self.letters} or any(self.word_ids(w.encode()) != self.ids_of(w) for w in tried):
+            self.letters, self.is_word = {}, re.compile("(?!)").fullmatch
+
     def ids_of(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -94,11 +110,12 @@ class RunEncoder:
         return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
 
     def word_ids(self, word: bytes) -> list[int]:
-        """ids of lower-case ASCII letters with or without full stops and commas behind them."""
+        """ids of a word of letters in ``letters``, with or without full stops and commas behind it."""
         stem = word.rstrip(POINTS)
         slot = self.slots.get(stem) if len(stem) < len(word) else None
         if slot is None:
-            ids = [token.id for token in self.tokenizer.model.tokenize(stem.decode())]
+            known = stem.decode().translate(self.letters)
+            ids = [token.id for token in self.tokenizer.model.tokenize(known)]
         else:
             ids = self.flat[self.start[slot] : self.start[slot] + self.length[slot]].tolist()
         if len(stem) < len(word):
@@ -112,7 +129,7 @@ class RunEncoder:
         words, others, by_itself = [], [], []
         for run in runs:
             stem = run.rstrip(POINTS)
-            if self.plain and stem.isalpha() and stem.islower():  # of bytes: ASCII letters only
+            if self.is_word(stem.decode()):
                 words.append(run)
             else:
                 (by_itself if BETWEEN.encode() in run else others).append(run)

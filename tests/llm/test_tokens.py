@@ -14,7 +14,7 @@ from tests.conftest import SF_DIR
 PATH = tokens.word_tokenizer()
 DDL = "doc_id long, text string, source string, tokens string, `round` int"
 ODD = [
-    "", None, "   ", "Straße ÀÉ\u0301 \u00a0x\u2003y \x1c\x1d z", "don't we'll I'M 'S", "a1b22 c3", "<|endoftext|> x<|startoftext|>y",
+    "", None, "   ", "größe naïveté, ÿþð ß. ÷ × ªº µm æœ über. Über, ñandú.,", "a\u0301b o\u0308 e\u0301.", "Straße ÀÉ\u0301 \u00a0x\u2003y \x1c\x1d z", "don't we'll I'M 'S", "a1b22 c3", "<|endoftext|> x<|startoftext|>y",
     "ΑΣ ΑΣΑ İI", "e\u0301 \u0301e", "<|EndOfText|> \x01 a\x01b UPPER", "漢字かな 한국 🙂🙂👩‍👩‍👧", "\u200bzero\ufeffwidth", "x" * 5000, "word " * 9000, "a\nb\r\nc\x0bd\x0ce",
 ]
 
