@@ -12,7 +12,7 @@ Only texts with a shared chunk need to meet other texts. One pass counts chunk k
 Keys that occur more than once set bits of a filter of fixed size, whatever the number of
 chunks; a text that hits no bit is encoded in the task that reads it and never leaves it. The
 others go through the chunk table. If the filter fills up, more texts take that way, with the
-same results. Equal texts are put together once.
+same results. What such a text does not share is encoded where the text is put together.
 
 Defined cases: a null text is the empty text, with no ids and an empty decoded text; repeated
 rows give repeated rows; an empty table gives an empty result.
@@ -21,6 +21,7 @@ rows give repeated rows; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -32,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stored
-from footfall.llm.tokens import Decoder, load, packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
+from footfall.llm.tokens import Decoder, packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
 
 WINDOW = 16
 RUN = re.compile(rb"[^\x20\x09-\x0D]+")
 PROBES = 3
+#: Chunks of fewer bytes are not worth sharing; they are encoded with what stands around them.
+LEAST = 48
 #: Odd, so that powers of it do not vanish modulo 2 ** 64; any odd number will do.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,11 +78,8 @@ def key_of(data: bytes) -> tuple[int, int]:
     return tuple((x ^ 1 << 63) - (1 << 63) for x in (digest >> 64, digest & (1 << 64) - 1))
 
 
-def chunk_keys(texts: list[bytes], chunk: int) -> list[list[tuple[int, int]]]:
-    found = []
-    for text, ends in zip(texts, cuts(texts, chunk)):
-        found.append([key_of(text[a:b]) for a, b in zip([0, *ends], ends)])
-    return found
+def chunks_of(texts: list[bytes], chunk: int) -> list[list[bytes]]:
+    return [[text[a:b] for a, b in zip([0, *ends], ends)] for text, ends in zip(texts, cuts(texts, chunk))]
 
 
 def filter_words(shared: DataFrame, bits: int) -> np.ndarray:
@@ -105,44 +105,66 @@ def may_hold(words: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray
     return held
 
 
-def joined(text: bytes, chunks: list[tuple[int, list[np.ndarray]]], tokenizer) -> np.ndarray:
-    """ids of a text from its chunks, each (bytes, ids of each of its runs), with repaired joins."""
-    spans: list[tuple[int, int]] = []
-    ids: list[np.ndarray] = []
-    cut = []  # numbers of runs that the join in front of them cuts
+def pieces_of(text: bytes, a: int, b: int, ids: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """(begin, end, ids) of what the bytes a to b hold: two runs on each side, what is between as one."""
+    if len(lengths) <= 4:
+        ends = np.cumsum(lengths).tolist()
+        return [
+            (m.start(), m.end(), ids[end - n : end])
+            for m, n, end in zip(RUN.finditer(text, a, b), lengths.tolist(), ends)
+        ]
+    front = [m.span() for m in itertools.islice(RUN.finditer(text, a, b), 2)]
+    body = text[a:b]
+    back = []
+    for _ in range(2):
+        body = body.rstrip()
+        end = a + len(body)
+        body = body[: len(body) - len(body.rsplit(None, 1)[-1])]
+        back.insert(0, (a + len(body), end))
+    between = (front[1][1], back[0][0])
+    sizes = [*lengths[:2].tolist(), int(lengths[2:-2].sum()), *lengths[-2:].tolist()]
+    split = np.split(ids, np.cumsum(sizes)[:-1])
+    return [(begin, end, own) for (begin, end), own in zip([*front, between, *back], split)]
+
+
+def joined(text: bytes, segments: list[tuple[int, np.ndarray, np.ndarray]], tokenizer) -> np.ndarray:
+    """ids of a text from those of its segments, each (bytes, ids, ids per run), with repaired joins."""
+    pieces: list[tuple[int, int, np.ndarray]] = []
+    cut = []  # numbers of pieces that the join in front of them cuts from the one before
     at = 0
-    for size, own in chunks:
-        runs = [(at + m.start(), at + m.end()) for m in RUN.finditer(text[at : at + size])]
-        if spans and runs and spans[-1][1] == at == runs[0][0]:
-            cut.append(len(spans))
-        spans += runs
-        ids += own
+    for size, ids, lengths in segments:
+        own = pieces_of(text, at, at + size, ids, lengths)
+        if pieces and own and pieces[-1][1] == at == own[0][0]:
+            cut.append(len(pieces))
+        pieces += own
         at += size
-    result, done, cut_runs = [], 0, set(cut)
+    none = [np.empty(0, np.uint32)]
+    result, done, cut_pieces = [], 0, set(cut)
     for first in cut:
-        if first - 1 in cut_runs:
+        if first - 1 in cut_pieces:
             continue  # a run that more than one join cuts is repaired as one
         last = first
-        while last + 1 in cut_runs:
+        while last + 1 in cut_pieces:
             last += 1
         reach = 1
         while True:
-            low, high = max(0, first - 1 - reach), min(len(spans), last + 1 + reach)
-            left, right = ids[low : first - 1], ids[last + 1 : high]
-            left, right = (np.concatenate(x) if x else np.empty(0, np.uint32) for x in (left, right))
-            window = text[spans[low][0] : spans[high - 1][1]].decode()
+            low, high = max(0, first - 1 - reach), min(len(pieces), last + 1 + reach)
+            left = np.concatenate(none + [ids for _, _, ids in pieces[low : first - 1]])
+            right = np.concatenate(none + [ids for _, _, ids in pieces[last + 1 : high]])
+            window = text[pieces[low][0] : pieces[high - 1][1]].decode()
             new = np.array(tokenizer.encode(window, add_special_tokens=False).ids, np.uint32)
             agree = len(new) >= len(left) + len(right)
             agree = agree and (new[: len(left)] == left).all() and (new[len(new) - len(right) :] == right).all()
             if agree:
-                result += [*ids[done : first - 1], new[len(left) : len(new) - len(right)]]
+                result += [ids for _, _, ids in pieces[done : first - 1]]
+                result.append(new[len(left) : len(new) - len(right)])
                 done = last + 1
                 break
-            if low == 0 and high == len(spans):
+            if low == 0 and high == len(pieces):
                 return new
             reach *= 2
-    result += ids[done:]
-    return np.concatenate(result).astype(np.uint32) if result else np.empty(0, np.uint32)
+    result += [ids for _, _, ids in pieces[done:]]
+    return np.concatenate(none + result)
 
 
 def summary(ids: np.ndarray, decoder: Decoder, whole: bool) -> tuple:
@@ -175,7 +197,7 @@ def encode_documents(
     tokenizer: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    chunk: int = 256,
+    chunk: int = 1024,
     filter_bits: int = 1 << 24,
     whole: bool = False,
 ) -> DataFrame:
@@ -189,15 +211,20 @@ def encode_documents(
         for batch in batches:
             texts = utf8(batch.column(0))
             for part in parts(texts):
-                flat = [key for own in chunk_keys(texts[part], chunk) for key in own]
+                found = (piece for own in chunks_of(texts[part], chunk) for piece in own if len(piece) >= LEAST)
+                flat = [key_of(piece) for piece in found]
                 high, low = zip(*flat) if flat else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int64())], ["high", "low"])
 
     counted = docs.select("text").mapInArrow(keys, "high long, low long").groupBy("high", "low").count()
     words = filter_words(counted.filter("count > 1"), filter_bits)
 
+    def shareable(pieces: list[bytes], marks: np.ndarray) -> np.ndarray:
+        long_enough = np.array([len(piece) >= LEAST for piece in pieces], bool)
+        return may_hold(words, marks[:, 0], marks[:, 1]) & long_enough
+
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Results of texts that share nothing; of the others the compressed text and its key."""
+        """Results of texts that share nothing; of the others the compressed text."""
         encoder = worker_encoder(tokenizer)
         decoder = Decoder(encoder.tokenizer)
         press = zstandard.ZstdCompressor(level=1)
@@ -205,118 +232,140 @@ def encode_documents(
             texts = utf8(batch.column(1))
             for part in parts(texts):
                 some = texts[part]
-                of_text = chunk_keys(some, chunk)
-                flat = np.array([key for own in of_text for key in own], np.int64).reshape(-1, 2)
-                hits = np.cumsum(np.concatenate([[0], may_hold(words, flat[:, 0], flat[:, 1])]))
-                ends = np.cumsum([0, *map(len, of_text)])
-                waits = hits[ends[1:]] > hits[ends[:-1]]
+                chunks = chunks_of(some, chunk)
+                ends = np.cumsum([0, *map(len, chunks)])
+                flat = [piece for own in chunks for piece in own]
+                marks = np.array([key_of(piece) for piece in flat], np.int64).reshape(-1, 2)
+                hits = np.concatenate([[0], np.cumsum(shareable(flat, marks))])[ends]
+                waits = hits[1:] > hits[:-1]
                 ids = iter(encoder.encode([t for t, w in zip(some, waits) if not w]))
                 rows = [None if w else summary(next(ids), decoder, whole) for w in waits]
-                marks = [key_of(t) if w else (None, None) for t, w in zip(some, waits)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[part.start : part.stop],
                         *result_arrays(rows),
                         pa.array([press.compress(t) if w else None for t, w in zip(some, waits)], pa.binary()),
-                        pa.array([m[0] for m in marks], pa.int64()),
-                        pa.array([m[1] for m in marks], pa.int64()),
                     ],
-                    ["doc_id", *names, "body", "text_high", "text_low"],
+                    ["doc_id", *names, "body"],
                 )
 
     first = stored(
-        docs.mapInArrow(first_pass, f"doc_id {id_type}, {ddl}, body binary, text_high long, text_low long"), "bpe-first"
+        docs.mapInArrow(first_pass, f"doc_id {id_type}, {ddl}, body binary").select(
+            F.monotonically_increasing_id().alias("row"), "*"
+        ),
+        "bpe-first",
     )
-    waiting = first.filter("body IS NOT NULL")
-    by_text = stored(waiting.select("text_high", "text_low", "body").dropDuplicates(["text_high", "text_low"]), "bpe-texts")
+    waiting = first.filter("body IS NOT NULL").select("row", "body")
+
+    def shared_chunks(data: bytes) -> list[tuple[int, tuple[int, int], bytes]]:
+        """(place, key, bytes) of a text's chunks that may occur elsewhere."""
+        (ends,) = cuts([data], chunk)
+        pieces = [data[a:b] for a, b in zip([0, *ends], ends)]
+        marks = [key_of(piece) for piece in pieces]
+        hits = shareable(pieces, np.array(marks, np.int64).reshape(-1, 2))
+        return [(i, marks[i], pieces[i]) for i in np.flatnonzero(hits).tolist()]
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            for high, low, body in zip(*(c.to_pylist() for c in batch.columns)):
-                data = expand.decompress(body)
-                (ends,) = cuts([data], chunk)
-                pieces = [data[a:b] for a, b in zip([0, *ends], ends)]
-                marks = [key_of(piece) for piece in pieces]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([high] * len(pieces), pa.int64()),
-                        pa.array([low] * len(pieces), pa.int64()),
-                        pa.array(range(len(pieces)), pa.int64()),
-                        pa.array([m[0] for m in marks], pa.int64()),
-                        pa.array([m[1] for m in marks], pa.int64()),
-                        pa.array(pieces, pa.binary()),
-                    ],
-                    ["text_high", "text_low", "place", "high", "low", "piece"],
-                )
-
-    pieces = by_text.mapInArrow(
-        split, "text_high long, text_low long, place long, high long, low long, piece binary"
-    )
+            rows, places, highs, lows = [], [], [], []
+            for row, body in zip(*(c.to_pylist() for c in batch.columns)):
+                for place, (high, low), _ in shared_chunks(expand.decompress(body)):
+                    for column, value in zip((rows, places, highs, lows), (row, place, high, low)):
+                        column.append(value)
+            arrays = [pa.array(column, pa.int64()) for column in (rows, places, highs, lows)]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "place", "high", "low"])
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            found: dict[tuple[int, int], bytes] = {}
+            for body in batch.column(0).to_pylist():
+                found.update((key, piece) for _, key, piece in shared_chunks(expand.decompress(body)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([high for high, _ in found], pa.int64()),
+                    pa.array([low for _, low in found], pa.int64()),
+                    pa.array([press.compress(piece) for piece in found.values()], pa.binary()),
+                ],
+                ["high", "low", "piece"],
+            )
 
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            sizes, runs, ids = [], [], []
+            runs, ids = [], []
             for piece in batch.column(2).to_pylist():
-                own, lengths = encoder.run_ids(encoder.runs_of(piece))
-                sizes.append(len(piece))
+                own, lengths = encoder.run_ids(encoder.runs_of(expand.decompress(piece)))
                 runs.append(packed(lengths.astype(np.uint32)))
                 ids.append(packed(own))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(runs, pa.binary()), pa.array(ids, pa.binary())],
-                ["high", "low", "bytes", "run_ids", "chunk_ids"],
+                [batch.column(0), batch.column(1), pa.array(runs, pa.binary()), pa.array(ids, pa.binary())],
+                ["high", "low", "run_ids", "chunk_ids"],
             )
 
     encoded = (
-        pieces.select("high", "low", "piece")
+        waiting.select("body")
+        .mapInArrow(contents, "high long, low long, piece binary")
         .dropDuplicates(["high", "low"])
-        .mapInArrow(encode_chunks, "high long, low long, bytes long, run_ids binary, chunk_ids binary")
+        .mapInArrow(encode_chunks, "high long, low long, run_ids binary, chunk_ids binary")
     )
-    none = F.lit(None)
-    chunk_rows = pieces.select("text_high", "text_low", "place", "high", "low").join(encoded, ["high", "low"])
-    rows = chunk_rows.select(
-        "text_high", "text_low", "place", none.cast("binary").alias("body"), "bytes", "run_ids", "chunk_ids"
-    ).union(
-        by_text.select(
-            "text_high", "text_low", F.lit(-1).cast("long"), "body", none.cast("long"), none.cast("binary"), none.cast("binary")
-        )
+    nothing = F.lit(None).cast("binary")
+    chunk_rows = waiting.mapInArrow(references, "row long, place long, high long, low long").join(encoded, ["high", "low"])
+    rows = chunk_rows.select("row", "place", nothing.alias("body"), "run_ids", "chunk_ids").union(
+        waiting.select("row", F.lit(-1).cast("long"), "body", nothing, nothing)
     )
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A text's row comes first, then its chunks in order."""
-        library = load(tokenizer)
-        decoder = Decoder(library)
+        """A text's row comes first, then its shared chunks in order; the others are encoded here."""
+        encoder = worker_encoder(tokenizer)
+        decoder = Decoder(encoder.tokenizer)
         expand = zstandard.ZstdDecompressor()
-        held: tuple | None = None  # key, text, chunks so far
-
-        def finished():
-            (high, low), data, chunks = held
-            row = summary(joined(data, chunks, library), decoder, whole)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([high], pa.int64()), pa.array([low], pa.int64()), *result_arrays([row])],
-                ["text_high", "text_low", *names],
+        done: list[tuple[int, tuple]] = []
+        held: tuple | None = None  # row, text, chunks by place
+
+        def finish():
+            row, data, shared = held
+            (ends,) = cuts([data], chunk)
+            segments, own = [], 0  # own: where a stretch of other chunks begins
+            for place, (a, b) in enumerate(zip([0, *ends], ends)):
+                if place in shared or b == len(data):
+                    until = a if place in shared else b
+                    if own < until:
+                        stretch = data[own:until]
+                        segments.append((len(stretch), *encoder.run_ids(encoder.runs_of(stretch))))
+                    if place in shared:
+                        lengths, ids = (unpacked(x) for x in shared[place])
+                        segments.append((b - a, ids, lengths))
+                        own = b
+            done.append((row, summary(joined(data, segments, encoder.tokenizer), decoder, whole)))
+
+        def results():
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([row for row, _ in done], pa.int64()), *result_arrays([r for _, r in done])], ["row", *names]
             )
+            done.clear()
+            return batch
 
         for batch in batches:
-            for high, low, place, body, size, run_ids, chunk_ids in zip(*(c.to_pylist() for c in batch.columns)):
+            for row, place, body, run_ids, chunk_ids in zip(*(c.to_pylist() for c in batch.columns)):
                 if place < 0:
                     if held:
-                        yield finished()
-                    held = ((high, low), expand.decompress(body), [])
+                        finish()
+                    held = (row, expand.decompress(body), {})
                 else:
-                    own = unpacked(chunk_ids)
-                    lengths = unpacked(run_ids)
-                    held[2].append((size, np.split(own, np.cumsum(lengths)[:-1]) if len(lengths) else []))
+                    held[2][place] = (run_ids, chunk_ids)
+            if done:
+                yield results()
         if held:
-            yield finished()
+            finish()
+            yield results()
 
-    by_key = (
-        rows.repartition("text_high", "text_low")
-        .sortWithinPartitions("text_high", "text_low", "place")
-        .mapInArrow(put_together, f"text_high long, text_low long, {ddl}")
+    by_row = (
+        rows.repartition("row").sortWithinPartitions("row", "place").mapInArrow(put_together, f"row long, {ddl}")
     )
-    others = waiting.select("doc_id", "text_high", "text_low").join(by_key, ["text_high", "text_low"]).select("doc_id", *names)
+    others = first.filter("body IS NOT NULL").select("row", "doc_id").join(by_row, "row").select("doc_id", *names)
     result = first.filter("body IS NULL").select("doc_id", *names).union(others)
     return result if whole else result.drop("ids", "decoded")
 

@@ -70,7 +70,7 @@ def same_as_library(library, doc_rows, found):
             assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
-@pytest.mark.parametrize(("chunk", "bits"), [(256, 1 << 24), (16, 1 << 24), (3, 1 << 24), (64, 64)])
+@pytest.mark.parametrize(("chunk", "bits"), [(1024, 1 << 24), (256, 1 << 24), (100, 1 << 24), (64, 64)])
 def test_chunks_give_the_ids_of_whole_texts(spark, library, chunk, bits):
     docs = spark.createDataFrame(rows() + rows()[:3], DDL)
     found = chunked_bpe.encode_documents(docs, PATH, chunk=chunk, filter_bits=bits)
@@ -89,7 +89,9 @@ def test_joins_are_repaired(library):
             chunks = []
             for a, b in zip([0, *ends], ends):
                 runs = raw[a:b].split()
-                chunks.append((b - a, [np.array(encoded(library, r.decode()), np.uint32) for r in runs]))
+                own = [encoded(library, r.decode()) for r in runs]
+                flat = np.array([i for x in own for i in x], np.uint32)
+                chunks.append((b - a, flat, np.array([len(x) for x in own], np.int64)))
             assert chunked_bpe.joined(raw, chunks, library).tolist() == encoded(library, text)
 
 
