@@ -5,10 +5,17 @@ Each query applies its operator, with production parameters, to the whole of its
 
 from __future__ import annotations
 
-from footfall.llm import chunked_bpe, exact_dedup, packing, simhash
+from footfall.llm import chunked_bpe, exact_dedup, language, packing, quality, simhash
 from footfall.llm.common import documents
 
+
+def labels(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 QUERIES = {
+    "op2_quality": lambda spark, sf_dir: quality.digest(documents(spark, sf_dir), labels(spark, sf_dir)),
+    "op4_language": lambda spark, sf_dir: language.digest(documents(spark, sf_dir)),
     "op6_packing": lambda spark, sf_dir: packing.digest(documents(spark, sf_dir)),
     "op7_exact_dedup": lambda spark, sf_dir: exact_dedup.digest(documents(spark, sf_dir)),
     "op9_simhash": lambda spark, sf_dir: simhash.digest(documents(spark, sf_dir)),
