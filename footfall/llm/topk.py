@@ -6,7 +6,8 @@ smallest up. Lists are read in equal steps. What has been read of a vector gives
 its score (what is missing has the list's worst value) and an upper bound (what is missing has
 the value last read, as the lists are sorted). Reading stops when few vectors outside can still
 qualify, at the latest at the lists' end; the scores of those few are then resolved exactly, with
-integers. Queries of a batch read the same lists in step, as matrix operations.
+integers. Queries of a batch read the same lists in step: the part of each list that a step reads
+is a matrix with zeros elsewhere, so reading and bounds are matrix products.
 
 Each block meets each batch of queries in a piece of work of its own; a piece returns at most k
 rows per query, and ranks are taken over the pieces' rows.
@@ -57,51 +58,48 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.value = np.take_along_axis(vectors, self.order, axis=0).astype(float)
-        self.rank = np.empty_like(self.order)
-        np.put_along_axis(self.rank, self.order, np.arange(len(ids))[:, None], axis=0)
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.value = np.take_along_axis(vectors, order, axis=0)  # each column is a list, smallest value first
+        self.rank = np.empty(vectors.shape, np.int32)
+        np.put_along_axis(self.rank, order, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         """(query_id, vec_id, score) of each query's best k in this block."""
         n, dims = self.vectors.shape
-        up, down = np.maximum(queries, 0).astype(float).T, np.minimum(queries, 0).astype(float).T
         size = max(map(abs, (int(queries.max(initial=0)), int(queries.min(initial=0)))))
         most = max(map(abs, (int(self.vectors.max(initial=0)), int(self.vectors.min(initial=0)))))
-        # doubles hold the sums exactly unless components are huge; then bounds are widened by what they may be off
+        # sums are exact unless components are huge; then bounds are widened by what they may be off
+        kind = np.float32 if dims * size * most < 2**24 else np.float64
         slack = 0.0 if dims * size * most < 2**52 else 1e-12 * dims * float(size) * float(most)
+        # a query reads the lists of its positive components downwards, of its negative ones upwards
+        sides = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(kind).T
+        vectors = self.vectors.astype(kind)
+        top, bottom = self.value[-1].astype(kind), self.value[0].astype(kind)
+        worst = np.concatenate([bottom, top])[:, None]
         alive = np.arange(len(query_ids))
-        score = np.zeros((n, len(alive)))  # of what has been read
-        own = self.ids[:, None] == query_ids[None, :]
+        score = np.zeros((n, len(alive)), kind)  # of what has been read
         found: list[tuple[int, int, int]] = []
         read = 0
         for step in range(1, STEPS + 1):
             until = n * step // STEPS
-            for d in range(dims):
-                low, high = slice(read, until), slice(n - until, n - read)
-                for part, side in ((high, up[d, alive]), (low, down[d, alive])):
-                    if side.any():
-                        score[self.order[part, d]] += self.value[part, d, None] * side
+            if until == read:
+                continue
+            own, down = sides[:, alive], n - 1 - self.rank
+            fresh = [np.where((rank >= read) & (rank < until), vectors, kind(0)) for rank in (down, self.rank)]
+            score += np.concatenate(fresh, axis=1) @ own
             read = until
-            if until == n:
-                lower = upper = score
-            else:
-                unread_high, unread_low = self.rank < n - until, self.rank >= until
-                last_high, last_low = self.value[n - until], self.value[until - 1] if until else self.value[0]
-                lower, upper = score.copy(), score.copy()
-                for unread, side, worst, best in (
-                    (unread_high, up, self.value[0], last_high), (unread_low, down, self.value[-1], last_low)
-                ):
-                    some = unread.astype(float)
-                    lower += some @ (side[:, alive] * worst[:, None])
-                    upper += some @ (side[:, alive] * best[:, None])
-            here = own[:, alive]
-            bar = np.where(here, -np.inf, lower)
-            kth = np.partition(bar, max(0, n - k), axis=0)[max(0, n - k)]
+            lower = upper = score
+            if until < n:
+                unread = np.concatenate([down >= until, self.rank >= until], axis=1).astype(kind)
+                last = np.concatenate([self.value[n - until], self.value[until - 1]]).astype(kind)[:, None]
+                lower, upper = score + unread @ (own * worst), score + unread @ (own * last)
+            here = self.ids[:, None] == query_ids[None, alive]
+            kth = np.partition(np.where(here, -np.inf, lower), max(0, n - k), axis=0)[max(0, n - k)]
             may = ~here & (upper + 2 * slack >= kth)
             done = may.sum(axis=0) <= max(FEW, 4 * k) if until < n else np.ones(len(alive), bool)
             for column in np.flatnonzero(done):
-                found += self.resolve(query_ids[alive[column]], queries[alive[column]], np.flatnonzero(may[:, column]), k, size * most)
+                rows = np.flatnonzero(may[:, column])
+                found += self.resolve(query_ids[alive[column]], queries[alive[column]], rows, k, size * most)
             alive, score = alive[~done], score[:, ~done]
             if not len(alive):
                 break
