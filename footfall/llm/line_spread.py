@@ -85,6 +85,8 @@ def without_boilerplate(
     hits = long_lines(docs, text, min_chars, key_of(F.coalesce(F.col(text), F.lit(""))).alias("text_key"))
     hits = hits.distinct().join(common, "key")
     by_text = hits.groupBy(F.col("text_key").alias(text_key)).agg(F.collect_set("key").alias(drop))
+    # as a table it has one row per text, and a join with many copies of a text can be split at run time
+    by_text = stored(by_text, "lines-to-drop")
     found = docs.withColumn(doc_key, key_of(F.coalesce(F.col(text), F.lit(""))))
     found = found.join(by_text, F.col(doc_key) == F.col(text_key), "left").withColumn(lines, lines_of(F.col(text)))
     goes = lambda line: F.array_contains(F.col(drop), key_of(form_of(line))) & (F.length(form_of(line)) >= min_chars)

@@ -1,0 +1,46 @@
+"""Line spread against sets of sites."""
+
+import pytest
+
+from footfall.llm import line_spread
+
+DDL = "doc_id long, source string, text string, n_lines string, cleaned int"
+
+
+def rows():
+    result = []
+    for i in range(60):
+        lines = [f"line number {i} is its own", "", "short"]
+        lines += [f"on {n} sites as boilerplate" for n in range(1, 31) if i % 30 < n]
+        result.append((i, f"site{i % 30}", "\n".join(lines), "x", 1))
+    result += [(100 + i, "site0", "many times on one site only", "x", 1) for i in range(40)]
+    result += [(200, None, None, None, None), (201, "s", "", "x", 1), (None, "t", "  on 30 sites as boilerplate\t\nkept line here", "x", 1)]
+    result += [(202, None, "many times on one site only", "x", 1), (203, "s", "x" * 100_000 + "\non 30 sites as boilerplate", "x", 1)]
+    return result + result[:3]
+
+
+def brute_force(data, min_sites, min_chars):
+    sites = {}
+    for _, site, text, *_ in data:
+        for line in (text or "").split("\n"):
+            sites.setdefault(line.strip(" \t\r"), set()).update({site} - {None})
+    cleaned = []
+    for doc_id, _, text, *_ in data:
+        lines = (text or "").split("\n")
+        stay = [x for x in lines if len(sites[x.strip(" \t\r")]) < min_sites or len(x.strip(" \t\r")) < min_chars]
+        cleaned.append((str(doc_id), "\n".join(stay), len(lines), len(lines) - len(stay)))
+    return sorted(cleaned)
+
+
+@pytest.mark.parametrize(("min_sites", "precision"), [(10, 12), (3, 12), (20, 4)])
+def test_equals_sets_of_sites(spark, min_sites, precision):
+    docs = spark.createDataFrame(rows(), DDL)
+    result, names = line_spread.without_boilerplate(docs, min_sites=min_sites, precision=precision)
+    assert result.columns == [*docs.columns, *names] and len({c.lower() for c in result.columns}) == 8
+    found = sorted((str(r.doc_id), *(r[n] for n in names)) for r in result.collect())
+    assert found == brute_force(rows(), min_sites, 12)
+    assert sum(r[3] for r in found) > 50
+
+
+def test_empty_table(spark):
+    assert line_spread.digest(spark.createDataFrame([], DDL)).count() == 0
