@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.common import free_names, stored
+
 # Sentences of public licence notices, by identifier.
 SENTENCES = {
     1: "Released under the MIT License.",
@@ -35,7 +37,8 @@ SENTENCES = {
     "with the License.",
     7: "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0.",
     8: "This work is licensed under the GNU General Public License, version 3.",
-    9: "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    9: "This program is free software:",
+    21: "you can redistribute it and/or modify it under the terms of the GNU General Public "
     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
     "version.",
     10: "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
@@ -57,13 +60,13 @@ SENTENCES = {
 
 # Rules in the order in which they take sentences.
 RULES = [
-    ("GPL-3.0-or-later", [9, 10, 11]),
-    ("GPL-3.0-or-later", [9, 10]),
+    ("GPL-3.0-or-later", [9, 21, 10, 11]),
+    ("GPL-3.0-or-later", [9, 21, 10]),
     ("BSD-3-Clause", [16, 17, 18]),
     ("BSD-2-Clause", [16, 17]),
     ("MIT", [3, 4]),
     ("Apache-2.0", [6, 7]),
-    ("GPL-3.0-or-later", [9]),
+    ("GPL-3.0-or-later", [9, 21]),
     ("GPL-3.0", [8]),
     ("Apache-2.0", [6]),
     ("Apache-2.0", [5]),
@@ -158,8 +161,6 @@ def scan(
     rules: list[tuple[str, list[int]]] = RULES,
 ) -> tuple[DataFrame, list[str]]:
     """The rows of ``docs`` with two columns more, and their names: licences (sorted), n_sentences."""
-    from footfall.llm.common import free_names
-
     licences, count = names = free_names(docs, "licences", "n_sentences")
     own, other = free_names(docs, "licence_doc_key", "licence_text_key")
     read = sequences(docs, text, sentences).withColumn("found", matches(F.col("sequence"), rules))
@@ -167,6 +168,8 @@ def scan(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias(licences),
         F.max("n_sentences").alias(count),
     )
+    # as a table it has one row per text, and a join with many copies of a text can be split at run time
+    by_text = stored(by_text, "licences")
     result = docs.withColumn(own, text_key(text)).join(by_text, F.col(own) == F.col(other), "left")
     return result.select(
         *docs.columns,
