@@ -5,7 +5,9 @@ Each query applies its operator, with production parameters, to the whole of its
 
 from __future__ import annotations
 
-from footfall.llm import chunked_bpe, exact_dedup, language, licences, line_spread, packing, quality, simhash, topk
+from footfall.llm import (
+    backoff, chunked_bpe, exact_dedup, language, licences, line_spread, packing, quality, simhash, topk,
+)
 from footfall.llm.common import documents
 
 
@@ -14,6 +16,7 @@ def labels(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_backoff": lambda spark, sf_dir: backoff.digest(documents(spark, sf_dir)),
     "op2_quality": lambda spark, sf_dir: quality.digest(documents(spark, sf_dir), labels(spark, sf_dir)),
     "op3_topk": lambda spark, sf_dir: topk.digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
     "op4_language": lambda spark, sf_dir: language.digest(documents(spark, sf_dir)),
@@ -26,6 +29,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_backoff": backoff.ORACLE_SQL,
     "op3_topk": topk.ORACLE_SQL,
     "op5_line_spread": line_spread.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
