@@ -6,13 +6,15 @@ of the longest n-gram that others have, ``count(n-gram) / count(its context)``,
 each order that failed; a word that no other document has counts as a frequency of one, times
 ``alpha`` once more. A document's score is the sum of the logarithms.
 
-1. Groups: texts are gathered into rows of a few megabytes, in a shared table.
+1. Groups: texts are gathered into rows of a few megabytes, in a shared table with buckets.
 2. Requests: a group sends the 64-bit hash and count of each of its distinct n-grams to the slice
    of the hash range that it belongs to. A slice has a fixed share of the hashes, and there are
    as many slices as the corpus is large.
 3. Count tables: a slice adds up the counts of all groups for each hash and order, and answers
    every request with the totals.
-4. Scores: a group meets its answers, takes off each document's own counts, and sums up.
+4. Higher orders: an n-gram can be in another document only if its two parts are, so from three
+   words on a group asks for those n-grams only whose parts the answers so far have found.
+5. Scores: a group joins its answers, takes off each document's own counts, and sums up.
 
 An n-gram that is in every document is one number per group and never a hot key; what a task
 holds is one slice of one order, or one group. Hashes and counts are packed for the shuffle.
@@ -24,6 +26,7 @@ and no mean; repeated rows are documents of their own; an empty table gives an e
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.common import ASCII_SPACE, stored
 from footfall.llm.tokens import utf8
+from footfall.session import work_dir
 
 GROUP_BYTES = 6 << 20
 SLICE_CHARS = 2 << 20
@@ -117,24 +121,37 @@ def unpack_group(body: bytes) -> tuple[pa.Array, list[bytes]]:
     return table.column(0).combine_chunks() if table.num_rows else pa.array([]), table.column(1).to_pylist()
 
 
-def group_scores(
-    totals: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, words: int, alpha: float
-) -> np.ndarray:
-    """Summed micro-logarithms of each document.
+def known_elsewhere(
+    words: np.ndarray, sizes: np.ndarray, order: int, totals: dict[int, np.ndarray]
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Per order, how often other documents have the n-gram that ends at each position of a group.
 
-    ``totals``: for each order, at each position that has such an n-gram, the n-gram's count in the
-    corpus and its number in the group.
+    ``totals``: for each order that is known the corpus counts of the group's distinct n-grams, in
+    the order of their hashes. With those of lower orders only, the last two results are the next
+    order's distinct hashes and their counts in the group.
     """
     place, doc = places(sizes), np.repeat(np.arange(len(sizes)), sizes)
-    others = []  # per order, what other documents have of the n-gram at each position
-    for n, (total, number) in enumerate(totals, 1):
+    others: list[np.ndarray] = []
+    distinct, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for n, hashes in enumerate(ngram_hashes(words, order), 1):
+        can = place >= n - 1
+        if n > 2:  # an n-gram that others have is made of parts that others have
+            can &= (others[-1] > 0) & np.concatenate([[False], others[-1][:-1] > 0])[: len(can)]
+        at = np.flatnonzero(can)
+        distinct, number, counts = np.unique(hashes[at], return_inverse=True, return_counts=True)
+        if n not in totals:
+            break
+        _, which, own = np.unique(doc[at] * np.int64(len(distinct) + 1) + number, return_inverse=True, return_counts=True)
         count = np.zeros(len(place), np.int64)
-        at = np.flatnonzero(place >= n - 1)
-        key = doc[at] * np.int64(int(number.max(initial=0)) + 1) + number
-        _, which, own = np.unique(key, return_inverse=True, return_counts=True)
-        count[at] = total - own[which]
+        count[at] = totals[n][number].astype(np.int64) - own[which]
         others.append(count)
-    order = len(totals)
+    return others, distinct, counts
+
+
+def group_scores(others: list[np.ndarray], sizes: np.ndarray, words: int, alpha: float) -> np.ndarray:
+    """Summed micro-logarithms of each document."""
+    place, doc = places(sizes), np.repeat(np.arange(len(sizes)), sizes)
+    order = len(others)
     longest = np.minimum(place + 1, order)
     rest = np.maximum(1, words - sizes[doc])
     chance = np.where(others[0] > 0, others[0], alpha)
@@ -152,6 +169,88 @@ def group_scores(
     return sums[ends] - sums[ends - sizes]
 
 
+def request(group: int, n: int, distinct: np.ndarray, counts: np.ndarray, slices: int) -> pa.RecordBatch:
+    """What a group sends to each slice for one order."""
+    edges = np.searchsorted(slice_of(distinct, slices), np.arange(slices + 1))
+    full = np.flatnonzero(np.diff(edges))
+    spans = [slice(edges[s], edges[s + 1]) for s in full]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(full, pa.int64()),
+            pa.array([n] * len(full), pa.int64()),
+            pa.array([group] * len(full), pa.int64()),
+            pa.array([press_sorted(distinct[s]) for s in spans], pa.binary()),
+            pa.array([press(counts[s].astype(np.uint32)) for s in spans], pa.binary()),
+        ],
+        ["slice", "n", "group", "hashes", "counts"],
+    )
+
+
+REQUEST = "slice long, n long, group long, hashes binary, counts binary"
+
+
+def answered(requests: DataFrame) -> DataFrame:
+    """group, n, slice, body: the corpus counts of the hashes of each request, in their order."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The count table of one slice and order at a time, and what it answers to each group."""
+        at, held = None, []
+
+        def answers():
+            hashes = [expand_sorted(blob) for _, blob, _ in held]
+            counts = np.concatenate([expand(blob, np.uint32) for _, _, blob in held])
+            _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+            total = np.bincount(which, weights=counts).astype(np.uint64)[which]
+            ends = np.cumsum([len(h) for h in hashes])
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([group for group, _, _ in held], pa.int64()),
+                    pa.array([at[1]] * len(held), pa.int64()),
+                    pa.array([at[0]] * len(held), pa.int64()),
+                    pa.array([press(part) for part in np.split(total, ends[:-1])], pa.binary()),
+                ],
+                ["group", "n", "slice", "body"],
+            )
+
+        for batch in batches:
+            for part, n, group, hashes, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != (part, n) and held:
+                    yield answers()
+                    held = []
+                at = (part, n)
+                held.append((group, hashes, counts))
+        if held:
+            yield answers()
+
+    dealt = requests.repartition("slice").sortWithinPartitions("slice", "n")
+    return stored(dealt.mapInArrow(add_up, "group long, n long, slice long, body binary"), "backoff-counts")
+
+
+def with_answers(groups: DataFrame, answers: DataFrame) -> DataFrame:
+    """group, body, answers: a row for each group; the groups' texts stay in their buckets."""
+    by_group = answers.groupBy("group").agg(F.collect_list(F.struct("n", "slice", "body")).alias("answers"))
+    return groups.select("group", "body").join(by_group, "group", "left")
+
+
+def totals_of(answers: list[dict] | None) -> dict[int, np.ndarray]:
+    totals: dict[int, list] = {}
+    for answer in sorted(answers or [], key=lambda a: (a["n"], a["slice"])):
+        totals.setdefault(answer["n"], []).append(expand(answer["body"], np.uint64))
+    return {n: np.concatenate(parts) for n, parts in totals.items()}
+
+
+def in_buckets(frame: DataFrame, name: str, by: str) -> DataFrame:
+    """A shared table with the rows of a key's hash in files of their own, so that joins do not move it."""
+    spark = frame.sparkSession
+    table = f"footfall_{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = frame.write.option("path", work_dir(spark, name)).option("compression", "zstd")
+    writer.bucketBy(buckets, by).sortBy(by).saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only; the files stay
+    return found
+
+
 def scores(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = 3, alpha: float = 0.4
 ) -> DataFrame:
@@ -188,110 +287,49 @@ def scores(
         if held:
             yield group()
 
-    groups = stored(
-        docs.mapInArrow(gather, "words long, body binary").select(F.monotonically_increasing_id().alias("group"), "*"),
-        "backoff-groups",
-    )
+    numbered = docs.mapInArrow(gather, "words long, body binary").select(F.monotonically_increasing_id().alias("group"), "*")
+    groups = in_buckets(numbered, "backoff_groups", "group")
     words = groups.agg(F.sum("words")).first()[0] or 0
     slices = max(1, -(-(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // SLICE_CHARS))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Requests for single words and pairs."""
         for batch in batches:
             for group, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 word, sizes = word_hashes(unpack_group(body)[1])
                 place = places(sizes)
-                for n, hashes in enumerate(ngram_hashes(word, order), 1):
-                    distinct, counts = np.unique(hashes[place >= n - 1], return_counts=True)
-                    edges = np.searchsorted(slice_of(distinct, slices), np.arange(slices + 1))
-                    full = np.flatnonzero(np.diff(edges))
-                    spans = [slice(edges[s], edges[s + 1]) for s in full]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(full, pa.int64()),
-                            pa.array([n] * len(full), pa.int64()),
-                            pa.array([group] * len(full), pa.int64()),
-                            pa.array([press_sorted(distinct[s]) for s in spans], pa.binary()),
-                            pa.array([press(counts[s].astype(np.uint32)) for s in spans], pa.binary()),
-                        ],
-                        ["slice", "n", "group", "hashes", "counts"],
-                    )
+                for n, hashes in enumerate(ngram_hashes(word, min(order, 2)), 1):
+                    yield request(group, n, *np.unique(hashes[place >= n - 1], return_counts=True), slices)
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The count table of one slice and order at a time, and what it answers to each group."""
-        at, held = None, []
+    answers = answered(groups.select("group", "body").mapInArrow(ask, REQUEST))
+    for n in range(3, order + 1):
 
-        def answers():
-            hashes = [expand_sorted(blob) for _, blob, _ in held]
-            counts = np.concatenate([expand(blob, np.uint32) for _, _, blob in held])
-            _, which = np.unique(np.concatenate(hashes), return_inverse=True)
-            total = np.bincount(which, weights=counts).astype(np.uint64)[which]
-            ends = np.cumsum([len(h) for h in hashes])
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([group for group, _, _ in held], pa.int64()),
-                    pa.array([at[1]] * len(held), pa.int64()),
-                    pa.array([at[0]] * len(held), pa.int64()),
-                    pa.array([press(part) for part in np.split(total, ends[:-1])], pa.binary()),
-                ],
-                ["group", "n", "slice", "body"],
-            )
-
-        for batch in batches:
-            for part, n, group, hashes, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != (part, n) and held:
-                    yield answers()
-                    held = []
-                at = (part, n)
-                held.append((group, hashes, counts))
-        if held:
-            yield answers()
+        def ask_next(batches: Iterator[pa.RecordBatch], n: int = n) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for group, body, found in zip(*(c.to_pylist() for c in batch.columns)):
+                    word, sizes = word_hashes(unpack_group(body)[1])
+                    _, distinct, counts = known_elsewhere(word, sizes, n, totals_of(found))
+                    yield request(group, n, distinct, counts, slices)
 
-    requests = groups.select("group", "body").mapInArrow(ask, "slice long, n long, group long, hashes binary, counts binary")
-    totals = (
-        requests.repartition("slice")
-        .sortWithinPartitions("slice", "n")
-        .mapInArrow(add_up, "group long, n long, slice long, body binary")
-    )
+        answers = answers.unionByName(answered(with_answers(groups, answers).mapInArrow(ask_next, REQUEST)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A group's texts come first, then its answers by order and slice."""
-        held: tuple | None = None  # group, texts, answers
-
-        def result():
-            _, body, answers = held
-            ids, texts = unpack_group(body)
-            word, sizes = word_hashes(texts)
-            place = places(sizes)
-            found = []
-            for n, hashes in enumerate(ngram_hashes(word, order), 1):
-                total = np.concatenate([np.empty(0, np.uint64), *(expand(blob, np.uint64) for m, blob in answers if m == n)])
-                _, number = np.unique(hashes[place >= n - 1], return_inverse=True)
-                found.append((total.astype(np.int64)[number], number))
-            micro = group_scores(found, sizes, words, alpha)
-            logs = micro / MICRO
-            mean = [value / n if n else None for value, n in zip(logs.tolist(), sizes.tolist())]
-            return pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(logs, pa.float64()), pa.array(mean, pa.float64())],
-                ["doc_id", "n_words", "log_score", "mean_log"],
-            )
-
         for batch in batches:
-            for group, n, _, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if n == 0:
-                    if held:
-                        yield result()
-                    held = (group, body, [])
-                else:
-                    held[2].append((n, body))
-        if held:
-            yield result()
-
-    texts = groups.select("group", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("slice"), "body")
-    return (
-        texts.unionByName(totals)
-        .repartition("group")
-        .sortWithinPartitions("group", "n", "slice")
-        .mapInArrow(score, f"doc_id {id_type}, n_words long, log_score double, mean_log double")
+            for _, body, found in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, texts = unpack_group(body)
+                word, sizes = word_hashes(texts)
+                totals = totals_of(found)
+                none = np.empty(0, np.uint64)
+                others, _, _ = known_elsewhere(word, sizes, order, {n: totals.get(n, none) for n in range(1, order + 1)})
+                logs = group_scores(others, sizes, words, alpha) / MICRO
+                mean = [value / n if n else None for value, n in zip(logs.tolist(), sizes.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(sizes, pa.int64()), pa.array(logs, pa.float64()), pa.array(mean, pa.float64())],
+                    ["doc_id", "n_words", "log_score", "mean_log"],
+                )
+
+    return with_answers(groups, answers).mapInArrow(
+        score, f"doc_id {id_type}, n_words long, log_score double, mean_log double"
     )
 
 
