@@ -5,7 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.schema import CORRUPT_COLUMN, DEVICES, EVENT_TYPES, QUANTITY_RANGE
+from footfall.schema import (
+    ARRIVAL, CORRUPT_COLUMN, DEVICES, EVENT_TYPES, QUANTITY_RANGE, TIMESTAMP_RANGE,
+)
+
+#: How far an event's clock may be ahead of its arrival.
+AHEAD = "1 hour"
+
+
+def implausible_time(events: DataFrame) -> Column:
+    """Whether a timestamp is outside the plausible range, or later than the event's arrival.
+
+    False without a timestamp. Arrival counts where the column is there.
+    """
+    first, end = (F.lit(day).cast("timestamp") for day in TIMESTAMP_RANGE)
+    odd = (F.col("timestamp") < first) | (F.col("timestamp") >= end)
+    if ARRIVAL in events.columns:
+        ahead = F.col("timestamp") > F.col(ARRIVAL) + F.expr(f"INTERVAL {AHEAD}")
+        odd = odd | F.coalesce(ahead, F.lit(False))
+    return F.coalesce(odd, F.lit(False))
+
+
+def not_finite(column: Column) -> Column:
+    """Whether a number is NaN or infinite; false for NULL."""
+    return F.coalesce(F.isnan(column) | (F.abs(column) == F.lit(float("inf"))), F.lit(False))
 
 
 def event_rules(events: DataFrame) -> dict[str, Column]:
@@ -27,6 +50,8 @@ def event_rules(events: DataFrame) -> dict[str, Column]:
         & fails(F.col("quantity").between(*QUANTITY_RANGE)),
         "purchase_without_order": is_type("purchase") & F.col("order_id").isNull(),
         "purchase_amount_not_positive": is_type("purchase") & fails(F.col("total_amount") > 0),
+        "timestamp_implausible": implausible_time(events),
+        "amount_not_finite": not_finite(F.col("total_amount")),
     }
     if CORRUPT_COLUMN in events.columns:
         rules["unparseable"] = F.col(CORRUPT_COLUMN).isNotNull()
@@ -43,4 +68,4 @@ def validate_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split events into (valid, rejected); rejected rows name the rules they break."""
     marked = mark_failed_rules(events)
     passes = F.size("failed_rules") == 0
-    return marked.filter(passes).drop("failed_rules", CORRUPT_COLUMN), marked.filter(~passes)
+    return marked.filter(passes).drop("failed_rules", CORRUPT_COLUMN, ARRIVAL), marked.filter(~passes)

@@ -9,26 +9,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.rules import event_rules
-from footfall.schema import EVENT_COLUMNS, EVENT_TYPES
+from footfall.schema import EVENT_COLUMNS, EVENT_TYPES, TIMESTAMP_RANGE
 
 OTHER = "other"
 
 
-def daily_counts(events: DataFrame) -> DataFrame:
+def daily_counts(events: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Events per calendar day and type, with zeros, from the first day to the last.
 
     One scan reduces to one row per day; all else happens on those rows. Types outside
-    the known domain are counted together as ``other``.
+    the known domain are counted together as ``other``. Without ``first`` and ``last`` the
+    series covers the days of events with a plausible time. Events outside the series are
+    counted by type in rows without a day, so one bad date costs a row and not a long series.
     """
     event_type = F.col("event_type")
     known = [F.count_if(event_type == name).alias(name) for name in EVENT_TYPES]
     unknown = F.count_if(~F.coalesce(event_type.isin(EVENT_TYPES), F.lit(False))).alias(OTHER)
-    present = (
+    types = [*EVENT_TYPES, OTHER]
+    per_day = (
         events.filter(F.col("timestamp").isNotNull())
         .groupBy(F.to_date("timestamp").alias("day"))
         .agg(*known, unknown)
-        .unpivot("day", [*EVENT_TYPES, OTHER], "event_type", "events")
     )
+    inside = F.col("day").between(*(
+        F.lit(given).cast("date") if given else default
+        for given, default in (
+            (first, F.lit(TIMESTAMP_RANGE[0]).cast("date")),
+            (last, F.date_sub(F.lit(TIMESTAMP_RANGE[1]).cast("date"), 1)),
+        )
+    ))
+    counts = per_day.unpivot("day", types, "event_type", "events")
+    outside = (
+        counts.filter(~inside & (F.col("events") > 0))
+        .groupBy("event_type")
+        .agg(F.sum("events").alias("events"))
+        .select("event_type", F.lit(None).cast("date").alias("day"), "events")
+    )
+    present = counts.filter(inside)
+    ends = [day for day in (first, last) if day]
+    if ends:
+        zeros = events.sparkSession.createDataFrame(
+            [(day, name, 0) for day in ends for name in types], "day string, event_type string, events long"
+        ).withColumn("day", F.col("day").cast("date"))
+        present = present.unionByName(zeros).groupBy("day", "event_type").agg(F.sum("events").alias("events"))
     next_day = F.lead("day").over(Window.partitionBy("event_type").orderBy("day"))
     up_to = F.coalesce(F.date_sub(next_day, 1), "day")
     return present.select(
@@ -37,22 +60,25 @@ def daily_counts(events: DataFrame) -> DataFrame:
         "event_type",
         F.explode(F.sequence("first", "up_to")).alias("day"),
         F.when(F.col("day") == F.col("first"), F.col("events")).otherwise(0).alias("events"),
-    )
+    ).unionByName(outside)
 
 
-def dq_zscore(events: DataFrame, days: int = 7) -> DataFrame:
+def dq_zscore(
+    events: DataFrame, days: int = 7, first: str | None = None, last: str | None = None
+) -> DataFrame:
     """Daily events per type as a z-score against the ``days`` calendar days before.
 
     ``z_score`` is NULL while there are fewer than ``days`` earlier days, and where
-    those all have the same count.
+    those all have the same count. Rows without a day count events outside the series.
     """
     if days < 2:
         raise ValueError("days must be at least 2")
-    before = Window.partitionBy("event_type").orderBy("day").rowsBetween(-days, -1)
+    dated = F.col("day").isNotNull()
+    before = Window.partitionBy("event_type", dated).orderBy("day").rowsBetween(-days, -1)
     enough = F.count("*").over(before) == days
     mean, std = F.avg("events").over(before), F.stddev_samp("events").over(before)
     return (
-        daily_counts(events)
+        daily_counts(events, first, last)
         .withColumns({"mean_before": F.when(enough, mean), "std_before": F.when(enough, std)})
         .withColumn(
             "z_score", F.try_divide(F.col("events") - F.col("mean_before"), F.col("std_before"))

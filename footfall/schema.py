@@ -27,7 +27,12 @@ FEATURE_COLUMNS = [
 RADAR_METRICS = FEATURE_COLUMNS[:5]
 DETAIL_METRICS = FEATURE_COLUMNS[:7]
 
+# What a timestamp may be; an event dated outside was written by a broken clock.
+TIMESTAMP_RANGE = ("2000-01-01", "2100-01-01")
+
 CORRUPT_COLUMN = "_corrupt_record"
+#: When a stream received an event; a column so that reading again gives the same verdict.
+ARRIVAL = "arrived_at"
 EVENT_DATE = "event_date"
 
 # ISO-8601 without a zone and with every microsecond, as events are published.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.schema import CORRUPT_COLUMN, EVENT_COLUMNS, EVENT_DDL, ISO_MICROS
+from footfall.schema import ARRIVAL, CORRUPT_COLUMN, EVENT_COLUMNS, EVENT_DDL, ISO_MICROS
 
 PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
@@ -24,20 +24,32 @@ def read_events(spark: SparkSession, path: str, keep_corrupt: bool = False) -> D
 
 
 def stream_events(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """JSON files arriving in a folder as an event stream, corrupt lines kept."""
+    """JSON files arriving in a folder as an event stream, corrupt lines kept.
+
+    An event has arrived when its file was written.
+    """
     reader = spark.readStream.schema(event_ddl(True)).options(**PERMISSIVE, **options)
-    return reader.json(path)
+    return reader.json(path).select("*", F.col("_metadata.file_modification_time").alias(ARRIVAL))
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """A Kafka topic as an event stream; needs Spark's Kafka package on the classpath."""
-    messages = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .options(**options)
-        .load()
-    )
+def kafka_options(
+    servers: str, topic: str, starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None
+) -> dict[str, str]:
+    """Reader options of a topic. A new checkpoint begins with the topic's first message."""
+    options = {
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets,
+    }
+    if max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
+
+
+def kafka_events(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """A Kafka topic as an event stream; needs Spark's Kafka package on the classpath.
+
+    ``options`` are those of ``kafka_options``. An event has arrived at its message's time.
+    """
+    messages = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
     return decode_events(messages)
 
 
@@ -54,17 +66,23 @@ def encode_events(events: DataFrame) -> DataFrame:
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
-    """Event columns of JSON messages, plus the text of those that do not parse."""
+    """Event columns of JSON messages, the text of those that do not parse, and a message's time."""
     text = F.col("value").cast("string")
     event = F.from_json(text, event_ddl(True), PERMISSIVE)
-    return messages.select(event.alias("event")).select("event.*")
+    arrived = [F.col("timestamp").alias(ARRIVAL)] if "timestamp" in messages.columns else []
+    return messages.select(event.alias("event"), *arrived).select("event.*", *[ARRIVAL] * len(arrived))
+
+
+def event_lines(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines as messages, each as it is, whether it parses or not; blank lines are left out."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(F.encode("value", "UTF-8").alias("value"))
 
 
-def publish_events(events: DataFrame, servers: str, topic: str) -> None:
-    """Append events to a Kafka topic, without a key."""
+def publish_messages(messages: DataFrame, servers: str, topic: str) -> None:
+    """Append messages to a Kafka topic, without a key."""
     (
-        encode_events(events)
-        .write.format("kafka")
+        messages.write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .save()

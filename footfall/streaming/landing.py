@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.rules import mark_failed_rules
-from footfall.schema import CORRUPT_COLUMN, EVENT_DATE
+from footfall.functions.time_range import utc_day
+from footfall.schema import ARRIVAL, CORRUPT_COLUMN, EVENT_DATE
 
 
 def with_landing_columns(events: DataFrame) -> DataFrame:
     """Add the rule verdict and the UTC date that partition the landed table."""
     verdict = F.when(F.size("failed_rules") == 0, "valid").otherwise("rejected")
-    micros, day = F.unix_micros("timestamp"), F.lit(86_400_000_000)
-    utc_day = F.date_from_unix_date(((micros - F.pmod(micros, day)) / day).cast("int"))
-    if CORRUPT_COLUMN not in events.columns:
-        events = events.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
-    return mark_failed_rules(events).withColumns({"verdict": verdict, EVENT_DATE: utc_day})
+    for column, kind in ((CORRUPT_COLUMN, "string"), (ARRIVAL, "timestamp")):
+        if column not in events.columns:
+            events = events.withColumn(column, F.lit(None).cast(kind))
+    return mark_failed_rules(events).withColumns(
+        {"verdict": verdict, EVENT_DATE: utc_day(F.col("timestamp"))}
+    )
 
 
 def land_events(

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from footfall.functions.rules import implausible_time, mark_failed_rules
+from footfall.functions.time_range import utc_day
 from footfall.operators.features import (
     KEYS, event_counts, known_users, merged_features, named, spread_keys,
 )
 from footfall.operators.temporal import seconds
-from footfall.schema import EVENT_COLUMNS
+from footfall.schema import EVENT_COLUMNS, ISO_MICROS
 
 
 def fresh_events(
@@ -20,16 +22,33 @@ def fresh_events(
 ) -> DataFrame:
     """Events of known users under a watermark, without redelivered copies.
 
-    ``identity`` names the columns two copies of one event share; None keeps copies.
+    Events whose time breaks a rule stay out: one from the far future would move the
+    watermark there and close every day before it. ``identity`` names the columns two
+    copies of one event share; None keeps copies. Of several columns the state holds a
+    digest, 32 bytes per event inside the watermark.
     """
-    timed = known_users(events).withWatermark("timestamp", watermark)
-    return timed if identity is None else timed.dropDuplicatesWithinWatermark(list(identity))
+    timed = known_users(events).filter(F.col("timestamp").isNotNull() & ~implausible_time(events))
+    timed = timed.withWatermark("timestamp", watermark)
+    if identity is None:
+        return timed
+    identity = list(identity)
+    if len(identity) == 1:
+        return timed.dropDuplicatesWithinWatermark(identity)
+    told = F.to_json(F.struct(*identity), {"timestampFormat": ISO_MICROS})
+    told = timed.withColumn("copy_of", F.unhex(F.sha2(told, 256)))
+    return told.dropDuplicatesWithinWatermark(["copy_of"]).drop("copy_of")
+
+
+def rejected_times(events: DataFrame) -> DataFrame:
+    """Events that the streams leave out for their time, with the rules they break."""
+    wrong = F.col("timestamp").isNull() | implausible_time(events)
+    return mark_failed_rules(events).filter(wrong)
 
 
 def live_daily_features(
     events: DataFrame, watermark: str = "1 hour", identity: Iterable[str] | None = EVENT_COLUMNS
 ) -> DataFrame:
-    """The exact feature row per user and day, emitted once the watermark closes the day.
+    """The exact feature row per user and UTC day, emitted once the watermark closes the day.
 
     Same two levels as in batch: state is one row per open (user, session) and
     (user, page), never a set that grows inside one row. Later events are dropped.
@@ -41,7 +60,7 @@ def live_daily_features(
     )
     day = F.window(F.window_time("window"), "1 day")
     per_day = key_rows.groupBy(day, "user_id").agg(*named(merged_features()))
-    return per_day.withColumn("window", F.to_date("window.start")).withColumnRenamed("window", "day")
+    return per_day.withColumn("window", utc_day(F.col("window.start"))).withColumnRenamed("window", "day")
 
 
 def live_sessions(
@@ -91,11 +110,15 @@ def stream_features(
     gap_seconds: int = 1800,
     identity: Iterable[str] | None = EVENT_COLUMNS,
     trigger: dict | None = None,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both streams: daily features below ``path/daily``, sessions below ``path/sessions``."""
+) -> tuple[StreamingQuery, ...]:
+    """Start the streams: ``path/daily``, ``path/sessions``, and ``path/rejected`` for impossible times.
+
+    A run that stops at the end of its input does not emit the days still open.
+    """
     daily = live_daily_features(events, watermark, identity)
     sessions = live_sessions(events, gap_seconds, watermark, identity)
     return (
         start_append(daily, f"{path}/daily", f"{checkpoint}/daily", trigger),
         start_append(sessions, f"{path}/sessions", f"{checkpoint}/sessions", trigger),
+        start_append(rejected_times(events), f"{path}/rejected", f"{checkpoint}/rejected", trigger),
     )

@@ -207,6 +207,11 @@ def test_each_rule(make_events):
         ({**buy, "order_id": None}, ["purchase_without_order"]),
         ({**buy, "total_amount": 0.0}, ["purchase_amount_not_positive"]),
         ({**buy, "total_amount": None}, ["purchase_amount_not_positive"]),
+        ({**buy, "total_amount": float("nan")}, ["amount_not_finite"]),
+        ({**buy, "total_amount": float("inf")}, ["amount_not_finite"]),
+        ({**buy, "total_amount": float("-inf")}, ["purchase_amount_not_positive", "amount_not_finite"]),
+        ({**buy, "timestamp": "2999-01-01T00:00:00"}, ["timestamp_implausible"]),
+        ({**buy, "timestamp": "1970-01-01T00:00:00"}, ["timestamp_implausible"]),
         ({}, ["user_missing", "session_missing", "timestamp_missing", "event_type_unknown",
               "device_unknown"]),
     ]

@@ -100,6 +100,19 @@ def test_zscore_counts_silent_days_as_zero(make_events):
     assert all(r.z_score is None for r in series if r.event_type == "search")
 
 
+def test_one_bad_date_makes_no_long_series(make_events):
+    rows = [{"user_id": "u", "event_type": "click", "timestamp": t} for t in (
+        "2024-01-01T00:00:00", "2024-01-03T00:00:00", "9998-01-01T00:00:00", "1970-01-01T00:00:00",
+    )]
+    series = quality.daily_counts(make_events(rows)).collect()
+    assert len(series) == 3 * 6 + 1
+    assert sum(r.events for r in series) == 4
+    assert [(r.event_type, r.events) for r in series if r.day is None] == [("click", 2)]
+    scored = quality.dq_zscore(make_events(rows), first="2024-01-02", last="2024-01-12").collect()
+    assert len(scored) == 11 * 6 + 1 and sum(r.events for r in scored) == 4
+    assert [r.events for r in scored if r.day is None] == [3]
+
+
 def test_failure_and_null_rates(make_events):
     good = {
         "user_id": "u", "session_id": "s", "timestamp": "2025-04-01T00:00:00",

@@ -12,7 +12,7 @@ from footfall.operators import features, temporal
 from footfall.sources.events import read_events, stream_events, write_json_events
 from footfall.sources.tables import read_landed
 from footfall.streaming.landing import land_events
-from footfall.streaming.live import live_daily_features, live_sessions, start_append
+from footfall.streaming.live import live_daily_features, live_sessions, start_append, stream_features
 
 GAP = 4 * 3600
 
@@ -152,7 +152,7 @@ def test_landed_days_prune_and_agree_with_the_source(spark, events, tmp_path):
         stream_events(spark, f"{tmp_path}/in"), f"{tmp_path}/landed", f"{tmp_path}/checkpoint"
     ).awaitTermination()
     landed = read_landed(spark, f"{tmp_path}/landed", verdict=None).drop(
-        "_corrupt_record", "failed_rules", "verdict"
+        "_corrupt_record", "arrived_at", "failed_rules", "verdict"
     )
     day = filter_range(landed, "2024-01-10", "2024-01-10")
     assert same(day.drop("event_date"), filter_range(read_events(spark, f"{tmp_path}/in"), "2024-01-10", "2024-01-10"))
@@ -160,6 +160,54 @@ def test_landed_days_prune_and_agree_with_the_source(spark, events, tmp_path):
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def seven_days(make_events, folder, *more):
+    day = datetime(2025, 4, 1)
+    write_batches(make_events, folder, [
+        [event(f"u{i}", day + timedelta(days=number, hours=12, minutes=i)) for i in range(5)]
+        + (list(more) if number == 1 else [])
+        for number in range(7)
+    ])
+
+
+def test_one_impossible_time_closes_no_day(spark, make_events, tmp_path):
+    found = {}
+    for name, more in (("good", []), ("bad", [event("u1", datetime(2999, 1, 1)), event("u2", None)])):
+        seven_days(make_events, f"{tmp_path}/{name}", *more)
+        stream = stream_events(spark, f"{tmp_path}/{name}/*", maxFilesPerTrigger="1")
+        for query in stream_features(stream, f"{tmp_path}/{name}-out", f"{tmp_path}/{name}-cp"):
+            query.awaitTermination()
+        found[name] = spark.read.parquet(f"{tmp_path}/{name}-out/daily")
+    assert {r.day.isoformat() for r in found["bad"].collect()} == {f"2025-04-0{d}" for d in range(1, 7)}
+    assert same(found["good"], found["bad"])
+    rejected = spark.read.parquet(f"{tmp_path}/bad-out/rejected").collect()
+    assert sorted(r.failed_rules for r in rejected) == [["timestamp_implausible"], ["timestamp_missing"]]
+
+
+def test_events_later_than_their_arrival_are_rejected(spark, make_events, tmp_path):
+    soon = datetime.now() + timedelta(days=3)
+    write_batches(make_events, f"{tmp_path}/in", [[event("a", soon), event("b", datetime(2025, 4, 1))]])
+    land_events(
+        stream_events(spark, f"{tmp_path}/in/*"), f"{tmp_path}/landed", f"{tmp_path}/checkpoint"
+    ).awaitTermination()
+    assert [r.user_id for r in read_landed(spark, f"{tmp_path}/landed").collect()] == ["b"]
+    assert [r.user_id for r in read_landed(spark, f"{tmp_path}/landed", "rejected").collect()] == ["a"]
+    assert read_landed(spark, f"{tmp_path}/landed", "parsed").count() == 2
+
+
+def test_live_days_are_utc_days_in_any_time_zone(spark, make_events, tmp_path):
+    write_batches(make_events, f"{tmp_path}/in", [
+        [event("a", datetime(2025, 4, 1, 1))], [event("b", datetime(2025, 4, 3))], [event("b", datetime(2025, 4, 4))],
+    ])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stream = stream_events(spark, f"{tmp_path}/in/*", maxFilesPerTrigger="1")
+        rows = run(live_daily_features(stream), tmp_path / "out").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # written in UTC without a zone, so read as New York time: five in the morning UTC
+    assert [(r.user_id, r.day.isoformat()) for r in rows if r.user_id == "a"] == [("a", "2025-04-01")]
+
+
 def test_files_per_day_bounds_the_files_of_a_batch(spark, events, tmp_path):
     write_json_events(events.repartition(6), f"{tmp_path}/in")
     landed = {}
