@@ -7,70 +7,86 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions.rules import not_finite
 from footfall.schema import FEATURE_COLUMNS
 
 SEED = 20240101
+#: Partitions of the vectors while K-Means fits. Part of the result: another number, other clusters.
+LAYOUT = 64
 
 
-def prepare_features(features: DataFrame, scale: bool = False) -> DataFrame:
+def slot(name: str) -> Column:
+    """A feature as a number: 0.0 where it is missing, NaN or infinite."""
+    value = F.col(name).cast("double")
+    return F.when(not_finite(value), 0.0).otherwise(F.coalesce(value, F.lit(0.0)))
+
+
+def feature_deviations(features: DataFrame) -> list[float]:
+    """The standard deviation of each slot, by one pass over the table."""
+    return [d or 0.0 for d in features.agg(*[F.stddev_samp(slot(name)) for name in FEATURE_COLUMNS]).first()]
+
+
+def prepare_features(
+    features: DataFrame, scale: bool = False, deviations: Sequence[float] | None = None
+) -> DataFrame:
     """Add the vector column ``features``; other columns, NULLs included, stay as they are.
 
     A missing average counts as 0.0 in the vector only. ``scale=True`` divides every slot
-    by its standard deviation, which costs one more pass over the table.
+    by its standard deviation, the given one or that of the table; a slot without spread is 0.0.
     """
+    if scale and deviations is None:
+        deviations = feature_deviations(features)
+    factors = [1.0 / d if d else 0.0 for d in deviations] if deviations else [1.0] * len(FEATURE_COLUMNS)
     slots = [f"slot_{name}" for name in FEATURE_COLUMNS]
-    filled = features.select(
-        "*",
-        *[
-            F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(slot)
-            for name, slot in zip(FEATURE_COLUMNS, slots)
-        ],
-    )
-    output = "raw_features" if scale else "features"
-    vectors = VectorAssembler(inputCols=slots, outputCol=output).transform(filled).drop(*slots)
-    if scale:
-        scaler = StandardScaler(inputCol=output, outputCol="features", withMean=False)
-        vectors = scaler.fit(vectors).transform(vectors).drop(output)
-    return vectors
+    values = [(slot(name) * F.lit(factor)).alias(own) for name, own, factor in zip(FEATURE_COLUMNS, slots, factors)]
+    assembler = VectorAssembler(inputCols=slots, outputCol="features")
+    return assembler.transform(features.select("*", *values)).drop(*slots)
 
 
-def feature_slots(vectors: DataFrame) -> DataFrame:
-    """The vector of each user as one double column per slot."""
+def feature_slots(vectors: DataFrame, keys: Sequence[str] = ("user_id",)) -> DataFrame:
+    """The vector of each row as one double column per slot."""
     slots = vector_to_array("features")
     return vectors.select(
-        "user_id", *[slots[i].alias(name) for i, name in enumerate(FEATURE_COLUMNS)]
+        *keys, *[slots[i].alias(name) for i, name in enumerate(FEATURE_COLUMNS)]
     )
 
 
-def fixed_layout(vectors: DataFrame, partitions: int | None = None) -> DataFrame:
+def fixed_layout(vectors: DataFrame, partitions: int = LAYOUT) -> DataFrame:
     """Hash-partition and sort by user, so that a seed always gives the same clusters.
 
     K-Means samples its starting centres per partition: the same rows in another layout
-    end in other clusters. Pass ``partitions`` to get equal clusters on any cluster size.
+    end in other clusters. So the number of partitions is part of the input, like the seed,
+    and does not follow the session's shuffle partitions.
     """
-    partitions = partitions or int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return vectors.repartition(partitions, "user_id").sortWithinPartitions("user_id")
 
 
-def train_kmeans(
-    vectors: DataFrame, k: int = 5, seed: int = SEED, partitions: int | None = None
+def fit_placed(
+    placed: DataFrame, k: int = 5, seed: int = SEED, tol: float = 1e-4, max_iter: int = 20
 ) -> KMeansModel:
-    """Fit K-Means, holding the vectors in executor storage while it iterates.
+    """Fit K-Means on vectors that have their layout; the caller holds them in storage."""
+    kmeans = KMeans(k=k, seed=seed, tol=tol, maxIter=max_iter, featuresCol="features", predictionCol="cluster")
+    return kmeans.fit(placed)
 
-    Vectors the caller has placed with ``fixed_layout`` and persisted are used as they are.
-    """
-    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
-    if vectors.is_cached:
-        return kmeans.fit(vectors)
+
+def train_kmeans(
+    vectors: DataFrame,
+    k: int = 5,
+    seed: int = SEED,
+    partitions: int = LAYOUT,
+    tol: float = 1e-4,
+    max_iter: int = 20,
+) -> KMeansModel:
+    """Fit K-Means, holding the vectors in executor storage while it iterates."""
     placed = fixed_layout(vectors.select("user_id", "features"), partitions)
     placed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return kmeans.fit(placed)
+        return fit_placed(placed, k, seed, tol, max_iter)
     finally:
         placed.unpersist()
 
@@ -92,13 +108,19 @@ def assign_segments(model: KMeansModel, vectors: DataFrame) -> DataFrame:
     )
 
 
-def cluster_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:
-    """One row per (segment, feature) with the centre's coordinate."""
+def cluster_centers(
+    spark: SparkSession, model: KMeansModel, deviations: Sequence[float] | None = None
+) -> DataFrame:
+    """One row per (segment, feature) with the centre's coordinate, in the feature's own unit.
+
+    Pass the ``deviations`` that the vectors were divided by, if they were.
+    """
     centres = model.clusterCenters()
+    units = deviations or [1.0] * len(FEATURE_COLUMNS)
     rows = [
-        (segment, feature, float(value))
+        (segment, feature, float(value) * unit)
         for segment, cluster in enumerate(centre_order(model))
-        for feature, value in zip(FEATURE_COLUMNS, centres[cluster])
+        for feature, value, unit in zip(FEATURE_COLUMNS, centres[cluster], units)
     ]
     return spark.createDataFrame(rows, "segment int, feature string, value double")
 

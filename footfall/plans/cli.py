@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from footfall.operators.segments import LAYOUT
 from footfall.plans.jobs import segment_report, segment_users, transform_events
 from footfall.session import build_session
-from footfall.sources.events import kafka_events, publish_events, read_events, stream_events
+from footfall.sources.events import event_lines, kafka_events, publish_messages, stream_events
 from footfall.streaming.landing import land_events
 from footfall.streaming.live import stream_features
 
@@ -25,13 +26,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     transform.add_argument("--closed", choices=["day", "both"], default="day")
     transform.add_argument("--landed", action="store_true", help="input is a landed table")
     transform.add_argument("--temporal", action="store_true", help="add temporal columns")
+    transform.add_argument("--events", choices=["parsed", "valid"], default="parsed",
+                           help="all events that parse, or those that break no rule")
     transform.add_argument("--run-date")
 
     segment = commands.add_parser("segment", help="cluster users into segments")
     segment.add_argument("--features-path", required=True)
     segment.add_argument("--output-path", required=True)
     segment.add_argument("--num-clusters", type=int, default=5)
-    segment.add_argument("--partitions", type=int, help="fixed layout for repeatable clusters")
+    segment.add_argument("--partitions", type=int, default=LAYOUT,
+                         help="layout of the fit; part of the result, like the seed")
+    segment.add_argument("--report-path", help="folder for the tables that are printed")
     segment.add_argument("--scale", action="store_true")
     segment.add_argument("--run-date")
 
@@ -39,6 +44,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     report.add_argument("--features-path", required=True)
     report.add_argument("--segments-path", required=True)
     report.add_argument("--segments", type=int, nargs="*", help="segments to keep, default all")
+    report.add_argument("--output-path", help="folder for all report tables")
     report.add_argument("--run-date")
 
     publish = commands.add_parser("publish", help="stored events to a Kafka topic")
@@ -47,7 +53,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     publish.add_argument("--topic", required=True)
 
     land = commands.add_parser("land", help="land an event stream as a partitioned table")
-    live = commands.add_parser("live", help="daily features and sessions of an event stream")
+    live = commands.add_parser(
+        "live",
+        help="daily features and sessions of an event stream",
+        description="A run that stops at the end of its input does not emit days and sessions still open.",
+    )
     for stream in (land, live):
         stream.add_argument("--output-path", required=True)
         stream.add_argument("--checkpoint", required=True)
@@ -55,6 +65,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         source.add_argument("--input-path", help="folder that receives JSON files")
         source.add_argument("--bootstrap-servers")
         stream.add_argument("--topic")
+        stream.add_argument("--starting-offsets", default="earliest", help="where a new checkpoint begins")
+        stream.add_argument("--max-offsets-per-trigger", type=int)
+        stream.add_argument("--max-files-per-trigger", type=int)
         stream.add_argument("--interval", help="keep running, e.g. '1 minute'; default: stop at the end")
     land.add_argument("--files-per-day", type=int, help="shuffle to this many files per batch")
     live.add_argument("--watermark", default="1 hour", help="how late an event may be")
@@ -72,34 +85,43 @@ def main(argv: list[str] | None = None) -> None:
         transform_events(
             spark, args.input_path, args.output_path, args.start_date, args.end_date,
             closed=args.closed, landed=args.landed, temporal=args.temporal, run_date=args.run_date,
+            events=args.events,
         )
     elif args.command == "segment":
         result = segment_users(
             spark, args.features_path, args.output_path, args.num_clusters,
             partitions=args.partitions, scale=args.scale, run_date=args.run_date,
+            report_path=args.report_path,
         )
         print(f"Silhouette: {result.silhouette}")
-        result.sizes.show()
-        result.profile.show()
-        result.centers.show()
+        show_whole(result.tables())
     elif args.command == "report":
         tables = segment_report(
-            spark, args.features_path, args.segments_path, args.segments, args.run_date
+            spark, args.features_path, args.segments_path, args.segments, args.run_date, args.output_path
         )
-        for name, table in tables.items():
-            print(name)
-            table.show()
+        show_whole(tables)
     elif args.command == "publish":
-        publish_events(read_events(spark, args.input_path), args.bootstrap_servers, args.topic)
+        publish_messages(event_lines(spark, args.input_path), args.bootstrap_servers, args.topic)
     else:
         run_streams(spark, args)
 
 
+def show_whole(tables: dict[str, DataFrame]) -> None:
+    """Print every row of a few small tables."""
+    for name, table in tables.items():
+        print(name)
+        table.show(n=max(1, table.count()), truncate=False)
+
+
 def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.input_path:
-        events = stream_events(spark, args.input_path)
+        limit = args.max_files_per_trigger
+        events = stream_events(spark, args.input_path, **({"maxFilesPerTrigger": str(limit)} if limit else {}))
     else:
-        events = kafka_events(spark, args.bootstrap_servers, args.topic)
+        events = kafka_events(
+            spark, args.bootstrap_servers, args.topic, starting_offsets=args.starting_offsets,
+            max_offsets_per_trigger=args.max_offsets_per_trigger,
+        )
     trigger = {"processingTime": args.interval} if args.interval else None
     if args.command == "land":
         started = [

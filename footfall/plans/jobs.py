@@ -8,13 +8,15 @@ from typing import NamedTuple
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from footfall.functions.rules import validate_events
 from footfall.functions.time_range import filter_range
 from footfall.operators import reports, segments
 from footfall.operators.features import user_features
 from footfall.operators.temporal import behavior_profile
+from footfall.schema import FEATURE_COLUMNS
 from footfall.sources.events import read_events
 from footfall.sources.tables import (
-    read_features, read_landed, read_segments, write_features, write_segments,
+    read_features, read_landed, read_segments, write_features, write_segments, write_tables,
 )
 
 
@@ -28,14 +30,23 @@ def transform_events(
     landed: bool = False,
     temporal: bool = False,
     run_date: str | None = None,
+    events: str = "parsed",
 ) -> None:
     """Write one feature row per user active between ``start`` and ``end``.
 
     The input is JSON lines, or the table of the landing stream with ``landed=True``,
-    where only the folders of these days are read. ``temporal=True`` adds time-of-day,
-    session and frequency columns from the same scan.
+    where only the folders of these days are read. Of either, ``events="parsed"`` counts
+    all events that parse and ``events="valid"`` those that break no rule. ``temporal=True``
+    adds time-of-day, session and frequency columns from the same scan.
     """
-    events = read_landed(spark, input_path) if landed else read_events(spark, input_path)
+    if events not in ("parsed", "valid"):
+        raise ValueError(f"events must be 'parsed' or 'valid', not {events!r}")
+    if landed:
+        events = read_landed(spark, input_path, events)
+    elif events == "valid":
+        events = validate_events(read_events(spark, input_path, keep_corrupt=True))[0]
+    else:
+        events = read_events(spark, input_path)
     build = behavior_profile if temporal else user_features
     write_features(build(filter_range(events, start, end, closed)), output_path, run_date)
 
@@ -53,6 +64,14 @@ class SegmentReport(NamedTuple):
     sizes: DataFrame
     profile: DataFrame
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {"centers": self.centers, "sizes": self.sizes, "profile": self.profile}
+
+
+def few_rows(summary: DataFrame) -> DataFrame:
+    """One row per segment, computed now, so that no storage has to be held for later tables."""
+    return summary.sparkSession.createDataFrame(summary.collect(), summary.schema)
+
 
 def segment_users(
     spark: SparkSession,
@@ -60,34 +79,39 @@ def segment_users(
     output_path: str,
     k: int = 5,
     seed: int = segments.SEED,
-    partitions: int | None = None,
+    partitions: int = segments.LAYOUT,
     scale: bool = False,
     run_date: str | None = None,
+    report_path: str | None = None,
 ) -> SegmentReport:
     """Cluster the feature table, write the segment table and describe the segments.
 
-    The vectors are read once and held in executor storage for training and scoring. The
-    returned reports read a summary of the two written tables, which is a few rows.
+    The features are read once and held in executor storage, next to their vectors, for
+    training, scoring and the summary; no join. The returned tables are a few rows each,
+    and are written below ``report_path`` if given.
     """
     features = single_run(read_features(spark, features_path, run_date))
-    vectors = segments.prepare_features(features, scale).select("user_id", "features")
+    deviations = segments.feature_deviations(features) if scale else None
+    vectors = segments.prepare_features(features, scale, deviations)
+    vectors = vectors.select("user_id", *FEATURE_COLUMNS, "features")
     placed = segments.fixed_layout(vectors, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = segments.train_kmeans(placed, k, seed)
+        model = segments.fit_placed(placed, k, seed)
         predictions = segments.assign_segments(model, placed)
         write_segments(predictions, output_path, run_date)
         score = segments.silhouette(predictions)
+        summary = few_rows(reports.segment_summary(predictions))
     finally:
         placed.unpersist()
-    summary = reports.segment_summary(
-        reports.profile_join(features, read_segments(spark, output_path, run_date))
-    ).persist()
-    return SegmentReport(
+    report = SegmentReport(
         silhouette=score,
-        centers=segments.cluster_centers(spark, model),
+        centers=segments.cluster_centers(spark, model, deviations),
         sizes=reports.segment_sizes(summary),
         profile=reports.segment_profile(summary),
     )
+    if report_path:
+        write_tables(report.tables(), report_path)
+    return report
 
 
 def segment_report(
@@ -96,19 +120,24 @@ def segment_report(
     segments_path: str,
     segment_ids: Iterable[int] | None = None,
     run_date: str | None = None,
+    output_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """All dashboard results for the chosen segments, each a few rows.
 
-    The two tables are joined and reduced once for all of them.
+    The two tables are joined and reduced once for all of them. With ``output_path`` every
+    table is written there, whole, in a folder of its name.
     """
     features = single_run(read_features(spark, features_path, run_date))
     placed = single_run(read_segments(spark, segments_path, run_date))
     chosen = reports.filter_segments(placed, segment_ids)
-    summary = reports.segment_summary(reports.profile_join(features, chosen)).persist()
-    return {
+    summary = few_rows(reports.segment_summary(reports.profile_join(features, chosen)))
+    result = {
         "kpis": reports.kpis(summary, text=True),
         "segment_counts": reports.segment_counts_desc(summary),
         "segment_radar": reports.segment_radar(summary),
         "segment_devices": reports.segment_devices(summary),
         "segment_details": reports.segment_details(summary),
     }
+    if output_path:
+        write_tables(result, output_path)
+    return result

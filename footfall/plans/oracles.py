@@ -8,10 +8,11 @@ from footfall.adapter import (
 from footfall.operators.quality import OTHER
 from footfall.operators.temporal import DAY_PARTS
 from footfall.plans.queries import (
-    CENTROID_COLUMNS, CENTROIDS, CHOSEN_SEGMENTS, DAY, GAP_SECONDS, RANGE,
+    APART, CENTROID_COLUMNS, CENTROIDS, CHOSEN_SEGMENTS, DAY, EXPERIMENT, GAP_SECONDS, RANGE,
 )
 from footfall.schema import (
     DETAIL_METRICS, DEVICES, EVENT_COLUMNS, EVENT_TYPES, FEATURE_COLUMNS, RADAR_METRICS,
+    TIMESTAMP_RANGE,
 )
 
 GAP_MICROS = GAP_SECONDS * 1_000_000
@@ -162,6 +163,10 @@ RULES = {
     "purchase_without_order": "coalesce(event_type = 'purchase', false) AND order_id IS NULL",
     "purchase_amount_not_positive":
         "coalesce(event_type = 'purchase', false) AND NOT coalesce(total_amount > 0, false)",
+    "timestamp_implausible":
+        f"""coalesce("timestamp" < TIMESTAMP '{TIMESTAMP_RANGE[0]}'"""
+        f""" OR "timestamp" >= TIMESTAMP '{TIMESTAMP_RANGE[1]}', false)""",
+    "amount_not_finite": "coalesce(NOT isfinite(total_amount), false)",
 }
 FAILED = "concat_ws(',', " + ", ".join(
     f"CASE WHEN {broken} THEN '{name}' END" for name, broken in RULES.items()
@@ -264,11 +269,11 @@ SELECT round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / gre
 FROM scores""")
 
 
-def recommendation(n: int, item: str) -> str:
+def recommendation(n: int, item: str, made_of: str | None = None) -> str:
     return with_profile(f""",
 touched AS (
-  SELECT user_id, {item}, count(*) AS times FROM web_events
-  WHERE {item} IS NOT NULL GROUP BY user_id, {item}
+  SELECT user_id, {made_of or item} AS {item}, count(*) AS times FROM web_events
+  WHERE {made_of or item} IS NOT NULL GROUP BY ALL
 ),
 popular AS (
   SELECT segment, {item}, CAST(sum(times) AS BIGINT) AS segment_events
@@ -342,6 +347,54 @@ FROM past""")
 
 ALL_DEVICES = " + ".join(DEVICES)
 
+AB_COUNTS = """
+counts AS (
+  SELECT count(*) FILTER (WHERE variant = 'A') AS users_a,
+    count(*) FILTER (WHERE variant = 'A' AND converted) AS converters_a,
+    count(*) FILTER (WHERE variant = 'B') AS users_b,
+    count(*) FILTER (WHERE variant = 'B' AND converted) AS converters_b
+  FROM groups
+),
+rates AS (
+  SELECT *, converters_a / nullif(users_a, 0) AS rate_a, converters_b / nullif(users_b, 0) AS rate_b,
+    (converters_a + converters_b) / nullif(users_a + users_b, 0) AS p
+  FROM counts
+)
+SELECT users_a, converters_a, users_b, converters_b,
+  round(rate_a, 6) AS rate_a, round(rate_b, 6) AS rate_b,
+  round(rate_b / nullif(rate_a, 0) - 1, 6) AS lift,
+  round((rate_b - rate_a)
+    / nullif(sqrt(p * (1 - p) * (1.0::DOUBLE / users_a + 1.0::DOUBLE / users_b)), 0), 6) AS z_score
+FROM rates"""
+
+
+def ab_test(users: str, converted: str) -> str:
+    """Variant by the first digit of a digest, then the comparison."""
+    return f""",
+groups AS (
+  SELECT CASE WHEN contains('02468ace', substr(md5(user_id || '|{EXPERIMENT}'), 1, 1)) THEN 'A' ELSE 'B' END
+    AS variant, {converted} AS converted
+  FROM {users}
+),{AB_COUNTS}"""
+
+
+# Of each seven events five are written with something wrong; see the query.
+REJECTED_LINES = with_events(f""",
+written AS (
+  SELECT event_id % 7 AS m, * REPLACE (
+    CASE WHEN event_id % 7 <> 3 THEN user_id END AS user_id,
+    CASE event_id % 7 WHEN 2 THEN NULL WHEN 5 THEN TIMESTAMP '2999-01-01' ELSE "timestamp" END AS "timestamp",
+    CASE WHEN event_id % 7 = 4 THEN 'nan'::DOUBLE ELSE total_amount END AS total_amount
+  )
+  FROM web_events
+),
+read AS (
+  SELECT m, {", ".join(f'CASE WHEN m <> 1 THEN "{c}" END AS "{c}"' for c in EVENT_COLUMNS)} FROM written
+)
+SELECT concat_ws(',', {", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in RULES.items())},
+  CASE WHEN m IN (1, 2) THEN 'unparseable' END) AS failed_rules, count(*) AS lines
+FROM read GROUP BY 1""")
+
 ORACLES: dict[str, str] = {
     "scan_json": with_events(f"SELECT {RAW} FROM web_events"),
     "event_to_json": with_events(f"SELECT {RAW} FROM web_events"),
@@ -353,6 +406,11 @@ ORACLES: dict[str, str] = {
         f"WITH {WEB_EVENTS}, {features_where(f'{whole_days(*RANGE)} AND NOT ({ANY_FAILED})')} "
         f"SELECT {FEATURE_ROW} FROM features"
     ),
+    "transform_inputs": (
+        f"WITH {WEB_EVENTS}, {features_where(whole_days(*RANGE))} SELECT {FEATURE_ROW}, input "
+        "FROM features, (VALUES ('json'), ('landed')) i(input)"
+    ),
+    "rejected_lines": REJECTED_LINES,
     "land_events": with_events(
         f"""SELECT {RAW}, {FAILED} AS failed_rules,
           CASE WHEN {ANY_FAILED} THEN 'rejected' ELSE 'valid' END AS verdict,
@@ -436,9 +494,7 @@ FROM long"""),
             AS conversion_rate
         FROM profile"""
     ),
-    "kpis_day": (
-        f"WITH {WEB_EVENTS}, {features_where(whole_days(DAY, DAY))} {headline('features')}"
-    ),
+    "kpis_day": with_events(f", {DAILY_FEATURES} {headline('daily')}"),
     "report_job": with_profile(
         headline(f"(FROM profile WHERE segment IN ({', '.join(map(str, CHOSEN_SEGMENTS))}))")
     ),
@@ -450,11 +506,33 @@ FROM long"""),
         )
         + " FROM profile GROUP BY segment"
     ),
-    "feature_vector": (
-        f"WITH {WEB_EVENTS}, {features_where(whole_days(DAY, DAY))} SELECT user_id, "
+    "feature_vector": with_events(
+        f", {DAILY_FEATURES} SELECT {day_text('day')} AS day, user_id, "
         + ", ".join(f"round(CAST(coalesce({c}, 0) AS DOUBLE), 6) AS {c}" for c in FEATURE_COLUMNS)
-        + " FROM features"
+        + " FROM daily"
+    ),
+    "kmeans_segments": with_features(
+        "SELECT user_id, CAST(CAST(substr(user_id, 6) AS BIGINT) % 5 AS INTEGER) AS segment FROM features"
     ),
+    "cluster_centers": with_features(f""",
+points AS (
+  SELECT CAST(CAST(substr(user_id, 6) AS BIGINT) % 5 AS INTEGER) AS segment,
+    {", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS)}
+  FROM features
+),
+centres AS (
+  SELECT segment, {", ".join(
+      f"avg({c} + {APART} * segment) AS {c}" if c == "total_events" else f"avg({c}) AS {c}"
+      for c in FEATURE_COLUMNS
+  )}
+  FROM points GROUP BY segment
+)
+SELECT segment, feature, round(value, 6) AS value
+FROM (UNPIVOT centres ON {", ".join(FEATURE_COLUMNS)} INTO NAME feature VALUE value)"""),
+    "kmeans_mass": with_features(f""",
+means AS (SELECT {", ".join(f"avg(CAST(coalesce({c}, 0) AS DOUBLE)) AS {c}" for c in FEATURE_COLUMNS)} FROM features)
+SELECT feature, round(mean, 6) AS mean
+FROM (UNPIVOT means ON {", ".join(FEATURE_COLUMNS)} INTO NAME feature VALUE mean)"""),
     "segment_assign": with_profile(
         f"SELECT user_id, {rounded(CENTROID_COLUMNS)}, segment FROM profile"
     ),
@@ -496,31 +574,11 @@ FROM features JOIN parts USING (user_id)
         f""", {GAP_SESSIONS} SELECT user_id, {GAP_SESSION_ROW} FROM gap_sessions
         WHERE last_at + INTERVAL {GAP_SECONDS} SECOND <= {WATERMARK}"""
     ),
-    "ab_test": with_features(""",
-groups AS (
-  SELECT CASE WHEN CAST(substr(user_id, 6) AS BIGINT) % 2 = 0 THEN 'A' ELSE 'B' END AS variant,
-    total_purchases >= 14 AS converted
-  FROM features
-),
-counts AS (
-  SELECT count(*) FILTER (WHERE variant = 'A') AS users_a,
-    count(*) FILTER (WHERE variant = 'A' AND converted) AS converters_a,
-    count(*) FILTER (WHERE variant = 'B') AS users_b,
-    count(*) FILTER (WHERE variant = 'B' AND converted) AS converters_b
-  FROM groups
-),
-rates AS (
-  SELECT *, converters_a / nullif(users_a, 0) AS rate_a, converters_b / nullif(users_b, 0) AS rate_b,
-    (converters_a + converters_b) / nullif(users_a + users_b, 0) AS p
-  FROM counts
-)
-SELECT users_a, converters_a, users_b, converters_b,
-  round(rate_a, 6) AS rate_a, round(rate_b, 6) AS rate_b,
-  round(rate_b / nullif(rate_a, 0) - 1, 6) AS lift,
-  round((rate_b - rate_a)
-    / nullif(sqrt(p * (1 - p) * (1.0::DOUBLE / users_a + 1.0::DOUBLE / users_b)), 0), 6) AS z_score
-FROM rates"""),
-    "segment_recommend": recommendation(10, "page"),
+    "ab_test": with_features(ab_test("features", "total_purchases >= 14")),
+    "ab_test_days": with_events(f", {DAILY_FEATURES}{ab_test('daily', 'total_purchases > 0')}"),
+    "segment_recommend": recommendation(
+        10, "view", "concat_ws(' ', page, user_agent, device_type, event_type)"
+    ),
     "segment_recommend_products": recommendation(10, "product_id"),
     "dq_daily_zscore": DAILY_ZSCORE,
     "dq_failure_rates": per_day(
@@ -532,3 +590,23 @@ FROM rates"""),
         ", ".join(share(f"{c}_null_rate", f'"{c}" IS NULL') for c in EVENT_COLUMNS)
     ),
 }
+
+
+def long_table(name: str, source: str, metrics, metric: str | None = None) -> str:
+    """A report's rows as table, segment, metric, value."""
+    segment = "CAST(NULL AS INTEGER)" if source == "kpis" else "segment"
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", {segment} AS segment,
+          {f"{metric} || ' {m}'" if metric else f"'{m}'"} AS metric, CAST("{m}" AS DOUBLE) AS value
+        FROM ({ORACLES[source]}) r"""
+        for m in metrics
+    )
+
+
+ORACLES["report_tables"] = " UNION ALL ".join([
+    long_table("kpis", "kpis", ["total_users", "avg_purchase_value", "conversion_rate"]),
+    long_table("segment_counts", "segment_sizes", ["count"]),
+    long_table("segment_radar", "segment_radar", ["mean_value", "scaled"], "metric"),
+    long_table("segment_devices", "segment_devices", ["mean_events", "share"], "device"),
+    long_table("segment_details", "segment_details", DETAIL_METRICS),
+])

@@ -7,6 +7,7 @@ times are written as text, so that results compare exactly with ``oracles.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ from footfall.operators import (
     experiments, features, quality, recommend, reports, segments, temporal,
 )
 from footfall.plans import jobs
-from footfall.schema import DEVICES, FEATURE_COLUMNS, RADAR_METRICS
+from footfall.schema import (
+    DETAIL_METRICS, DEVICES, EVENT_COLUMNS, FEATURE_COLUMNS, ISO_MICROS, RADAR_METRICS,
+)
 from footfall.session import work_dir
 from footfall.sources import events as event_sources
 from footfall.sources import tables
@@ -32,6 +35,9 @@ RANGE = ("2024-01-10", "2024-01-12")
 GAP_SECONDS = 4 * 3600
 WATERMARK = "1 hour"
 CHOSEN_SEGMENTS = [1, 3]
+EXPERIMENT = "checkout"
+# How far planted groups of users are apart in total_events.
+APART = 10_000
 
 # Centroids that stand in for a trained model, so that reports have an oracle.
 CENTROID_COLUMNS = ["total_events", "avg_purchase_amount"]
@@ -149,14 +155,42 @@ def landed_path(spark, sf_dir) -> str:
 
 def transform_landed_job(spark, sf_dir):
     folder = work_dir(spark, "transform")
-    jobs.transform_events(spark, landed_path(spark, sf_dir), folder, *RANGE, landed=True)
+    jobs.transform_events(spark, landed_path(spark, sf_dir), folder, *RANGE, landed=True, events="valid")
     return plain(tables.read_features(spark, folder))
 
 
+def transform_inputs(spark, sf_dir):
+    """JSON lines and landed events give the same features, with the same default."""
+    folder = work_dir(spark, "transform")
+    jobs.transform_events(spark, stored_json(spark, sf_dir), f"{folder}/json", *RANGE)
+    jobs.transform_events(spark, landed_path(spark, sf_dir), f"{folder}/landed", *RANGE, landed=True)
+    read = [
+        plain(tables.read_features(spark, f"{folder}/{name}")).withColumn("input", F.lit(name))
+        for name in ("json", "landed")
+    ]
+    return read[0].unionByName(read[1])
+
+
+def rejected_lines(spark, sf_dir):
+    """Lines by the rules they break: in each seven of the events, five have something wrong."""
+    events, number = web_events(spark, sf_dir), F.col("event_id") % 7
+    text = F.date_format("timestamp", ISO_MICROS)
+    wrong = events.withColumns({
+        "timestamp": F.when(number == 2, "bad").when(number == 5, "2999-01-01T00:00:00.000000").otherwise(text),
+        "user_id": F.when(number != 3, F.col("user_id")),
+        "total_amount": F.when(number == 4, F.lit(float("nan"))).otherwise(F.col("total_amount")),
+    })
+    line = F.to_json(F.struct(*EVENT_COLUMNS))
+    folder = work_dir(spark, "lines")
+    wrong.select(F.when(number == 1, F.concat(F.lit("x"), line)).otherwise(line).alias("value")).write.text(folder)
+    marked = mark_failed_rules(event_sources.read_events(spark, folder, keep_corrupt=True))
+    return marked.groupBy(F.array_join("failed_rules", ",").alias("failed_rules")).agg(F.count("*").alias("lines"))
+
+
 def land_events(spark, sf_dir):
     landed = tables.read_landed(spark, landed_path(spark, sf_dir), verdict=None)
     return plain(
-        landed.withColumn("failed_rules", F.array_join("failed_rules", ",")).drop("_corrupt_record")
+        landed.withColumn("failed_rules", F.array_join("failed_rules", ",")).drop("_corrupt_record", "arrived_at")
     )
 
 
@@ -204,7 +238,8 @@ def profile_join(spark, sf_dir):
 
 
 def kpis_day(spark, sf_dir):
-    users = day_features(spark, sf_dir).withColumn("segment", F.lit(0))
+    """Headline of all user days, many of which are without a purchase."""
+    users = features.daily_features(web_events(spark, sf_dir)).drop("day").withColumn("segment", F.lit(0))
     return plain(reports.kpis(reports.segment_summary(users), text=True))
 
 
@@ -213,23 +248,60 @@ def report_job(spark, sf_dir):
     return plain(jobs.segment_report(spark, *paths, CHOSEN_SEGMENTS)["kpis"])
 
 
+def report_tables(spark, sf_dir):
+    """Every written report table in long form: table, segment, metric, value."""
+    folder = work_dir(spark, "report")
+    jobs.segment_report(spark, *stored_profile_parts(spark, sf_dir), output_path=folder)
+
+    def long(name, keys, metrics, metric=None):
+        table = spark.read.parquet(f"{folder}/{name}")
+        values = [F.col(c).cast("double").alias(c) for c in metrics]
+        if "segment" not in table.columns:
+            table = table.withColumn("segment", F.lit(None).cast("int"))
+        table = table.select("segment", *keys, *values).unpivot(["segment", *keys], metrics, "measure", "value")
+        metric = F.col("measure") if metric is None else F.concat_ws(" ", metric, "measure")
+        return table.select(F.lit(name).alias("table"), "segment", metric.alias("metric"), F.round("value", 6).alias("value"))
+
+    parts = [
+        long("kpis", [], ["total_users", "avg_purchase_value", "conversion_rate"]),
+        long("segment_counts", [], ["count"]),
+        long("segment_radar", ["metric"], ["mean_value", "scaled"], "metric"),
+        long("segment_devices", ["device"], ["mean_events", "share"], "device"),
+        long("segment_details", [], DETAIL_METRICS),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Segments
 
 
 def feature_vector(spark, sf_dir):
-    vectors = segments.prepare_features(day_features(spark, sf_dir))
-    return plain(segments.feature_slots(vectors))
+    """The vectors of all user days, most of them without an average."""
+    vectors = segments.prepare_features(features.daily_features(web_events(spark, sf_dir)))
+    return plain(segments.feature_slots(vectors, ["day", "user_id"]))
 
 
-def trained(spark, sf_dir):
+def trained(spark, sf_dir, apart: int = 0, **how):
+    """A fit on all users; with ``apart`` in five groups that the best clusters must find."""
     folder = work_dir(spark, "features")
-    tables.write_features(all_features(spark, sf_dir), folder)
+    group = F.substring_index("user_id", "_", -1).cast("long") % 5
+    users = all_features(spark, sf_dir).withColumn("total_events", F.col("total_events") + apart * group)
+    tables.write_features(users, folder)
     vectors = segments.prepare_features(tables.read_features(spark, folder))
-    return segments.train_kmeans(vectors), vectors
+    return segments.train_kmeans(vectors, **how), vectors
 
 
 def kmeans_segments(spark, sf_dir):
-    return segments.segment_map(segments.assign_segments(*trained(spark, sf_dir)))
+    return segments.segment_map(segments.assign_segments(*trained(spark, sf_dir, APART)))
+
+
+def kmeans_mass(spark, sf_dir):
+    """Once K-Means has settled, the centres weighted by their sizes are the mean of all users."""
+    model, _ = trained(spark, sf_dir, tol=0.0, max_iter=200)
+    sizes, centres = model.summary.clusterSizes, model.clusterCenters()
+    means = sum(n * centre for n, centre in zip(sizes, centres)) / sum(sizes)
+    rows = [(feature, float(mean)) for feature, mean in zip(FEATURE_COLUMNS, means)]
+    return plain(spark.createDataFrame(rows, "feature string, mean double"))
 
 
 def kmeans_invariants(spark, sf_dir):
@@ -253,7 +325,7 @@ def kmeans_invariants(spark, sf_dir):
 
 
 def cluster_centers(spark, sf_dir):
-    return segments.cluster_centers(spark, trained(spark, sf_dir)[0])
+    return plain(segments.cluster_centers(spark, trained(spark, sf_dir, APART, tol=0.0)[0]))
 
 
 def silhouette(spark, sf_dir):
@@ -283,19 +355,27 @@ def stream_sessions(spark, sf_dir):
 
 
 def ab_test(spark, sf_dir):
-    number = F.substring_index("user_id", "_", -1).cast("long")
-    users = all_features(spark, sf_dir, ["total_purchases"]).withColumn(
-        "variant", F.when(number % 2 == 0, "A").otherwise("B")
-    )
+    users = experiments.assign_variant(all_features(spark, sf_dir, ["total_purchases"]), EXPERIMENT)
     return plain(experiments.ab_test(users, converted=F.col("total_purchases") >= 14))
 
 
+def ab_test_days(spark, sf_dir):
+    """Days of users, which convert by a purchase; not every day has one."""
+    days = experiments.assign_variant(features.daily_features(web_events(spark, sf_dir)), EXPERIMENT)
+    return plain(experiments.ab_test(days))
+
+
 def recommender(n: int, item: str) -> Query:
+    """Of products, or of pages by search term and agent: users have not touched all of them."""
+
     def query(spark, sf_dir):
         folder = work_dir(spark, "segments")
         tables.write_segments(profile(spark, sf_dir, CENTROID_COLUMNS), folder)
         assigned = tables.read_segments(spark, folder)
-        return recommend.recommend(web_events(spark, sf_dir), assigned, n, item)
+        seen = web_events(spark, sf_dir).withColumn(
+            "view", F.concat_ws(" ", "page", "user_agent", "device_type", "event_type")
+        )
+        return recommend.recommend(seen, assigned, n, item)
 
     return query
 
@@ -307,6 +387,8 @@ QUERIES: dict[str, Query] = {
     "transform_job": transform_job,
     "land_events": land_events,
     "transform_landed_job": transform_landed_job,
+    "transform_inputs": transform_inputs,
+    "rejected_lines": rejected_lines,
     "validate_events": validate_events,
     "sql_top_spenders": sql_top_spenders,
     "filter_range_closed": filter_range_closed,
@@ -332,11 +414,13 @@ QUERIES: dict[str, Query] = {
     "kpis": over_summary(reports.kpis, CENTROID_COLUMNS + ["total_purchases"]),
     "kpis_day": kpis_day,
     "report_job": report_job,
+    "report_tables": report_tables,
     "segment_details": over_summary(reports.segment_details),
     "feature_vector": feature_vector,
     "segment_assign": over_profile(lambda assigned: assigned, CENTROID_COLUMNS),
     "kmeans_segments": kmeans_segments,
     "kmeans_invariants": kmeans_invariants,
+    "kmeans_mass": kmeans_mass,
     "silhouette": silhouette,
     "cluster_centers": cluster_centers,
     "time_of_day": over_events(temporal.time_of_day),
@@ -349,7 +433,8 @@ QUERIES: dict[str, Query] = {
     "stream_daily_features": stream_daily_features,
     "stream_sessions": stream_sessions,
     "ab_test": ab_test,
-    "segment_recommend": recommender(10, "page"),
+    "ab_test_days": ab_test_days,
+    "segment_recommend": recommender(10, "view"),
     "segment_recommend_products": recommender(10, "product_id"),
     "dq_daily_zscore": over_events(quality.dq_zscore),
     "dq_failure_rates": over_events(quality.dq_failure_rates),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -44,7 +45,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = _single_machine_root()
     return f"{root.rstrip('/')}/footfall/{spark.conf.get('spark.app.id', 'app')}/{name}-{uuid.uuid4().hex}"

@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.schema import EVENT_DATE, EVENT_DDL
 
-LANDED_DDL = f"{EVENT_DDL}, _corrupt_record string, failed_rules array<string>, verdict string, {EVENT_DATE} date"
+LANDED_DDL = f"{EVENT_DDL}, _corrupt_record string, arrived_at timestamp, failed_rules array<string>, verdict string, {EVENT_DATE} date"
 
 
 def write_features(features: DataFrame, path: str, run_date: str | None = None) -> None:
-    """Replace the table, or with ``run_date`` only that day's partition."""
-    if run_date is None:
-        features.write.mode("overwrite").parquet(path)
-        return
-    (
-        features.withColumn("run_date", F.lit(run_date).cast("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(path)
-    )
+    """Replace the table, or with ``run_date`` only that day's partition.
+
+    A run without rows leaves an empty partition, not the rows of an earlier run.
+    """
+    if run_date is not None:
+        path = f"{path.rstrip('/')}/run_date={date.fromisoformat(run_date)}"
+    features.write.mode("overwrite").parquet(path)
+
+
+def write_tables(tables: Mapping[str, DataFrame], path: str) -> None:
+    """Each of a few small tables, whole, in the folder of its name."""
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
 
 
 def read_features(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
@@ -62,12 +65,18 @@ def save_bucketed(users: DataFrame, name: str, path: str, buckets: int) -> None:
 
 
 def read_landed(spark: SparkSession, path: str, verdict: str | None = "valid") -> DataFrame:
-    """Landed events with one verdict, ``valid`` or ``rejected``; None reads both."""
+    """Landed events with one verdict, ``valid`` or ``rejected``; None reads both.
+
+    ``parsed`` reads the events of all lines, as the JSON scan gives them.
+    """
     landed = spark.read.schema(LANDED_DDL).parquet(path)
     if verdict is None:
         return landed
+    about = ("_corrupt_record", "arrived_at", "failed_rules")
+    if verdict == "parsed":
+        return landed.drop("verdict", *about)
     landed = landed.filter(F.col("verdict") == verdict).drop("verdict")
-    return landed.drop("_corrupt_record", "failed_rules") if verdict == "valid" else landed
+    return landed.drop(*about) if verdict == "valid" else landed
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> None:

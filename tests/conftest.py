@@ -7,13 +7,14 @@ SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         **{
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.shuffle.partitions": "8",
             # plan tests read whole scan descriptions
             "spark.sql.maxMetadataStringLength": "10000",

@@ -55,11 +55,69 @@ def test_literal_closed_range_is_an_option(spark, raw, tmp_path):
 def test_landed_input_counts_valid_events_only(spark, raw, events, tmp_path):
     cli.main(["land", "--input-path", raw, "--output-path", f"{tmp_path}/landed",
               "--checkpoint", f"{tmp_path}/checkpoint"])
-    cli.main(["transform", "--input-path", f"{tmp_path}/landed", "--landed", "--temporal",
-              "--output-path", f"{tmp_path}/f", "--start-date", DAY, "--end-date", DAY])
-    stored = tables.read_features(spark, f"{tmp_path}/f")
-    assert stored.agg(F.sum("total_events")).first()[0] == 312
-    assert stored.columns == temporal.behavior_profile(events).columns
+    for source, which, expected in (
+        (["--input-path", f"{tmp_path}/landed", "--landed"], "valid", 312),
+        (["--input-path", f"{tmp_path}/landed", "--landed"], "parsed", 330),
+        (["--input-path", raw], "valid", 312),
+        (["--input-path", raw], "parsed", 330),
+    ):
+        cli.main(["transform", *source, "--temporal", "--events", which,
+                  "--output-path", f"{tmp_path}/f", "--start-date", DAY, "--end-date", DAY])
+        stored = tables.read_features(spark, f"{tmp_path}/f")
+        assert stored.agg(F.sum("total_events")).first()[0] == expected
+        assert stored.columns == temporal.behavior_profile(events).columns
+
+
+def test_reports_are_whole(spark, events, tmp_path, capsys):
+    table, placed, out = (f"{tmp_path}/{name}" for name in ("features", "segments", "report"))
+    tables.write_features(features.user_features(events), table)
+    cli.main(["segment", "--features-path", table, "--output-path", placed, "--report-path", f"{out}/fit"])
+    cli.main(["report", "--features-path", table, "--segments-path", placed, "--output-path", out])
+    assert "only showing" not in capsys.readouterr().out
+    rows = {name: spark.read.parquet(f"{out}/{name}").count() for name in (
+        "fit/centers", "fit/sizes", "fit/profile", "kpis", "segment_counts", "segment_radar", "segment_devices",
+        "segment_details",
+    )}
+    assert rows == {
+        "fit/centers": 50, "fit/sizes": 5, "fit/profile": 5, "kpis": 1, "segment_counts": 5, "segment_radar": 25,
+        "segment_devices": 15, "segment_details": 5,
+    }
+
+
+def test_scaled_centres_are_in_the_features_units(spark, events, tmp_path):
+    tables.write_features(features.user_features(events), f"{tmp_path}/f")
+    result = jobs.segment_users(spark, f"{tmp_path}/f", f"{tmp_path}/s", 3, scale=True)
+    total = [r.value for r in result.centers.collect() if r.feature == "total_events"]
+    means = [r.total_events for r in result.profile.collect()]
+    assert total == pytest.approx(means, rel=0.05) and min(total) > 40
+
+
+def test_a_run_without_rows_leaves_no_old_rows(spark, events, tmp_path):
+    path, table = f"{tmp_path}/history", features.user_features(events).cache()
+    for run_date, users in (("2024-01-01", 5), ("2024-01-02", 7), ("2024-01-01", 0)):
+        tables.write_features(table.limit(users), path, run_date)
+    assert tables.read_features(spark, path, "2024-01-01").count() == 0
+    assert tables.read_features(spark, path).count() == 7
+    with pytest.raises(ValueError):
+        tables.write_features(table, path, "01.02.2024")
+
+
+def test_published_lines_lose_no_text(spark, tmp_path):
+    lines = ['{"user_id":"u1","timestamp":"bad"}', "not json", '{"user_id":"ü"}']
+    (tmp_path / "part.json").write_text("\n".join([*lines, "", " "]) + "\n")
+    messages = event_sources.event_lines(spark, str(tmp_path))
+    assert sorted(bytes(r.value).decode() for r in messages.collect()) == sorted(lines)
+    assert event_sources.decode_events(messages).filter("_corrupt_record IS NOT NULL").count() == 2
+
+
+def test_a_new_checkpoint_reads_a_topic_from_its_start():
+    assert event_sources.kafka_options("s:1", "t") == {
+        "kafka.bootstrap.servers": "s:1", "subscribe": "t", "startingOffsets": "earliest",
+    }
+    args = cli.parse(["land", "--output-path", "o", "--checkpoint", "c", "--bootstrap-servers", "b", "--topic", "t",
+                      "--starting-offsets", "latest", "--max-offsets-per-trigger", "9"])
+    options = event_sources.kafka_options("b", "t", args.starting_offsets, args.max_offsets_per_trigger)
+    assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "9"
 
 
 def test_runs_replace_their_own_date_only(spark, events, tmp_path):
@@ -142,5 +200,10 @@ def test_work_folder_is_below_the_shared_checkpoint_folder(spark, monkeypatch):
         class conf:
             get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        work_dir(Cluster, "x")
+    class SmallCluster(Cluster):
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "local-cluster[3,2,900]"}.get(key, default))
+
+    for session in (Cluster, SmallCluster):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            work_dir(session, "x")

@@ -4,17 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
 from footfall.adapter import web_events
 from footfall.functions.time_range import filter_range
 from footfall.operators import features, recommend, reports, segments, temporal
-from footfall.plans.queries import CENTROID_COLUMNS, profile
+from footfall.plans.queries import CENTROID_COLUMNS, QUERIES, profile
 from footfall.schema import FEATURE_COLUMNS
 from footfall.sources.tables import read_landed, save_bucketed
 from footfall.streaming.landing import with_landing_columns
 from tests.conftest import SF_DIR
 
-TRAINED = {"kmeans_segments", "kmeans_invariants", "cluster_centers", "silhouette"}
+TRAINED = {"kmeans_segments", "kmeans_invariants", "kmeans_mass", "cluster_centers", "silhouette"}
 
 
 def plan_of(frame):
@@ -26,11 +25,11 @@ def scanned(spark):
     return web_events(spark, SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - TRAINED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED))
 def test_no_cross_join_no_python_rows(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert not re.search("CartesianProduct|NestedLoopJoin|Python|MapInPandas", plan)
-    assert "SinglePartition" not in plan or name in {"kpis", "kpis_day", "report_job", "ab_test"}
+    assert "SinglePartition" not in plan or name in {"kpis", "kpis_day", "report_job", "ab_test", "ab_test_days"}
 
 
 def test_flagship_scans_once_and_joins_nothing(scanned):
@@ -65,6 +64,7 @@ def test_a_day_of_landed_events_reads_its_folders_and_columns(spark, scanned, tm
     assert len(scan) == 1 and "Join" not in plan
     folders = scan[0].split("PartitionFilters: [")[1].split("]")[0]
     assert "verdict" in folders and "event_date" in folders
+    assert re.findall(r"event_date#\d+ [<>]= (\d{4}-\d\d-\d\d)", folders) == ["2024-01-10", "2024-01-10"]
     assert "GreaterThanOrEqual(timestamp" in scan[0] and "IsNotNull(user_id)" in scan[0]
     assert "user_agent" not in scan[0] and "location" not in scan[0]
 
@@ -80,6 +80,20 @@ def test_recommendations_rank_before_the_shuffle(spark, scanned):
     assert "Partial" in plan and "WindowGroupLimit" in plan
 
 
+def test_recommendations_shuffle_no_users_by_segment(spark, scanned):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assigned = segments.segment_map(profile(spark, SF_DIR, CENTROID_COLUMNS))
+        plan = plan_of(recommend.recommend(scanned, assigned))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # by segment alone: items per segment, after the rank filter; users meet their list by segment and salt
+    by_segment = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(segment#\d+, \d+\)", line)]
+    spread = re.findall(r"Exchange hashpartitioning\(segment#\d+, salt#\d+, \d+\)", plan)
+    assert len(spread) == 2 and len(by_segment) <= 1
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     users = profile(spark, SF_DIR)
     save_bucketed(users.drop("segment"), "bucketed_features", f"{tmp_path}/features", 4)

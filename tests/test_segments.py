@@ -90,6 +90,29 @@ def test_fewer_distinct_points_than_clusters(table):
     assert sizes == {0: 5, 1: 5}
 
 
+def test_numbers_that_are_none_count_as_zero(table):
+    odd = table.withColumn("avg_purchase_amount", F.when(F.col("user_id") == "user_1", float("nan")).when(
+        F.col("user_id") == "user_2", float("inf")).otherwise(F.col("avg_purchase_amount")))
+    for scale in (False, True):
+        vectors = segments.prepare_features(odd, scale)
+        slots = {r.user_id: r.avg_purchase_amount for r in segments.feature_slots(vectors).collect()}
+        assert slots["user_1"] == slots["user_2"] == 0.0
+        assert len(segments.train_kmeans(vectors, 3).clusterCenters()) == 3
+
+
+def test_clusters_do_not_depend_on_storage_or_shuffle_partitions(spark, vectors):
+    centres = [c.tolist() for c in segments.train_kmeans(vectors, K).clusterCenters()]
+    held = vectors.select("user_id", "features").cache()
+    held.count()
+    assert [c.tolist() for c in segments.train_kmeans(held, K).clusterCenters()] == centres
+    held.unpersist()
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert [c.tolist() for c in segments.train_kmeans(vectors, K).clusterCenters()] == centres
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_one_cluster_is_refused(vectors):
     with pytest.raises(Exception):
         segments.train_kmeans(vectors, 1)
