@@ -83,7 +83,8 @@ def rounds(sizes: DataFrame, window: int, targets: dict[str, float] | None) -> D
 
 def starts(sent: DataFrame) -> DataFrame:
     """row, round, begin: where each document begins in the stream."""
-    per_round = sent.groupBy("round").agg(F.sum("tokens").alias("round_tokens"))
+    sent = stored(sent, "packing-rounds")  # a few numbers per document, used three times
+    per_round = stored(sent.groupBy("round").agg(F.sum("tokens").alias("round_tokens")), "packing-round-sizes")
     offsets = totals_before(per_round, "round", "round_tokens", "round_begin").select("round", "round_begin")
     earlier = Window.partitionBy("round").orderBy("queue", "sent", "row").rowsBetween(Window.unboundedPreceding, -1)
     return (

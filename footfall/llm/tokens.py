@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 #: Bytes of text that are split into runs at a time.
 PART_BYTES = 2 << 20
@@ -217,15 +218,14 @@ def parts(texts: list[bytes]) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+PRESS, EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def packed(ids: np.ndarray) -> bytes:
     """ids compressed: a byte for the width, then the ids."""
-    import zstandard
-
     wide = len(ids) and int(ids.max()) >= 1 << 16
-    return (b"4" if wide else b"2") + zstandard.ZstdCompressor(level=1).compress(ids.astype("<u4" if wide else "<u2").tobytes())
+    return (b"4" if wide else b"2") + PRESS.compress(ids.astype("<u4" if wide else "<u2").tobytes())
 
 
 def unpacked(blob: bytes) -> np.ndarray:
-    import zstandard
-
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), f"<u{blob[:1].decode()}").astype("<u4")
+    return np.frombuffer(EXPAND.decompress(blob[1:]), f"<u{blob[:1].decode()}").astype("<u4")
