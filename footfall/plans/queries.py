@@ -288,7 +288,7 @@ def trained(spark, sf_dir, apart: int = 0, **how):
     users = all_features(spark, sf_dir).withColumn("total_events", F.col("total_events") + apart * group)
     tables.write_features(users, folder)
     vectors = segments.prepare_features(tables.read_features(spark, folder))
-    return segments.train_kmeans(vectors, **how), vectors
+    return segments.train_kmeans(vectors, partitions=8, **how), vectors
 
 
 def kmeans_segments(spark, sf_dir):
