@@ -31,20 +31,27 @@ def named(aggregates: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in aggregates.items()]
 
 
-def event_counts() -> dict[str, Column]:
-    """Additive measures over raw events."""
-    of_type = lambda name: F.count_if(F.col("event_type") == name)
+def event_counts(counted: Column | None = None) -> dict[str, Column]:
+    """Additive measures over raw events, or over those rows where ``counted`` holds."""
+    counted = F.lit(True) if counted is None else counted
+    of_type = lambda name: F.count_if(counted & (F.col("event_type") == name))
+    amount = F.when(counted, F.col("total_amount"))
     return {
-        "total_events": F.count("*"),
-        "total_searches": F.count("search_query"),
+        "total_events": F.count_if(counted),
+        "total_searches": F.count_if(counted & F.col("search_query").isNotNull()),
         "total_cart_adds": of_type("add_to_cart"),
         "total_purchases": of_type("purchase"),
-        "amount_sum": F.sum("total_amount"),
-        "amount_count": F.count("total_amount"),
-        **{name: F.count_if(F.col("device_type") == name) for name in DEVICES},
+        "amount_sum": F.sum(amount),
+        "amount_count": F.count(amount),
+        **{name: F.count_if(counted & (F.col("device_type") == name)) for name in DEVICES},
     }
 
 
+def key_counts() -> dict[str, Column]:
+    """The measures over key rows: only session rows carry them, the others are keys and zeros."""
+    return event_counts(F.col("kind") == SESSION)
+
+
 def spread_keys(events: DataFrame, keys: dict[int, str | Column]) -> DataFrame:
     """Repeat each event once per entry of ``keys`` as columns ``kind`` and ``key``."""
     tags = [
@@ -90,7 +97,7 @@ def user_features(
     key_rows = (
         spread_keys(known_users(events), KEYS)
         .groupBy(*by, "kind", "key")
-        .agg(*named(event_counts()))
+        .agg(*named(key_counts()))
     )
     merged = merged_features()
     return key_rows.groupBy(*key_rows.columns[: len(by)]).agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.features import (
-    DAY, KEYS, SESSION, distinct_keys, event_counts, known_users, merged_features, merged_sum,
+    DAY, KEYS, SESSION, distinct_keys, key_counts, known_users, merged_features, merged_sum,
     named, spread_keys,
 )
 
@@ -129,7 +129,7 @@ def behavior_profile(events: DataFrame) -> DataFrame:
         spread_keys(known_users(events), keys)
         .groupBy("user_id", "kind", "key")
         .agg(
-            *named(event_counts() | extra),
+            *named(key_counts() | extra),
             F.count("timestamp").alias("timed_events"),
             F.min("timestamp").alias("first_at"),
             F.max("timestamp").alias("last_at"),

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.functions.rules import implausible_time, mark_failed_rules
 from footfall.functions.time_range import utc_day
 from footfall.operators.features import (
-    KEYS, event_counts, known_users, merged_features, named, spread_keys,
+    KEYS, key_counts, known_users, merged_features, named, spread_keys,
 )
 from footfall.operators.temporal import seconds
 from footfall.schema import EVENT_COLUMNS, ISO_MICROS
@@ -56,7 +56,7 @@ def live_daily_features(
     key_rows = (
         spread_keys(fresh_events(events, watermark, identity), KEYS)
         .groupBy(F.window("timestamp", "1 day"), "user_id", "kind", "key")
-        .agg(*named(event_counts()))
+        .agg(*named(key_counts()))
     )
     day = F.window(F.window_time("window"), "1 day")
     per_day = key_rows.groupBy(day, "user_id").agg(*named(merged_features()))
