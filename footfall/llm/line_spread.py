@@ -81,9 +81,9 @@ def without_boilerplate(
     cleaned, n_lines, removed = names
     doc_key, text_key, drop, lines = free_names(docs, "lines_doc_key", "lines_text_key", "lines_drop", "lines_all")
     common = boilerplate(docs, site, text, min_sites, min_chars, precision)
-    # equal texts hold the same lines, so each task sends a text's lines once
+    # few lines are boilerplate; equal texts hold the same ones, so each task sends a text's once
     hits = long_lines(docs, text, min_chars, key_of(F.coalesce(F.col(text), F.lit(""))).alias("text_key"))
-    hits = hits.distinct().join(common, "key")
+    hits = hits.join(common, "key").distinct()
     by_text = hits.groupBy(F.col("text_key").alias(text_key)).agg(F.collect_set("key").alias(drop))
     # as a table it has one row per text, and a join with many copies of a text can be split at run time
     by_text = stored(by_text, "lines-to-drop")
