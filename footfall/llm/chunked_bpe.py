@@ -197,7 +197,7 @@ def encode_documents(
     tokenizer: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    chunk: int = 1024,
+    chunk: int = 256,
     filter_bits: int = 1 << 24,
     whole: bool = False,
 ) -> DataFrame:

@@ -70,7 +70,7 @@ def same_as_library(library, doc_rows, found):
             assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
-@pytest.mark.parametrize(("chunk", "bits"), [(1024, 1 << 24), (256, 1 << 24), (100, 1 << 24), (64, 64)])
+@pytest.mark.parametrize(("chunk", "bits"), [(256, 1 << 24), (16, 1 << 24), (3, 1 << 24), (64, 64), (1024, 1 << 24), (100, 1 << 24)])
 def test_chunks_give_the_ids_of_whole_texts(spark, library, chunk, bits):
     docs = spark.createDataFrame(rows() + rows()[:3], DDL)
     found = chunked_bpe.encode_documents(docs, PATH, chunk=chunk, filter_bits=bits)
