@@ -6,8 +6,10 @@ blank) and looked up. What a text's neighbouring sentences give is a sequence of
 Rules are sequences of identifiers with a licence, in a fixed order; a rule that matches takes
 its sentences, so a longer notice is not reported as a shorter one inside it as well.
 
-Notices are often wrapped, so each text is read twice: line by line, and with line ends as blanks.
-A licence that either reading finds is reported once. The table of sentences and rules is fixed
+Notices are often wrapped, so each text is read line by line, with line ends as blanks, and, if it
+has blank lines or copyright lines, by paragraphs: there a line without letters and digits ends a
+sentence, a copyright line is a sentence of its own, and other line ends are blanks.
+A licence that any reading finds is reported once. The table of sentences and rules is fixed
 and small, whatever the corpus. All of it is DataFrame code.
 
 Defined cases: a text that is null, empty or without a known notice has no licence and zero
@@ -85,6 +87,15 @@ SENTENCE_END = "([.!?:])[ \\t\\r\\n]+"
 LINE_END = "[ \\t\\r]*\\n[ \\t\\r]*"
 OTHER = "[^a-z0-9]+"
 
+# What ends a paragraph, in Spark only.
+BLANK_LINE = "\\n[^\\p{L}\\p{N}\\n]*+(?=\\n)"
+COPYRIGHT_LINE = (
+    "(?md)^[^\\p{L}\\p{N}\\n]*(?:(?i:portions)[ \\t]+)?"
+    "(?:(?:Copyright|COPYRIGHT)\\b(?![ \\t]+(?i:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or)\\b)"
+    "|(?i:copyright)[ \\t:]*(?:\\([cC]\\)|©|[0-9]{4})|\\([cC]\\)[ \\t]*(?:[0-9]{4}|(?i:copyright))|©)[^\\n]*"
+)
+PARAGRAPH_END = "\u2029"
+
 
 def normal_form(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), OTHER, " "))
@@ -94,6 +105,13 @@ def cut(text: Column) -> Column:
     return F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
 
 
+def paragraphs(text: Column) -> Column:
+    """The text with a line per paragraph; null if it has neither blank lines nor copyright lines."""
+    apart = F.regexp_replace(text, COPYRIGHT_LINE, "\n\n$0\n\n")
+    marked = F.regexp_replace(F.regexp_replace(apart, BLANK_LINE, PARAGRAPH_END), LINE_END, " ")
+    return F.when(text.rlike(BLANK_LINE) | text.rlike(COPYRIGHT_LINE), F.translate(marked, PARAGRAPH_END, "\n"))
+
+
 def plain_form(sentence: str) -> str:
     """The normal form of a known sentence, which is ASCII."""
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
@@ -119,6 +137,7 @@ def sequences(docs: DataFrame, text: str, sentences: dict[int, str]) -> DataFram
             F.array(
                 F.struct(F.lit("line").alias("layout"), cut(F.col(text)).alias("parts")),
                 F.struct(F.lit("flow").alias("layout"), cut(flow).alias("parts")),
+                F.struct(F.lit("paragraphs").alias("layout"), cut(paragraphs(F.col(text))).alias("parts")),
             )
         ).alias("cut"),
     )

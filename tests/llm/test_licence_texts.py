@@ -1,0 +1,101 @@
+"""Licence scans of the standard texts, wrapped as they are published."""
+
+import pytest
+
+from footfall.llm import licences
+from tests.llm.test_licences import found
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane A. Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+
+APACHE = """Copyright 2019 Jane Roe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+GPL = """frobnicate - turns things
+Copyright (C) 2021  Jane Roe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def commented(text: str, mark: str = " * ") -> str:
+    return "/*\n" + "\n".join((mark + line).rstrip() for line in text.split("\n")) + "\n */\nint main() {}\n"
+
+
+@pytest.fixture(scope="module")
+def licences_of(spark):
+    return lambda texts: [names for names, _ in found(spark, texts)]
+
+
+def test_wrapped_notices_after_titles_and_copyright_lines(licences_of):
+    notices = {"MIT": MIT, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL}
+    without_blank_lines = MIT.replace("\n\n", "\n")
+    doubled = GPL.replace("\n", "\n\n")  # every line a paragraph: read with line ends as blanks
+    texts = [
+        *notices.values(),
+        *map(commented, notices.values()),
+        *(t.replace("\n", "\r\n") for t in notices.values()),
+        without_blank_lines, without_blank_lines.replace("(c) 2020", "by"),
+        "\n".join(notices.values()),
+        doubled[doubled.index("This program"):],
+    ]
+    assert licences_of(texts) == [
+        *([name] for name in notices), *([name] for name in notices), *([name] for name in notices),
+        ["MIT"], ["MIT"], sorted(notices), ["GPL-3.0-or-later"],
+    ]
+
+
+def test_only_copyright_lines_are_cut_off(spark):
+    texts = [
+        "a\nCopyright 2020 X\nb", "a\n# (c) 2020 X\nb", "a\n© X\nb", "a\nPortions Copyright (c) X\nb",
+        "the above\ncopyright notice", "THE\nCOPYRIGHT HOLDERS", "(c) the third case\nand more", "a\nb",
+    ]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = [r.lines for r in docs.select(licences.paragraphs(docs.text).alias("lines")).collect()]
+    assert [r and [x.strip() for x in r.split("\n") if x.strip()] for r in rows] == [
+        ["a", "Copyright 2020 X", "b"], ["a", "# (c) 2020 X", "b"], ["a", "© X", "b"], ["a", "Portions Copyright (c) X", "b"],
+        None, None, None, None,
+    ]
+
+
+def test_long_runs_of_blank_lines(licences_of):
+    assert licences_of(["\n" * 200_000 + GPL, "." * 200_000 + "\n\n" + MIT]) == [["GPL-3.0-or-later"], ["MIT"]]
