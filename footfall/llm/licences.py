@@ -2,7 +2,8 @@
 
 Known licence sentences have identifiers. A text is cut into sentences, each sentence is brought
 to a normal form (lower case, runs of other characters than ASCII letters and digits as one
-blank) and looked up. What a text's neighbouring sentences give is a sequence of identifiers.
+blank, no list number in front) and looked up. Parts without letters and digits, and list numbers
+alone, are no sentences. What a text's neighbouring sentences give is a sequence of identifiers.
 Rules are sequences of identifiers with a licence, in a fixed order; a rule that matches takes
 its sentences, so a longer notice is not reported as a shorter one inside it as well.
 
@@ -96,6 +97,11 @@ COPYRIGHT_LINE = (
 )
 PARAGRAPH_END = "\u2029"
 
+# List numbers before a sentence, and parts that are nothing else, in Spark only.
+LIST_NUMBER = "(?:[0-9]{1,2}|[A-Za-z]|[ivxIVX]{1,4})"
+NUMBERED = f"^[^\\p{{L}}\\p{{N}}]*+{LIST_NUMBER}[.)][ \\t]*"
+NO_SENTENCE = f"^[^\\p{{L}}\\p{{N}}]*+(?:{LIST_NUMBER}[^\\p{{L}}\\p{{N}}]*+)?$"
+
 
 def normal_form(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), OTHER, " "))
@@ -141,9 +147,12 @@ def sequences(docs: DataFrame, text: str, sentences: dict[int, str]) -> DataFram
             )
         ).alias("cut"),
     )
-    parts = cuts.select("text_key", "cut.layout", F.posexplode("cut.parts").alias("place", "part"))
+    sentences_only = F.filter("cut.parts", lambda part: ~part.rlike(NO_SENTENCE))
+    parts = cuts.select("text_key", "cut.layout", F.posexplode(sentences_only).alias("place", "part"))
     # a longer piece than any known sentence, with room for blanks, is none of them
-    parts = parts.filter(F.length("part").between(8, 2 * longest)).withColumn("form", normal_form(F.col("part")))
+    parts = parts.filter(F.length("part").between(8, 2 * longest)).withColumn(
+        "form", normal_form(F.regexp_replace("part", NUMBERED, ""))
+    )
     # the table of known sentences has a fixed number of rows
     hits = parts.join(F.broadcast(known_sentences(docs.sparkSession, sentences)), "form")
     hits = hits.select("text_key", "layout", "place", "sentence").distinct()

@@ -56,6 +56,29 @@ You should have received a copy of the GNU General Public License
 along with this program.  If not, see <https://www.gnu.org/licenses/>.
 """
 
+BSD_3 = """Copyright (c) 2018, Jane Roe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+
+BSD_2 = BSD_3[: BSD_3.index("3. Neither")] + BSD_3[BSD_3.index("THIS SOFTWARE") :]
+
 
 def commented(text: str, mark: str = " * ") -> str:
     return "/*\n" + "\n".join((mark + line).rstrip() for line in text.split("\n")) + "\n */\nint main() {}\n"
@@ -99,3 +122,27 @@ def test_only_copyright_lines_are_cut_off(spark):
 
 def test_long_runs_of_blank_lines(licences_of):
     assert licences_of(["\n" * 200_000 + GPL, "." * 200_000 + "\n\n" + MIT]) == [["GPL-3.0-or-later"], ["MIT"]]
+
+
+def renumbered(text: str, *marks: str) -> str:
+    for number, mark in zip("123", marks):
+        text = text.replace(f"{number}. Re", f"{mark}Re").replace(f"{number}. Ne", f"{mark}Ne")
+    return text
+
+
+def test_numbered_conditions(licences_of):
+    for text, name in ((BSD_3, "BSD-3-Clause"), (BSD_2, "BSD-2-Clause")):
+        texts = [
+            text, commented(text), text.replace("\n\n", "\n"), text.replace("\n", " "), renumbered(text, "* ", "* ", "* "),
+            renumbered(text, "(1) ", "(2) ", "(3) "), renumbered(text, "a) ", "b) ", "c) "),
+            renumbered(text, "i. ", "ii. ", "iii. "), renumbered(text, "1.", "2.", "3."),
+        ]
+        assert licences_of(texts) == [[name]] * len(texts)
+
+
+def test_only_numbers_are_passed_over(licences_of):
+    S = licences.SENTENCES
+    between = ["1.", "--- ... ---", "ii.", "No.", "Nein danke.", "不.", "2020."]
+    assert licences_of([f"{S[16]} {x} {S[17]}" for x in between] + [f"{S[16]}\n{x}\n{S[17]}" for x in between]) == [
+        *[["BSD-2-Clause"]] * 3, *[[]] * 4
+    ] * 2
