@@ -83,6 +83,72 @@ RULES = [
     ("MPL-2.0", [19]),
 ]
 
+# Further notices, which ORACLE_SQL does not list.
+GNU_NOTICES = {  # licence: name and version in the Free Software Foundation's notices
+    "GPL-2.0-or-later": ("GNU General Public License", "2"),
+    "GPL-3.0-or-later": ("GNU General Public License", "3"),
+    "LGPL-2.0-or-later": ("GNU Library General Public License", "2"),
+    "LGPL-2.1-or-later": ("GNU Lesser General Public License", "2.1"),
+    "LGPL-3.0-or-later": ("GNU Lesser General Public License", "3"),
+    "AGPL-3.0-or-later": ("GNU Affero General Public License", "3"),
+}
+GNU_TERMS = {
+    licence: f"you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software "
+    f"Foundation, either version {version} of the License, or (at your option) any later version."
+    for licence, (name, version) in GNU_NOTICES.items()
+}
+GPL_2_ONLY = (
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by "
+    "the Free Software Foundation."
+)
+FURTHER = [  # a licence and a notice's sentences
+    *((licence, [f"This {it} is free software; {terms}"]) for licence, terms in GNU_TERMS.items() for it in ("program", "library")),
+    *((licence, [f"This {it} is free software:", terms]) for licence, terms in GNU_TERMS.items() for it in ("program", "library")),
+    ("GPL-2.0-only", [f"This program is free software; {GPL_2_ONLY}"]),
+    ("GPL-2.0-only", ["This program is free software:", GPL_2_ONLY]),
+    ("GPL-2.0", ["This work is licensed under the GNU General Public License, version 2."]),
+    ("ISC", [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ]),
+    ("ISC", [
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ]),
+    ("CC0-1.0", [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide.",
+    ]),
+    ("CC0-1.0", ["You should have received a copy of the CC0 Public Domain Dedication along with this software."]),
+    ("CC0-1.0", ["CC0 1.0 Universal"]),
+    ("CC0-1.0", ["Licensed under CC0 1.0."]),
+    ("Unlicense", ["This is free and unencumbered software released into the public domain."]),
+    # cut after "v."
+    ("MPL-2.0", ["This Source Code Form is subject to the terms of the Mozilla Public License, v."]),
+]
+
+
+def plain_form(sentence: str) -> str:
+    """The normal form of a known sentence, which is ASCII."""
+    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
+
+
+def with_further() -> tuple[dict[int, str], list[tuple[str, list[int]]]]:
+    """SENTENCES and RULES with those of FURTHER behind them."""
+    sentences, rules = dict(SENTENCES), list(RULES)
+    numbers = {plain_form(sentence): number for number, sentence in sentences.items()}
+    for licence, notice in FURTHER:
+        for sentence in notice:
+            number = numbers.setdefault(plain_form(sentence), max(sentences) + 1)
+            sentences.setdefault(number, sentence)
+        rule = (licence, [numbers[plain_form(sentence)] for sentence in notice])
+        if rule not in rules:
+            rules.append(rule)
+    return sentences, rules
+
+
+ALL_SENTENCES, ALL_RULES = with_further()
+
 # How sentences are cut and normalised, the same in Spark and DuckDB.
 SENTENCE_END = "([.!?:])[ \\t\\r\\n]+"
 LINE_END = "[ \\t\\r]*\\n[ \\t\\r]*"
@@ -118,11 +184,6 @@ def paragraphs(text: Column) -> Column:
     return F.when(text.rlike(BLANK_LINE) | text.rlike(COPYRIGHT_LINE), F.translate(marked, PARAGRAPH_END, "\n"))
 
 
-def plain_form(sentence: str) -> str:
-    """The normal form of a known sentence, which is ASCII."""
-    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
-
-
 def known_sentences(spark, sentences: dict[int, str]) -> DataFrame:
     rows = [(plain_form(sentence), number) for number, sentence in sentences.items()]
     return spark.createDataFrame(rows, "form string, sentence int")
@@ -185,8 +246,8 @@ def matches(sequence: Column, rules: list[tuple[str, list[int]]]) -> Column:
 def scan(
     docs: DataFrame,
     text: str = "text",
-    sentences: dict[int, str] = SENTENCES,
-    rules: list[tuple[str, list[int]]] = RULES,
+    sentences: dict[int, str] = ALL_SENTENCES,
+    rules: list[tuple[str, list[int]]] = ALL_RULES,
 ) -> tuple[DataFrame, list[str]]:
     """The rows of ``docs`` with two columns more, and their names: licences (sorted), n_sentences."""
     licences, count = names = free_names(docs, "licences", "n_sentences")

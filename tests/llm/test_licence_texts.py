@@ -79,6 +79,48 @@ AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
 
 BSD_2 = BSD_3[: BSD_3.index("3. Neither")] + BSD_3[BSD_3.index("THIS SOFTWARE") :]
 
+GPL_2 = GPL.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+LESSER = {
+    "LGPL-2.1-or-later": GPL_2.replace("General", "Lesser General").replace("version 2", "version 2.1").replace("program", "library"),
+    "LGPL-3.0-or-later": GPL.replace("General", "Lesser General").replace("program", "library"),
+    "AGPL-3.0-or-later": GPL.replace("General", "Affero General"),
+}
+
+GPL_2_ONLY = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.
+"""
+
+ISC = """ISC License
+
+Copyright (c) 2020, Jane Roe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES.
+"""
+
+CC0 = """Written in 2020 by Jane Roe
+
+To the extent possible under law, the author(s) have dedicated all copyright
+and related and neighboring rights to this software to the public domain
+worldwide. This software is distributed without any warranty.
+"""
+
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, for any purpose.
+"""
+
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+int main() {}
+"""
+
 
 def commented(text: str, mark: str = " * ") -> str:
     return "/*\n" + "\n".join((mark + line).rstrip() for line in text.split("\n")) + "\n */\nint main() {}\n"
@@ -146,3 +188,20 @@ def test_only_numbers_are_passed_over(licences_of):
     assert licences_of([f"{S[16]} {x} {S[17]}" for x in between] + [f"{S[16]}\n{x}\n{S[17]}" for x in between]) == [
         *[["BSD-2-Clause"]] * 3, *[[]] * 4
     ] * 2
+
+
+def test_further_licences(licences_of):
+    notices = {
+        "GPL-2.0-or-later": GPL_2, **LESSER, "GPL-2.0-only": GPL_2_ONLY, "ISC": ISC,
+        "ISC ": ISC.replace("and/or", "and"), "CC0-1.0": CC0, "Unlicense": UNLICENSE, "MPL-2.0": MPL,
+    }
+    expected = [[name.strip()] for name in notices]
+    assert licences_of(notices.values()) == expected
+    assert licences_of(map(commented, notices.values())) == expected
+
+
+def test_every_sentence_of_the_whole_table_is_read_as_itself(spark):
+    docs = spark.createDataFrame(list(licences.ALL_SENTENCES.items()), "doc_id int, text string")
+    hits = {(r.layout, r.sequence) for r in licences.sequences(docs, "text", licences.ALL_SENTENCES).collect()}
+    assert hits == {(layout, f"|<{i}>") for i in licences.ALL_SENTENCES for layout in ("line", "flow")}
+    assert licences.ALL_RULES[: len(licences.RULES)] == licences.RULES
