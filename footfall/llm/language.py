@@ -220,10 +220,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             result.append([all_of_them[i][:SENTENCE_WORDS] for i in spread])
         return pd.Series(result)
 
-    # the sample has at most max_docs short rows, so it can go to every task
+    # the sample has at most max_docs short rows, so it can go to every task; rows that repeat an id count once
     rows = (
         known.join(F.broadcast(chosen), ["id", "lang"])
-        .select("id", "lang", some_sentences("text").alias("sentences"))
+        .groupBy("id", "lang")
+        .agg(F.min(some_sentences("text")).alias("sentences"))
         .orderBy(F.xxhash64("id"), "id", "lang")
         .limit(max_docs)
         .collect()

@@ -184,14 +184,16 @@ def fit(
     sample = (
         labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("double").alias("quality"))
         .filter(F.col("quality").isNotNull() & F.col("id").isNotNull() & ~is_held_out("id"))
+        .distinct()
         .orderBy(F.xxhash64("id"), "id", "quality")
         .limit(max_rows)
     )
-    # the sample has at most max_rows rows of two numbers, so it can go to every task
+    # the sample has at most max_rows rows of two numbers, so it can go to every task; rows that repeat an id count once
     rows = (
         docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
         .join(F.broadcast(sample), "id")
-        .select("id", "quality", statistics_of("text").alias("numbers"))
+        .groupBy("id", "quality")
+        .agg(F.min(statistics_of("text")).alias("numbers"))
         .orderBy(F.xxhash64("id"), "id", "quality", "numbers")
         .limit(max_rows)
         .toPandas()

@@ -1,0 +1,37 @@
+"""The classifiers' samples when rows repeat an id."""
+
+from pyspark.sql import functions as F
+
+from footfall.llm import language, quality
+from footfall.llm.common import is_held_out
+
+
+def ids_in_turn(spark, n):
+    ids = spark.range(1, 100).filter(~is_held_out("id")).orderBy(F.xxhash64("id"), "id").limit(n)
+    return [r.id for r in ids.collect()]
+
+
+def test_every_chosen_document_reaches_the_language_fit(spark):
+    ids = ids_in_turn(spark, 4)
+    texts = ["the house was there", "das haus war dort", "la casa estaba allí", "la maison était là"]
+    rows = list(zip(ids, texts, ["en", "de", "es", "fr"]))
+    once = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_docs=4)
+    repeated = spark.createDataFrame(rows[:1] * 9 + rows, "doc_id long, text string, lang string")
+    model = language.fit(repeated, max_docs=4)
+    assert model.languages == once.languages == ["de", "en", "es", "fr"]
+    assert (model.weights == once.weights).all()
+
+
+def test_every_chosen_document_reaches_the_quality_fit(spark, monkeypatch):
+    ids = ids_in_turn(spark, 4)
+    seen = []
+    monkeypatch.setattr(quality, "grow", lambda matrix, target, *how: seen.append((matrix.tolist(), target.tolist())))
+    docs = [(i, f"Text {'of words ' * n}.") for n, i in enumerate(ids, 1)]
+    labels = [(i, n % 2) for n, i in enumerate(ids)]
+    for times in (1, 9):
+        quality.fit(
+            spark.createDataFrame(docs[:1] * times + docs[1:], "doc_id long, text string"),
+            spark.createDataFrame(labels[:1] * times + labels[1:], "doc_id long, quality int"),
+            max_rows=4,
+        )
+    assert len(seen[0][0]) == 4 and seen[0] == seen[1]
