@@ -7,6 +7,11 @@ the language changes from one word to the next, so a sentence may switch. Forwar
 each word's probabilities; a document has the language with the largest sum, and its score is
 that language's share.
 
+A score says which learned language fits best, not whether one does. For that, a word is known as
+far as its trigrams occur in words that its language was learned from, and a document as far as
+its words are on average, each in the languages it may have. This does not depend on how many
+languages there are, and a text that switches between learned ones is known.
+
 Fitting sees at most ``max_docs`` documents, as many of each language as there are, in the order
 of a hash of the id, and of each at most ``SENTENCES`` sentences spread over the whole text; the
 bounds are parameters. Some training sentences are joined with one of another document, so that
@@ -40,8 +45,10 @@ SENTENCES = 10
 SENTENCE_WORDS = 32
 BUCKETS = 1 << 18
 AFFIXES = (2, 3, 4)
+TRIGRAMS = 1  # their place among the families of features
 PART_CHARS = 2 << 20
 UNKNOWN = "und"
+LEAST_KNOWN = 0.8
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,13 +94,20 @@ class Model:
     lexicon_weights: np.ndarray  # lexicon, language
     start: np.ndarray
     change: np.ndarray  # from language, to language
+    seen: np.ndarray  # bucket, language: trigrams of the words learned from
 
-    def emissions(self, words: list[str]) -> np.ndarray:
+    def emissions(self, words: list[str], families: list | None = None) -> np.ndarray:
         total = np.zeros((len(words), len(self.languages)))
-        for features, first in word_features(words):
+        for features, first in families or word_features(words):
             total += np.add.reduceat(self.weights[features], first, axis=0)
         return total + self.in_lexicons(words) @ self.lexicon_weights
 
+    def known(self, families: list) -> np.ndarray:
+        """The share of each word's trigrams that each language's words have."""
+        features, first = families[TRIGRAMS]
+        counts = np.diff(np.append(first, len(features)))
+        return np.add.reduceat(self.seen[features], first, axis=0, dtype=float) / counts[:, None]
+
     def in_lexicons(self, words: list[str]) -> np.ndarray:
         bits = np.fromiter(map(self.lexicons.get, words, repeat(0)), np.int64, len(words))
         return (bits[:, None] >> np.arange(len(self.languages)) & 1).astype(float)
@@ -151,7 +165,11 @@ def train(sentences: list[tuple[str, list[str]]], rounds: int = 30, rate: float
     k = len(languages)
     weights, lexicon_weights = np.zeros((BUCKETS, k)), np.zeros((k, k))
     start, change = np.zeros(k), np.zeros((k, k))
-    model = Model(languages, weights, lexicons, lexicon_weights, start, change)
+    trigrams = np.zeros((BUCKETS, k), bool)
+    for i, counter in enumerate(seen):
+        if counter:
+            trigrams[word_features(list(counter))[TRIGRAMS][0], i] = True
+    model = Model(languages, weights, lexicons, lexicon_weights, start, change, trigrams)
     if not chains:
         return model
     words = list(distinct)
@@ -244,6 +262,7 @@ class Labeller:
         self.slots: dict[str, int] = dict.fromkeys(ENDS, 0)
         self.used = 2
         self.scores = np.zeros((1 << 12, len(self.model.languages)))
+        self.known = np.zeros((1 << 12, len(self.model.languages)), np.float32)
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
         if len(self.slots) > self.capacity:
@@ -258,7 +277,10 @@ class Labeller:
                 most = self.used + len(real)
                 if most > len(self.scores):
                     self.scores = np.resize(self.scores, (2 * most, self.scores.shape[1]))
-                self.scores[self.used : most] = self.model.emissions(real)
+                    self.known = np.resize(self.known, (2 * most, self.known.shape[1]))
+                families = word_features(real)
+                self.scores[self.used : most] = self.model.emissions(real, families)
+                self.known[self.used : most] = self.model.known(families)
                 self.slots.update(zip(real, range(self.used, most)))
                 self.used = most
             for i in new:
@@ -267,6 +289,11 @@ class Labeller:
 
     def probabilities(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The number of the text of each word, and the word's probability of each language."""
+        text, found, _ = self.words(texts)
+        return text, found
+
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``probabilities`` gives, and how far each word is known."""
         tokens = [TOKENS.findall(text.lower()) for text in texts]
         slot = self.numbers([token for own in tokens for token in own])
         text = np.repeat(np.arange(len(texts)), [len(own) for own in tokens])
@@ -274,55 +301,67 @@ class Labeller:
         word = slot > 1
         slot, text, part = slot[word], text[word], part[word]
         if not len(slot):
-            return text, np.zeros((0, len(self.model.languages)))
+            return text, np.zeros((0, len(self.model.languages))), np.zeros(0)
         new = np.concatenate([[True], (part[1:] != part[:-1]) | (text[1:] != text[:-1])])
         begin = np.flatnonzero(new)
         new |= (np.arange(len(slot)) - begin[np.cumsum(new) - 1]) % CHAIN == 0
         begin = np.flatnonzero(new)
         size = np.diff(np.append(begin, len(slot)))
         found, _, _ = forward_backward(self.scores[slot], begin, size, self.model.start, self.model.change)
-        return text, found
+        return text, found, (found * self.known[slot]).sum(axis=1)
 
     def languages(self, texts: list[str]) -> list[tuple[str, float]]:
+        return [(name, score) for name, score, _ in self.labels(texts)]
+
+    def labels(self, texts: list[str]) -> list[tuple[str, float, float]]:
+        """The language of each text, its score, and how far the text is known."""
         names, result = self.model.languages, []
         if not names:
-            return [(UNKNOWN, 0.0)] * len(texts)
+            return [(UNKNOWN, 0.0, 0.0)] * len(texts)
         begin = size = 0
         for i in range(len(texts) + 1):
             if i == len(texts) or size and size + len(texts[i]) > PART_CHARS:
-                text, found = self.probabilities(texts[begin:i])
+                text, found, known = self.words(texts[begin:i])
                 sums = np.stack([np.bincount(text, found[:, j], i - begin) for j in range(len(names))], axis=1)
+                known = np.bincount(text, known, i - begin).tolist()
                 words, best = np.bincount(text, minlength=i - begin), sums.argmax(axis=1)
-                for n, j, own in zip(words.tolist(), best.tolist(), sums):
-                    result.append((names[j], min(1.0, float(own[j] / n))) if n else (UNKNOWN, 0.0))
+                for n, j, own, k in zip(words.tolist(), best.tolist(), sums, known):
+                    result.append((names[j], min(1.0, float(own[j] / n)), min(1.0, k / n)) if n else (UNKNOWN, 0.0, 0.0))
                 begin, size = i, 0
             if i < len(texts):
                 size += len(texts[i])
         return result
 
 
-def with_language(docs: DataFrame, model: Model, language: str, score: str, text: str = "text") -> DataFrame:
-    """``docs`` with the language of each whole text and its score; only the text goes to Python."""
+def with_language(
+    docs: DataFrame, model: Model, language: str, score: str, text: str = "text", known: str | None = None
+) -> DataFrame:
+    """``docs`` with the language of each whole text, its score and, if named, how far it is known; only the text goes to Python."""
     (both,) = free_names(docs, "language_and_score")
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, known double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(model)
         for texts in batches:
-            yield pd.DataFrame(labeller.languages([t or "" for t in texts]), columns=["lang", "score"])
+            yield pd.DataFrame(labeller.labels([t or "" for t in texts]), columns=["lang", "score", "known"])
 
     docs = docs.withColumn(both, label(F.col(text)))
-    return docs.withColumns({language: F.col(f"{both}.lang"), score: F.col(f"{both}.score")}).drop(both)
+    columns = {language: F.col(f"{both}.lang"), score: F.col(f"{both}.score")}
+    return docs.withColumns(columns | ({known: F.col(f"{both}.known")} if known else {})).drop(both)
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.35) -> DataFrame:
+def accepted(
+    docs: DataFrame, model: Model, text: str = "text", least: float = 0.35, least_known: float = LEAST_KNOWN
+) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language with a score of at least ``least``.
 
-    A text in two languages has a score of about a half, so it stays.
+    A text in two languages has a score of about a half, so it stays. One that is known by less than
+    ``least_known`` is in none of them.
     """
-    language, score = free_names(docs, "lang_pred", "lang_score")
-    labelled = with_language(docs, model, language, score, text)
-    return labelled.filter((F.col(language) != UNKNOWN) & (F.col(score) >= least)).drop(language, score)
+    names = language, score, known = free_names(docs, "lang_pred", "lang_score", "lang_known")
+    labelled = with_language(docs, model, language, score, text, known)
+    stays = (F.col(language) != UNKNOWN) & (F.col(score) >= least) & (F.col(known) >= least_known)
+    return labelled.filter(stays).drop(*names)
 
 
 def digest(docs: DataFrame) -> DataFrame:
