@@ -68,3 +68,25 @@ def totals_before(
         .withColumn(into, (F.col(inner) + F.col(begin)).cast("long"))
         .drop(block, inner, begin)
     )
+
+
+def with_ranks(rows: DataFrame, by: list[str], order: list[str], into: str, name: str) -> DataFrame:
+    """Adds each row's place, from 0 and without gaps, among the rows of the same ``by`` (no nulls there).
+
+    Rows are dealt by ranges of ``by`` and ``order``, sorted where they are and stored. What places
+    the tasks after one another is one row per task and group. A group with most of the rows is
+    spread over many tasks, as long as its rows differ in ``order``.
+    """
+    place, part, count, first = free_names(rows, "place", "part", "count", "first")
+    at = F.monotonically_increasing_id()  # the task in the upper bits, the place in it below
+    dealt = rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn(place, at)
+    dealt = stored(dealt, name).withColumn(part, F.shiftright(place, 33))
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    begins = (
+        dealt.groupBy(*by, part)
+        .agg(F.count("*").alias(count), F.min(place).alias(first))
+        .withColumn(first, F.coalesce(F.sum(count).over(earlier), F.lit(0)) - F.col(first))
+        .drop(count)
+    )
+    placed = dealt.join(begins, [*by, part]).withColumn(into, F.col(place) + F.col(first))
+    return placed.select(*rows.columns, into)

@@ -6,7 +6,7 @@ Each query applies its operator, with production parameters, to the whole of its
 from __future__ import annotations
 
 from footfall.llm import (
-    backoff, chunked_bpe, exact_dedup, language, licences, line_spread, packing, quality, simhash, topk,
+    backoff, chunked_bpe, exact_dedup, language, licences, line_spread, packing, quality, sharding, simhash, topk,
 )
 from footfall.llm.common import documents
 
@@ -26,6 +26,7 @@ QUERIES = {
     "op8_licences": lambda spark, sf_dir: licences.digest(documents(spark, sf_dir)),
     "op9_simhash": lambda spark, sf_dir: simhash.digest(documents(spark, sf_dir)),
     "op10_bpe_chunks": lambda spark, sf_dir: chunked_bpe.digest(documents(spark, sf_dir)),
+    "op11_sharding": lambda spark, sf_dir: sharding.digest(documents(spark, sf_dir)),
 }
 
 ORACLES = {

@@ -1,0 +1,143 @@
+"""Shards of the ring against a ring that is played row by row."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+
+from footfall.llm import common, sharding
+
+DDL = "doc_id long, text string, shard string, slot int, cuts string"
+
+
+def long_hash(value: str) -> int:
+    h = xxhash.xxh64_intdigest(value, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def home_arc(doc_id, points):
+    at = long_hash(str(doc_id)) if doc_id is not None else 42
+    return next((i for i, p in enumerate(points) if p >= at), 0)
+
+
+def played(ids, shards, points, capacity):
+    """Shard of each row: at every round all rows move to the next shard with room, which keeps what fits."""
+    position, owner = sharding.ring(shards, points)
+    assert sorted(position.tolist()) == position.tolist() and len(set(position.tolist())) == shards * points
+    waiting = {}
+    for i in ids:
+        waiting.setdefault(home_arc(i, position.tolist()), []).append(i)
+    load, found = [0] * shards, {}
+    while any(waiting.values()):
+        goal = {}
+        for arc in sorted(waiting):
+            shard = next(s for s in np.roll(owner, -arc).tolist() if load[s] < capacity[s])
+            goal.setdefault(shard, []).append(arc)
+        for shard, arcs in goal.items():
+            arriving, room = sum(len(waiting[a]) for a in arcs), capacity[shard] - load[shard]
+            come = kept = 0
+            for arc in arcs:
+                come += len(waiting[arc])
+                until = come if arriving <= room else come * room // arriving
+                found.setdefault(shard, []).append((arc, until - kept))
+                del waiting[arc][: until - kept]
+                load[shard] += until - kept
+                kept = until
+    return load, {s: sum(n for _, n in parts) for s, parts in found.items()}
+
+
+def rows_of(result):
+    return [tuple(r) for r in result.select("doc_id", "size", "text_crc32", "shard", "slot").collect()]
+
+
+def check(rows, placed, shards):
+    expected = sorted(
+        ((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows), key=repr
+    )
+    assert sorted((r[:3] for r in placed), key=repr) == expected
+    for shard in range(shards):
+        slots = sorted(r[4] for r in placed if r[3] == shard)
+        assert slots == list(range(len(slots)))
+    return [sum(r[3] == shard for r in placed) for shard in range(shards)]
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.05, 0.5])
+def test_loads_equal_a_played_ring(spark, slack):
+    rows = [(i, f"text {i}", "x", 1, None) for i in range(3000)]
+    placed = rows_of(sharding.place(spark.createDataFrame(rows, DDL), shards=5, points=8, slack=slack))
+    loads = check(rows, placed, 5)
+    capacity = sharding.capacities(3000, 5, slack)
+    assert loads == played(range(3000), 5, 8, capacity)[0]
+    assert all(load <= may for load, may in zip(loads, capacity))
+    if not slack:
+        assert max(loads) - min(loads) <= 1
+
+
+def test_rows_at_home_stay_while_there_is_room(spark):
+    rows = [(i, "t", "x", 1, None) for i in range(2000)]
+    position, owner = sharding.ring(4, 16)
+    placed = rows_of(sharding.place(spark.createDataFrame(rows, DDL), shards=4, points=16, slack=10.0))
+    assert all(r[3] == owner[home_arc(r[0], position.tolist())] for r in placed)
+
+
+def test_few_rows_move_when_a_shard_joins(spark):
+    rows = [(i, "t", "x", 1, None) for i in range(20_000)]
+    frame = spark.createDataFrame(rows, DDL)
+
+    def moved(slack):
+        old, new = ({r[0]: r[3] for r in rows_of(sharding.place(frame, shards=n, slack=slack))} for n in (16, 17))
+        assert set(new.values()) == set(range(17))
+        return sum(old[i] != new[i] for i in old) / len(old)
+
+    tight, loose = moved(0.0), moved(0.25)
+    assert loose < 0.08  # the plain ring moves 1 / 17 = 0.059
+    assert tight < 0.25
+    assert loose < tight
+
+
+def test_defined_cases(spark):
+    rng = random.Random(1)
+    rows = [(None, "no id", "s", 2, "c")] * 700 + [(7, "same", None, None, None)] * 900
+    rows += [(7, "other", None, 1, None), (8, None, "s", 1, "c"), (9, "", "s", 1, "c"), (10, "é" * 100_000, "s", 1, "c")]
+    rows += [(i, str(i), "s", i, "c") for i in range(100, 400)]
+    rng.shuffle(rows)
+    placed = rows_of(sharding.place(spark.createDataFrame(rows, DDL)))
+    loads = check(rows, placed, 16)
+    assert max(loads) - min(loads) <= 1
+    again = rows_of(sharding.place(spark.createDataFrame(rows[::-1], DDL).repartition(5)))
+    assert sorted(again, key=repr) == sorted(placed, key=repr)  # however the rows are laid out
+    assert sharding.digest(spark.createDataFrame([], DDL)).collect() == []
+    few = rows_of(sharding.place(spark.createDataFrame(rows[:3], DDL)))
+    assert sorted(check(rows[:3], few, 16)) == [0] * 13 + [1] * 3
+    with pytest.raises(ValueError):
+        sharding.capacities(5, 2, -0.1)
+
+
+def test_one_key_is_spread(spark, monkeypatch):
+    """A key with most of the rows is ranked by many tasks."""
+    kept = []
+    store = common.stored
+    monkeypatch.setattr(common, "stored", lambda frame, name: kept.append(store(frame, name)) or kept[-1])
+    monkeypatch.setattr(sharding, "stored", common.stored)
+    rows = [(1, "t", "s", 1, "c")] * 20_000 + [(i, "t", "s", 1, "c") for i in range(5_000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = rows_of(sharding.place(spark.createDataFrame(rows, DDL)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    loads = check(rows, placed, 16)
+    assert max(loads) - min(loads) <= 1
+    tasks = kept[-1].selectExpr("shiftright(place, 33) AS task").groupBy("task").count().collect()
+    assert max(r["count"] for r in tasks) < 5_000
+
+
+def test_written_shards_hold_whole_rows(spark, tmp_path):
+    rows = [(i, f"t{i}", f"own {i}", i, None) for i in range(100)]
+    frame = spark.createDataFrame(rows, DDL)
+    sharding.write_shards(frame, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(tuple(r) for r in back.select(*frame.columns).collect()) == sorted(rows)
+    assert {r["_shard"] for r in back.collect()} == {0, 1, 2, 3}
+    assert sorted((r["_shard"], r["_slot"]) for r in back.collect()) == [(s, i) for s in range(4) for i in range(25)]
