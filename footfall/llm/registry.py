@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from footfall.llm import (
     backoff, chunked_bpe, exact_dedup, language, licences, line_spread, packing, quality, sharding, simhash, topk,
+    whitening,
 )
 from footfall.llm.common import documents
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_simhash": lambda spark, sf_dir: simhash.digest(documents(spark, sf_dir)),
     "op10_bpe_chunks": lambda spark, sf_dir: chunked_bpe.digest(documents(spark, sf_dir)),
     "op11_sharding": lambda spark, sf_dir: sharding.digest(documents(spark, sf_dir)),
+    "op13_whitening": lambda spark, sf_dir: whitening.digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
 }
 
 ORACLES = {

@@ -1,0 +1,142 @@
+"""Whitening against the eigenvectors of the whole covariance matrix."""
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from footfall.llm import whitening
+
+DDL = "vec_id long, embedding array<double>, n int, whitened string, x string"
+
+
+def frame_of(spark, vectors, ids=None):
+    ids = range(len(vectors)) if ids is None else ids
+    rows = [(i, None if v is None else list(v), 1, "w", None) for i, v in zip(ids, vectors)]
+    return spark.createDataFrame(rows, DDL)
+
+
+def expected(vectors, most=16):
+    """n, S, components, deviations and shares by plain numpy over exactly centred rows."""
+    ints = {tuple(int(np.floor(64 * c)) + 1_000_000 for c in v) for v in vectors}
+    x = np.array(sorted(ints), object)
+    n, sums = len(x), x.sum(axis=0)
+    a = np.array([[float(Fraction(int(n * c - s), n)) for c, s in zip(row, sums)] for row in x])
+    values, columns = np.linalg.eigh(a.T @ a / n)
+    order = np.argsort(-values)[:most]
+    return n, [int(s) for s in sums], columns[:, order], values[order], float(values.sum())
+
+
+def check(spark, vectors, most=16, ids=None):
+    result = whitening.whiten(frame_of(spark, vectors, ids), most=most)
+    rows = result.collect()
+    n, sums, columns, values, trace = expected(vectors, most)
+    signs = {}
+    by_id = {}
+    for i, v in enumerate(vectors):
+        by_id.setdefault(i if ids is None else ids[i], v)
+    kept = int((values > 1e-18 * values[0]).sum())
+    assert len(rows) == len(vectors) * kept
+    for r in rows:
+        x = [int(np.floor(64 * c)) + 1_000_000 for c in by_id[r.vec_id]]
+        deltas = [n * c - s for c, s in zip(x, sums)]
+        assert r.n == n and r.deviation == sum(d * d for d in deltas)
+        c = r.component - 1
+        plain = sum(d / n * w for d, w in zip(deltas, columns[:, c])) / np.sqrt(values[c])
+        if abs(plain) > 1e-6 and c not in signs:
+            signs[c] = np.sign(plain * r.whitened)
+        assert abs(r.whitened - signs.get(c, 1) * plain) < 1e-8
+        assert abs(r.explained - values[c] / trace) < 1e-10 * r.explained + 1e-15
+        assert r.identity_error < 1e-9
+    assert sorted({r.component for r in rows}) == list(range(1, kept + 1))
+
+
+def test_equals_plain_eigenvectors(spark):
+    rng = np.random.default_rng(1)
+    spread = np.array([9.0, 7, 5, 4, 3, 2, 1, 0.5])
+    vectors = rng.normal(size=(600, 8)) * spread @ np.linalg.qr(rng.normal(size=(8, 8)))[0]
+    vectors[200:400] = vectors[200]  # a third are copies, which count once
+    check(spark, vectors.tolist(), most=5)
+
+
+def test_all_components_of_a_wide_spectrum(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(300, 6)) * np.array([3000.0, 300, 30, 20, 5, 1])
+    check(spark, vectors.tolist())
+
+
+def test_clustered_vectors_in_more_dimensions(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(5, 24))
+    vectors = centres[rng.integers(0, 5, 400)] + 0.2 * rng.normal(size=(400, 24))
+    check(spark, vectors.tolist())
+
+
+def bidiagonalised(a, most):
+    """Without Spark."""
+
+    def product(p, left):
+        u = a @ p
+        return float(u @ u), (a @ left).T @ u, a.T @ u
+
+    return whitening.bidiagonalised(product, a.shape[1], float((a * a).sum()), most)
+
+
+@pytest.mark.parametrize("values", [[5, 5, 5, 2, 2, 1], [4, 3, 3, 3, 3, 3], [7, 1, 0, 0, 0, 0], [1, 1, 1, 1, 1, 1]])
+def test_equal_variances_are_all_found(values):
+    rng = np.random.default_rng(4)
+    left = np.linalg.qr(rng.normal(size=(50, 6)))[0]
+    right = np.linalg.qr(rng.normal(size=(6, 6)))[0]
+    a = left * np.array(values, float) @ right.T
+    columns, found = bidiagonalised(a, 4)
+    assert np.allclose(found, sorted(values, reverse=True)[:4], atol=1e-12)
+    assert np.allclose(columns.T @ columns, np.eye(4), atol=1e-12)
+    assert np.allclose(a.T @ (a @ columns), columns * found**2, atol=1e-11)
+
+
+def test_stops_early_when_the_rest_cannot_matter():
+    rng = np.random.default_rng(5)
+    values = np.concatenate([[100.0, 60, 30, 20], np.full(76, 1e-9)])
+    a = np.linalg.qr(rng.normal(size=(200, 80)))[0] * values @ np.linalg.qr(rng.normal(size=(80, 80)))[0].T
+    calls = []
+
+    def product(p, left):
+        calls.append(1)
+        u = a @ p
+        return float(u @ u), (a @ left).T @ u, a.T @ u
+
+    columns, found = whitening.bidiagonalised(product, 80, float((a * a).sum()), 3)
+    assert np.allclose(found, values[:3], atol=1e-11)
+    assert len(calls) < 40
+
+
+def test_defined_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [
+        None, [], [1.0, None], [nan, 1.0], [1.0, inf], [1.0, 2.0, 3.0], [1.0, 2.0], [1.0, 2.0], [-0.001, 5.0], [3.0, 1.0],
+    ]
+    frame = frame_of(spark, vectors, [1, 2, 3, 4, 5, 6, 7, 7, None, 8])
+    rows = whitening.whiten(frame).collect()
+    assert sorted((r.vec_id or -1, r.component) for r in rows) == [
+        (-1, 1), (-1, 2), (7, 1), (7, 1), (7, 2), (7, 2), (8, 1), (8, 2)
+    ]
+    assert {r.n for r in rows} == {3}
+    assert rows[0].identity_error < 1e-12
+    same = frame_of(spark, [[1.0, 2.0]] * 5)
+    assert whitening.whiten(same).collect() == []
+    empty = whitening.digest(frame_of(spark, []))
+    assert empty.collect() == [] and empty.dtypes[1:4] == [("component", "int"), ("n", "bigint"), ("deviation", "bigint")]
+    flat = frame_of(spark, [[float(i), 2.0 * i, 5.0] for i in range(20)])  # one direction only
+    assert {r.component for r in whitening.whiten(flat).collect()} == {1}
+    huge = whitening.whiten(frame_of(spark, [[1e300, 1.0], [-1e300, 2.0], [0.0, 4.0]])).collect()
+    assert len(huge) == 3 * len({r.component for r in huge})
+    assert max(r.deviation for r in huge) == 2**63 - 1
+
+
+def test_exact_arithmetic_beyond_longs():
+    x = np.array([[2**62, 1], [-(2**62), 5]], np.int64)
+    deltas = whitening.scaled_deltas(x, 10, [7, 8])
+    assert [[int(v) for v in row] for row in deltas] == [[10 * 2**62 - 7, 2], [-10 * 2**62 - 7, 42]]
+    assert whitening.squared_lengths(deltas).tolist() == [2**63 - 1] * 2
+    small = np.array([[3, -4], [0, 2]], np.int64)
+    assert whitening.squared_lengths(small).tolist() == [25, 4]
