@@ -6,8 +6,8 @@ Each query applies its operator, with production parameters, to the whole of its
 from __future__ import annotations
 
 from footfall.llm import (
-    backoff, chunked_bpe, exact_dedup, language, licences, line_spread, packing, quality, sharding, simhash, topk,
-    whitening,
+    backoff, chunked_bpe, collocations, exact_dedup, language, licences, line_spread, packing, quality, sharding,
+    simhash, topk, whitening,
 )
 from footfall.llm.common import documents
 
@@ -28,6 +28,7 @@ QUERIES = {
     "op9_simhash": lambda spark, sf_dir: simhash.digest(documents(spark, sf_dir)),
     "op10_bpe_chunks": lambda spark, sf_dir: chunked_bpe.digest(documents(spark, sf_dir)),
     "op11_sharding": lambda spark, sf_dir: sharding.digest(documents(spark, sf_dir)),
+    "op12_collocations": lambda spark, sf_dir: collocations.digest(documents(spark, sf_dir)),
     "op13_whitening": lambda spark, sf_dir: whitening.digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
 }
 
@@ -37,4 +38,5 @@ ORACLES = {
     "op5_line_spread": line_spread.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
     "op8_licences": licences.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
 }
