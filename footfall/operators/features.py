@@ -20,6 +20,10 @@ from footfall.schema import DEVICES, FEATURE_COLUMNS
 # Kinds of key rows. Every event is in exactly one row of each kind.
 SESSION, PAGE, DAY = 0, 1, 2
 KEYS = {SESSION: "session_id", PAGE: "page"}
+# Columns of key rows, all of which add up.
+MEASURES = [
+    "total_events", "total_searches", "total_cart_adds", "total_purchases", "amount_sum", "amount_count", *DEVICES,
+]
 DISTINCTS = {"total_sessions": SESSION, "unique_pages_visited": PAGE}
 
 
@@ -81,6 +85,24 @@ def merged_features() -> dict[str, Column]:
     return merged
 
 
+def key_rows(events: DataFrame, by: Sequence[str | Column] = ("user_id",)) -> DataFrame:
+    """The first level: measures per ``by``, kind and key. Rows of parts of the events can be added up."""
+    return spread_keys(known_users(events), KEYS).groupBy(*by, "kind", "key").agg(*named(key_counts()))
+
+
+def added_key_rows(rows: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFrame:
+    """One row per ``by``, kind and key from the key rows of several parts of the events."""
+    return rows.groupBy(*by, "kind", "key").agg(*[F.sum(name).alias(name) for name in MEASURES])
+
+
+def features_of_keys(
+    rows: DataFrame, by: Sequence[str] = ("user_id",), columns: Sequence[str] = FEATURE_COLUMNS
+) -> DataFrame:
+    """The second level: the feature row per ``by`` from rows with one of each key."""
+    merged = merged_features()
+    return rows.groupBy(*by).agg(*[merged[name].alias(name) for name in columns])
+
+
 def user_features(
     events: DataFrame,
     by: Sequence[str | Column] = ("user_id",),
@@ -94,15 +116,8 @@ def user_features(
     """
     if not set(columns) & set(DISTINCTS):
         return plain_features(events, by, columns)
-    key_rows = (
-        spread_keys(known_users(events), KEYS)
-        .groupBy(*by, "kind", "key")
-        .agg(*named(key_counts()))
-    )
-    merged = merged_features()
-    return key_rows.groupBy(*key_rows.columns[: len(by)]).agg(
-        *[merged[name].alias(name) for name in columns]
-    )
+    rows = key_rows(events, by)
+    return features_of_keys(rows, rows.columns[: len(by)], columns)
 
 
 def plain_features(

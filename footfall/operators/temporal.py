@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,18 +63,17 @@ def session_duration(events: DataFrame) -> DataFrame:
     )
 
 
-def sessionize(events: DataFrame, gap_seconds: int) -> DataFrame:
-    """Sessions derived from inactivity: a pause longer than the gap starts a new one.
+def activity_slots(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """user_id, slot, first_at, last_at, events: activity per gap-wide time slot.
 
-    Events of one user in the same gap-wide time slot always share a session, so events
-    are first reduced to one row per (user, slot). What is then ordered per user is
-    bounded by the covered time divided by the gap, however many events a user has.
+    Events of one user in the same slot always share a session, so slots are all that
+    sessions need to know; slots of parts of the events can be merged.
     """
     if gap_seconds <= 0:
         raise ValueError("gap_seconds must be positive")
     gap = F.lit(int(gap_seconds * 1_000_000))
     micros = F.unix_micros("timestamp")
-    slots = (
+    return (
         known_users(events)
         .filter(F.col("timestamp").isNotNull())
         .groupBy("user_id", (micros - F.pmod(micros, gap)).alias("slot"))
@@ -82,7 +83,19 @@ def sessionize(events: DataFrame, gap_seconds: int) -> DataFrame:
             F.count("*").alias("events"),
         )
     )
-    in_order = Window.partitionBy("user_id").orderBy("slot")
+
+
+def merged_slots(slots: DataFrame, by: Sequence[str] = ("user_id", "slot")) -> DataFrame:
+    """One row per user and slot from the slots of several parts of the events."""
+    return slots.groupBy(*by).agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("events").alias("events")
+    )
+
+
+def sessions_of_slots(slots: DataFrame, gap_seconds: int) -> DataFrame:
+    """Sessions of stretches of activity that do not overlap, such as slots or earlier sessions."""
+    gap = F.lit(int(gap_seconds * 1_000_000))
+    in_order = Window.partitionBy("user_id").orderBy("first_at")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pause = F.unix_micros("first_at") - F.unix_micros(F.lag("last_at").over(in_order))
     starts = F.when(pause <= gap, 0).otherwise(1)
@@ -100,6 +113,15 @@ def sessionize(events: DataFrame, gap_seconds: int) -> DataFrame:
     )
 
 
+def sessionize(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """Sessions derived from inactivity: a pause longer than the gap starts a new one.
+
+    Events are first reduced to one row per (user, slot). What is then ordered per user is
+    bounded by the covered time divided by the gap, however many events a user has.
+    """
+    return sessions_of_slots(activity_slots(events, gap_seconds), gap_seconds)
+
+
 def mean_gap_seconds(first: Column, last: Column, events: Column) -> Column:
     """Mean pause between consecutive events, NULL for a single event."""
     return seconds(F.try_divide(F.unix_micros(last) - F.unix_micros(first), events - 1))

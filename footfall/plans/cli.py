@@ -10,8 +10,10 @@ from footfall.operators.segments import LAYOUT
 from footfall.plans.jobs import segment_report, segment_users, transform_events
 from footfall.session import build_session
 from footfall.sources.events import event_lines, kafka_events, publish_messages, stream_events
+from footfall.sources.tables import write_tables
+from footfall.streaming import whole
 from footfall.streaming.landing import land_events
-from footfall.streaming.live import stream_features
+from footfall.streaming.live import rejected_times, start_append, stream_features
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -56,7 +58,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     live = commands.add_parser(
         "live",
         help="daily features and sessions of an event stream",
-        description="A run that stops at the end of its input does not emit days and sessions still open.",
+        description="Without --whole, a run that stops at the end of its input does not emit days and sessions still open.",
     )
     for stream in (land, live):
         stream.add_argument("--output-path", required=True)
@@ -72,6 +74,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     land.add_argument("--files-per-day", type=int, help="shuffle to this many files per batch")
     live.add_argument("--watermark", default="1 hour", help="how late an event may be")
     live.add_argument("--gap-seconds", type=int, default=1800)
+    live.add_argument("--whole", action="store_true",
+                      help="keep results with days and sessions still open; read them with snapshot")
+    snapshot = commands.add_parser("snapshot", help="daily features and sessions of live --whole, as they are now")
+    snapshot.add_argument("--input-path", required=True, help="output path of live --whole")
+    snapshot.add_argument("--output-path", required=True)
+    snapshot.add_argument("--gap-seconds", type=int, default=1800)
     args = parser.parse_args(argv)
     if args.command in ("land", "live") and args.bootstrap_servers and not args.topic:
         parser.error("--bootstrap-servers needs --topic")
@@ -102,6 +110,14 @@ def main(argv: list[str] | None = None) -> None:
         show_whole(tables)
     elif args.command == "publish":
         publish_messages(event_lines(spark, args.input_path), args.bootstrap_servers, args.topic)
+    elif args.command == "snapshot":
+        write_tables(
+            {
+                "daily": whole.read_daily(spark, args.input_path),
+                "sessions": whole.read_sessions(spark, args.input_path, args.gap_seconds),
+            },
+            args.output_path,
+        )
     else:
         run_streams(spark, args)
 
@@ -127,6 +143,15 @@ def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
         started = [
             land_events(events, args.output_path, args.checkpoint, trigger, args.files_per_day)
         ]
+    elif args.whole:
+        started = [
+            whole.start_whole(
+                events, args.output_path, f"{args.checkpoint}/whole", args.gap_seconds, args.watermark, trigger=trigger
+            ),
+            start_append(
+                rejected_times(events), f"{args.output_path}/rejected", f"{args.checkpoint}/rejected", trigger
+            ),
+        ]
     else:
         started = stream_features(
             events, args.output_path, args.checkpoint, args.watermark, args.gap_seconds,

@@ -566,11 +566,11 @@ SELECT {FEATURE_ROW}, pageviews, {", ".join(DAY_PARTS)},
   mean_duration_s, max_duration_s, events_per_active_day, mean_gap_s
 FROM features JOIN parts USING (user_id)
   LEFT JOIN durations USING (user_id) JOIN frequency USING (user_id)"""),
-    "stream_daily_features": with_events(
+    "stream_closed_days": with_events(
         f""", {DAILY_FEATURES} SELECT {day_text('day')} AS day, {FEATURE_ROW} FROM daily
         WHERE day + INTERVAL 1 DAY <= {WATERMARK}"""
     ),
-    "stream_sessions": with_events(
+    "stream_closed_sessions": with_events(
         f""", {GAP_SESSIONS} SELECT user_id, {GAP_SESSION_ROW} FROM gap_sessions
         WHERE last_at + INTERVAL {GAP_SECONDS} SECOND <= {WATERMARK}"""
     ),
@@ -592,6 +592,11 @@ FROM features JOIN parts USING (user_id)
 }
 
 
+# A stream that has read everything gives what the batch gives.
+ORACLES["stream_daily_features"] = ORACLES["daily_features"]
+ORACLES["stream_sessions"] = ORACLES["sessionize"]
+
+
 def long_table(name: str, source: str, metrics, metric: str | None = None) -> str:
     """A report's rows as table, segment, metric, value."""
     segment = "CAST(NULL AS INTEGER)" if source == "kpis" else "segment"

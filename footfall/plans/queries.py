@@ -26,12 +26,13 @@ from footfall.schema import (
 from footfall.session import work_dir
 from footfall.sources import events as event_sources
 from footfall.sources import tables
-from footfall.streaming import landing, live
+from footfall.streaming import landing, live, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2024-01-10"
 RANGE = ("2024-01-10", "2024-01-12")
+HALF = "2024-01-16"
 GAP_SECONDS = 4 * 3600
 WATERMARK = "1 hour"
 CHOSEN_SEGMENTS = [1, 3]
@@ -341,16 +342,38 @@ def silhouette(spark, sf_dir):
 # Streams
 
 
-def stream_daily_features(spark, sf_dir):
+def stream_closed_days(spark, sf_dir):
     stream = live.live_daily_features(streamed_events(spark, sf_dir), WATERMARK, ["event_id"])
     return plain(finished_rows(spark, stream))
 
 
-def stream_sessions(spark, sf_dir):
+def stream_closed_sessions(spark, sf_dir):
     stream = live.live_sessions(streamed_events(spark, sf_dir), GAP_SECONDS, WATERMARK, ["event_id"])
     return plain(finished_rows(spark, stream))
 
 
+def streamed_in_halves(spark, sf_dir) -> str:
+    """A stream that stops after the first half of the month and is started again for the second."""
+    folder = work_dir(spark, "whole")
+    rows = spark.read.schema(SOURCE_DDL).parquet(f"{sf_dir}/events.parquet")
+    first = F.col("ts") < F.lit(HALF).cast("timestamp")
+    for half in (first, ~first):
+        rows.filter(half).write.mode("append").parquet(f"{folder}/source")
+        events = as_web_events(spark.readStream.schema(SOURCE_DDL).parquet(f"{folder}/source"))
+        whole.start_whole(
+            events, f"{folder}/rows", f"{folder}/checkpoint", GAP_SECONDS, WATERMARK, ["event_id"], span=4
+        ).awaitTermination()
+    return f"{folder}/rows"
+
+
+def stream_daily_features(spark, sf_dir):
+    return plain(whole.read_daily(spark, streamed_in_halves(spark, sf_dir)))
+
+
+def stream_sessions(spark, sf_dir):
+    return plain(whole.read_sessions(spark, streamed_in_halves(spark, sf_dir), GAP_SECONDS))
+
+
 # Experiments and recommendations
 
 
@@ -430,6 +453,8 @@ QUERIES: dict[str, Query] = {
     "interaction_frequency": over_events(temporal.interaction_frequency),
     "pages_viewed": over_events(temporal.pages_viewed),
     "behavior_profile": over_events(temporal.behavior_profile),
+    "stream_closed_days": stream_closed_days,
+    "stream_closed_sessions": stream_closed_sessions,
     "stream_daily_features": stream_daily_features,
     "stream_sessions": stream_sessions,
     "ab_test": ab_test,

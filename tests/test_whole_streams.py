@@ -1,0 +1,163 @@
+"""Streams whose results are whole at any time, over batches, folds, restarts and failures."""
+
+import os
+import shutil
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.operators import features, temporal
+from footfall.plans import cli
+from footfall.schema import EVENT_DATE
+from footfall.sources import folders
+from footfall.sources.events import stream_events
+from footfall.streaming import whole
+from tests.test_streaming import event, in_time_order, rounded, same, source, write_batches  # noqa: F401
+
+GAP = 4 * 3600
+
+
+def run(spark, folder, out, **how):
+    options = {"gap_seconds": GAP, "identity": ["event_id"], "span": 2, **how}
+    return whole.start_whole(source(spark, folder), f"{out}/rows", f"{out}/checkpoint", **options)
+
+
+def check(spark, events, out):
+    assert same(rounded(features.daily_features(events)), rounded(whole.read_daily(spark, f"{out}/rows")))
+    assert same(temporal.sessionize(events, GAP), whole.read_sessions(spark, f"{out}/rows", GAP))
+
+
+@pytest.mark.parametrize("span", [2, 3, 50])
+def test_equals_the_batch_over_micro_batches(spark, events, in_time_order, tmp_path, span):  # noqa: F811
+    run(spark, in_time_order, tmp_path, span=span).awaitTermination()
+    check(spark, events, tmp_path)
+    for kind in (whole.KEY_ROWS, whole.SLOTS):
+        table = f"{tmp_path}/rows/{kind}"
+        assert len(whole.complete_batches(spark, table)) <= 2 * span
+        per_day = [day for _, day in whole.folds(spark, table)]
+        assert all(per_day.count(day) <= 2 for day in per_day)  # old folds are gone
+        assert bool(per_day) == (span < 6)
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, events, in_time_order, tmp_path):  # noqa: F811
+    run(spark, in_time_order, tmp_path).awaitTermination()
+    commits = f"{tmp_path}/checkpoint/commits"
+    last = max(int(name) for name in os.listdir(commits) if name.isdigit())
+    assert last >= 5
+    for name in (str(last), f".{last}.crc"):
+        os.remove(f"{commits}/{name}")  # as if the driver was lost before it could commit
+    run(spark, in_time_order, tmp_path).awaitTermination()
+    check(spark, events, tmp_path)
+
+
+def test_a_batch_that_fails_after_its_rows_are_written(spark, events, in_time_order, tmp_path, monkeypatch):  # noqa: F811
+    folded = whole.fold
+
+    def broken(spark, path, kind, batch, span):
+        folded(spark, path, kind, batch, span)
+        if batch == 3 and kind == whole.SLOTS:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(whole, "fold", broken)
+    query = run(spark, in_time_order, tmp_path)
+    with pytest.raises(Exception, match="lost"):
+        query.awaitTermination()
+    monkeypatch.setattr(whole, "fold", folded)
+    run(spark, in_time_order, tmp_path).awaitTermination()
+    check(spark, events, tmp_path)
+
+
+def test_folders_without_commit_do_not_count(spark, events, in_time_order, tmp_path):  # noqa: F811
+    run(spark, in_time_order, tmp_path, span=4).awaitTermination()
+    table = f"{tmp_path}/rows/{whole.KEY_ROWS}"
+    last = max(whole.complete_batches(spark, table))
+    fold = max(b for b, _ in whole.folds(spark, table))
+    shutil.copytree(f"{table}/batches/batch={last}", f"{table}/batches/batch={last + 1}")
+    shutil.copytree(f"{table}/fold/batch={fold}", f"{table}/fold/batch={fold + 100}")
+    for half_written in (f"{table}/batches/batch={last + 1}", f"{table}/fold/batch={fold + 100}"):
+        os.remove(f"{half_written}/_SUCCESS")
+    check(spark, events, tmp_path)
+
+
+def test_results_while_days_are_open(spark, make_events, tmp_path):
+    """Every start adds a file; results follow, and later rows replace earlier ones."""
+    day = datetime(2025, 4, 1)
+    at = lambda hours, minutes=0: day + timedelta(hours=hours, minutes=minutes)
+    batches = [
+        [event("a", at(1)), event("a", at(1)), event("a", at(1, 20), page="/cart"), event(None, at(1))],
+        [event("a", at(1, 40)), event("b", at(23, 50)), event("a", at(1, 20), page="/cart")],
+        [event("b", at(24, 10)), event("late", at(5)), event("odd", datetime(2999, 1, 1))],
+    ]
+    seen = []
+    for n, batch in enumerate(batches):
+        write_batches(make_events, f"{tmp_path}/in/{n}", [batch])
+        stream = stream_events(spark, f"{tmp_path}/in/*/*")
+        whole.start_whole(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", 1800, span=2).awaitTermination()
+        daily = whole.read_daily(spark, f"{tmp_path}/out").collect()
+        sessions = whole.read_sessions(spark, f"{tmp_path}/out", 1800).collect()
+        seen.append((
+            {(r.day.day, r.user_id): (r.total_events, r.unique_pages_visited) for r in daily},
+            sorted((r.user_id, r.session_number, r.events) for r in sessions),
+        ))
+    assert seen[0] == ({(1, "a"): (2, 2)}, [("a", 1, 2)])
+    assert seen[1] == ({(1, "a"): (3, 2), (1, "b"): (1, 1)}, [("a", 1, 3), ("b", 1, 1)])
+    # over midnight a session goes on, a day does not; later than the watermark is left out
+    assert seen[2] == (
+        {(1, "a"): (3, 2), (1, "b"): (1, 1), (2, "b"): (1, 1)}, [("a", 1, 3), ("b", 1, 2)]
+    )
+
+
+def test_without_identity_copies_and_late_rows_count(spark, make_events, tmp_path):
+    day = datetime(2025, 4, 1)
+    write_batches(make_events, f"{tmp_path}/in", [
+        [event("a", day), event("a", day), event("b", day + timedelta(days=9))], [event("late", day)],
+    ])
+    stream = stream_events(spark, f"{tmp_path}/in/*", maxFilesPerTrigger="1")
+    whole.start_whole(stream, f"{tmp_path}/out", f"{tmp_path}/cp", identity=None).awaitTermination()
+    rows = whole.read_daily(spark, f"{tmp_path}/out").collect()
+    assert sorted((r.user_id, r.total_events) for r in rows) == [("a", 2), ("b", 1), ("late", 1)]
+
+
+def test_nothing_read_yet(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert whole.read_daily(spark, path).collect() == []
+    assert whole.read_sessions(spark, path).collect() == []
+    assert whole.read_daily(spark, path).columns == ["day", "user_id", *features.FEATURE_COLUMNS]
+    with pytest.raises(ValueError):
+        whole.start_whole(spark.createDataFrame([], "user_id string"), path, path, gap_seconds=0)
+
+
+def test_readers_prune_days(spark, in_time_order, tmp_path):  # noqa: F811
+    run(spark, in_time_order, tmp_path).awaitTermination()
+    rows = whole.read_parts(spark, f"{tmp_path}/rows", whole.KEY_ROWS)
+    plan = rows.filter(F.col(EVENT_DATE) == "2024-01-05")._jdf.queryExecution().executedPlan().toString()
+    assert f"isnotnull({EVENT_DATE}" in plan and "PartitionFilters: [" in plan
+
+
+def test_snapshot_command(spark, events, in_time_order, tmp_path, monkeypatch):  # noqa: F811
+    run(spark, in_time_order, tmp_path).awaitTermination()
+    monkeypatch.setattr(cli, "build_session", lambda app: spark)
+    cli.main(["snapshot", "--input-path", f"{tmp_path}/rows", "--output-path", f"{tmp_path}/now", "--gap-seconds", str(GAP)])
+    assert same(rounded(features.daily_features(events)), rounded(spark.read.parquet(f"{tmp_path}/now/daily")))
+    assert same(temporal.sessionize(events, GAP), spark.read.parquet(f"{tmp_path}/now/sessions"))
+
+
+def test_live_command_keeps_whole_results(spark, make_events, tmp_path, monkeypatch):
+    write_batches(make_events, f"{tmp_path}/in", [[event("a", datetime(2025, 4, 1, 1)), event("b", datetime(2999, 1, 1))]])
+    monkeypatch.setattr(cli, "build_session", lambda app: spark)
+    cli.main(["live", "--whole", "--input-path", f"{tmp_path}/in/*", "--output-path", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/cp"])
+    assert [r.user_id for r in whole.read_daily(spark, f"{tmp_path}/out").collect()] == ["a"]
+    assert spark.read.parquet(f"{tmp_path}/out/rejected").count() == 1
+
+
+def test_folders(spark, tmp_path):
+    path = str(tmp_path / "a")
+    assert folders.names(spark, path) == [] and not folders.exists(spark, path)
+    spark.range(1).write.parquet(f"{path}/day=1")
+    os.makedirs(f"{path}/_hidden")
+    assert folders.names(spark, path) == ["day=1"] and folders.values(spark, path, "day") == ["1"]
+    assert folders.is_complete(spark, f"{path}/day=1") and not folders.is_complete(spark, path)
+    folders.remove(spark, path)
+    folders.remove(spark, path)
+    assert not folders.exists(spark, path)
