@@ -35,6 +35,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ from pyspark.sql import functions as F
 from footfall.llm.common import stored, with_ranks
 from footfall.llm.tokens import utf8
 
+#: Texts that are cut into words at once; a list of words takes ten times their bytes.
+WORDS_BYTES = 1 << 18
+#: Only tiles of the first so many rows and columns can be dense within a chunk.
+DENSE_TILES = 4
+
 
 class Tiling(NamedTuple):
     """Sizes that decide how the work is cut, never what comes out."""
@@ -69,6 +75,26 @@ BETWEEN_PIECES = re.compile(b"[" + re.escape(SEPARATORS) + b"]")
 PLACE = ["lang", "tile_row", "tile_column"]
 
 
+PRESS, EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pressed(numbers: np.ndarray, kind: str) -> bytes:
+    return PRESS.compress(numbers.astype(kind).tobytes())
+
+
+def expanded(blob: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(EXPAND.decompress(blob), kind)
+
+
+def pressed_cells(cells: np.ndarray) -> bytes:
+    """Cells in order, as distances."""
+    return pressed(np.diff(cells, prepend=0), "<u4")
+
+
+def expanded_cells(blob: bytes) -> np.ndarray:
+    return np.cumsum(expanded(blob, "<u4"), dtype=np.int64)
+
+
 def parts_of(text: bytes, most: int) -> Iterator[bytes]:
     """A text in parts of about ``most`` bytes that end between pieces."""
     begin = 0
@@ -89,6 +115,19 @@ def words_of(texts: list[bytes]) -> list[bytes]:
     return b".".join(texts).lower().translate(TO_BREAK).replace(b".", b" . ").split()
 
 
+def together(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """Consecutive texts of about ``most`` bytes; a longer text is one by itself."""
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text) > most:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
 def chunked(docs: DataFrame, text: str, lang: str, most: int) -> DataFrame:
     """chunk, lang, words, counts, codes: texts as numbers of words in the chunk's own dictionary.
 
@@ -98,36 +137,41 @@ def chunked(docs: DataFrame, text: str, lang: str, most: int) -> DataFrame:
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         waiting: dict[str, list[bytes]] = {}
-        size = 0
+        sizes: dict[str, int] = {}
 
-        def rows() -> Iterator[pa.RecordBatch]:
+        def row(name: str) -> pa.RecordBatch:
             nonlocal number
-            for name, texts in waiting.items():
-                code: dict[bytes, int] = {b".": 0}
-                words = words_of(texts)
-                codes = np.fromiter((code.setdefault(word, len(code)) for word in words), np.int32, len(words))
-                counts = np.bincount(codes, minlength=len(code))[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([number], pa.int64()),
-                        pa.array([name]),
-                        pa.array([[word.decode() for word in list(code)[1:]]], pa.list_(pa.string())),
-                        pa.array([counts], pa.list_(pa.int64())),
-                        pa.array([codes.tobytes()], pa.binary()),
-                    ],
-                    ["chunk", "lang", "words", "counts", "codes"],
-                )
-                number += 1
+            code: dict[bytes, int] = {b".": 0}
+            codes = [np.zeros(0, np.int32)]
+            for texts in together(waiting.pop(name), WORDS_BYTES):
+                words = words_of([b"", *texts])  # texts begin with a break
+                codes.append(np.fromiter((code.setdefault(word, len(code)) for word in words), np.int32, len(words)))
+            del sizes[name]
+            every = np.concatenate(codes)
+            counts = np.bincount(every, minlength=len(code))[1:]
+            number += 1
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([name]),
+                    pa.array([[word.decode() for word in list(code)[1:]]], pa.list_(pa.string())),
+                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([pressed(every, "<i4")], pa.binary()),
+                ],
+                ["chunk", "lang", "words", "counts", "codes"],
+            )
 
         for batch in batches:
             for name, whole in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 for part in parts_of(whole, most):
                     waiting.setdefault(name, []).append(part)
-                    size += len(part) + 1
-                    if size >= most:
-                        yield from rows()
-                        waiting, size = {}, 0
-        yield from rows()
+                    sizes[name] = sizes.get(name, 0) + len(part) + 1
+                    if sizes[name] >= most:
+                        yield row(name)
+                    elif sum(sizes.values()) > 2 * most:  # of many languages the fullest makes room
+                        yield row(max(sizes, key=sizes.get))
+        for name in list(waiting):
+            yield row(name)
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     schema = "chunk long, lang string, words array<string>, counts array<long>, codes binary"
@@ -143,9 +187,11 @@ def ranked_words(entries: DataFrame, least: int) -> DataFrame:
 
 
 def with_word_ids(chunks: DataFrame, entries: DataFrame, words: DataFrame) -> DataFrame:
-    """chunk, lang, words, ids: each place's word id (and, to begin with, phrase id), -1 for other words and breaks."""
+    """chunk, lang, words, ids: each place's word id, -1 for other words and breaks; no ids of longer phrases yet."""
+    ids = words.select("lang", F.col("phrase").alias("word"), "id")
     own = (
-        entries.join(words.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
+        # a part of the frequent words is a small table to look up in; the many entries need no order
+        entries.join(ids.hint("shuffle_hash"), ["lang", "word"])
         .groupBy("chunk")
         .agg(F.collect_list(F.shiftleft("id", 32).bitwiseOR(F.col("code"))).alias("known"))
     )
@@ -153,13 +199,13 @@ def with_word_ids(chunks: DataFrame, entries: DataFrame, words: DataFrame) -> Da
     def translate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(2)[at].as_py(), np.int32)
+                codes = expanded(batch.column(2)[at].as_py(), "<i4")
                 known = batch.column(3)[at].values
                 found = np.zeros(0, np.int64) if known is None else known.to_numpy(zero_copy_only=False)
                 id_of = np.full(int(codes.max(initial=0)) + 1, -1, np.int32)
                 id_of[found & 0xFFFFFFFF] = found >> 32
                 ids = id_of[codes]
-                yield chunk_row(batch, at, ids, ids.astype(np.int64))
+                yield chunk_row(batch, at, ids, np.zeros(0, np.int64))
 
     joined = chunks.select("chunk", "lang", "codes").join(own, "chunk", "left")
     return stored(joined.mapInArrow(translate, CHUNK_SCHEMA), "collocations-ids-1")
@@ -173,13 +219,20 @@ def chunk_row(batch: pa.RecordBatch, at: int, words: np.ndarray, ids: np.ndarray
         [
             batch.column(0).slice(at, 1),
             batch.column(1).slice(at, 1),
-            pa.array([words.astype("<i4").tobytes()], pa.binary()),
-            pa.array([ids.astype("<i8").tobytes()], pa.binary()),
+            pa.array([pressed(words, "<i4")], pa.binary()),
+            pa.array([pressed(ids, "<i8")], pa.binary()),
         ],
         ["chunk", "lang", "words", "ids"],
     )
 
 
+def ids_at(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word ids and phrase ids of a chunk; phrases of one word are words."""
+    words = expanded(batch.column(2)[at].as_py(), "<i4")
+    ids = expanded(batch.column(3)[at].as_py(), "<i8")
+    return words, ids if len(ids) else words.astype(np.int64)
+
+
 def pairs_at(words: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
     """Where a phrase of ``length`` words and the word after it may make a longer frequent phrase.
 
@@ -210,15 +263,28 @@ def summed(cells: np.ndarray, counts: np.ndarray | None, tiling: Tiling) -> tupl
     return cells[first], np.add.reduceat(counts[order], first) if len(cells) else counts
 
 
-def tiles_of(keys: np.ndarray, tiling: Tiling) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row, column, cells and counts of each tile that has one of the addresses."""
-    tiles = keys >> (2 * tiling.bits)
-    numbers, inverse, sizes = np.unique(tiles, return_inverse=True, return_counts=True)
-    order = np.argsort(inverse.astype(np.int32), kind="stable")
-    cells = (keys & (tiling.cells - 1))[order]
-    ends = np.cumsum(sizes)
-    for tile, end, size in zip(numbers.tolist(), ends.tolist(), sizes.tolist()):
-        yield tile >> 20, tile & 0xFFFFF, *summed(cells[end - size : end], None, tiling)
+def tiles_of(left: np.ndarray, right: np.ndarray, tiling: Tiling) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row, column, cells and counts of each tile that has one of the pairs.
+
+    Tiles of the most frequent ids that are dense are counted by address, the others from one sort.
+    """
+    bits, edge = tiling.bits, DENSE_TILES << tiling.bits
+    keys = addresses(left, right, bits)
+    low = (left < edge) & (right < edge)
+    corner = (left[low] >> bits) * DENSE_TILES + (right[low] >> bits)
+    for tile in np.flatnonzero(np.bincount(corner, minlength=1) > tiling.dense).tolist():
+        row, column = divmod(tile, DENSE_TILES)
+        mine = keys >> (2 * bits) == row << 20 | column
+        yield row, column, *summed(keys[mine] & (tiling.cells - 1), None, tiling)
+        keys = keys[~mine]
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts = np.diff(first, append=len(keys))
+    cells, tiles = keys[first] & (tiling.cells - 1), keys[first] >> (2 * bits)
+    begins = np.flatnonzero(np.diff(tiles, prepend=-1)).tolist()
+    for begin, end in zip(begins, [*begins[1:], len(tiles)]):
+        tile = int(tiles[begin])
+        yield tile >> 20, tile & 0xFFFFF, cells[begin:end], counts[begin:end]
 
 
 BLOB_SCHEMA = "chunk long, lang string, tile_row long, tile_column long, cells binary, counts binary"
@@ -230,21 +296,20 @@ def pair_blobs(chunks: DataFrame, length: int, tiling: Tiling) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                words = np.frombuffer(batch.column(2)[at].as_py(), "<i4")
-                ids = np.frombuffer(batch.column(3)[at].as_py(), "<i8")
+                words, ids = ids_at(batch, at)
                 where = pairs_at(words, ids, length)
                 if not len(where):
                     continue
-                keys = addresses(ids[where], words[where + length].astype(np.int64), tiling.bits)
-                row, column, cells, counts = zip(*tiles_of(keys, tiling))
+                left, right = ids[where], words[where + length].astype(np.int64)
+                row, column, cells, counts = zip(*tiles_of(left, right, tiling))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(batch.column(0).take(pa.array([at] * len(row)))),
                         pa.array(batch.column(1).take(pa.array([at] * len(row)))),
                         pa.array(row, pa.int64()),
                         pa.array(column, pa.int64()),
-                        pa.array([c.astype("<u4").tobytes() for c in cells], pa.binary()),
-                        pa.array([c.astype("<u4").tobytes() for c in counts], pa.binary()),
+                        pa.array([pressed_cells(c) for c in cells], pa.binary()),
+                        pa.array([pressed(c, "<u4") for c in counts], pa.binary()),
                     ],
                     ["chunk", "lang", "tile_row", "tile_column", "cells", "counts"],
                 )
@@ -264,13 +329,13 @@ class Sum:
         self.cells.append(cells)
         self.counts.append(counts)
         self.waiting += len(cells)
-        if self.waiting > self.size // 2:
+        if self.waiting > self.size // 4:
             self.settle()
 
     def settle(self) -> None:
         cells, counts = np.concatenate(self.cells), np.concatenate(self.counts)
         self.cells, self.counts, self.waiting = [], [], 0
-        if self.totals is None and len(cells) > self.size // 2:
+        if self.totals is None and len(cells) > self.size // 4:
             self.totals = np.zeros(self.size, np.int64)
         if self.totals is None:
             cells, counts = summed(cells, counts, self.tiling)
@@ -305,7 +370,7 @@ def added(blobs: DataFrame, least: int, width: str, tiling: Tiling) -> DataFrame
                 kept = counts >= least
                 cells, counts = cells[kept], counts[kept]
             if len(cells):
-                blobs = [cells.astype("<u4").tobytes(), counts.astype("<i8").tobytes()]
+                blobs = [pressed_cells(cells), pressed(counts, "<i8")]
                 types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([value], kind) for value, kind in zip([*at, *blobs], types)],
@@ -319,8 +384,8 @@ def added(blobs: DataFrame, least: int, width: str, tiling: Tiling) -> DataFrame
                     if at is not None:
                         yield from row()
                     at, total = place, Sum(tiling)
-                cells = np.frombuffer(batch.column(5)[i].as_py(), "<u4").astype(np.int64)
-                total.add(cells, np.frombuffer(batch.column(6)[i].as_py(), width).astype(np.int64))
+                counts = expanded(batch.column(6)[i].as_py(), width).astype(np.int64)
+                total.add(expanded_cells(batch.column(5)[i].as_py()), counts)
         if at is not None:
             yield from row()
 
@@ -360,14 +425,14 @@ def frequent_pairs(blobs: DataFrame, least: int, level: int, tiling: Tiling) ->
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                cells = np.frombuffer(batch.column(3)[at].as_py(), "<u4").astype(np.int64)
+                cells = expanded_cells(batch.column(3)[at].as_py())
                 row, column = batch.column(1)[at].as_py(), batch.column(2)[at].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(np.full(len(cells), at))),
                         pa.array(row << bits | cells >> bits),
                         pa.array(column << bits | cells & low),
-                        pa.array(np.frombuffer(batch.column(4)[at].as_py(), "<i8")),
+                        pa.array(expanded(batch.column(4)[at].as_py(), "<i8")),
                     ],
                     ["lang", "left", "right", "f"],
                 )
@@ -420,7 +485,7 @@ def with_pair_ids(chunks: DataFrame, blobs: DataFrame, pairs: DataFrame, length:
                     known, ids = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).copy() for c in (6, 7))
                 if chunk < 0 or here != at:  # no pair of this tile is frequent
                     continue
-                cells = np.frombuffer(batch.column(5)[i].as_py(), "<u4").astype(np.int64)
+                cells = expanded_cells(batch.column(5)[i].as_py())
                 mine = np.isin(known, cells, assume_unique=True)
                 if not mine.any():
                     continue
@@ -428,8 +493,8 @@ def with_pair_ids(chunks: DataFrame, blobs: DataFrame, pairs: DataFrame, length:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(4).slice(i, 1),
-                        pa.array([(tile | known[mine]).astype("<i8").tobytes()], pa.binary()),
-                        pa.array([ids[mine].astype("<i8").tobytes()], pa.binary()),
+                        pa.array([pressed(tile | known[mine], "<i8")], pa.binary()),
+                        pa.array([pressed(ids[mine], "<i8")], pa.binary()),
                     ],
                     ["chunk", "keys", "ids"],
                 )
@@ -444,11 +509,10 @@ def with_pair_ids(chunks: DataFrame, blobs: DataFrame, pairs: DataFrame, length:
     def translate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                words = np.frombuffer(batch.column(2)[at].as_py(), "<i4")
-                ids = np.frombuffer(batch.column(3)[at].as_py(), "<i8")
+                words, ids = ids_at(batch, at)
                 answer = batch.column(4)[at].as_py()
-                known = np.concatenate([np.frombuffer(a["keys"], "<i8") for a in answer])
-                known_ids = np.concatenate([np.frombuffer(a["ids"], "<i8") for a in answer])
+                known = np.concatenate([expanded(a["keys"], "<i8") for a in answer])
+                known_ids = np.concatenate([expanded(a["ids"], "<i8") for a in answer])
                 order = np.argsort(known)
                 known, known_ids = known[order], known_ids[order]
                 where = pairs_at(words, ids, length)
