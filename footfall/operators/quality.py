@@ -106,3 +106,42 @@ def dq_null_rates(events: DataFrame, columns: list[str] = EVENT_COLUMNS) -> Data
         F.count("*").alias("events"),
         *[share(F.col(name).isNull()).alias(f"{name}_null_rate") for name in columns],
     )
+
+
+def field_presence(events: DataFrame, line: str = "line") -> DataFrame:
+    """Each top-level field of the lines: in how many it is, as a share, of what types, and if declared.
+
+    Declared fields that no line has are there with 0. Lines that are no JSON object have no fields.
+    Types are string, number, boolean, object, array, null and other, in that order.
+    """
+    spark = events.sparkSession
+    lines = events.select(line)
+    fields = lines.lateralJoin(spark.tvf.variant_explode(F.col(line).outer()).select("key", "value"))
+    fields = fields.filter(F.col("key").isNotNull()).select("key", F.schema_of_variant("value").alias("type"))
+    of = F.regexp_extract("type", "^[A-Z]+", 0)
+    kinds = {
+        "string": of == "STRING",
+        "number": of.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT"),
+        "boolean": of == "BOOLEAN",
+        "object": of == "OBJECT",
+        "array": of == "ARRAY",
+        "null": of == "VOID",
+    }
+    known = reduce(lambda a, b: a | b, kinds.values())
+    counts = fields.groupBy(F.col("key").alias("field")).agg(
+        F.count("*").alias("lines"),
+        *[F.count_if(is_kind).alias(kind) for kind, is_kind in (kinds | {"other": ~known}).items()],
+    )
+    types = [F.when(F.col(kind) > 0, F.lit(kind)) for kind in (*kinds, "other")]
+    declared = spark.createDataFrame([(name,) for name in EVENT_COLUMNS], "field string")
+    return (
+        counts.join(declared.withColumn("declared", F.lit(True)), "field", "full")
+        .crossJoin(lines.agg(F.count("*").alias("all_lines")))  # one row
+        .select(
+            "field",
+            F.coalesce("declared", F.lit(False)).alias("declared"),
+            F.coalesce("lines", F.lit(0)).alias("lines"),
+            F.coalesce(F.try_divide("lines", "all_lines"), F.lit(0.0)).alias("share"),
+            F.array_join(F.array_compact(F.array(*types)), ",").alias("types"),
+        )
+    )

@@ -53,6 +53,23 @@ def session_summary(events: DataFrame) -> DataFrame:
     )
 
 
+def with_duration(sessions: DataFrame) -> DataFrame:
+    """Add ``duration_s`` to sessions that have a start and an end."""
+    span = F.unix_micros("session_end") - F.unix_micros("session_start")
+    return sessions.withColumn("duration_s", seconds(span))
+
+
+def added_sessions(parts: DataFrame) -> DataFrame:
+    """Declared sessions from the summaries of several parts of the events."""
+    return with_duration(
+        parts.groupBy("user_id", "session_id").agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("events").alias("events"),
+        )
+    )
+
+
 def session_duration(events: DataFrame) -> DataFrame:
     """Mean and longest declared-session duration per user, in seconds."""
     span = F.unix_micros("session_end") - F.unix_micros("session_start")

@@ -6,8 +6,8 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.operators.segments import LAYOUT
-from footfall.plans.jobs import segment_report, segment_users, transform_events
+from footfall.plans import runs
+from footfall.plans.jobs import assign_users, read_input, segment_report, segment_users, transform_events
 from footfall.session import build_session
 from footfall.sources.events import event_lines, kafka_events, publish_messages, stream_events
 from footfall.sources.tables import write_tables
@@ -36,12 +36,20 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     segment.add_argument("--features-path", required=True)
     segment.add_argument("--output-path", required=True)
     segment.add_argument("--num-clusters", type=int, default=5)
-    segment.add_argument("--partitions", type=int, default=LAYOUT,
-                         help="layout of the fit; part of the result, like the seed")
+    segment.add_argument("--partitions", type=int,
+                         help="draw the first centres by MLlib over so many partitions, which are part of the result")
+    segment.add_argument("--model-path", help="folder for the fit, for assign")
+    segment.add_argument("--keep-ids-of", help="an earlier fit whose segment ids go on")
     segment.add_argument("--report-path", help="folder for the tables that are printed")
     segment.add_argument("--scale", action="store_true")
     segment.add_argument("--run-date")
 
+    assign = commands.add_parser("assign", help="segments of users by a stored fit")
+    assign.add_argument("--features-path", required=True)
+    assign.add_argument("--model-path", required=True)
+    assign.add_argument("--output-path", required=True)
+    assign.add_argument("--run-date")
+
     report = commands.add_parser("report", help="headline metrics and segment tables")
     report.add_argument("--features-path", required=True)
     report.add_argument("--segments-path", required=True)
@@ -80,6 +88,23 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     snapshot.add_argument("--input-path", required=True, help="output path of live --whole")
     snapshot.add_argument("--output-path", required=True)
     snapshot.add_argument("--gap-seconds", type=int, default=1800)
+    sessions = commands.add_parser("sessions", help="sessions of one day, going on from the run before")
+    distincts = commands.add_parser("distincts", help="exact bitmaps of one day, to count over any range of days")
+    for daily in (sessions, distincts):
+        daily.add_argument("--input-path", required=True)
+        daily.add_argument("--output-path", required=True)
+        daily.add_argument("--run-date", required=True, help="YYYY-MM-DD")
+        daily.add_argument("--landed", action="store_true", help="input is a landed table")
+        daily.add_argument("--events", choices=["parsed", "valid"], default="parsed")
+    sessions.add_argument("--gap-seconds", type=int, default=1800)
+    days = commands.add_parser("days", help="landed events to one feature row per user and day")
+    refresh = commands.add_parser("refresh", help="bring days up to date with events that landed since")
+    for by_day in (days, refresh):
+        by_day.add_argument("--input-path", required=True, help="a landed table")
+        by_day.add_argument("--output-path", required=True, help="features by run_date")
+        by_day.add_argument("--events", choices=["parsed", "valid"], default="parsed")
+    days.add_argument("--start-date", required=True)
+    days.add_argument("--end-date", required=True)
     args = parser.parse_args(argv)
     if args.command in ("land", "live") and args.bootstrap_servers and not args.topic:
         parser.error("--bootstrap-servers needs --topic")
@@ -99,10 +124,13 @@ def main(argv: list[str] | None = None) -> None:
         result = segment_users(
             spark, args.features_path, args.output_path, args.num_clusters,
             partitions=args.partitions, scale=args.scale, run_date=args.run_date,
-            report_path=args.report_path,
+            report_path=args.report_path, model_path=args.model_path, keep_ids_of=args.keep_ids_of,
         )
         print(f"Silhouette: {result.silhouette}")
         show_whole(result.tables())
+    elif args.command == "assign":
+        sizes = assign_users(spark, args.features_path, args.model_path, args.output_path, args.run_date)
+        show_whole({"sizes": sizes})
     elif args.command == "report":
         tables = segment_report(
             spark, args.features_path, args.segments_path, args.segments, args.run_date, args.output_path
@@ -110,6 +138,16 @@ def main(argv: list[str] | None = None) -> None:
         show_whole(tables)
     elif args.command == "publish":
         publish_messages(event_lines(spark, args.input_path), args.bootstrap_servers, args.topic)
+    elif args.command in ("sessions", "distincts"):
+        events = read_input(spark, args.input_path, args.landed, args.events)
+        if args.command == "sessions":
+            runs.sessions_run(spark, events, args.output_path, args.run_date, args.gap_seconds)
+        else:
+            runs.distincts_run(spark, events, args.output_path, args.run_date)
+    elif args.command == "days":
+        runs.transform_days(spark, args.input_path, args.output_path, args.start_date, args.end_date, args.events)
+    elif args.command == "refresh":
+        print("Refreshed:", *runs.refresh_days(spark, args.input_path, args.output_path, args.events))
     elif args.command == "snapshot":
         write_tables(
             {

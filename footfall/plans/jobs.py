@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.functions.rules import validate_events
 from footfall.functions.time_range import filter_range
-from footfall.operators import reports, segments
+from footfall.operators import centres, reports, segments
 from footfall.operators.features import user_features
 from footfall.operators.temporal import behavior_profile
 from footfall.schema import FEATURE_COLUMNS
@@ -20,6 +20,17 @@ from footfall.sources.tables import (
 )
 
 
+def read_input(spark: SparkSession, input_path: str, landed: bool = False, events: str = "parsed") -> DataFrame:
+    """All events that parse, or those that break no rule, of JSON lines or of a landed table."""
+    if events not in ("parsed", "valid"):
+        raise ValueError(f"events must be 'parsed' or 'valid', not {events!r}")
+    if landed:
+        return read_landed(spark, input_path, events)
+    if events == "valid":
+        return validate_events(read_events(spark, input_path, keep_corrupt=True))[0]
+    return read_events(spark, input_path)
+
+
 def transform_events(
     spark: SparkSession,
     input_path: str,
@@ -39,16 +50,9 @@ def transform_events(
     all events that parse and ``events="valid"`` those that break no rule. ``temporal=True``
     adds time-of-day, session and frequency columns from the same scan.
     """
-    if events not in ("parsed", "valid"):
-        raise ValueError(f"events must be 'parsed' or 'valid', not {events!r}")
-    if landed:
-        events = read_landed(spark, input_path, events)
-    elif events == "valid":
-        events = validate_events(read_events(spark, input_path, keep_corrupt=True))[0]
-    else:
-        events = read_events(spark, input_path)
+    read = read_input(spark, input_path, landed, events)
     build = behavior_profile if temporal else user_features
-    write_features(build(filter_range(events, start, end, closed)), output_path, run_date)
+    write_features(build(filter_range(read, start, end, closed)), output_path, run_date)
 
 
 def single_run(table: DataFrame) -> DataFrame:
@@ -79,33 +83,48 @@ def segment_users(
     output_path: str,
     k: int = 5,
     seed: int = segments.SEED,
-    partitions: int = segments.LAYOUT,
+    partitions: int | None = None,
     scale: bool = False,
     run_date: str | None = None,
     report_path: str | None = None,
+    model_path: str | None = None,
+    keep_ids_of: str | None = None,
 ) -> SegmentReport:
     """Cluster the feature table, write the segment table and describe the segments.
 
     The features are read once and held in executor storage, next to their vectors, for
     training, scoring and the summary; no join. The returned tables are a few rows each,
     and are written below ``report_path`` if given.
+
+    Starting centres are drawn by a hash and rows stay where they are; with ``partitions``
+    MLlib draws them, and the number of partitions is part of the result. ``model_path``
+    stores what ``assign_users`` needs; ``keep_ids_of`` names an earlier one whose segment
+    ids go on, and may be the same path.
     """
     features = single_run(read_features(spark, features_path, run_date))
     deviations = segments.feature_deviations(features) if scale else None
     vectors = segments.prepare_features(features, scale, deviations)
     vectors = vectors.select("user_id", *FEATURE_COLUMNS, "features")
-    placed = segments.fixed_layout(vectors, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    placed = segments.fixed_layout(vectors, partitions) if partitions else vectors
+    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = segments.fit_placed(placed, k, seed)
-        predictions = segments.assign_segments(model, placed)
+        if partitions:
+            found = centres.of_model(segments.fit_placed(placed, k, seed), deviations)
+        else:
+            found = centres.fit(placed, k, seed, deviations=deviations)
+        if keep_ids_of:
+            found = centres.with_ids_of(found, centres.read_segmentation(spark, keep_ids_of))
+        predictions = centres.assign(placed, found)
         write_segments(predictions, output_path, run_date)
         score = segments.silhouette(predictions)
         summary = few_rows(reports.segment_summary(predictions))
     finally:
         placed.unpersist()
+    if model_path:
+        centres.write_segmentation(spark, found, model_path)
     report = SegmentReport(
         silhouette=score,
-        centers=segments.cluster_centers(spark, model, deviations),
+        centers=centres.centre_table(spark, found),
         sizes=reports.segment_sizes(summary),
         profile=reports.segment_profile(summary),
     )
@@ -114,6 +133,16 @@ def segment_users(
     return report
 
 
+def assign_users(
+    spark: SparkSession, features_path: str, model_path: str, output_path: str, run_date: str | None = None
+) -> DataFrame:
+    """Write the segments of a feature table by a stored fit; nothing is fitted. Returns the sizes."""
+    features = single_run(read_features(spark, features_path, run_date))
+    placed = centres.assign_features(features, centres.read_segmentation(spark, model_path))
+    write_segments(placed, output_path, run_date)
+    return reports.segment_sizes(reports.segment_summary(read_segments(spark, output_path, run_date)))
+
+
 def segment_report(
     spark: SparkSession,
     features_path: str,

@@ -128,6 +128,12 @@ def with_events(body: str) -> str:
     return f"WITH {WEB_EVENTS} {body}"
 
 
+def within_range(body: str) -> str:
+    """``web_events`` are those of the range's days only."""
+    every = WEB_EVENTS.replace("web_events AS", "every_event AS")
+    return f"WITH {every}, web_events AS (SELECT * FROM every_event WHERE {whole_days(*RANGE)}) {body}"
+
+
 def with_features(body: str) -> str:
     return f"WITH {ALL_FEATURES} {body}"
 
@@ -395,6 +401,23 @@ SELECT concat_ws(',', {", ".join(f"CASE WHEN {broken} THEN '{name}' END" for nam
   CASE WHEN m IN (1, 2) THEN 'unparseable' END) AS failed_rules, count(*) AS lines
 FROM read GROUP BY 1""")
 
+UNDECLARED = {
+    "experiment": ("event_id % 3 = 0", "string"), "scroll": ("event_id % 4 = 0", "number"),
+    "geo": ("event_id % 5 = 0", "object"), "tags": ("event_id % 6 = 0", "array"),
+}
+FIELDS = {
+    **{c: (f'"{c}" IS NOT NULL', "number" if c in ("quantity", "total_amount") else "string") for c in EVENT_COLUMNS},
+    **UNDECLARED,
+}
+FIELD_PRESENCE = with_events(" " + " UNION ALL ".join(
+    f"""SELECT '{name}' AS field, {str(name not in UNDECLARED).lower()} AS declared,
+      count(*) FILTER (WHERE {there} AND event_id % 50 <> 7) AS lines,
+      count(*) FILTER (WHERE {there} AND event_id % 50 <> 7) / count(*) AS share,
+      '{kind}' AS types
+    FROM web_events"""
+    for name, (there, kind) in FIELDS.items()
+))
+
 ORACLES: dict[str, str] = {
     "scan_json": with_events(f"SELECT {RAW} FROM web_events"),
     "event_to_json": with_events(f"SELECT {RAW} FROM web_events"),
@@ -411,6 +434,14 @@ ORACLES: dict[str, str] = {
         "FROM features, (VALUES ('json'), ('landed')) i(input)"
     ),
     "rejected_lines": REJECTED_LINES,
+    "undeclared_fields": FIELD_PRESENCE,
+    "undeclared_by_value": with_events(
+        """ SELECT CASE WHEN event_id % 3 = 0 AND event_id % 50 <> 7 THEN 'variant ' || event_id % 2 END AS experiment,
+          count(*) AS lines, count(DISTINCT CASE WHEN event_id % 50 <> 7 THEN user_id END) AS users,
+          count(*) FILTER (WHERE event_type = 'purchase' AND event_id % 50 <> 7) AS purchases,
+          CAST(sum(CASE WHEN event_id % 5 = 0 AND event_id % 50 <> 7 THEN event_id % 90 END) AS BIGINT) AS latitudes
+        FROM web_events GROUP BY 1"""
+    ),
     "land_events": with_events(
         f"""SELECT {RAW}, {FAILED} AS failed_rules,
           CASE WHEN {ANY_FAILED} THEN 'rejected' ELSE 'valid' END AS verdict,
@@ -541,6 +572,16 @@ FROM (UNPIVOT means ON {", ".join(FEATURE_COLUMNS)} INTO NAME feature VALUE mean
           CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS misplaced
         FROM features"""
     ),
+    "kmeans_layouts": with_features(
+        "SELECT count(*) AS users, CAST(0 AS BIGINT) AS moved, CAST(5 AS BIGINT) AS segments FROM features"
+    ),
+    "segment_reassign": with_features(
+        "SELECT user_id, CAST(CAST(substr(user_id, 6) AS BIGINT) % 5 AS INTEGER) AS segment FROM features"
+    ),
+    "segment_refit": with_features(
+        """SELECT user_id, CAST(g AS INTEGER) AS kept, CAST(4 - g AS INTEGER) AS renumbered
+        FROM (SELECT user_id, CAST(substr(user_id, 6) AS BIGINT) % 5 AS g FROM features)"""
+    ),
     "silhouette": SILHOUETTE,
     "time_of_day": per_user(DAY_PART_COUNTS),
     "session_summary": with_events(
@@ -574,6 +615,19 @@ FROM features JOIN parts USING (user_id)
         f""", {GAP_SESSIONS} SELECT user_id, {GAP_SESSION_ROW} FROM gap_sessions
         WHERE last_at + INTERVAL {GAP_SECONDS} SECOND <= {WATERMARK}"""
     ),
+    "session_runs": within_range(
+        f", {GAP_SESSIONS} SELECT user_id, session_number, {GAP_SESSION_ROW} FROM gap_sessions"
+    ),
+    "declared_session_runs": within_range(
+        f""" SELECT user_id, user_id || ' ' || device_type AS session_id,
+          {stamp('min("timestamp")')} AS session_start, {stamp('max("timestamp")')} AS session_end,
+          (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 1e6::DOUBLE AS duration_s, count(*) AS events
+        FROM web_events GROUP BY user_id, device_type"""
+    ),
+    "distinct_runs": within_range(
+        f", {features_where('true')} SELECT user_id, total_sessions, unique_pages_visited FROM features"
+    ),
+    "refreshed_days": within_range(f", {DAILY_FEATURES} SELECT {day_text('day')} AS day, {FEATURE_ROW} FROM daily"),
     "ab_test": with_features(ab_test("features", "total_purchases >= 14")),
     "ab_test_days": with_events(f", {DAILY_FEATURES}{ab_test('daily', 'total_purchases > 0')}"),
     "segment_recommend": recommendation(
@@ -597,6 +651,14 @@ ORACLES["stream_daily_features"] = ORACLES["daily_features"]
 ORACLES["stream_sessions"] = ORACLES["sessionize"]
 
 
+ORACLES["sql_stored_tables"] = f"""WITH {ALL_PROFILE}, of_day AS (
+  SELECT user_id, {FEATURE_AGGREGATES} FROM web_events WHERE {whole_days(DAY, DAY)} GROUP BY user_id
+)
+SELECT p.segment, count(*) AS users, count(*) FILTER (WHERE d.total_purchases > 0) AS buyers,
+  round(sum(d.avg_purchase_amount * d.total_purchases), 2) AS spend
+FROM of_day d JOIN profile p USING (user_id) GROUP BY p.segment"""
+
+
 def long_table(name: str, source: str, metrics, metric: str | None = None) -> str:
     """A report's rows as table, segment, metric, value."""
     segment = "CAST(NULL AS INTEGER)" if source == "kpis" else "segment"

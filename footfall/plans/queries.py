@@ -6,7 +6,9 @@ times are written as text, so that results compare exactly with ``oracles.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +19,14 @@ from footfall.adapter import SOURCE_DDL, as_web_events, web_events
 from footfall.functions.rules import mark_failed_rules
 from footfall.functions.time_range import filter_range
 from footfall.operators import (
-    experiments, features, quality, recommend, reports, segments, temporal,
+    centres, experiments, features, quality, recommend, reports, segments, temporal,
 )
-from footfall.plans import jobs
+from footfall.plans import jobs, runs
 from footfall.schema import (
     DETAIL_METRICS, DEVICES, EVENT_COLUMNS, FEATURE_COLUMNS, ISO_MICROS, RADAR_METRICS,
 )
 from footfall.session import work_dir
+from footfall.sources import catalog
 from footfall.sources import events as event_sources
 from footfall.sources import tables
 from footfall.streaming import landing, live, whole
@@ -188,6 +191,39 @@ def rejected_lines(spark, sf_dir):
     return marked.groupBy(F.array_join("failed_rules", ",").alias("failed_rules")).agg(F.count("*").alias("lines"))
 
 
+def lines_with_more_fields(spark, sf_dir) -> DataFrame:
+    """Events as lines of which some have fields that no schema declares, and some are no JSON."""
+    every = lambda n, value: F.when(F.col("event_id") % n == 0, value)
+    events = web_events(spark, sf_dir).withColumns({
+        "experiment": every(3, F.concat(F.lit("variant "), F.col("event_id") % 2)),
+        "scroll": F.when(F.col("event_id") % 4 == 0, F.col("event_id") % 100),
+        "geo": every(5, F.struct("location", (F.col("event_id") % 90).alias("lat"))),
+        "tags": every(6, F.array("page", "event_type")),
+        "timestamp": F.date_format("timestamp", ISO_MICROS),
+    })
+    line = F.to_json(F.struct(*EVENT_COLUMNS, "experiment", "scroll", "geo", "tags"))
+    folder = work_dir(spark, "lines")
+    events.select(F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("{"), line)).otherwise(line).alias("value")).write.text(folder)
+    return event_sources.read_events_whole(spark, folder)
+
+
+def undeclared_fields(spark, sf_dir):
+    return quality.field_presence(lines_with_more_fields(spark, sf_dir))
+
+
+def undeclared_by_value(spark, sf_dir):
+    """Users and purchases by a field that the schema does not declare, and one inside another."""
+    events = lines_with_more_fields(spark, sf_dir)
+    events = event_sources.with_field(events, "experiment")
+    events = event_sources.with_field(events, "latitude", "int", "$.geo.lat")
+    return events.groupBy("experiment").agg(
+        F.count("*").alias("lines"),
+        F.count_distinct("user_id").alias("users"),
+        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+        F.sum("latitude").alias("latitudes"),
+    )
+
+
 def land_events(spark, sf_dir):
     landed = tables.read_landed(spark, landed_path(spark, sf_dir), verdict=None)
     return plain(
@@ -218,6 +254,31 @@ def sql_top_spenders(spark, sf_dir):
     )
 
 
+def sql_stored_tables(spark, sf_dir):
+    """Buyers and spending by segment, in SQL over stored and analyzed tables, of one of two runs."""
+    folder, suffix = work_dir(spark, "catalog"), uuid.uuid4().hex
+    for day in run_days()[:2]:
+        chosen = features.user_features(filter_range(web_events(spark, sf_dir), day, day))
+        tables.write_features(chosen, f"{folder}/features", day)
+    tables.write_segments(profile(spark, sf_dir, CENTROID_COLUMNS), f"{folder}/segments")
+    names = {f"{table}_{suffix}": f"{folder}/{table}" for table in ("features", "segments")}
+    features_name, segments_name = names
+    catalog.register_tables(spark, names)
+    found = spark.sql(
+        f"""
+        SELECT segment, count(*) AS users, count_if(total_purchases > 0) AS buyers,
+          round(sum(avg_purchase_amount * total_purchases), 2) AS spend
+        FROM {features_name} JOIN {segments_name} USING (user_id)
+        WHERE run_date = DATE '{DAY}'
+        GROUP BY segment
+        """
+    )
+    found.write.parquet(f"{folder}/result")
+    for name in names:  # the names only, the files stay
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{folder}/result")
+
+
 # Filters and joins
 
 
@@ -299,8 +360,8 @@ def kmeans_segments(spark, sf_dir):
 def kmeans_mass(spark, sf_dir):
     """Once K-Means has settled, the centres weighted by their sizes are the mean of all users."""
     model, _ = trained(spark, sf_dir, tol=0.0, max_iter=200)
-    sizes, centres = model.summary.clusterSizes, model.clusterCenters()
-    means = sum(n * centre for n, centre in zip(sizes, centres)) / sum(sizes)
+    sizes, found = model.summary.clusterSizes, model.clusterCenters()
+    means = sum(n * centre for n, centre in zip(sizes, found)) / sum(sizes)
     rows = [(feature, float(mean)) for feature, mean in zip(FEATURE_COLUMNS, means)]
     return plain(spark.createDataFrame(rows, "feature string, mean double"))
 
@@ -309,14 +370,14 @@ def kmeans_invariants(spark, sf_dir):
     """Users, users with a segment, segments out of range, users nearer to another centre."""
     model, vectors = trained(spark, sf_dir)
     placed = segments.assign_segments(model, vectors)
-    centres = model.clusterCenters()
+    found = model.clusterCenters()
     order = segments.centre_order(model)
     nearest = segments.nearest_centroid(
         placed.withColumnRenamed("segment", "assigned"),
         FEATURE_COLUMNS,
-        [centres[cluster] for cluster in order],
+        [found[cluster] for cluster in order],
     )
-    in_range = F.col("assigned").between(0, len(centres) - 1)
+    in_range = F.col("assigned").between(0, len(found) - 1)
     return nearest.agg(
         F.count("*").alias("users"),
         F.count_distinct("user_id").alias("assigned_users"),
@@ -329,6 +390,57 @@ def cluster_centers(spark, sf_dir):
     return plain(segments.cluster_centers(spark, trained(spark, sf_dir, APART, tol=0.0)[0]))
 
 
+def planted(spark, sf_dir, apart: dict[str, int]) -> DataFrame:
+    """Stored features of all users, in five groups by their number: as far ``apart`` in some features."""
+    folder = work_dir(spark, "features")
+    group = F.substring_index("user_id", "_", -1).cast("long") % 5
+    users = all_features(spark, sf_dir)
+    for name, distance in apart.items():
+        users = users.withColumn(name, F.col(name) + (distance * group if distance > 0 else -distance * (4 - group)))
+    tables.write_features(users, folder)
+    return tables.read_features(spark, folder)
+
+
+def kmeans_layouts(spark, sf_dir):
+    """Users, users whose segment differs between tables of 8 and of 64 parts, and segments."""
+    vectors = segments.prepare_features(planted(spark, sf_dir, {})).select("user_id", "features")
+    placed = []
+    for parts in (8, 64):
+        laid = vectors.repartition(parts).persist()
+        try:
+            fitted = centres.fit(laid, k=5, max_iter=10)
+        finally:
+            laid.unpersist()
+        placed.append(centres.assign(vectors, fitted).select("user_id", F.col("segment").alias(f"of_{parts}")))
+    return placed[0].join(placed[1], "user_id").agg(
+        F.count("*").alias("users"),
+        F.count_if(F.col("of_8") != F.col("of_64")).alias("moved"),
+        F.count_distinct("of_8").alias("segments"),
+    )
+
+
+def segment_reassign(spark, sf_dir):
+    """Users placed by a stored fit of scaled features, read again."""
+    folder, users = work_dir(spark, "fit"), planted(spark, sf_dir, dict.fromkeys(FEATURE_COLUMNS, APART))
+    deviations = segments.feature_deviations(users)
+    vectors = segments.prepare_features(users, True, deviations).select("user_id", "features")
+    centres.write_segmentation(spark, centres.fit(vectors, k=5, deviations=deviations), folder)
+    placed = centres.assign_features(users, centres.read_segmentation(spark, folder))
+    return segments.segment_map(placed)
+
+
+def segment_refit(spark, sf_dir):
+    """Ids kept by a refit of users whose totals have changed so much that their order is reversed."""
+    folder = work_dir(spark, "fit")
+    first, second = (planted(spark, sf_dir, {"total_searches": APART, "total_events": way}) for way in (300, -300))
+    fits = [centres.fit(segments.prepare_features(users).select("user_id", "features"), k=5) for users in (first, second)]
+    centres.write_segmentation(spark, fits[0], folder)
+    kept = centres.with_ids_of(fits[1], centres.read_segmentation(spark, folder))
+    placed = centres.assign_features(second, kept).withColumnRenamed("segment", "kept")
+    plain_refit = centres.assign_features(second, fits[1]).withColumnRenamed("segment", "renumbered")
+    return placed.select("user_id", "kept").join(plain_refit.select("user_id", "renumbered"), "user_id")
+
+
 def silhouette(spark, sf_dir):
     vectors = segments.prepare_features(profile(spark, sf_dir)).select("segment", "features")
     vectors.persist()
@@ -374,6 +486,53 @@ def stream_sessions(spark, sf_dir):
     return plain(whole.read_sessions(spark, streamed_in_halves(spark, sf_dir), GAP_SECONDS))
 
 
+# Daily runs
+
+
+def run_days() -> list[str]:
+    first, last = map(date.fromisoformat, RANGE)
+    return [str(first + timedelta(days=n)) for n in range((last - first).days + 1)]
+
+
+def session_runs(spark, sf_dir):
+    """Sessions of three days that were run one by one."""
+    folder, events = work_dir(spark, "session-runs"), web_events(spark, sf_dir)
+    for day in run_days():
+        runs.sessions_run(spark, events, folder, day, GAP_SECONDS)
+    return plain(runs.read_sessions(spark, folder, RANGE[1]))
+
+
+def declared_session_runs(spark, sf_dir):
+    """Declared sessions, one per user and device, that go on over three runs."""
+    folder = work_dir(spark, "declared-runs")
+    events = web_events(spark, sf_dir).withColumn("session_id", F.concat_ws(" ", "user_id", "device_type"))
+    for day in run_days():
+        runs.sessions_run(spark, events, folder, day, GAP_SECONDS)
+    return plain(runs.read_declared_sessions(spark, folder, *RANGE))
+
+
+def distinct_runs(spark, sf_dir):
+    """Distinct counts of three days from the bitmaps of three runs, the last day run first."""
+    folder, events = work_dir(spark, "distinct-runs"), web_events(spark, sf_dir)
+    for day in reversed(run_days()):
+        runs.distincts_run(spark, events, folder, day)
+    return plain(runs.read_distincts(spark, folder, *RANGE))
+
+
+def refreshed_days(spark, sf_dir):
+    """Days that were transformed before a tenth of their events landed."""
+    folder, events = work_dir(spark, "refresh"), web_events(spark, sf_dir)
+    late = F.col("event_id") % 10 == 0
+    for part, arrives in (("first", ~late), ("late", late)):
+        event_sources.write_json_events(events.filter(arrives), f"{folder}/in/{part}")
+        stream = event_sources.stream_events(spark, f"{folder}/in/*")
+        landing.land_events(stream, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
+        if part == "first":
+            runs.transform_days(spark, f"{folder}/events", f"{folder}/features", *RANGE)
+    runs.refresh_days(spark, f"{folder}/events", f"{folder}/features")
+    return plain(spark.read.parquet(f"{folder}/features").withColumnRenamed("run_date", "day"))
+
+
 # Experiments and recommendations
 
 
@@ -412,8 +571,11 @@ QUERIES: dict[str, Query] = {
     "transform_landed_job": transform_landed_job,
     "transform_inputs": transform_inputs,
     "rejected_lines": rejected_lines,
+    "undeclared_fields": undeclared_fields,
+    "undeclared_by_value": undeclared_by_value,
     "validate_events": validate_events,
     "sql_top_spenders": sql_top_spenders,
+    "sql_stored_tables": sql_stored_tables,
     "filter_range_closed": filter_range_closed,
     "filter_range_daily": filter_range_daily,
     "segment_map": over_profile(segments.segment_map, CENTROID_COLUMNS),
@@ -444,6 +606,9 @@ QUERIES: dict[str, Query] = {
     "kmeans_segments": kmeans_segments,
     "kmeans_invariants": kmeans_invariants,
     "kmeans_mass": kmeans_mass,
+    "kmeans_layouts": kmeans_layouts,
+    "segment_reassign": segment_reassign,
+    "segment_refit": segment_refit,
     "silhouette": silhouette,
     "cluster_centers": cluster_centers,
     "time_of_day": over_events(temporal.time_of_day),
@@ -457,6 +622,10 @@ QUERIES: dict[str, Query] = {
     "stream_closed_sessions": stream_closed_sessions,
     "stream_daily_features": stream_daily_features,
     "stream_sessions": stream_sessions,
+    "session_runs": session_runs,
+    "declared_session_runs": declared_session_runs,
+    "distinct_runs": distinct_runs,
+    "refreshed_days": refreshed_days,
     "ab_test": ab_test,
     "ab_test_days": ab_test_days,
     "segment_recommend": recommender(10, "view"),

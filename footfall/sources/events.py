@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from footfall.schema import ARRIVAL, CORRUPT_COLUMN, EVENT_COLUMNS, EVENT_DDL, ISO_MICROS
 
+#: The whole line as a variant.
+LINE = "line"
+
 PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 
@@ -23,6 +26,25 @@ def read_events(spark: SparkSession, path: str, keep_corrupt: bool = False) -> D
     return spark.read.schema(event_ddl(keep_corrupt)).options(**PERMISSIVE).json(path)
 
 
+def read_events_whole(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows as ``read_events`` with corrupt text, and the whole line as the variant ``line``.
+
+    Fields that the schema does not declare are in ``line``, with the types they have; it is NULL
+    for lines that are no JSON. Each line is read once.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    event = F.from_json("value", event_ddl(True), PERMISSIVE)
+    return lines.select(event.alias("event"), F.try_parse_json("value").alias(LINE)).select("event.*", LINE)
+
+
+def with_field(events: DataFrame, name: str, kind: str = "string", path: str | None = None) -> DataFrame:
+    """Add an undeclared field of ``line`` as a column; NULL where it is missing or of another type.
+
+    ``path`` is its place in the line, such as ``$.geo.city``, by default ``$.name``.
+    """
+    return events.withColumn(name, F.try_variant_get(F.col(LINE), path or f"$.{name}", kind))
+
+
 def stream_events(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """JSON files arriving in a folder as an event stream, corrupt lines kept.
 

@@ -9,10 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.schema import EVENT_DATE, EVENT_DDL
+from footfall.sources import folders
 
 LANDED_DDL = f"{EVENT_DDL}, _corrupt_record string, arrived_at timestamp, failed_rules array<string>, verdict string, {EVENT_DATE} date"
 
 
+RUN_DATE = "run_date"
+
+
+def replace_days(rows: DataFrame, path: str) -> None:
+    """Replace those ``run_date`` partitions that ``rows`` has; others stay as they are."""
+    writer = rows.hint("rebalance", RUN_DATE).write.mode("overwrite").partitionBy(RUN_DATE)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def in_runs(spark: SparkSession, path: str, ddl: str, first: str | None, through: str | None) -> DataFrame:
+    """The rows of a range of runs, both ends included; none from a table that is not there yet."""
+    if not folders.values(spark, path, RUN_DATE):
+        return spark.createDataFrame([], ddl)
+    rows = spark.read.schema(f"{ddl}, {RUN_DATE} date").parquet(path)
+    if first is not None:
+        rows = rows.filter(F.col(RUN_DATE) >= F.lit(first).cast("date"))
+    if through is not None:
+        rows = rows.filter(F.col(RUN_DATE) <= F.lit(through).cast("date"))
+    return rows.drop(RUN_DATE)
+
+
 def write_features(features: DataFrame, path: str, run_date: str | None = None) -> None:
     """Replace the table, or with ``run_date`` only that day's partition.
 
@@ -64,12 +86,17 @@ def save_bucketed(users: DataFrame, name: str, path: str, buckets: int) -> None:
     )
 
 
-def read_landed(spark: SparkSession, path: str, verdict: str | None = "valid") -> DataFrame:
+def read_landed(
+    spark: SparkSession, path: str, verdict: str | None = "valid", with_file: bool = False
+) -> DataFrame:
     """Landed events with one verdict, ``valid`` or ``rejected``; None reads both.
 
-    ``parsed`` reads the events of all lines, as the JSON scan gives them.
+    ``parsed`` reads the events of all lines, as the JSON scan gives them. ``with_file`` adds
+    the file that holds each event, as ``file``.
     """
     landed = spark.read.schema(LANDED_DDL).parquet(path)
+    if with_file:
+        landed = landed.withColumn("file", F.col("_metadata.file_path"))
     if verdict is None:
         return landed
     about = ("_corrupt_record", "arrived_at", "failed_rules")
