@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -149,34 +150,120 @@ def test_pieces(spark, library, targets):
     assert all(zlib.crc32(np.array(p.ids, "<u4").tobytes()) == p.ids_crc32 for p in pieces)
 
 
-def test_rounds_are_those_of_deficit_round_robin(spark):
-    rng = random.Random(6)
-    sizes = [(i, rng.choice("aab"), rng.choice([1, 5, 40, 300])) for i in range(400)]
-    window, shares = 200, {"a": 0.7, "b": 0.3}
-    queues = {q: [(i, n) for i, own, n in sizes if own == q] for q in shares}
-    expected, deficit, turn = {}, dict.fromkeys(shares, 0.0), 0
-    while any(queues.values()):
-        turn += 1
-        for q, share in shares.items():
-            deficit[q] += share * window
-            while queues[q] and queues[q][0][1] <= deficit[q] + 1e-9:
-                i, n = queues[q].pop(0)
-                deficit[q] -= n
-                expected[i] = turn
-    frame = spark.createDataFrame([(i, f"of {q}", n) for i, q, n in sizes], "row long, queue string, tokens long")
-    found = {r.row: r["round"] for r in packing.rounds(frame, window, shares).collect()}
-    assert found == expected
+def played(sizes, targets, window):
+    """Tokens of each queue in each window, as fractions: queues send their shares of a window, in turn until one ends."""
+    left = {q: Fraction(n) for q, n in sizes.items()}
+    wanted = {q: Fraction(share) for q, share in (targets or {}).items() if q in sizes}
+    others = [q for q in sizes if q not in wanted]
+    rest, total = sum(sizes[q] for q in others), sum(wanted.values())
+    spare = max(Fraction(0), 1 - total) if others else Fraction(0)
+    share = wanted | {q: spare * sizes[q] / rest for q in others}
+    windows, room = [dict.fromkeys(sizes, Fraction(0))], Fraction(window)
+    while any(left.values()):
+        active = {q: share[q] for q in sizes if left[q] and share[q]}
+        if not active:
+            active = {q: Fraction(sizes[q]) for q in sizes if left[q]}
+        whole = sum(active.values())
+        step = min([room, *(left[q] * whole / s for q, s in active.items())])
+        for q, s in active.items():
+            windows[-1][q] += step * s / whole
+            left[q] -= step * s / whole
+        room -= step
+        if not room and any(left.values()):
+            windows.append(dict.fromkeys(sizes, Fraction(0)))
+            room = Fraction(window)
+    return windows
+
+
+def random_sizes(seed, lengths, weights="aaabbc"):
+    rng = random.Random(seed)
+    return [(i, rng.choice(weights), rng.choice(lengths)) for i in range(300)]
+
+
+CASES = [
+    (None, [1, 5, 40, 300]),
+    ({"a": 0.5, "b": 0.25, "c": 0.25}, [1, 5, 40, 300]),
+    ({"a": 0.5, "b": 0.25, "c": 0.25}, [3, 9000]),  # documents of many windows
+    ({"c": 0.5}, [1, 5, 40]),  # others share the rest; this one ends early
+    ({"a": 0.0, "b": 0.5, "c": 0.5}, [7, 100]),  # comes last
+    ({"a": 0.0}, [7, 100]),
+    ({"a": 0.0, "b": 0.0, "c": 0.0}, [7, 100]),
+    ({"a": 3.0, "b": 1.0}, [7, 100]),  # nothing is left for others
+    ({"a": 0.2, "b": 0.1, "c": 0.1, "absent": 0.6}, [7, 100]),
+    ({"b": 1 / 3, "c": 1e-9}, [1, 2, 500]),
+]
 
 
-def test_windows_keep_the_mixture(spark):
+@pytest.mark.parametrize("targets, lengths", CASES)
+def test_windows_are_those_that_are_played(spark, targets, lengths):
+    sizes, window = random_sizes(str(targets), lengths), 512
+    frame = spark.createDataFrame([(i, f"of {q}", n) for i, q, n in sizes], "row long, queue string, tokens long")
+    pieces = packing.in_rounds(frame, window, targets)
+    found = pieces.collect()
+    totals = defaultdict(int)
+    for _, q, n in sizes:
+        totals[q] += n
+    shares = {q: s for q, s in (targets or {}).items()}
+    if targets and set(totals) <= set(targets) and sum(s for q, s in shares.items() if q in totals):
+        shares = {q: s / sum(s for q, s in shares.items() if q in totals) for q, s in shares.items()}
+    expected = played(totals, shares, window)
+    sent = defaultdict(lambda: defaultdict(int))
+    for r in found:
+        sent[r["round"]][r.queue[3:]] += r.length
+    assert set(sent) == set(range(len(expected)))
+    for q in totals:  # never further than a token from what the queue should have sent so far
+        ahead = 0
+        for number, window_of in enumerate(expected):
+            ahead += sent[number][q] - window_of[q]
+            assert abs(ahead) <= 1 + 1e-6, (q, number)
+    for row, q, n in sizes:  # every document whole, in order
+        own = sorted((r["round"], r.start, r.length) for r in found if r.row == row)
+        assert [start for _, start, _ in own] == [sum(x[2] for x in own[:i]) for i in range(len(own))]
+        assert sum(x[2] for x in own) == n
+    begins = sorted((p.begin, p.length) for r in packing.in_stream(pieces).collect() for p in r.pieces)
+    assert [b for b, _ in begins] == [sum(n for _, n in begins[:i]) for i in range(len(begins))]
+
+
+@pytest.mark.parametrize("targets", [{"a": -0.1}, {"a": float("nan")}, {"a": float("inf")}])
+def test_targets_that_are_no_shares(spark, targets):
+    with pytest.raises(ValueError, match="targets"):
+        packing.mixture({"of a": 5}, 10, targets)
+
+
+@pytest.mark.parametrize("targets", [None, {"hot": 0.5, "long": 0.3, "rare": 0.2}])
+def test_windows_keep_the_mixture(spark, targets):
+    """Also with documents longer than a window, until a queue ends."""
     docs = [(i, "word " * 20, "hot" if i % 3 else "rare") for i in range(3000)]
-    pieces = packing.pack(spark.createDataFrame(docs, "doc_id long, text string, source string"), PATH, length=64, window_sequences=64)
-    windows = defaultdict(lambda: defaultdict(int))
-    for p in pieces.collect():
-        windows[p.window_id]["hot" if p.doc_id % 3 else "rare"] += p.length
-    full = [w for number, w in windows.items() if number < max(windows)]
-    assert len(full) > 10
-    assert all(abs(w["rare"] / (w["rare"] + w["hot"]) - 1 / 3) < 0.02 for w in full)
+    docs += [(10_000 + i, "word " * 9_000, "long") for i in range(3)]
+    pieces = packing.pack(
+        spark.createDataFrame(docs, "doc_id long, text string, source string"), PATH,
+        length=64, window_sequences=64, targets=targets,
+    ).collect()
+    windows, source = defaultdict(lambda: defaultdict(int)), {i: s for i, _, s in docs}
+    for p in pieces:
+        assert p.window_id == p.sequence_id // 64
+        windows[p.window_id][source[p.doc_id]] += p.length
+    totals = {s: sum(w[s] for w in windows.values()) for s in ("hot", "long", "rare")}
+    shares = targets or {s: n / sum(totals.values()) for s, n in totals.items()}
+    end = min(totals[s] / shares[s] for s in shares) // 4096
+    assert end > 5
+    for number in range(int(end)):
+        assert sum(windows[number].values()) == 4096
+        assert all(abs(windows[number][s] - shares[s] * 4096) <= 4 for s in shares)
+
+
+def test_windows_of_the_whole_table_have_its_proportions(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    pieces = packing.digest(docs).join(docs.select("doc_id", "source"), "doc_id")
+    sizes = {(r.window_id, r.source): r.n for r in pieces.groupBy("window_id", "source").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    last = max(w for w, _ in sizes)
+    sources = {s for _, s in sizes}
+    total = sum(sizes.values())
+    assert last > 5
+    for source in sources:
+        share = sum(n for (_, s), n in sizes.items() if s == source) / total
+        for window in range(last):
+            assert abs(sizes.get((window, source), 0) - share * 64 * 2048) <= len(sources) + 1
 
 
 def test_packing_of_the_whole_table(spark, library):
