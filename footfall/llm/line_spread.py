@@ -45,6 +45,13 @@ def long_lines(docs: DataFrame, text: str, min_chars: int, *others: Column) -> D
     return lines.withColumn("key", key_of(F.col("line"))).drop("line")
 
 
+def marks(places: Column) -> Column:
+    """For sorted places, an array that is true there, up to the last; linear in its length."""
+    before = lambda i: F.when(i > 0, F.get(places, i - 1)).otherwise(-1)
+    runs = F.transform(places, lambda place, i: F.concat(F.repeat(F.lit("0"), place - before(i) - 1), F.lit("1")))
+    return F.transform(F.split(F.array_join(runs, ""), ""), lambda mark: mark == "1")
+
+
 def boilerplate(
     docs: DataFrame, site: str, text: str, min_sites: int, min_chars: int, precision: int
 ) -> DataFrame:
@@ -82,15 +89,19 @@ def without_boilerplate(
     doc_key, text_key, drop, lines = free_names(docs, "lines_doc_key", "lines_text_key", "lines_drop", "lines_all")
     common = boilerplate(docs, site, text, min_sites, min_chars, precision)
     # few lines are boilerplate; equal texts hold the same ones, so each task sends a text's once
-    hits = long_lines(docs, text, min_chars, key_of(F.coalesce(F.col(text), F.lit(""))).alias("text_key"))
-    hits = hits.join(common, "key").distinct()
-    by_text = hits.groupBy(F.col("text_key").alias(text_key)).agg(F.collect_set("key").alias(drop))
+    lines_in = docs.select(
+        key_of(F.coalesce(F.col(text), F.lit(""))).alias("text_key"), F.posexplode(lines_of(F.col(text))).alias("place", "line")
+    )
+    lines_in = lines_in.withColumn("line", form_of(F.col("line"))).filter(F.length("line") >= min_chars)
+    hits = lines_in.select("text_key", "place", key_of(F.col("line")).alias("key")).join(common, "key")
+    hits = hits.select("text_key", "place").distinct()
+    by_text = hits.groupBy(F.col("text_key").alias(text_key)).agg(F.sort_array(F.collect_list("place")).alias("places"))
     # as a table it has one row per text, and a join with many copies of a text can be split at run time
-    by_text = stored(by_text, "lines-to-drop")
+    by_text = stored(by_text.select(text_key, marks(F.col("places")).alias(drop)), "lines-to-drop")
     found = docs.withColumn(doc_key, key_of(F.coalesce(F.col(text), F.lit(""))))
     found = found.join(by_text, F.col(doc_key) == F.col(text_key), "left").withColumn(lines, lines_of(F.col(text)))
-    goes = lambda line: F.array_contains(F.col(drop), key_of(form_of(line))) & (F.length(form_of(line)) >= min_chars)
-    stay = F.when(F.col(drop).isNull(), F.col(lines)).otherwise(F.filter(F.col(lines), lambda line: ~goes(line)))
+    stays = lambda line, i: ~F.coalesce(F.get(F.col(drop), i), F.lit(False))
+    stay = F.when(F.col(drop).isNull(), F.col(lines)).otherwise(F.filter(F.col(lines), stays))
     found = found.withColumn(drop, stay)
     result = found.select(
         *docs.columns,

@@ -44,3 +44,13 @@ def test_equals_sets_of_sites(spark, min_sites, precision):
 
 def test_empty_table(spark):
     assert line_spread.digest(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_texts_of_many_boilerplate_lines(spark):
+    """All lines of long texts go; work grows with their number, not with its square."""
+    lines = "\n".join(f"common line number {i}" for i in range(20_000))
+    data = [(i, f"site{i}", lines + f"\nan own line of {i}", "x", 1) for i in range(12)]
+    result, (cleaned, n_lines, removed) = line_spread.without_boilerplate(spark.createDataFrame(data, DDL))
+    assert sorted((r[cleaned], r[n_lines], r[removed]) for r in result.collect()) == sorted(
+        (f"an own line of {i}", 20_001, 20_000) for i in range(12)
+    )
