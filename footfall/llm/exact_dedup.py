@@ -15,7 +15,7 @@ of shared files make up the index:
 
 All of it is DataFrame code. Defined cases: a null text is the empty text; all texts that
 normalise to nothing form one class; a null ``doc_id`` is larger than any other; of rows that
-repeat id and text, one is kept; an empty table gives an empty result.
+repeat id and text, the one with the least hash of its other columns is kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +24,13 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.llm.common import ASCII_SPACE, free_names, stored
 
 KEY_BITS = 64
+#: Lanes of rows that repeat id and text.
+LANES = 4096
 
 
 def normal_form(text: Column) -> Column:
@@ -108,7 +111,7 @@ def matched(docs: DataFrame, doc_id: str, text: str, capacity: int) -> tuple[Dat
     A class of any size is one entry, and no step on top needs its rows in one task, so a join
     partition with a large group of copies is split at run time.
     """
-    meanings = "keep_id group_size kept text_sha256 key points keep_points salt turn bucket entry_key entry_sha".split()
+    meanings = "keep_id group_size kept text_sha256 key points keep_points salt turn row_hash entry_key entry_sha".split()
     name = dict(zip(meanings, free_names(docs, *meanings)))
     chains = build_chains(docs, doc_id, text)
     entries = build_entries(chains, build_directory(chains, capacity)).select(
@@ -131,13 +134,26 @@ def matched(docs: DataFrame, doc_id: str, text: str, capacity: int) -> tuple[Dat
     return found.withColumn(name["kept"], stays), name
 
 
-def first_of_repeats(found: DataFrame, name: dict[str, str], doc_id: str) -> DataFrame:
-    """``kept`` for one row only where rows repeat id and text; rows that go anyway are spread."""
-    spread = F.when(F.col(name["kept"]), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(doc_id), F.lit(4096)))
-    keys = [name["key"], name["text_sha256"], name["salt"]]
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(doc_id))
-    found = found.withColumn(name["salt"], spread).repartition(*keys).withColumn(name["turn"], turn)
-    return found.withColumn(name["kept"], F.col(name["kept"]) & (F.col(name["turn"]) == 1))
+def with_row_hash(found: DataFrame, name: dict[str, str], columns: list[str]) -> DataFrame:
+    """Orders rows that repeat id and text, however they lie; equal rows are as good as each other."""
+    hashed = [c for c in columns if not isinstance(found.schema[c].dataType, T.MapType)]
+    return found.withColumn(name["row_hash"], F.xxhash64(*hashed))
+
+
+def first_of_repeats(found: DataFrame, name: dict[str, str]) -> DataFrame:
+    """``kept`` for one row only where rows repeat id and text.
+
+    Any number of such rows is spread over lanes, of which each has a first row; rows that go
+    anyway are spread for good.
+    """
+    lanes = [name["key"], name["text_sha256"], name["kept"], name["salt"]]
+    found = found.withColumn(name["salt"], F.pmod(F.monotonically_increasing_id(), F.lit(LANES)))
+    for _ in range(2):
+        turn = F.row_number().over(Window.partitionBy(*lanes).orderBy(name["row_hash"]))
+        found = found.withColumn(name["turn"], turn)
+        found = found.withColumn(name["kept"], F.col(name["kept"]) & (F.col(name["turn"]) == 1))
+        found = found.withColumn(name["salt"], F.when(F.col(name["kept"]), F.lit(-1)).otherwise(F.col(name["salt"])))
+    return found
 
 
 def exact_dedup(
@@ -150,13 +166,17 @@ def exact_dedup(
     """
     found, name = matched(docs, doc_id, text, capacity)
     names = [name[meaning] for meaning in ("keep_id", "group_size", "kept", "text_sha256")]
-    return first_of_repeats(found, name, doc_id).select(*docs.columns, *names), names
+    found = first_of_repeats(with_row_hash(found, name, docs.columns), name)
+    return found.select(*docs.columns, *names), names
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 100_000) -> DataFrame:
     """The rows of ``docs`` that stay."""
     found, name = matched(docs, doc_id, text, capacity)
-    return first_of_repeats(found.filter(name["kept"]), name, doc_id).filter(name["kept"]).select(*docs.columns)
+    found = with_row_hash(found.filter(name["kept"]), name, docs.columns)
+    # each task sends one row of a class at most
+    turn = F.row_number().over(Window.partitionBy(name["key"], name["text_sha256"]).orderBy(name["row_hash"]))
+    return found.withColumn(name["turn"], turn).filter(F.col(name["turn"]) == 1).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

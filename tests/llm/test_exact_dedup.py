@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from footfall.llm import exact_dedup
 
 DDL = "doc_id long, text string, key string, kept string, bucket int"
@@ -75,3 +77,31 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], DDL)
     assert exact_dedup.exact_dedup(empty)[0].count() == 0
     assert exact_dedup.one_of_each(empty).count() == 0
+
+
+def test_the_survivor_does_not_depend_on_the_layout(spark):
+    rows = [(1, "same text", "x", str(i), i) for i in range(50)] + [(2, "sametext", "x", "y", 1)] + [(3, "other", "x", "y", 1)] * 5
+    kept = set()
+    for parts in (1, 3, 8):
+        docs = spark.createDataFrame(rows[::-1] if parts == 3 else rows, DDL).repartition(parts)
+        survivors = sorted(map(tuple, exact_dedup.one_of_each(docs).collect()))
+        result, names = exact_dedup.exact_dedup(docs)
+        flagged = sorted(tuple(r)[:5] for r in result.collect() if r[names[2]])
+        assert flagged == survivors and len(survivors) == 2
+        kept.add(tuple(survivors))
+    assert len(kept) == 1
+
+
+def test_rows_that_repeat_are_spread(spark):
+    docs = spark.range(20_000).selectExpr("if(id % 2 = 0, 7, id) AS doc_id", "if(id % 2 = 0, 'same', string(id)) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found, name = exact_dedup.matched(docs, "doc_id", "text", 100_000)
+        first = exact_dedup.first_of_repeats(exact_dedup.with_row_hash(found, name, docs.columns), name)
+        parts = [r["count"] for r in first.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(parts) < 2 * sorted(parts)[len(parts) // 2]
+        assert first.filter(name["kept"]).count() == 10_001
+        plan = exact_dedup.one_of_each(docs)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("WindowGroupLimit") == 2  # before and after the shuffle
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
