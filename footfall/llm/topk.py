@@ -134,7 +134,8 @@ def exact_topk(
         frame = frame.filter(F.col(vec_id).isNotNull() & usable(F.col(embedding)))
         return frame.select(F.col(vec_id).cast("long").alias("id"), integers(F.col(embedding), scale).alias("vector"))
 
-    candidates, asking = prepared(vectors), prepared(queries).distinct()
+    # rows that repeat id and vector count once; combined where they are, whatever their number
+    candidates, asking = prepared(vectors).distinct(), prepared(queries).distinct()
     blocks = max(1, -(-candidates.count() // block))
     groups = max(1, -(-asking.count() // queries_together))
 
@@ -142,7 +143,7 @@ def exact_topk(
         """Each row in its own part, once for every part of the other side."""
         return frame.select(
             F.size("vector").alias("dims"),
-            F.pmod(F.xxhash64("id"), F.lit(own_parts)).cast("int").alias(own),
+            F.pmod(F.xxhash64("id", "vector"), F.lit(own_parts)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))).alias(other),
             F.lit(side).alias("side"),
             "id",
@@ -181,13 +182,8 @@ def exact_topk(
                 if not ids:
                     continue
                 if lists is None:
-                    every, values = np.concatenate(ids), np.concatenate(rows)
-                    new = np.ones(len(every), bool)  # of rows with one id, equal vectors count once
-                    for i in np.flatnonzero(every[1:] == every[:-1]) + 1:
-                        first = np.searchsorted(every, every[i])
-                        new[i] = not (values[first:i] == values[i]).all(axis=1).any()
-                    lists = Block(every[new], values[new])
-                    ids, rows = [every[:1]], [values[:1]]  # the lists hold them now
+                    lists = Block(np.concatenate(ids), np.concatenate(rows))
+                    ids, rows = ids[:1], rows[:1]  # the lists hold them now
                 asked, query_rows = part.column(4).to_numpy(), matrix(part)
                 for c in range(0, len(asked), BATCH):
                     found = lists.search(asked[c : c + BATCH], query_rows[c : c + BATCH], k)
@@ -209,7 +205,7 @@ def digest(embeddings: DataFrame) -> DataFrame:
 
 ORACLE_SQL = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0

@@ -67,3 +67,12 @@ def test_defined_cases(spark):
     assert search(spark, rows) == brute_force(rows, 5)
     assert search(spark, [(1, [1.0], 1, "s")]) == {}
     assert topk.digest(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_many_rows_with_one_id(spark):
+    """Repeated rows are combined before they move; others of one id are dealt over the blocks."""
+    rows = [(1, [float(i % 700), 1.0], 1, "s") for i in range(30_000)] + [(50, [1.0, 0.0], 1, "s"), (2, [699.0, 0.0], 1, "s")]
+    frame = spark.createDataFrame(rows, DDL)
+    found = topk.exact_topk(frame, frame.filter("vec_id = 50"), 3, block=64).collect()
+    scale = 256 * 256
+    assert sorted((r["rank"], r.vec_id, r.score) for r in found) == [(1, 1, 699 * scale), (2, 2, 699 * scale), (3, 1, 698 * scale)]
