@@ -3,7 +3,8 @@
 Known licence sentences have identifiers. A text is cut into sentences, each sentence is brought
 to a normal form (lower case, runs of other characters than ASCII letters and digits as one
 blank, no list number in front) and looked up. Parts without letters and digits, and list numbers
-alone, are no sentences. What a text's neighbouring sentences give is a sequence of identifiers.
+alone, are no sentences. The name in the third condition of BSD-3-Clause may be any name. An
+``SPDX-License-Identifier`` line is a sentence with its identifier. What a text's neighbouring sentences give is a sequence of identifiers.
 Rules are sequences of identifiers with a licence, in a fixed order; a rule that matches takes
 its sentences, so a longer notice is not reported as a shorter one inside it as well.
 
@@ -123,11 +124,27 @@ FURTHER = [  # a licence and a notice's sentences
     ("CC0-1.0", ["CC0 1.0 Universal"]),
     ("CC0-1.0", ["Licensed under CC0 1.0."]),
     ("Unlicense", ["This is free and unencumbered software released into the public domain."]),
+    ("CC-BY-4.0", ["This work is licensed under the Creative Commons Attribution 4.0 International License."]),
+    *(
+        (licence, [f"This work is licensed under {article} Creative Commons Attribution-{kind} 4.0 International License."])
+        for licence, kind in (("CC-BY-SA-4.0", "ShareAlike"), ("CC-BY-NC-4.0", "NonCommercial"))
+        for article in ("a", "the")
+    ),
     # cut after "v."
     ("MPL-2.0", ["This Source Code Form is subject to the terms of the Mozilla Public License, v."]),
 ]
 
 
+# Identifiers of the SPDX list for the licences of the rules above.
+IDENTIFIERS = [
+    "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later",
+    "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+    "CC0-1.0", "Unlicense",
+]
+FURTHER += [(licence, [f"SPDX-License-Identifier {licence}"]) for licence in IDENTIFIERS]
+
+
 def plain_form(sentence: str) -> str:
     """The normal form of a known sentence, which is ASCII."""
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
@@ -169,8 +186,21 @@ NUMBERED = f"^[^\\p{{L}}\\p{{N}}]*+{LIST_NUMBER}[.)][ \\t]*"
 NO_SENTENCE = f"^[^\\p{{L}}\\p{{N}}]*+(?:{LIST_NUMBER}[^\\p{{L}}\\p{{N}}]*+)?$"
 
 
+# A third condition of BSD-3-Clause with some name, and the name it gets.
+ANY_NAME = "^neither the names? of .+ nor the names of (its|their|any) contributors may be used"
+ONE_NAME = "neither the name of the copyright holder nor the names of its contributors may be used"
+# A line with an identifier, which no sentence end may cut.
+IDENTIFIER_LINE = "(SPDX-License-Identifier):[ \\t]*"
+
+
 def normal_form(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(sentence), OTHER, " "))
+    form = F.btrim(F.regexp_replace(F.lower(sentence), OTHER, " "))
+    return F.when(F.startswith(form, F.lit("neither the name")), F.regexp_replace(form, ANY_NAME, ONE_NAME)).otherwise(form)
+
+
+def with_identifiers_whole(text: Column) -> Column:
+    marked = F.regexp_replace(text, IDENTIFIER_LINE, "$1 ")
+    return F.when(F.contains(text, F.lit("SPDX-License-Identifier:")), marked).otherwise(text)
 
 
 def cut(text: Column) -> Column:
@@ -196,24 +226,23 @@ def text_key(text: str) -> Column:
 
 def sequences(docs: DataFrame, text: str, sentences: dict[int, str]) -> DataFrame:
     """text_key, layout, sequence, n_sentences: identifiers as ``<3><4>``, a bar where sentences between are unknown."""
-    longest = max(map(len, sentences.values()))
-    flow = F.regexp_replace(F.col(text), LINE_END, " ")
-    cuts = docs.filter(F.length(text) > 0).select(
-        text_key(text).alias("text_key"),
+    body = with_identifiers_whole(F.col(text))
+    flow = F.regexp_replace("body", LINE_END, " ")
+    cuts = docs.filter(F.length(text) > 0).select(text_key(text).alias("text_key"), body.alias("body")).select(
+        "text_key",
         F.explode(
             F.array(
-                F.struct(F.lit("line").alias("layout"), cut(F.col(text)).alias("parts")),
+                F.struct(F.lit("line").alias("layout"), cut(F.col("body")).alias("parts")),
                 F.struct(F.lit("flow").alias("layout"), cut(flow).alias("parts")),
-                F.struct(F.lit("paragraphs").alias("layout"), cut(paragraphs(F.col(text))).alias("parts")),
+                F.struct(F.lit("paragraphs").alias("layout"), cut(paragraphs(F.col("body"))).alias("parts")),
             )
         ).alias("cut"),
     )
     sentences_only = F.filter("cut.parts", lambda part: ~part.rlike(NO_SENTENCE))
     parts = cuts.select("text_key", "cut.layout", F.posexplode(sentences_only).alias("place", "part"))
-    # a longer piece than any known sentence, with room for blanks, is none of them
-    parts = parts.filter(F.length("part").between(8, 2 * longest)).withColumn(
-        "form", normal_form(F.regexp_replace("part", NUMBERED, ""))
-    )
+    # a shorter piece than any known sentence is none of them; a long one may be so for its blanks
+    parts = parts.filter(F.length("part") >= min(map(len, map(plain_form, sentences.values()))))
+    parts = parts.withColumn("form", normal_form(F.regexp_replace("part", NUMBERED, "")))
     # the table of known sentences has a fixed number of rows
     hits = parts.join(F.broadcast(known_sentences(docs.sparkSession, sentences)), "form")
     hits = hits.select("text_key", "layout", "place", "sentence").distinct()
@@ -276,28 +305,61 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    known = ", ".join(f"('{plain_form(s)}', {number})" for number, s in SENTENCES.items())
-    longest = max(map(len, SENTENCES.values()))
+    """The same readings, sentences and rules in SQL whose regular expressions cannot look ahead."""
+    known = ", ".join(f"('{plain_form(s)}', {number})" for number, s in ALL_SENTENCES.items())
+    least = min(map(len, map(plain_form, ALL_SENTENCES.values())))
     sequence, tests = "sequence", []
-    for licence, numbers in RULES:
+    for licence, numbers in ALL_RULES:
         pattern = "".join(f"<{number}>" for number in numbers)
         tests.append(f"CASE WHEN contains({sequence}, '{pattern}') THEN '{licence}' END")
         sequence = f"replace({sequence}, '{pattern}', '|')"
+
     def cut_sql(column: str) -> str:
         return f"string_split(regexp_replace({column}, '{SENTENCE_END}', '\\1' || chr(10), 'g'), chr(10))"
-    flow = f"regexp_replace(text, '{LINE_END}', ' ', 'g')"
+
+    other, number = "[^\\p{L}\\p{N}]", LIST_NUMBER
+    owner = f"^{other}*(?:(?i:portions)[ \\t]+)?"
+    about = "(?i:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or)"
+    named = "(?:Copyright|COPYRIGHT)"
+    dated = (
+        "(?:(?i:copyright)[ \\t:]*(?:\\([cC]\\)|©|[0-9]{4})|\\([cC]\\)[ \\t]*(?:[0-9]{4}|(?i:copyright))|©)"
+    )
+    is_copyright = f"""(regexp_matches(line, '{owner}{dated}') OR (regexp_matches(line, '{owner}{named}\\b')
+      AND NOT regexp_matches(line, '{owner}{named}[ \\t]+{about}\\b')))"""
+    blank = "(?:\\n[^\\p{L}\\p{N}\\n]*)+\\n"
     return f"""
 WITH known(form, sentence) AS (VALUES {known}),
-cuts AS (
-  SELECT doc_id, 'line' AS layout, {cut_sql("text")} AS parts FROM documents WHERE length(text) > 0
+bodies AS (
+  SELECT doc_id, regexp_replace(text, '{IDENTIFIER_LINE}', '\\1 ', 'g') AS body FROM documents WHERE length(text) > 0
+), lines AS (
+  SELECT doc_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS line_number
+  FROM bodies
+), apart AS (
+  SELECT doc_id, bool_or({is_copyright}) AS owned, string_agg(
+    CASE WHEN {is_copyright} THEN chr(10) || chr(10) || line || chr(10) || chr(10) ELSE line END, chr(10) ORDER BY line_number
+  ) AS body
+  FROM lines GROUP BY doc_id
+), readings AS (
+  SELECT doc_id, 'line' AS layout, body FROM bodies
+  UNION ALL
+  SELECT doc_id, 'flow', regexp_replace(body, '{LINE_END}', ' ', 'g') FROM bodies
   UNION ALL
-  SELECT doc_id, 'flow', {cut_sql(flow)} FROM documents WHERE length(text) > 0
+  SELECT doc_id, 'paragraphs',
+    replace(regexp_replace(regexp_replace(a.body, '{blank}', chr(8233), 'g'), '{LINE_END}', ' ', 'g'), chr(8233), chr(10))
+  FROM apart a JOIN bodies b USING (doc_id)
+  WHERE owned OR regexp_matches(b.body, '{blank}')
+), cuts AS (
+  SELECT doc_id, layout, list_filter({cut_sql("body")}, lambda p:
+    NOT regexp_matches(p, '^{other}*(?:{number}{other}*)?$')) AS parts
+  FROM readings
 ), parts AS (
   SELECT doc_id, layout, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM cuts
+), forms AS (
+  SELECT *, trim(regexp_replace(lower(regexp_replace(part, '^{other}*{number}[.)][ \\t]*', '')), '{OTHER}', ' ', 'g')) AS form
+  FROM parts WHERE length(part) >= {least}
 ), hits AS (
-  SELECT doc_id, layout, place, sentence
-  FROM parts JOIN known ON trim(regexp_replace(lower(part), '{OTHER}', ' ', 'g')) = form
-  WHERE length(part) BETWEEN 8 AND {2 * longest}
+  SELECT DISTINCT doc_id, layout, place, sentence
+  FROM forms f JOIN known k ON regexp_replace(f.form, '{ANY_NAME}', '{ONE_NAME}') = k.form
 ), steps AS (
   SELECT *, lag(place) OVER (PARTITION BY doc_id, layout ORDER BY place) AS before FROM hits
 ), read AS (

@@ -1,5 +1,6 @@
 """Licence scans of the standard texts, wrapped as they are published."""
 
+import duckdb
 import pytest
 
 from footfall.llm import licences
@@ -205,3 +206,23 @@ def test_every_sentence_of_the_whole_table_is_read_as_itself(spark):
     hits = {(r.layout, r.sequence) for r in licences.sequences(docs, "text", licences.ALL_SENTENCES).collect()}
     assert hits == {(layout, f"|<{i}>") for i in licences.ALL_SENTENCES for layout in ("line", "flow")}
     assert licences.ALL_RULES[: len(licences.RULES)] == licences.RULES
+
+
+def test_sql_reads_the_same_notices(spark):
+    """The oracle holds all sentences, rules and readings, so it agrees on whole notices too."""
+    S = licences.SENTENCES
+    notices = [MIT, APACHE, GPL, BSD_3, BSD_2, GPL_2, *LESSER.values(), GPL_2_ONLY, ISC, CC0, UNLICENSE, MPL]
+    texts = [
+        *notices, *map(commented, notices), *(t.replace("\n", "\r\n") for t in notices), *(t.replace("\n\n", "\n") for t in notices),
+        "\n".join(notices[:3]), renumbered(BSD_3, "(1) ", "(2) ", "(3) "), renumbered(BSD_2, "i. ", "ii. ", "iii. "),
+        f"{S[16]} {S[17]} {S[18].replace('copyright holder', 'University of Nowhere')}", f"{S[16]}\n不.\n{S[17]}", f"{S[16]} No. {S[17]}",
+        "Released under the" + " " * 2000 + "MIT License.", "# SPDX-License-Identifier: MIT\nx", None, "", "\n\n\n", "the above\ncopyright notice",
+        "Portions Copyright (c) X\n" + S[5] + "\n\n" + S[9] + " " + S[21],
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(tuple(r) for r in licences.digest(docs).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    assert sorted(con.execute(licences.ORACLE_SQL).fetchall()) == found
+    assert sum(bool(names) for _, names, _ in found) > 50

@@ -40,6 +40,34 @@ def test_notices(spark):
     ]
 
 
+def test_blanks_of_any_length(spark):
+    texts = ["Released under the" + " " * 2000 + "MIT License.", "- " * 3000 + S[5], "x" * 5000 + ". " + S[5]]
+    assert found(spark, texts) == [(["MIT"], 1), (["Apache-2.0"], 1), (["Apache-2.0"], 1)]
+
+
+def test_names_in_conditions(spark):
+    named = S[18].replace("copyright holder", "University of Nowhere")
+    plural = S[18].replace("name of the copyright holder", "names of A. Author and Sons").replace("its", "their")
+    numbered = f"1. {S[16]}\n2. {S[17]}\n3. {named}"
+    other = "Neither the name of the game nor the rules matter."
+    assert found(spark, [f"{S[16]} {S[17]} {named}", numbered, named, f"{S[16]} {S[17]} {other}"]) == [
+        (["BSD-3-Clause"], 3), (["BSD-3-Clause"], 3), ([], 1), (["BSD-2-Clause"], 2)
+    ]
+    assert found(spark, [f"{S[16]} {S[17]} {plural.replace('A. ', 'A ')}"]) == [(["BSD-3-Clause"], 3)]
+
+
+def test_identifier_lines_and_articles(spark):
+    texts = [
+        "// SPDX-License-Identifier: Apache-2.0\nint main() {}", "# SPDX-License-Identifier:MIT", " * SPDX-License-Identifier: GPL-2.0-only\n */",
+        "SPDX-License-Identifier: Unknown-1.0", "SPDX-License-Identifier: MIT AND ISC",
+        "This work is licensed under the Creative Commons Attribution 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ]
+    assert [names for names, _ in found(spark, texts)] == [
+        ["Apache-2.0"], ["MIT"], ["GPL-2.0-only"], [], [], ["CC-BY-4.0"], ["CC-BY-SA-4.0"]
+    ]
+
+
 def test_rules_take_sentences_in_their_order(spark):
     rules = [("both", [1, 2]), ("second", [2])]
     assert found(spark, [f"{S[1]} {S[2]}", f"{S[1]} {S[2]} {S[2]}", S[2], S[1]], rules=rules) == [
