@@ -11,7 +11,7 @@ from footfall.plans.jobs import assign_users, read_input, segment_report, segmen
 from footfall.session import build_session
 from footfall.sources.events import event_lines, kafka_events, publish_messages, stream_events
 from footfall.sources.tables import write_tables
-from footfall.streaming import whole
+from footfall.streaming import compaction, whole
 from footfall.streaming.landing import land_events
 from footfall.streaming.live import rejected_times, start_append, stream_features
 
@@ -97,6 +97,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         daily.add_argument("--landed", action="store_true", help="input is a landed table")
         daily.add_argument("--events", choices=["parsed", "valid"], default="parsed")
     sessions.add_argument("--gap-seconds", type=int, default=1800)
+    compact = commands.add_parser("compact", help="copy closed days of a landed table to few files")
+    compact.add_argument("--input-path", required=True, help="a landed table")
+    compact.add_argument("--output-path", required=True, help="where the copies are kept")
+    compact.add_argument("--through", required=True, help="last closed day, YYYY-MM-DD")
     days = commands.add_parser("days", help="landed events to one feature row per user and day")
     refresh = commands.add_parser("refresh", help="bring days up to date with events that landed since")
     for by_day in (days, refresh):
@@ -144,6 +148,8 @@ def main(argv: list[str] | None = None) -> None:
             runs.sessions_run(spark, events, args.output_path, args.run_date, args.gap_seconds)
         else:
             runs.distincts_run(spark, events, args.output_path, args.run_date)
+    elif args.command == "compact":
+        print("Copied:", *compaction.compact_days(spark, args.input_path, args.output_path, args.through))
     elif args.command == "days":
         runs.transform_days(spark, args.input_path, args.output_path, args.start_date, args.end_date, args.events)
     elif args.command == "refresh":

@@ -448,6 +448,12 @@ ORACLES: dict[str, str] = {
           {day_text('"timestamp"')} AS event_date
         FROM web_events"""
     ),
+    "compacted_days": with_events(
+        f""" SELECT {day_text('"timestamp"')} AS event_date,
+          CASE WHEN {ANY_FAILED} THEN 'rejected' ELSE 'valid' END AS verdict, count(*) AS events,
+          count(DISTINCT user_id) AS users, CAST(sum(quantity) AS BIGINT) AS quantity, {stamp('min("timestamp")')} AS first_at
+        FROM web_events GROUP BY ALL"""
+    ),
     "validate_events": with_events(
         f"SELECT event_id, {FAILED} AS failed_rules, NOT ({ANY_FAILED}) AS valid FROM web_events"
     ),

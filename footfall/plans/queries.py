@@ -29,7 +29,7 @@ from footfall.session import work_dir
 from footfall.sources import catalog
 from footfall.sources import events as event_sources
 from footfall.sources import tables
-from footfall.streaming import landing, live, whole
+from footfall.streaming import compaction, landing, live, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,6 +231,27 @@ def land_events(spark, sf_dir):
     )
 
 
+def compacted_days(spark, sf_dir):
+    """Landed events by day and verdict, after closed days were copied and late ones landed."""
+    folder, events = work_dir(spark, "compaction"), web_events(spark, sf_dir)
+    late = F.col("event_id") % 10 == 0
+    for part, arrives in (("first", ~late), ("late", late)):
+        event_sources.write_json_events(events.filter(arrives), f"{folder}/in/{part}")
+        stream = event_sources.stream_events(spark, f"{folder}/in/*")
+        landing.land_events(stream, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
+        if part == "first":
+            compaction.compact_days(spark, f"{folder}/events", f"{folder}/copy", HALF, least_files=1)
+    rows = compaction.read_compacted(spark, f"{folder}/events", f"{folder}/copy", verdict=None)
+    return plain(
+        rows.groupBy("event_date", "verdict").agg(
+            F.count("*").alias("events"),
+            F.count_distinct("user_id").alias("users"),
+            F.sum("quantity").alias("quantity"),
+            F.min("timestamp").alias("first_at"),
+        )
+    )
+
+
 def validate_events(spark, sf_dir):
     marked = mark_failed_rules(web_events(spark, sf_dir))
     return marked.select(
@@ -568,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_features": roundtrip_features,
     "transform_job": transform_job,
     "land_events": land_events,
+    "compacted_days": compacted_days,
     "transform_landed_job": transform_landed_job,
     "transform_inputs": transform_inputs,
     "rejected_lines": rejected_lines,

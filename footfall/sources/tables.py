@@ -97,6 +97,11 @@ def read_landed(
     landed = spark.read.schema(LANDED_DDL).parquet(path)
     if with_file:
         landed = landed.withColumn("file", F.col("_metadata.file_path"))
+    return landed_view(landed, verdict)
+
+
+def landed_view(landed: DataFrame, verdict: str | None) -> DataFrame:
+    """Of all landed rows those with a verdict, with the columns that ``read_landed`` gives them."""
     if verdict is None:
         return landed
     about = ("_corrupt_record", "arrived_at", "failed_rules")
