@@ -13,12 +13,13 @@ its words are on average, each in the languages it may have. This does not depen
 languages there are, and a text that switches between learned ones is known.
 
 Fitting sees at most ``max_docs`` documents, as many of each language as there are, in the order
-of a hash of the id, and of each at most ``SENTENCES`` sentences spread over the whole text; the
-bounds are parameters. Some training sentences are joined with one of another document, so that
+of a hash of the id, and of each some sentences spread over the whole text; the bounds
+are parameters of ``fit``. Some training sentences are joined with one of another document, so that
 changes of language are seen. Labelling reads every whole text.
 
-A sentence ends at ``.``, ``!``, ``?`` or a line's end; one of more than ``CHAIN`` words is labelled
-in chains of that length. Defined cases: a text that is null or has no letter is ``und`` with
+A sentence ends at ``.``, ``!``, ``?`` or a line's end, however many words it has: a long
+one is worked on in parts that hand over their forward and backward messages, with the result of the
+whole. Defined cases: a text that is null or has no letter is ``und`` with
 score 0, and so is every text if there is nothing to learn from; repeated rows get the same
 result; an empty table gives an empty result.
 """
@@ -40,9 +41,8 @@ from footfall.llm.common import free_names, is_held_out
 
 TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDS = ".!?\n"
+#: Longer chains are worked on in parts that hand over their messages.
 CHAIN = 256
-SENTENCES = 10
-SENTENCE_WORDS = 32
 BUCKETS = 1 << 18
 AFFIXES = (2, 3, 4)
 TRIGRAMS = 1  # their place among the families of features
@@ -143,6 +143,80 @@ def forward_backward(
     return ahead * behind, expected * step, float(np.log(norm).sum() + top.sum())
 
 
+def ahead_of(local: np.ndarray, begin: np.ndarray, size: np.ndarray, enter: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """What rows of weights that enter a part become at its last position, scaled by their sum.
+
+    ``enter`` has some rows of weights per part, before the first position's own.
+    """
+    order = np.argsort(-size, kind="stable")
+    begin, size, found = begin[order], size[order], enter[order]
+    for t in range(int(size[0]) if len(size) else 0):
+        active = np.searchsorted(-size, -t, side="left")
+        now = (found[:active] if t == 0 else found[:active] @ step) * local[begin[:active] + t][:, None, :]
+        found[:active] = now / now.sum(axis=(1, 2), keepdims=True)
+    result = np.empty_like(found)
+    result[order] = found
+    return result
+
+
+def posterior(score: np.ndarray, begin: np.ndarray, start: np.ndarray, change: np.ndarray, part: int) -> np.ndarray:
+    """Probabilities of each position's labels for chains that begin at ``begin``, of any length.
+
+    Long chains are cut into parts of ``part`` positions. What one part hands to the next, in both
+    directions, follows from how each label before a part weighs on its last position; with these
+    messages all parts take their steps together.
+    """
+    n, k = score.shape
+    local = np.exp(score - score.max(axis=1, keepdims=True))
+    first, step = np.exp(start), np.exp(change)
+    chain = np.diff(np.append(begin, n))
+    parts = -(-chain // part)
+    opens = np.cumsum(parts) - parts  # the first part of each chain
+    goes_on = np.ones(parts.sum(), bool)
+    goes_on[opens] = False
+    place = np.arange(len(goes_on)) - np.repeat(opens, parts)
+    at = np.repeat(begin, parts) + place * part
+    size = np.minimum(part, np.repeat(begin + chain, parts) - at)
+
+    enter = np.where(goes_on[:, None], 0.0, first)
+    leave = np.ones((len(at), k))
+    several = np.flatnonzero(np.repeat(parts > 1, parts))
+    if len(several):
+        rows = np.where(goes_on[several][:, None, None], step, np.broadcast_to(first, (k, k)))
+        through = np.zeros((len(at), k, k))
+        through[several] = ahead_of(local, at[several], size[several], rows, step)
+        for depth in range(1, int(parts.max())):  # one part further in every long chain
+            here = opens[parts > depth] + depth
+            if depth == 1:
+                message = through[here - 1][:, 0]
+            else:
+                message = np.einsum("ci,cij->cj", message[parts[alive] > depth], through[here - 1])
+            alive = np.flatnonzero(parts > depth)
+            message = message / message.sum(axis=1, keepdims=True)
+            enter[here] = message @ step
+        for depth in range(int(parts.max()) - 2, -1, -1):
+            here = opens[parts > depth + 1] + depth
+            back = np.einsum("cij,cj->ci", through[here + 1], leave[here + 1])
+            leave[here] = back / back.sum(axis=1, keepdims=True)
+
+    order = np.argsort(-size, kind="stable")
+    at, size, enter, leave = at[order], size[order], enter[order], leave[order]
+    longest = int(size[0]) if len(size) else 0
+    active = np.searchsorted(-size, -np.arange(longest), side="left")
+    ahead, norm, behind = np.empty((n, k)), np.empty((n, 1)), np.ones((n, k))
+    for t in range(longest):
+        now = at[: active[t]] + t
+        a = (enter if t == 0 else ahead[now - 1] @ step) * local[now]
+        norm[now] = a.sum(axis=1, keepdims=True)
+        ahead[now] = a / norm[now]
+    behind[at + size - 1] = leave
+    for t in range(longest - 1, 0, -1):
+        now = at[: active[t]] + t
+        behind[now - 1] = (local[now] * behind[now] / norm[now]) @ step.T
+    found = ahead * behind
+    return found / found.sum(axis=1, keepdims=True)
+
+
 def train(sentences: list[tuple[str, list[str]]], rounds: int = 30, rate: float = 0.4, ridge: float = 1e-4) -> Model:
     """Weights that maximise the chains' likelihood, by gradient steps scaled per weight."""
     languages = sorted({language for language, _ in sentences})
@@ -215,7 +289,20 @@ def sentences_of(text: str | None) -> list[list[str]]:
     return [s for s in (*found, sentence) if s]
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_docs: int = 1500) -> Model:
+def fit(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    max_docs: int = 1500,
+    sentences: int = 10,
+    sentence_words: int = 32,
+) -> Model:
+    """Learn from up to ``max_docs`` documents with a language that are not held out.
+
+    Of each take up to ``sentences`` sentences, spread over the text, and of these the first
+    ``sentence_words`` words. The bounds hold for the learning alone; labelling reads whole texts.
+    """
     known = docs.select(F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     known = known.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~is_held_out("id"))
     in_turn = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
@@ -234,8 +321,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         result = []
         for value in texts:
             all_of_them = sentences_of(value)
-            spread = np.unique(np.linspace(0, len(all_of_them) - 1, min(SENTENCES, len(all_of_them))).astype(int))
-            result.append([all_of_them[i][:SENTENCE_WORDS] for i in spread])
+            spread = np.unique(np.linspace(0, len(all_of_them) - 1, min(sentences, len(all_of_them))).astype(int))
+            result.append([all_of_them[i][:sentence_words] for i in spread])
         return pd.Series(result)
 
     # the sample has at most max_docs short rows, so it can go to every task; rows that repeat an id count once
@@ -303,11 +390,7 @@ class Labeller:
         if not len(slot):
             return text, np.zeros((0, len(self.model.languages))), np.zeros(0)
         new = np.concatenate([[True], (part[1:] != part[:-1]) | (text[1:] != text[:-1])])
-        begin = np.flatnonzero(new)
-        new |= (np.arange(len(slot)) - begin[np.cumsum(new) - 1]) % CHAIN == 0
-        begin = np.flatnonzero(new)
-        size = np.diff(np.append(begin, len(slot)))
-        found, _, _ = forward_backward(self.scores[slot], begin, size, self.model.start, self.model.change)
+        found = posterior(self.scores[slot], np.flatnonzero(new), self.model.start, self.model.change, CHAIN)
         return text, found, (found * self.known[slot]).sum(axis=1)
 
     def languages(self, texts: list[str]) -> list[tuple[str, float]]:

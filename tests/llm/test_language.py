@@ -101,3 +101,25 @@ def test_parts_and_small_caches_change_nothing(model, docs, monkeypatch):
     small = language.Labeller(model, capacity=50).languages(texts)
     assert [x[0] for x in whole] == [x[0] for x in small]
     assert np.allclose([x[1] for x in whole], [x[1] for x in small])
+
+
+def test_long_chains_are_not_cut():
+    """Parts that hand over their messages give the probabilities of the whole chain."""
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        k, sizes = int(rng.integers(1, 5)), rng.integers(1, 40, rng.integers(1, 12))
+        n, begin = sizes.sum(), np.cumsum(sizes) - sizes
+        score, start, change = rng.normal(size=(n, k)) * 5, rng.normal(size=k), rng.normal(size=(k, k)) * 2
+        whole, _, _ = language.forward_backward(score, begin, sizes, start, change)
+        for part in (1, 2, 7, 256):
+            assert np.allclose(language.posterior(score, begin, start, change, part), whole, atol=1e-10)
+
+
+def test_a_sentence_of_many_words(spark):
+    model = language.train([("a", ["der", "und", "die"])] * 5 + [("b", ["the", "and", "of"])] * 5)
+    words = (["der", "und"] * 150 + ["the", "of"] * 400) * 2
+    text, found = language.Labeller(model).probabilities([" ".join(words)])
+    whole, _, _ = language.forward_backward(
+        model.emissions(words), np.array([0]), np.array([len(words)]), model.start, model.change
+    )
+    assert np.allclose(found, whole, atol=1e-10)
