@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stored, with_ranks
@@ -612,9 +612,11 @@ def collocations(
     kept = scored.join(around, ["lang", "phrase"], "left").filter(
         F.col("around").isNull() | (100 * F.col("around") < absorbed * F.col("a"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    top = kept.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= best)
-    return top.join(totals, "lang").select("lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    # ranks over ranges of rows: one language may have most of the phrases
+    falling = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", (-F.col("cut.score")).alias("first"), (-F.col("a")).alias("then"))
+    ranked = with_ranks(falling, ["lang"], ["first", "then", "phrase"], "place", "collocations-best")
+    top = ranked.filter(F.col("place") < best).withColumn("rank", F.col("place") + 1)
+    return top.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def digest(docs: DataFrame) -> DataFrame:
