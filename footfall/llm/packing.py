@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -116,22 +117,40 @@ def mixture(totals: dict[str, int], total: int, targets: dict[str, float] | None
     return Mixture(time, sent, {queue: (share, begin[queue]) for queue, share in shares.items()}, others)
 
 
-def quanta(first: int, until: int, size: int, share: float, begin: float, of: Mixture, window: int) -> np.ndarray:
-    """The queue's places at which the rounds ``first`` to ``until`` begin."""
-    when = np.interp(np.arange(first, until + 1, dtype=np.float64) * window, of.sent, of.time)
-    places = np.ceil(share * (when - begin))
-    places[when >= of.time[-1]] = size
-    return np.clip(places, 0, size).astype(np.int64)
+def places(rounds: np.ndarray, size, share, begin, of: Mixture, window: int) -> np.ndarray:
+    """The queue's places at which the rounds begin, each of a queue of its own or all of one."""
+    when = np.interp(rounds.astype(np.float64) * window, of.sent, of.time)
+    found = np.where(when >= of.time[-1], size, np.ceil(share * (when - begin)))
+    return np.clip(found, 0, size).astype(np.int64)
 
 
-def round_pieces(before: int, tokens: int, size: int, share: float, begin: float, of: Mixture, window: int):
-    """(round, start, length) of the pieces of a document whose first token has the place ``before``."""
-    at = np.interp([begin + before / share, begin + (before + tokens) / share], of.time, of.sent) // window
-    first, last = max(0, int(at[0]) - 2), int(at[1]) + 2  # divisions may be off by a rounding error
-    edges = np.clip(quanta(first, last + 1, size, share, begin, of, window), before, before + tokens)
-    edges[0], edges[-1] = before, before + tokens
-    for number in np.flatnonzero(np.diff(edges)).tolist():
-        yield first + number, int(edges[number]) - before, int(edges[number + 1] - edges[number])
+def rounds_at(place, share, begin, of: Mixture, window: int) -> np.ndarray:
+    """The round that sends the token at a place; it may be off by one, as it is divided."""
+    return (np.interp(begin + place / share, of.time, of.sent) // window).astype(np.int64)
+
+
+def round_pieces(
+    before: np.ndarray, tokens: np.ndarray, size: np.ndarray, share: np.ndarray, begin: np.ndarray, of: Mixture, window: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """at, round, start and length of the pieces of documents; ``before`` is the place of a document's first token.
+
+    Most documents lie within one round; those that do not are cut one by one.
+    """
+    number = rounds_at(before, share, begin, of, window)
+    whole = (places(number, size, share, begin, of, window) <= before) & (
+        places(number + 1, size, share, begin, of, window) >= before + tokens
+    )
+    found = [(np.flatnonzero(whole), number[whole], np.zeros(whole.sum(), np.int64), tokens[whole])]
+    for at in np.flatnonzero(~whole).tolist():
+        own = (share[at], begin[at], of, window)
+        first = max(0, int(number[at]) - 2)
+        last = int(rounds_at(before[at] + tokens[at], *own)) + 2
+        end = before[at] + tokens[at]
+        edges = np.clip(places(np.arange(first, last + 2), size[at], *own), before[at], end)
+        edges[0], edges[-1] = before[at], end
+        sent = np.flatnonzero(np.diff(edges))
+        found.append((np.full(len(sent), at), first + sent, edges[sent] - before[at], np.diff(edges)[sent]))
+    return tuple(np.concatenate(column) for column in zip(*found))
 
 
 def in_rounds(sizes: DataFrame, window: int, targets: dict[str, float] | None) -> DataFrame:
@@ -139,25 +158,24 @@ def in_rounds(sizes: DataFrame, window: int, targets: dict[str, float] | None) -
 
     ``sent`` is the place of the piece's first token in its queue.
     """
-    totals = sizes.groupBy("queue").agg(F.sum("tokens").alias("size"))
+    totals = stored(sizes.groupBy("queue").agg(F.sum("tokens").alias("size")), "packing-queues")
     names = [f"of {name}" for name in targets or {}]
-    found = {r.queue: r["size"] for r in totals.filter(F.col("queue").isin(names)).collect()}  # those of targets
+    found = {r.queue: r["size"] for r in totals.filter(F.col("queue").isin(names)).collect()} if names else {}
     total = totals.agg(F.sum("size")).first()[0] or 0
     of = mixture(found, total, targets)
     rest = total - sum(size for queue, size in found.items() if queue in of.named)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces = []
-            for at, (queue, before, tokens, size) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(1, 5)))):
-                share, begin = of.named.get(queue) or (of.others[0] * size / rest, of.others[1])
-                pieces += [(at, before + p[1], *p) for p in round_pieces(before, tokens, size, share, begin, of, window)]
-            if not pieces:
-                continue
-            at, *columns = zip(*pieces)
+            before, tokens, size = (batch.column(i).to_numpy() for i in (2, 3, 4))
+            named = [of.named.get(queue) for queue in batch.column(1).to_pylist()]
+            share = np.array([n[0] if n else of.others[0] * s / rest for n, s in zip(named, size.tolist())])
+            begin = np.array([n[1] if n else of.others[1] for n in named])
+            at, number, start, length = round_pieces(before, tokens, size, share, begin, of, window)
             taken = pa.array(at, pa.int64())
+            columns = [pa.array(c, pa.int64()) for c in (before[at] + start, number, start, length)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(taken), batch.column(1).take(taken), *(pa.array(c, pa.int64()) for c in columns)],
+                [batch.column(0).take(taken), batch.column(1).take(taken), *columns],
                 ["row", "queue", "sent", "round", "start", "length"],
             )
 
@@ -214,10 +232,13 @@ def pack(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for at, (blob, places) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            lists = batch.column(2)
+            pieces = zip(*(field.to_pylist() for field in lists.flatten().flatten()))  # start, length, begin
+            counts = np.diff(lists.offsets.to_numpy()).tolist()
+            for at, (blob, count) in enumerate(zip(batch.column(1).to_pylist(), counts)):
                 ids = unpacked(blob)
-                for place in places:
-                    done, until, begin = place["start"], place["start"] + place["length"], place["begin"]
+                for done, size, begin in islice(pieces, count):
+                    until = done + size
                     while done < until:
                         sequence, offset = divmod(begin, length)
                         piece = ids[done : min(until, done + length - offset)]
@@ -227,12 +248,12 @@ def pack(
                         begin += len(piece)
             if not rows:
                 continue
-            at, *columns, pieces = zip(*rows)
+            at, *columns, taken_ids = zip(*rows)
             taken = pa.array(at, pa.int64())
             arrays = [batch.column(0).take(taken), *(pa.array(c, pa.int64()) for c in columns)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window_id"]
             if with_ids:
-                arrays.append(pa.array([p.tolist() for p in pieces], pa.list_(pa.int32())))
+                arrays.append(pa.array([p.tolist() for p in taken_ids], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 

@@ -26,8 +26,8 @@ def brute_force(spark, docs):
     rows = [r for r in rows if trees.scores(quality.statistics(r.text)[None])[0] >= 0.5]
     kept.append(rows)
     model = language.fit(spark.createDataFrame(rows, docs.schema))
-    found = language.Labeller(model).languages([r.text or "" for r in rows])
-    rows = [r for r, (name, score) in zip(rows, found) if name != "und" and score >= 0.35]
+    found = language.Labeller(model).labels([r.text or "" for r in rows])
+    rows = [r for r, (name, score, known) in zip(rows, found) if name != "und" and score >= 0.35 and known >= 0.8]
     kept.append(rows)
     best = {}
     for r in rows:
