@@ -136,7 +136,7 @@ def field_presence(events: DataFrame, line: str = "line") -> DataFrame:
     declared = spark.createDataFrame([(name,) for name in EVENT_COLUMNS], "field string")
     return (
         counts.join(declared.withColumn("declared", F.lit(True)), "field", "full")
-        .crossJoin(lines.agg(F.count("*").alias("all_lines")))  # one row
+        .withColumn("all_lines", lines.agg(F.count("*")).scalar())
         .select(
             "field",
             F.coalesce("declared", F.lit(False)).alias("declared"),

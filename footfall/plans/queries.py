@@ -240,7 +240,7 @@ def compacted_days(spark, sf_dir):
         stream = event_sources.stream_events(spark, f"{folder}/in/*")
         landing.land_events(stream, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
         if part == "first":
-            compaction.compact_days(spark, f"{folder}/events", f"{folder}/copy", HALF, least_files=1)
+            compaction.compact_days(spark, f"{folder}/events", f"{folder}/copy", "2024-01-05", least_files=1)
     rows = compaction.read_compacted(spark, f"{folder}/events", f"{folder}/copy", verdict=None)
     return plain(
         rows.groupBy("event_date", "verdict").agg(
