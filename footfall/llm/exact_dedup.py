@@ -149,6 +149,8 @@ def first_of_repeats(found: DataFrame, name: dict[str, str]) -> DataFrame:
     lanes = [name["key"], name["text_sha256"], name["kept"], name["salt"]]
     found = found.withColumn(name["salt"], F.pmod(F.monotonically_increasing_id(), F.lit(LANES)))
     for _ in range(2):
+        # dealt anew, so that the join below can be split where a class is large
+        found = found.repartition(*lanes)
         turn = F.row_number().over(Window.partitionBy(*lanes).orderBy(name["row_hash"]))
         found = found.withColumn(name["turn"], turn)
         found = found.withColumn(name["kept"], F.col(name["kept"]) & (F.col(name["turn"]) == 1))
@@ -173,8 +175,8 @@ def exact_dedup(
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 100_000) -> DataFrame:
     """The rows of ``docs`` that stay."""
     found, name = matched(docs, doc_id, text, capacity)
-    found = with_row_hash(found.filter(name["kept"]), name, docs.columns)
-    # each task sends one row of a class at most
+    # what stays is dealt anew, so that the join below can be split where a class is large
+    found = with_row_hash(found.filter(name["kept"]), name, docs.columns).repartition(name["key"], name["text_sha256"])
     turn = F.row_number().over(Window.partitionBy(name["key"], name["text_sha256"]).orderBy(name["row_hash"]))
     return found.withColumn(name["turn"], turn).filter(F.col(name["turn"]) == 1).select(*docs.columns)
 
