@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,49 +33,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stored
-from footfall.llm.tokens import Decoder, packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
+from footfall.llm.tokens import PART_BYTES, Decoder, packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
 
 WINDOW = 16
 RUN = re.compile(rb"[^\x20\x09-\x0D]+")
 PROBES = 3
 #: Chunks of fewer bytes are not worth sharing; they are encoded with what stands around them.
 LEAST = 48
-#: Odd, so that powers of it do not vanish modulo 2 ** 64; any odd number will do.
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Odd, so that powers of it do not vanish modulo 2 ** 32; any odd number will do.
+FACTOR = 0x9E3779B1
+#: Bytes that are hashed at a time, so that the hashes stay in the processor's cache.
+BLOCK = 1 << 15
+#: What a byte counts in a hash.
+MIXED = np.frombuffer(b"".join(xxhash.xxh32_digest(bytes([i])) for i in range(256)), ">u4").astype(np.uint32)
+
+
+def hashed_below(raw: np.ndarray, bound: int) -> np.ndarray:
+    """Behind which bytes the hash of the last 16 is at most ``bound``."""
+    found = [np.empty(0, np.int64)]
+    for begin in range(0, len(raw), BLOCK):
+        low = max(0, begin - WINDOW + 1)
+        h = MIXED[raw[low : begin + BLOCK]]
+        step, factor = 1, FACTOR
+        while step < WINDOW:  # the hash of 2 n bytes from those of its halves
+            rolled = h.copy()
+            rolled[step:] += h[:-step] * np.uint32(factor)
+            h, step, factor = rolled, 2 * step, factor * factor % (1 << 32)
+        at = np.flatnonzero(h <= np.uint32(bound)) + low
+        found.append(at[at >= begin] + 1)
+    return np.concatenate(found)
 
 
 def cuts(texts: list[bytes], chunk: int) -> list[list[int]]:
     """Where the chunks of each text end, its length included; a cut depends on the 16 bytes before it."""
-    ends = np.cumsum([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
     raw = np.frombuffer(b"".join(texts), np.uint8)
     if not len(raw):
         return [[] for _ in texts]
-    h = (raw.astype(np.uint64) + np.uint64(1)) * FACTOR
-    h ^= h >> np.uint64(29)
-    step, factor = 1, FACTOR
-    while step < WINDOW:  # the hash of 2 n bytes from those of its halves
-        rolled = h.copy()
-        rolled[step:] += h[:-step] * factor
-        h, step, factor = rolled, 2 * step, np.uint64(int(factor) * int(factor) % (1 << 64))
-    after = np.flatnonzero((h >> np.uint64(40)) % np.uint64(chunk) == 0) + 1
+    after = hashed_below(raw, ((1 << 32) - 1) // chunk)
     owner = np.searchsorted(ends, after, side="right")
     known = owner < len(texts)
     after, owner = after[known], owner[known]
-    begin = (ends - [len(t) for t in texts])[owner] if len(owner) else after
+    begin = (ends - sizes)[owner]
     # no cut in a text's first bytes, whose window reaches over its start, nor inside a character
     good = (after - begin >= WINDOW) & ((raw[after] & 0xC0) != 0x80)
     after, owner, begin = after[good], owner[good], begin[good]
-    where = np.searchsorted(owner, np.arange(len(texts) + 1))
+    where = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
     local = (after - begin).tolist()
     return [
         [*local[where[i] : where[i + 1]], len(text)] if text else [] for i, text in enumerate(texts)
     ]
 
 
-def key_of(data: bytes) -> tuple[int, int]:
-    """128 bits as two signed longs."""
-    digest = xxhash.xxh3_128_intdigest(data)
-    return tuple((x ^ 1 << 63) - (1 << 63) for x in (digest >> 64, digest & (1 << 64) - 1))
+def keys_of(pieces: list[bytes]) -> np.ndarray:
+    """128 bits of each piece as two longs, high and low."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), ">i8").astype(np.int64).reshape(-1, 2)
 
 
 def chunks_of(texts: list[bytes], chunk: int) -> list[list[bytes]]:
@@ -113,58 +126,105 @@ def pieces_of(text: bytes, a: int, b: int, ids: np.ndarray, lengths: np.ndarray)
             (m.start(), m.end(), ids[end - n : end])
             for m, n, end in zip(RUN.finditer(text, a, b), lengths.tolist(), ends)
         ]
-    front = [m.span() for m in itertools.islice(RUN.finditer(text, a, b), 2)]
-    body = text[a:b]
-    back = []
-    for _ in range(2):
+    pieces, at = [], 0
+    for m, n in zip(RUN.finditer(text, a, b), lengths[:2].tolist()):
+        pieces.append((m.start(), m.end(), ids[at : at + n]))
+        at += n
+    body, until, back = text[a:b], len(ids), []
+    for n in lengths[:-3:-1].tolist():
         body = body.rstrip()
         end = a + len(body)
         body = body[: len(body) - len(body.rsplit(None, 1)[-1])]
-        back.insert(0, (a + len(body), end))
-    between = (front[1][1], back[0][0])
-    sizes = [*lengths[:2].tolist(), int(lengths[2:-2].sum()), *lengths[-2:].tolist()]
-    split = np.split(ids, np.cumsum(sizes)[:-1])
-    return [(begin, end, own) for (begin, end), own in zip([*front, between, *back], split)]
-
-
-def joined(text: bytes, segments: list[tuple[int, np.ndarray, np.ndarray]], tokenizer) -> np.ndarray:
-    """ids of a text from those of its segments, each (bytes, ids, ids per run), with repaired joins."""
-    pieces: list[tuple[int, int, np.ndarray]] = []
-    cut = []  # numbers of pieces that the join in front of them cuts from the one before
-    at = 0
-    for size, ids, lengths in segments:
-        own = pieces_of(text, at, at + size, ids, lengths)
-        if pieces and own and pieces[-1][1] == at == own[0][0]:
-            cut.append(len(pieces))
-        pieces += own
-        at += size
-    none = [np.empty(0, np.uint32)]
-    result, done, cut_pieces = [], 0, set(cut)
-    for first in cut:
-        if first - 1 in cut_pieces:
-            continue  # a run that more than one join cuts is repaired as one
-        last = first
-        while last + 1 in cut_pieces:
-            last += 1
-        reach = 1
+        back.append((a + len(body), end, ids[until - n : until]))
+        until -= n
+    return [*pieces, (pieces[1][1], back[1][0], ids[at:until]), *reversed(back)]
+
+
+Segments = list[tuple[int, np.ndarray, np.ndarray]]
+Encode = Callable[[list[bytes]], list[np.ndarray]]
+NONE = np.empty(0, np.uint32)
+
+
+class Joins:
+    """The pieces of a text, and the runs that cuts parted; a run that more than one join cuts counts once."""
+
+    def __init__(self, text: bytes, segments: Segments):
+        self.text = text
+        self.pieces: list[tuple[int, int, np.ndarray]] = []
+        self.runs: list[list[int]] = []  # first and last piece that is not the first of its run
+        at = 0
+        for size, ids, lengths in segments:
+            own = pieces_of(text, at, at + size, ids, lengths)
+            here = len(self.pieces)
+            if here and own and self.pieces[-1][1] == at == own[0][0]:
+                if self.runs and self.runs[-1][1] == here - 1:
+                    self.runs[-1][1] = here
+                else:
+                    self.runs.append([here, here])
+            self.pieces += own
+            at += size
+
+    def ids_between(self, first: int, end: int) -> np.ndarray:
+        return np.concatenate([NONE, *(ids for _, _, ids in self.pieces[first:end])])
+
+    def window(self, run: list[int], reach: int) -> tuple[int, int]:
+        return max(0, run[0] - 1 - reach), min(len(self.pieces), run[1] + 1 + reach)
+
+    def text_of(self, low: int, high: int) -> bytes:
+        return self.text[self.pieces[low][0] : self.pieces[high - 1][1]]
+
+    def inner(self, run: list[int], low: int, high: int, new: np.ndarray) -> np.ndarray | None:
+        """What the window's new ids have between the outer pieces, if these keep their ids."""
+        left, right = self.ids_between(low, run[0] - 1), self.ids_between(run[1] + 1, high)
+        end = len(new) - len(right)
+        if len(left) <= end and (new[: len(left)] == left).all() and (new[end:] == right).all():
+            return new[len(left) : end]
+        return None
+
+    def grown(self, run: list[int], encode: Encode) -> tuple[np.ndarray, bool]:
+        """The ids of a run from wider windows; those of the whole text, and True, if none fits."""
+        reach = 2
         while True:
-            low, high = max(0, first - 1 - reach), min(len(pieces), last + 1 + reach)
-            left = np.concatenate(none + [ids for _, _, ids in pieces[low : first - 1]])
-            right = np.concatenate(none + [ids for _, _, ids in pieces[last + 1 : high]])
-            window = text[pieces[low][0] : pieces[high - 1][1]].decode()
-            new = np.array(tokenizer.encode(window, add_special_tokens=False).ids, np.uint32)
-            agree = len(new) >= len(left) + len(right)
-            agree = agree and (new[: len(left)] == left).all() and (new[len(new) - len(right) :] == right).all()
-            if agree:
-                result += [ids for _, _, ids in pieces[done : first - 1]]
-                result.append(new[len(left) : len(new) - len(right)])
-                done = last + 1
-                break
-            if low == 0 and high == len(pieces):
-                return new
+            low, high = self.window(run, reach)
+            (new,) = encode([self.text_of(low, high)])
+            inner = self.inner(run, low, high, new)
+            if inner is not None:
+                return inner, False
+            if low == 0 and high == len(self.pieces):
+                return new, True
             reach *= 2
-    result += [ids for _, _, ids in pieces[done:]]
-    return np.concatenate(none + result)
+
+    def repaired(self, windows: Iterator[np.ndarray], encode: Encode) -> np.ndarray:
+        """ids of the text, given those of each run's first window."""
+        result, done = [NONE], 0
+        for run, new in zip(self.runs, windows):
+            inner = self.inner(run, *self.window(run, 1), new)
+            if inner is None:
+                inner, whole = self.grown(run, encode)
+                if whole:
+                    return inner
+            result += [ids for _, _, ids in self.pieces[done : run[0] - 1]]
+            result.append(inner)
+            done = run[1] + 1
+        result += [ids for _, _, ids in self.pieces[done:]]
+        return np.concatenate(result)
+
+
+def joined_all(texts: list[tuple[bytes, Segments]], encode: Encode) -> Iterator[np.ndarray]:
+    """ids of texts from those of their segments, each (bytes, ids, ids per run), with repaired joins."""
+    joins = [Joins(text, segments) for text, segments in texts]
+    windows = iter(encode([own.text_of(*own.window(run, 1)) for own in joins for run in own.runs]))
+    for own in joins:
+        yield own.repaired(itertools.islice(windows, len(own.runs)), encode)
+
+
+def joined(text: bytes, segments: Segments, tokenizer) -> np.ndarray:
+    """ids of one text, with windows encoded by the tokenizer itself."""
+
+    def encode(windows: list[bytes]) -> list[np.ndarray]:
+        return [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32) for w in windows]
+
+    return next(joined_all([(text, segments)], encode))
 
 
 def summary(ids: np.ndarray, decoder: Decoder, whole: bool) -> tuple:
@@ -178,6 +238,7 @@ def summary(ids: np.ndarray, decoder: Decoder, whole: bool) -> tuple:
     )
 
 
+SHARED = [("begin", "long"), ("end", "long"), ("high", "long"), ("low", "long")]
 RESULT = [
     ("n_tokens", "long", pa.int64()),
     ("ids_sha256", "string", pa.string()),
@@ -211,20 +272,14 @@ def encode_documents(
         for batch in batches:
             texts = utf8(batch.column(0))
             for part in parts(texts):
-                found = (piece for own in chunks_of(texts[part], chunk) for piece in own if len(piece) >= LEAST)
-                flat = [key_of(piece) for piece in found]
-                high, low = zip(*flat) if flat else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int64())], ["high", "low"])
+                found = [piece for own in chunks_of(texts[part], chunk) for piece in own if len(piece) >= LEAST]
+                yield pa.RecordBatch.from_arrays([pa.array(key) for key in keys_of(found).T], ["high", "low"])
 
     counted = docs.select("text").mapInArrow(keys, "high long, low long").groupBy("high", "low").count()
     words = filter_words(counted.filter("count > 1"), filter_bits)
 
-    def shareable(pieces: list[bytes], marks: np.ndarray) -> np.ndarray:
-        long_enough = np.array([len(piece) >= LEAST for piece in pieces], bool)
-        return may_hold(words, marks[:, 0], marks[:, 1]) & long_enough
-
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Results of texts that share nothing; of the others the compressed text."""
+        """Results of texts that share nothing; of the others the compressed text, and where which shared chunks stand."""
         encoder = worker_encoder(tokenizer)
         decoder = Decoder(encoder.tokenizer)
         press = zstandard.ZstdCompressor(level=1)
@@ -232,61 +287,55 @@ def encode_documents(
             texts = utf8(batch.column(1))
             for part in parts(texts):
                 some = texts[part]
-                chunks = chunks_of(some, chunk)
-                ends = np.cumsum([0, *map(len, chunks)])
-                flat = [piece for own in chunks for piece in own]
-                marks = np.array([key_of(piece) for piece in flat], np.int64).reshape(-1, 2)
-                hits = np.concatenate([[0], np.cumsum(shareable(flat, marks))])[ends]
-                waits = hits[1:] > hits[:-1]
+                ends_in = cuts(some, chunk)
+                spans = [
+                    (i, a, b)
+                    for i, ends in enumerate(ends_in) for a, b in zip([0, *ends], ends) if b - a >= LEAST
+                ]
+                marks = keys_of([some[i][a:b] for i, a, b in spans])
+                hits = may_hold(words, marks[:, 0], marks[:, 1])
+                owner, begin, end = np.array(spans, np.int64).reshape(-1, 3)[hits].T
+                until = np.searchsorted(owner, np.arange(len(some) + 1))
+                waits = (until[1:] > until[:-1]).tolist()
                 ids = iter(encoder.encode([t for t, w in zip(some, waits) if not w]))
                 rows = [None if w else summary(next(ids), decoder, whole) for w in waits]
+                columns = [begin, end, *marks[hits].T]
+                shared = pa.StructArray.from_arrays([pa.array(column) for column in columns], [name for name, _ in SHARED])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[part.start : part.stop],
                         *result_arrays(rows),
                         pa.array([press.compress(t) if w else None for t, w in zip(some, waits)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(until, pa.int32()), shared),
                     ],
-                    ["doc_id", *names, "body"],
+                    ["doc_id", *names, "body", "shared"],
                 )
 
+    shared_ddl = ", ".join(f"{name}: {kind}" for name, kind in SHARED)
     first = stored(
-        docs.mapInArrow(first_pass, f"doc_id {id_type}, {ddl}, body binary").select(
-            F.monotonically_increasing_id().alias("row"), "*"
-        ),
+        docs.mapInArrow(
+            first_pass, f"doc_id {id_type}, {ddl}, body binary, shared array<struct<{shared_ddl}>>"
+        ).select(F.monotonically_increasing_id().alias("row"), "*"),
         "bpe-first",
     )
-    waiting = first.filter("body IS NOT NULL").select("row", "body")
-
-    def shared_chunks(data: bytes) -> list[tuple[int, tuple[int, int], bytes]]:
-        """(place, key, bytes) of a text's chunks that may occur elsewhere."""
-        (ends,) = cuts([data], chunk)
-        pieces = [data[a:b] for a, b in zip([0, *ends], ends)]
-        marks = [key_of(piece) for piece in pieces]
-        hits = shareable(pieces, np.array(marks, np.int64).reshape(-1, 2))
-        return [(i, marks[i], pieces[i]) for i in np.flatnonzero(hits).tolist()]
-
-    def references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
-        for batch in batches:
-            rows, places, highs, lows = [], [], [], []
-            for row, body in zip(*(c.to_pylist() for c in batch.columns)):
-                for place, (high, low), _ in shared_chunks(expand.decompress(body)):
-                    for column, value in zip((rows, places, highs, lows), (row, place, high, low)):
-                        column.append(value)
-            arrays = [pa.array(column, pa.int64()) for column in (rows, places, highs, lows)]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "place", "high", "low"])
+    waiting = first.filter("body IS NOT NULL").select("row", "body", "shared")
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             found: dict[tuple[int, int], bytes] = {}
-            for body in batch.column(0).to_pylist():
-                found.update((key, piece) for _, key, piece in shared_chunks(expand.decompress(body)))
+            until = batch.column(1).offsets.to_pylist()
+            begins, ends, highs, lows = (column.to_pylist() for column in batch.column(1).values.flatten())
+            for number, body in enumerate(batch.column(0).to_pylist()):
+                data, own = expand.decompress(body), slice(until[number], until[number + 1])
+                for key, a, b in zip(zip(highs[own], lows[own]), begins[own], ends[own]):
+                    if key not in found:
+                        found[key] = press.compress(data[a:b])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([high for high, _ in found], pa.int64()),
                     pa.array([low for _, low in found], pa.int64()),
-                    pa.array([press.compress(piece) for piece in found.values()], pa.binary()),
+                    pa.array(found.values(), pa.binary()),
                 ],
                 ["high", "low", "piece"],
             )
@@ -295,26 +344,28 @@ def encode_documents(
         encoder = worker_encoder(tokenizer)
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            runs, ids = [], []
-            for piece in batch.column(2).to_pylist():
-                own, lengths = encoder.run_ids(encoder.runs_of(expand.decompress(piece)))
-                runs.append(packed(lengths.astype(np.uint32)))
-                ids.append(packed(own))
+            pieces = [expand.decompress(piece) for piece in batch.column(2).to_pylist()]
+            lengths_of, ids_of = [], []
+            for part in parts(pieces):
+                for ids, lengths in encoder.with_runs([encoder.runs_of(piece) for piece in pieces[part]]):
+                    lengths_of.append(packed(lengths.astype(np.uint32)))
+                    ids_of.append(packed(ids))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(runs, pa.binary()), pa.array(ids, pa.binary())],
+                [batch.column(0), batch.column(1), pa.array(lengths_of, pa.binary()), pa.array(ids_of, pa.binary())],
                 ["high", "low", "run_ids", "chunk_ids"],
             )
 
     encoded = (
-        waiting.select("body")
+        waiting.select("body", "shared")
         .mapInArrow(contents, "high long, low long, piece binary")
         .dropDuplicates(["high", "low"])
         .mapInArrow(encode_chunks, "high long, low long, run_ids binary, chunk_ids binary")
     )
     nothing = F.lit(None).cast("binary")
-    chunk_rows = waiting.mapInArrow(references, "row long, place long, high long, low long").join(encoded, ["high", "low"])
-    rows = chunk_rows.select("row", "place", nothing.alias("body"), "run_ids", "chunk_ids").union(
-        waiting.select("row", F.lit(-1).cast("long"), "body", nothing, nothing)
+    no_place = F.lit(-1).cast("long")
+    chunk_rows = waiting.select("row", F.inline("shared")).join(encoded, ["high", "low"])
+    rows = chunk_rows.select("row", "begin", "end", nothing.alias("body"), "run_ids", "chunk_ids").union(
+        waiting.select("row", no_place, no_place, "body", nothing, nothing)
     )
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,48 +373,45 @@ def encode_documents(
         encoder = worker_encoder(tokenizer)
         decoder = Decoder(encoder.tokenizer)
         expand = zstandard.ZstdDecompressor()
-        done: list[tuple[int, tuple]] = []
-        held: tuple | None = None  # row, text, chunks by place
-
-        def finish():
-            row, data, shared = held
-            (ends,) = cuts([data], chunk)
-            segments, own = [], 0  # own: where a stretch of other chunks begins
-            for place, (a, b) in enumerate(zip([0, *ends], ends)):
-                if place in shared or b == len(data):
-                    until = a if place in shared else b
-                    if own < until:
-                        stretch = data[own:until]
-                        segments.append((len(stretch), *encoder.run_ids(encoder.runs_of(stretch))))
-                    if place in shared:
-                        lengths, ids = (unpacked(x) for x in shared[place])
-                        segments.append((b - a, ids, lengths))
-                        own = b
-            done.append((row, summary(joined(data, segments, encoder.tokenizer), decoder, whole)))
-
-        def results():
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([row for row, _ in done], pa.int64()), *result_arrays([r for _, r in done])], ["row", *names]
-            )
-            done.clear()
-            return batch
 
+        def results(held: list[tuple[int, bytes, list[tuple]]]) -> pa.RecordBatch:
+            stretches, layouts = [], []  # a stretch is what stands between shared chunks
+            for _, data, shared in held:
+                layout, at = [], 0
+                for begin, end, run_ids, chunk_ids in [*shared, (len(data), len(data), None, None)]:
+                    if at < begin:
+                        stretches.append(encoder.runs_of(data[at:begin]))
+                        layout.append((begin - at, None))
+                    if begin < end:
+                        layout.append((end - begin, (unpacked(chunk_ids), unpacked(run_ids))))
+                    at = end
+                layouts.append(layout)
+            own = encoder.with_runs(stretches)
+            texts = [
+                (data, [(size, *(next(own) if known is None else known)) for size, known in layout])
+                for (_, data, _), layout in zip(held, layouts)
+            ]
+            found = [summary(ids, decoder, whole) for ids in joined_all(texts, encoder.encode)]
+            rows = pa.array([row for row, _, _ in held], pa.int64())
+            return pa.RecordBatch.from_arrays([rows, *result_arrays(found)], ["row", *names])
+
+        held: list[tuple[int, bytes, list[tuple]]] = []  # row, text, shared chunks
+        size = 0
         for batch in batches:
-            for row, place, body, run_ids, chunk_ids in zip(*(c.to_pylist() for c in batch.columns)):
-                if place < 0:
-                    if held:
-                        finish()
-                    held = (row, expand.decompress(body), {})
-                else:
-                    held[2][place] = (run_ids, chunk_ids)
-            if done:
-                yield results()
+            for row, begin, end, body, run_ids, chunk_ids in zip(*(c.to_pylist() for c in batch.columns)):
+                if begin >= 0:
+                    held[-1][2].append((begin, end, run_ids, chunk_ids))
+                    continue
+                if size >= PART_BYTES:
+                    yield results(held)
+                    held, size = [], 0
+                held.append((row, expand.decompress(body), []))
+                size += len(held[-1][1])
         if held:
-            finish()
-            yield results()
+            yield results(held)
 
     by_row = (
-        rows.repartition("row").sortWithinPartitions("row", "place").mapInArrow(put_together, f"row long, {ddl}")
+        rows.repartition("row").sortWithinPartitions("row", "begin").mapInArrow(put_together, f"row long, {ddl}")
     )
     others = first.filter("body IS NOT NULL").select("row", "doc_id").join(by_row, "row").select("doc_id", *names)
     result = first.filter("body IS NULL").select("doc_id", *names).union(others)

@@ -50,6 +50,41 @@ def test_runs_give_the_ids_of_whole_texts(library):
             assert [x.tolist() for x in found] == [encoded(library, t) for t in texts]
 
 
+class Counted:
+    """Passes calls on and notes how many characters went to ``encode``."""
+
+    def __init__(self, inner):
+        self.inner, self.sizes = inner, []
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def encode(self, text, **kwargs):
+        self.sizes.append(len(text))
+        return self.inner.encode(text, **kwargs)
+
+
+def test_words_are_learned_together_and_once(library):
+    rng = random.Random(6)
+    words = list({"".join(rng.choice("aeioustrnlé") for _ in range(9)) for _ in range(3000)})
+    runs = [word + tail for word in words for tail in ("", ".", ",", "!!", "***", '.")')]
+    rng.shuffle(runs)
+    encoder = tokens.RunEncoder(PATH)
+    encoder.model, encoder.tokenizer = Counted(encoder.model), Counted(encoder.tokenizer)
+    ids, lengths = encoder.run_ids([run.encode() for run in runs])
+    ends = np.cumsum(lengths)
+    for run, a, b in zip(runs, ends - lengths, ends):
+        assert ids[a:b].tolist() == encoded(library, run)
+    assert len(encoder.model.sizes) + len(encoder.tokenizer.sizes) < 10
+    assert sum(encoder.model.sizes) + sum(encoder.tokenizer.sizes) < 2 * sum(map(len, words))
+
+
+def test_points_that_are_part_of_other_tokens(library):
+    texts = ["ab's ab' 's ab'. ab-cd ab--cd ab). (ab) \"ab\" ab;: ab|> ab<|endoftext|>. ab!<|endoftext|> .,ab a.b, ...", "é.é! ÿ?? \u0301. ab\u0301."]
+    encoder = tokens.RunEncoder(PATH)
+    assert [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])] == [encoded(library, t) for t in texts]
+
+
 def test_a_tokenizer_that_keeps_white_space_is_refused():
     import public_tokenizers
 
@@ -96,6 +131,44 @@ def test_joins_are_repaired(library):
             assert chunked_bpe.joined(raw, chunks, library).tolist() == encoded(library, text)
 
 
+def test_windows_of_many_texts_are_encoded_together(library):
+    encoder, calls = tokens.RunEncoder(PATH), []
+
+    def encode(windows):
+        calls.append(windows)
+        return encoder.encode(windows)
+
+    texts, segments = [t.encode() for _, t, *_ in rows() if t and 20 < len(t) < 3000], []
+    for raw in texts:
+        ends = [i for i in range(9, len(raw), 9) if raw[i] & 0xC0 != 0x80] + [len(raw)]
+        split = [encoder.runs_of(raw[a:b]) for a, b in zip([0, *ends], ends)]
+        sizes = np.diff([0, *ends]).tolist()
+        segments.append([(size, *part) for size, part in zip(sizes, encoder.with_runs(split))])
+    found = list(chunked_bpe.joined_all(list(zip(texts, segments)), encode))
+    assert [ids.tolist() for ids in found] == [encoded(library, raw.decode()) for raw in texts]
+    assert len(calls[0]) > 1000
+    assert all(len(windows) == 1 for windows in calls[1:])
+    assert len(calls) < len(calls[0]) / 20
+
+
+def test_shared_chunks_are_cut_in_the_first_pass_only(spark, capsys):
+    docs = spark.createDataFrame(rows(), DDL)
+    chunked_bpe.encode_documents(docs, PATH).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 3  # pieces, their ids, the texts
+
+
+def test_cuts_do_not_see_where_hashing_is_split():
+    rng = np.random.default_rng(5)
+    passage = bytes(rng.integers(97, 123, 3 * chunked_bpe.BLOCK, np.uint8))
+    texts = [passage, b"x" * 777 + passage, passage[5:]]
+    first, second, third = chunked_bpe.cuts(texts, 64)
+    assert len(first) > 1000
+    assert [e for e in second if e > 800] == [e + 777 for e in first if e > 23]
+    assert [e + 5 for e in third if e > 40] == [e for e in first if e > 45]
+    assert [chunked_bpe.cuts([text], 64)[0] for text in texts] == [first, second, third]
+
+
 def test_cuts_follow_the_content():
     rng = np.random.default_rng(2)
     passage = bytes(rng.integers(97, 123, 4000, np.uint8))
