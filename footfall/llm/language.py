@@ -46,7 +46,10 @@ CHAIN = 256
 BUCKETS = 1 << 18
 AFFIXES = (2, 3, 4)
 TRIGRAMS = 1  # their place among the families of features
-PART_CHARS = 2 << 20
+#: Characters of text that are labelled at a time; a longer text is one by itself.
+PART_CHARS = 1 << 19
+#: Bytes that a worker's scores of words may take.
+HELD_BYTES = 32 << 20
 UNKNOWN = "und"
 LEAST_KNOWN = 0.8
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -337,11 +340,19 @@ def fit(
     return train([(row.lang, words) for row in rows for words in row.sentences])
 
 
+def grown(table: np.ndarray, most: int) -> np.ndarray:
+    """The table with room for ``most`` rows, and a quarter more."""
+    larger = np.empty((most + most // 4, table.shape[1]), table.dtype)
+    larger[: len(table)] = table
+    return larger
+
+
 class Labeller:
-    """Labels the words of texts; a worker scores a word when it first meets it."""
+    """Labels the words of texts; a worker scores a word when it first meets it, and holds about ``capacity`` of them."""
 
-    def __init__(self, model: Model, capacity: int = 400_000):
-        self.model, self.capacity = model, capacity
+    def __init__(self, model: Model, capacity: int = 200_000):
+        each = 12 * max(1, len(model.languages))  # a score and a share for each language
+        self.model, self.capacity = model, min(capacity, HELD_BYTES // each)
         self.forget()
 
     def forget(self) -> None:
@@ -363,8 +374,7 @@ class Labeller:
             if real:
                 most = self.used + len(real)
                 if most > len(self.scores):
-                    self.scores = np.resize(self.scores, (2 * most, self.scores.shape[1]))
-                    self.known = np.resize(self.known, (2 * most, self.known.shape[1]))
+                    self.scores, self.known = grown(self.scores, most), grown(self.known, most)
                 families = word_features(real)
                 self.scores[self.used : most] = self.model.emissions(real, families)
                 self.known[self.used : most] = self.model.known(families)

@@ -1,6 +1,7 @@
 """The language field: forward-backward against enumeration, held-out accuracy, defined cases."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -103,6 +104,25 @@ def test_parts_and_small_caches_change_nothing(model, docs, monkeypatch):
     assert np.allclose([x[1] for x in whole], [x[1] for x in small])
 
 
+def test_a_worker_labels_many_texts_in_little_memory():
+    model = language.train([("a", ["der", "und", "die"])] * 5 + [("b", ["the", "and", "of"])] * 5)
+    texts = ["der und die the and of. " * 40] * 4000  # 4 MB
+    tracemalloc.start()
+    found = language.Labeller(model).labels(texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(found) == len(texts) and most < 80 << 20
+
+
+def test_many_languages_do_not_enlarge_what_a_worker_holds():
+    model = language.train([(f"l{i}", [f"w{i}".translate(str.maketrans("0123456789", "abcdefghij"))]) for i in range(100)], rounds=1)
+    labeller = language.Labeller(model)
+    words = ["".join(letters) for letters in itertools.islice(itertools.product("aeioustrnl", repeat=5), 60_000)]
+    for i in range(0, len(words), 4_000):
+        labeller.numbers(words[i : i + 4_000])
+        assert labeller.scores.nbytes + labeller.known.nbytes < 2 * language.HELD_BYTES
+
+
 def test_long_chains_are_not_cut():
     """Parts that hand over their messages give the probabilities of the whole chain."""
     rng = np.random.default_rng(1)
