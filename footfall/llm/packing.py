@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stored, totals_before
-from footfall.llm.tokens import packed, parts, unpacked, utf8, word_tokenizer, worker_encoder
+from footfall.llm.tokens import packed, unpacked, word_tokenizer, worker_encoder
 
 
 def tokenised(docs: DataFrame, doc_id: str, text: str, source: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -51,9 +51,8 @@ def tokenised(docs: DataFrame, doc_id: str, text: str, source: str, tokenizer: s
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)
         for batch in batches:
-            texts = utf8(batch.column(2))
-            for part in parts(texts):
-                found = [np.append(ids, np.uint32(end_id)) for ids in encoder.encode(texts[part])]
+            for part, found in encoder.encode_column(batch.column(2)):
+                found = [np.append(ids, np.uint32(end_id)) for ids in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[part.start : part.stop],

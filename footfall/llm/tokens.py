@@ -2,23 +2,27 @@
 
 For tokenizers that drop white space, no token and no normalisation reaches over an ASCII blank,
 so a text's ids are those of its runs between blanks, one after the other. A worker encodes a
-run when it first meets it and looks it up after that.
+run when it first meets it and looks it up after that; of columns that are read once, it encodes
+the distinct runs of a part together and keeps none of them.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 #: Bytes of text that are split into runs at a time.
 PART_BYTES = 2 << 20
+#: Bytes of a column whose distinct runs are encoded once and then let go.
+COLUMN_BYTES = 16 << 20
 
 
 def word_tokenizer() -> str:
@@ -181,11 +185,7 @@ class RunEncoder:
         return self.held(slot)
 
     def held(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lengths = self.length[slot]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.start[slot] - ends + lengths, lengths)
-        at += np.arange(len(at))
-        return self.flat[at], lengths
+        return gathered(self.flat, self.start, self.length, slot)
 
     def with_runs(self, split: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each list of runs their ids, and how many each run has."""
@@ -200,6 +200,83 @@ class RunEncoder:
         """The ids of each text, as uint32."""
         return [ids for ids, _ in self.with_runs([self.runs_of(text) for text in texts])]
 
+    def column_runs(self, texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+        """Where the runs of each text begin and end, and the runs; letter case as in ``runs_of``."""
+        if self.folds:
+            low = pc.ascii_lower(texts)
+            for token in self.special:
+                low = pc.if_else(pc.match_substring(low, token.decode()), texts, low)
+            texts = low
+        split = pc.ascii_split_whitespace(texts)
+        return np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())]), split.flatten().dictionary_encode()
+
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[slice, list[np.ndarray]]]:
+        """Slices of a column of strings, and the ids of each text there; nothing is held after that."""
+        column = pc.fill_null(column, "")
+        sizes = pc.binary_length(column).to_pylist()
+        for whole in stretches(sizes, COLUMN_BYTES):
+            ends, runs = self.column_runs(column[whole])
+            slot = runs.indices.to_numpy()
+            flat, length = self.ids_of_each(runs.dictionary)
+            start = np.cumsum(length) - length
+            for part in stretches(sizes[whole], PART_BYTES):
+                own = ends[part.start : part.stop + 1]
+                ids, lengths = gathered(flat, start, length, slot[own[0] : own[-1]])
+                at = np.concatenate([[0], np.cumsum(lengths)])[own - own[0]].tolist()
+                yield slice(whole.start + part.start, whole.start + part.stop), [ids[i:j] for i, j in zip(at, at[1:])]
+
+    def ids_of_each(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of distinct runs, and how many each has; a word with points behind it is the word and the points."""
+        stems = pc.ascii_rtrim(runs, self.points.decode()) if self.points else runs
+        is_word = np.zeros(len(runs), bool)
+        if self.letters:
+            is_word = pc.match_substring_regex(stems, f"\\A[{''.join(map(chr, self.letters))}]+\\z").to_numpy(False)
+        by_itself = pc.match_substring(runs, BETWEEN).to_numpy(False)
+        words = stems.filter(is_word).dictionary_encode()
+        tails = tails_of(runs.filter(is_word), stems.filter(is_word)).dictionary_encode()
+        plain = ~is_word & ~by_itself
+
+        found = [
+            *self.in_groups(words.dictionary, self.model_ids),
+            *self.in_groups(tails.dictionary, self.together),
+            *self.in_groups(runs.filter(plain), self.together),
+            *self.in_groups(runs.filter(by_itself), self.together, 1),
+            (np.empty(0, np.uint32), np.zeros(1, np.int64)),  # stands for no points
+        ]
+        flat, length = (np.concatenate(column) for column in zip(*found))
+        halves = np.full((len(runs), 2), len(length) - 1)
+        halves[is_word, 0] = words.indices.to_numpy()
+        halves[is_word, 1] = len(words.dictionary) + tails.indices.to_numpy()
+        first = len(words.dictionary) + len(tails.dictionary)
+        halves[plain, 0] = first + np.arange(plain.sum())
+        halves[by_itself, 0] = first + plain.sum() + np.arange(by_itself.sum())
+        ids, lengths = gathered(flat, np.cumsum(length) - length, length, halves.ravel())
+        return ids, lengths[::2] + lengths[1::2]
+
+    def in_groups(self, runs: pa.Array, ids_of: Callable, size: int = TOGETHER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in range(0, len(runs), size):
+            yield ids_of(utf8(runs[i : i + size]))
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``flat`` that slots stand for, one after the other, and how many each slot has."""
+    lengths = length[slot]
+    ends = np.cumsum(lengths)
+    at = np.repeat(start[slot] - ends + lengths, lengths)
+    at += np.arange(len(at))
+    return flat[at], lengths
+
+
+def tails_of(runs: pa.Array, stems: pa.Array) -> pa.Array:
+    """What stands behind the stem that each run begins with."""
+    runs = runs.cast(pa.large_binary())
+    sizes = (pc.binary_length(runs).to_numpy() - pc.binary_length(stems).to_numpy()).astype(np.int64)
+    ends = np.frombuffer(runs.buffers()[1], np.int64)[runs.offset + 1 : runs.offset + 1 + len(runs)]
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)
+    tails, _ = gathered(data, ends - sizes, sizes, np.arange(len(sizes)))
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(tails)])
+
 
 @lru_cache(maxsize=1)
 def worker_encoder(path: str) -> RunEncoder:
@@ -228,16 +305,21 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
 
 
+def stretches(sizes: list[int], most: int) -> Iterator[slice]:
+    """Slices of consecutive places of about ``most`` in sum; a larger one is one by itself."""
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        if total and total + size > most:
+            yield slice(begin, i)
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
 def parts(texts: list[bytes]) -> Iterator[slice]:
     """Slices of consecutive texts of about ``PART_BYTES`` each; a longer text is one by itself."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > PART_BYTES:
-            yield slice(begin, i)
-            begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+    return stretches([len(text) for text in texts], PART_BYTES)
 
 
 PRESS, EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()

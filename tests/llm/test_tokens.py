@@ -7,6 +7,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from footfall.llm import chunked_bpe, packing, tokens
@@ -79,6 +80,29 @@ def test_words_are_learned_together_and_once(library):
     assert sum(encoder.model.sizes) + sum(encoder.tokenizer.sizes) < 2 * sum(map(len, words))
 
 
+@pytest.mark.parametrize(("column_bytes", "part_bytes"), [(16 << 20, 2 << 20), (2000, 300), (1, 1)])
+def test_columns_give_the_ids_of_whole_texts(library, monkeypatch, column_bytes, part_bytes):
+    monkeypatch.setattr(tokens, "COLUMN_BYTES", column_bytes)
+    monkeypatch.setattr(tokens, "PART_BYTES", part_bytes)
+    texts = [t for _, t, *_ in rows()] + ["it\x01s \x01 a.\x01", "x <|ENDOFTEXT|> Y.", "ABC.!, Don't 12.5 É.", " ... . ."]
+    encoder = tokens.RunEncoder(PATH)
+    for column in (pa.array(texts), pa.array(["before", *texts], pa.large_string())[1:], pa.array([], pa.string())):
+        found = list(encoder.encode_column(column))
+        assert [i for part, _ in found for i in range(part.start, part.stop)] == list(range(len(column)))
+        assert [ids.tolist() for _, each in found for ids in each] == [encoded(library, t.as_py()) for t in column]
+
+
+def test_columns_are_encoded_once_a_run_and_not_held():
+    rng = random.Random(7)
+    words = list({"".join(rng.choice("aeioustrnl") for _ in range(9)) for _ in range(3000)})
+    texts = [" ".join(rng.choice(words) + rng.choice(["", ".", ","]) for _ in range(50)) for _ in range(2000)]
+    encoder = tokens.RunEncoder(PATH)
+    encoder.model, encoder.tokenizer = Counted(encoder.model), Counted(encoder.tokenizer)
+    assert sum(len(each) for _, each in encoder.encode_column(pa.array(texts))) == len(texts)
+    assert sum(encoder.model.sizes) + sum(encoder.tokenizer.sizes) < 2 * sum(map(len, words))
+    assert not encoder.slots
+
+
 def test_points_that_are_part_of_other_tokens(library):
     texts = ["ab's ab' 's ab'. ab-cd ab--cd ab). (ab) \"ab\" ab;: ab|> ab<|endoftext|>. ab!<|endoftext|> .,ab a.b, ...", "é.é! ÿ?? \u0301. ab\u0301."]
     encoder = tokens.RunEncoder(PATH)
