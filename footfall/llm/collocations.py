@@ -16,6 +16,10 @@ and tile. The blobs of a tile are added up in a tree with ``together`` of them u
 first tile, which every chunk has, is no hot task. Chunks get the ids of their frequent pairs back
 in a join of their blobs with the tiles.
 
+Chunks, blobs and sums are kept on the executors' disks while the next longer phrases are found; what
+a lost executor had is computed again. Up to three words only phrases, ranks and totals become files
+of the shared folder: in a local folder Hadoop starts three processes beside the executor for each.
+
 Scores. A phrase of count a is cut in two in all ways; with l and r the counts of both sides, its
 score is the least of ``floor(1000000 * a * a / (l * r))``. The arithmetic is that of decimals with
 38 digits, exact up to counts of 14 digits.
@@ -29,14 +33,15 @@ rows; other columns play no part.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +80,29 @@ BETWEEN_PIECES = re.compile(b"[" + re.escape(SEPARATORS) + b"]")
 PLACE = ["lang", "tile_row", "tile_column"]
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
+@contextmanager
+def keeping() -> Iterator[Keep]:
+    """What keeps frames, computed at once, on the executors' disks; they go at the end.
+
+    A frame left there would also answer for a later one that reads the same path, whatever is there by then.
+    """
+    frames = []
+
+    def keep(frame: DataFrame) -> DataFrame:
+        frames.append(frame.persist(StorageLevel.DISK_ONLY))
+        frame.count()
+        return frame
+
+    try:
+        yield keep
+    finally:
+        for frame in frames:
+            frame.unpersist()
+
+
 PRESS, EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
@@ -128,7 +156,7 @@ def together(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
         yield some
 
 
-def chunked(docs: DataFrame, text: str, lang: str, most: int) -> DataFrame:
+def chunked(docs: DataFrame, text: str, lang: str, most: int, keep: Keep) -> DataFrame:
     """chunk, lang, words, counts, codes: texts as numbers of words in the chunk's own dictionary.
 
     Code 0 is the break between pieces, code i the i-th word.
@@ -175,7 +203,7 @@ def chunked(docs: DataFrame, text: str, lang: str, most: int) -> DataFrame:
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     schema = "chunk long, lang string, words array<string>, counts array<long>, codes binary"
-    return stored(rows.mapInArrow(chunks, schema), "collocations-chunks")
+    return keep(rows.mapInArrow(chunks, schema))
 
 
 def ranked_words(entries: DataFrame, least: int) -> DataFrame:
@@ -186,7 +214,7 @@ def ranked_words(entries: DataFrame, least: int) -> DataFrame:
     return stored(ranked.drop("less"), "collocations-word-ids")
 
 
-def with_word_ids(chunks: DataFrame, entries: DataFrame, words: DataFrame) -> DataFrame:
+def with_word_ids(chunks: DataFrame, entries: DataFrame, words: DataFrame, keep: Keep) -> DataFrame:
     """chunk, lang, words, ids: each place's word id, -1 for other words and breaks; no ids of longer phrases yet."""
     ids = words.select("lang", F.col("phrase").alias("word"), "id")
     own = (
@@ -208,7 +236,7 @@ def with_word_ids(chunks: DataFrame, entries: DataFrame, words: DataFrame) -> Da
                 yield chunk_row(batch, at, ids, np.zeros(0, np.int64))
 
     joined = chunks.select("chunk", "lang", "codes").join(own, "chunk", "left")
-    return stored(joined.mapInArrow(translate, CHUNK_SCHEMA), "collocations-ids-1")
+    return keep(joined.mapInArrow(translate, CHUNK_SCHEMA))
 
 
 CHUNK_SCHEMA = "chunk long, lang string, words binary, ids binary"
@@ -290,7 +318,7 @@ def tiles_of(left: np.ndarray, right: np.ndarray, tiling: Tiling) -> Iterator[tu
 BLOB_SCHEMA = "chunk long, lang string, tile_row long, tile_column long, cells binary, counts binary"
 
 
-def pair_blobs(chunks: DataFrame, length: int, tiling: Tiling) -> DataFrame:
+def pair_blobs(chunks: DataFrame, length: int, tiling: Tiling, keep: Keep) -> DataFrame:
     """One row per chunk and tile: the addresses of its pairs, in order, and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +342,7 @@ def pair_blobs(chunks: DataFrame, length: int, tiling: Tiling) -> DataFrame:
                     ["chunk", "lang", "tile_row", "tile_column", "cells", "counts"],
                 )
 
-    return stored(chunks.mapInArrow(count, BLOB_SCHEMA), f"collocations-blobs-{length + 1}")
+    return keep(chunks.mapInArrow(count, BLOB_SCHEMA))
 
 
 class Sum:
@@ -397,7 +425,7 @@ def added(blobs: DataFrame, least: int, width: str, tiling: Tiling) -> DataFrame
 
 def tile_sizes(blobs: DataFrame) -> DataFrame:
     """The number of blobs of each tile."""
-    return blobs.groupBy(*PLACE).agg(F.count("*").alias("parts"))
+    return stored(blobs.groupBy(*PLACE).agg(F.count("*").alias("parts")), "collocations-sizes")
 
 
 def grouped(rows: DataFrame, together: int) -> DataFrame:
@@ -406,17 +434,16 @@ def grouped(rows: DataFrame, together: int) -> DataFrame:
     return rows.withColumn("part", F.pmod("part", "parts"))
 
 
-def frequent_pairs(blobs: DataFrame, least: int, level: int, tiling: Tiling) -> DataFrame:
+def frequent_pairs(blobs: DataFrame, sizes: DataFrame, least: int, tiling: Tiling, keep: Keep) -> DataFrame:
     """lang, left, right, f: the pairs of at least ``least`` occurrences over all chunks.
 
     A tile with few blobs is done after one step, so only the busy ones go up the tree.
     """
-    sizes = tile_sizes(blobs)
     most = sizes.agg(F.max("parts")).first()[0] or 1
     rows, width, done = blobs.join(sizes, PLACE).withColumn("part", F.xxhash64("chunk")), "<u4", []
     while most > tiling.together:
-        most, number = -(-most // tiling.together), len(done) + 1
-        sums = stored(added(grouped(rows, tiling.together), least, width, tiling), f"collocations-sums-{level}-{number}")
+        most = -(-most // tiling.together)
+        sums = keep(added(grouped(rows, tiling.together), least, width, tiling))
         done.append(sums.filter("parts = 1"))
         rows, width = sums.filter("parts > 1"), "<i8"
     tiles = reduce(DataFrame.unionByName, done, added(grouped(rows, tiling.together), least, width, tiling))
@@ -437,11 +464,12 @@ def frequent_pairs(blobs: DataFrame, least: int, level: int, tiling: Tiling) ->
                     ["lang", "left", "right", "f"],
                 )
 
-    pairs = tiles.select(*PLACE, "cells", "counts").mapInArrow(unpack, "lang string, left long, right long, f long")
-    return stored(pairs, f"collocations-pairs-{level}")
+    return keep(tiles.select(*PLACE, "cells", "counts").mapInArrow(unpack, "lang string, left long, right long, f long"))
 
 
-def with_pair_ids(chunks: DataFrame, blobs: DataFrame, pairs: DataFrame, length: int, tiling: Tiling) -> DataFrame:
+def with_pair_ids(
+    chunks: DataFrame, blobs: DataFrame, sizes: DataFrame, pairs: DataFrame, length: int, tiling: Tiling
+) -> DataFrame:
     """The chunks with ``ids`` of the frequent phrases that are one word longer.
 
     The ids of a tile meet its blobs, ``together`` at a time; each blob takes those of its own pairs
@@ -459,7 +487,6 @@ def with_pair_ids(chunks: DataFrame, blobs: DataFrame, pairs: DataFrame, length:
         .groupBy(*PLACE)
         .agg(F.array_sort(F.collect_list("pair")).alias("pairs"))  # at most one per cell
     )
-    sizes = tile_sizes(blobs)
     parts = F.ceil(F.col("parts") / tiling.together)
     columns = [*PLACE, "chunk", "cells", "known", "ids"]
     asking = blobs.join(sizes, PLACE).select(
@@ -522,39 +549,46 @@ def with_pair_ids(chunks: DataFrame, blobs: DataFrame, pairs: DataFrame, length:
                 longer[where] = np.where(known[place] == keys, known_ids[place], -1)
                 yield chunk_row(batch, at, words, longer)
 
-    joined = chunks.join(answers, "chunk")
-    return stored(joined.mapInArrow(translate, CHUNK_SCHEMA), f"collocations-ids-{length + 1}")
+    return chunks.join(answers, "chunk").mapInArrow(translate, CHUNK_SCHEMA)
 
 
 def phrases(
-    docs: DataFrame, text: str, lang: str, least: int, max_words: int, tiling: Tiling
+    docs: DataFrame, text: str, lang: str, least: int, max_words: int, tiling: Tiling, keep: Keep
 ) -> tuple[list[DataFrame], DataFrame]:
     """For 1 to ``max_words`` words the frequent phrases (lang, phrase, f), and all words by lang (lang, n)."""
-    chunks = chunked(docs, text, lang, tiling.chunk_bytes)
+    chunks = chunked(docs, text, lang, tiling.chunk_bytes, keep)
     entries = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "chunk", "lang", F.col("col.words").alias("word"), F.col("col.counts").alias("count"),
         (F.col("pos") + 1).cast("long").alias("code"),
     )
     totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
+    totals = stored(totals, "collocations-totals")
 
     words = ranked_words(entries, least)
     found = [words.select("lang", "phrase", "f")]
     before = words.select("lang", "id", "phrase")
-    state = with_word_ids(chunks, entries, words)
+    state = with_word_ids(chunks, entries, words, keep)
+    chunks.unpersist()
     for length in range(1, max_words):
-        blobs = pair_blobs(state, length, tiling)
-        pairs = frequent_pairs(blobs, least, length + 1, tiling).withColumn("less", -F.col("f"))
-        pairs = with_ranks(pairs, ["lang"], ["less", "left", "right"], "id", f"collocations-ranks-{length + 1}")
-        named = (
-            pairs.join(before.withColumnRenamed("id", "left").withColumnRenamed("phrase", "first"), ["lang", "left"])
-            .join(words.select("lang", F.col("id").alias("right"), F.col("phrase").alias("last")), ["lang", "right"])
-            .select("lang", "id", "left", "right", "f", F.concat_ws(" ", "first", "last").alias("phrase"))
-        )
-        longer = stored(named, f"collocations-phrases-{length + 1}")
-        found.append(longer.select("lang", "phrase", "f"))
-        if length + 1 < max_words:
-            state = with_pair_ids(state, blobs, longer.select("lang", "left", "right", "id"), length, tiling)
-            before = longer.select("lang", "id", "phrase")
+        with keeping() as passing:
+            blobs = pair_blobs(state, length, tiling, passing)
+            sizes = tile_sizes(blobs)
+            pairs = frequent_pairs(blobs, sizes, least, tiling, passing).withColumn("less", -F.col("f"))
+            pairs = with_ranks(pairs, ["lang"], ["less", "left", "right"], "id", f"collocations-ranks-{length + 1}")
+            named = (
+                pairs.join(before.withColumnRenamed("id", "left").withColumnRenamed("phrase", "first"), ["lang", "left"])
+                .join(words.select("lang", F.col("id").alias("right"), F.col("phrase").alias("last")), ["lang", "right"])
+                .select("lang", "id", "left", "right", "f", F.concat_ws(" ", "first", "last").alias("phrase"))
+            )
+            longer = stored(named, f"collocations-phrases-{length + 1}")
+            found.append(longer.select("lang", "phrase", "f"))
+            if length + 1 < max_words:
+                ids, shorter = longer.select("lang", "left", "right", "id"), state
+                state = with_pair_ids(shorter, blobs, sizes, ids, length, tiling)
+                # plans of kept frames hold those before twice: of many levels only the last goes without files
+                state = keep(state) if length + 2 == max_words else stored(state, f"collocations-ids-{length + 1}")
+                shorter.unpersist()
+                before = longer.select("lang", "id", "phrase")
     return found, totals
 
 
@@ -580,7 +614,8 @@ def collocations(
 
     A phrase goes if a longer one around it has at least ``absorbed`` percent of its occurrences.
     """
-    found, totals = phrases(docs, text, lang, least, max_words, tiling)
+    with keeping() as keep:
+        found, totals = phrases(docs, text, lang, least, max_words, tiling, keep)
     every = reduce(DataFrame.unionByName, found)
     candidates = reduce(DataFrame.unionByName, found[1:]).withColumn("words", F.split("phrase", " "))
     size = F.size("words")

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -99,6 +100,38 @@ def test_defined_cases(spark):
     assert mined(spark, long) == brute_force(long)
 
 
+def kept_frames(spark):
+    return set(spark.sparkContext._jsc.getPersistentRDDs())
+
+
+def test_only_phrases_become_files(spark):
+    """The chunks, their blobs and the sums, at all levels of the tree, stay on the executors, and not for longer."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    files, frames = set(shared.rglob("part-*")), kept_frames(spark)
+    rows = some_texts(5)
+    assert mined(spark, rows, 12, tiling=collocations.Tiling(2, 3, 1500)) == brute_force(rows)
+    tables = {f.parent.name.split("-", 1)[1][:-33] for f in shared.rglob("part-*") if f not in files}
+    assert tables == {"words", "word-ids", "totals", "sizes", "ranks-2", "ranks-3", "phrases-2", "phrases-3", "best"}
+    assert kept_frames(spark) == frames
+
+
+def test_frames_are_dropped_when_the_work_fails(spark):
+    frames = kept_frames(spark)
+    with pytest.raises(ZeroDivisionError), collocations.keeping() as keep:
+        assert keep(spark.range(3).withColumn("kept", collocations.F.lit(1))).count() == 3
+        assert kept_frames(spark) != frames
+        raise ZeroDivisionError
+    assert kept_frames(spark) == frames
+
+
+def test_a_path_is_read_anew(spark, tmp_path):
+    for text in ("aa bb", "cc dd", "aa bb"):
+        rows = [(i, text, "en", 1, "s", "p") for i in range(10)]
+        spark.createDataFrame(rows, DDL).write.mode("overwrite").parquet(str(tmp_path / "docs"))
+        found = collocations.collocations(spark.read.parquet(str(tmp_path / "docs"))).collect()
+        assert [row.phrase for row in found] == [text]
+
+
 def test_long_texts_are_cut_between_pieces_only():
     text = b"aa bb, cc dd. ee ff; " * 50 + b"no end " * 30
     parts = list(collocations.parts_of(text, 64))
